@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import match_keys, names
 from millrace.functions.hashing import spread
 from millrace.operators.windows import first_per_group
+from millrace.scratch import stage
 
 PAGE_ROWS = 10_000
 
@@ -22,7 +23,8 @@ def with_pages(df: DataFrame, keys: Sequence[str], unique_by: Sequence[str], pag
     ever holds a whole hot group.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > page_rows)
+    # stored, so that the join is planned from the measured size of the few hot groups
+    hot = stage(sizes.filter(F.col("_rows") > page_rows), "hot-groups")
     marked = match_keys(df, hot, keys, "left")
     pages = F.ceil(F.col("_rows") / page_rows).cast("bigint")
     page = F.when(F.col("_rows").isNull(), F.lit(0).cast("bigint")).otherwise(spread(unique_by, pages))

@@ -21,26 +21,27 @@ def unique_rows(
 ) -> DataFrame:
     """One row per non-null key.
 
-    ``fail`` stops the job when a key repeats, ``latest`` keeps the last row in
-    ``order_by``.  A null key always stops the job.  Done as an aggregate, so
-    repeated keys shrink inside each task; the result is partitioned by key and
-    a following join on it needs no further exchange.
+    Identical copies collapse.  When the rows of a key differ, ``fail`` stops the
+    job and ``latest`` keeps the last one in ``order_by``.  A null key always
+    stops the job.  Done as an aggregate, so repeated keys shrink inside each
+    task; the result is partitioned by key and a following join on it needs no
+    further exchange.
     """
     if on_duplicate not in ("fail", "latest"):
         raise ValueError("on_duplicate must be 'fail' or 'latest'")
     keys = names(keys)
     first = [c for c in names(order_by) if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in first]
-    found = df.groupBy(*keys).agg(
-        F.max(F.struct(*first, *rest)).alias("_row"), F.count(F.lit(1)).alias("_copies")
-    )
+    row = F.struct(*first, *rest)
+    found = df.groupBy(*keys).agg(F.max(row).alias("_row"), F.min(row).alias("_other"))
     bad_null = F.lit(False)
     for k in keys:
         bad_null = bad_null | F.col(f"`{k}`").isNull()
-    row = F.when(bad_null, F.raise_error(F.lit(f"null in key {keys}")))
+    chosen = F.when(bad_null, F.raise_error(F.lit(f"null in key {keys}")))
     if on_duplicate == "fail":
-        row = row.when(F.col("_copies") > 1, F.raise_error(F.lit(f"key {keys} is not unique")))
-    found = found.withColumn("_row", row.otherwise(F.col("_row")))
+        differs = ~F.col("_row").eqNullSafe(F.col("_other"))
+        chosen = chosen.when(differs, F.raise_error(F.lit(f"key {keys} has different rows")))
+    found = found.select(*keys, chosen.otherwise(F.col("_row")).alias("_row"))
     return found.select(*[c if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
@@ -72,7 +73,8 @@ def upsert(target: DataFrame, changes: DataFrame, keys: str | Sequence[str], mod
         return match_keys(target, changes.select(*keys).distinct(), keys, "left_anti").unionByName(changes)
     if mode != "keep_versions":
         raise ValueError("mode must be 'replace' or 'keep_versions'")
-    matched = changes.join(target.select(*keys).distinct(), keys, "left_semi").select(*target.columns)
+    stored = target.select(*keys).distinct()
+    matched = match_keys(changes, stored, keys, "left_semi", nulls_match=False).select(*target.columns)
     return complement(target, matched).unionByName(changes)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import names
+from millrace.functions.columns import match_keys, names
 from millrace.functions.constants import NEVER_RAN, OPEN_END
 from millrace.operators.columns import any_of
 
@@ -63,4 +63,5 @@ def delete_by_key(df: DataFrame, column: str, values: Iterable | DataFrame) -> D
     if not isinstance(values, DataFrame):
         kind = dict(df.dtypes)[column]
         values = df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` {kind}")
-    return df.join(values.select(values.columns[0]).distinct().toDF(column), column, "left_anti").select(*df.columns)
+    gone = values.select(values.columns[0]).distinct().toDF(column)
+    return match_keys(df, gone, column, "left_anti", nulls_match=False)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import names
+from millrace.functions.columns import match_keys, names
 from millrace.functions.constants import OPEN_END_FAR, OPEN_TERM_TS
 from millrace.operators.windows import first_per_group
 
@@ -86,17 +86,16 @@ def lookup_join(
     order_by: str | Sequence[str] = (),
 ) -> DataFrame:
     """Left join to the first right row per key, in ``order_by``."""
-    key_names = names(keys if keys is not None else right_keys)
-    one = first_per_group(right, key_names, order_by)
-    if keys is not None:
-        return left_join(left, one, key_names)
-    return _keyed(left, one, left_keys, right_keys, "left", "_right").drop(*[f"_{c}" for c in key_names])
+    right_names = names(keys if keys is not None else right_keys)
+    left_names = names(keys if keys is not None else left_keys)
+    one = _free_names(left, first_per_group(right, right_names, order_by), right_names, "_right")
+    return match_keys(left, one, left_names, "left", right_names, nulls_match=False)
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Left rows whose whole key does not occur on the right."""
     keys = names(keys)
-    return left.join(right.select(*keys).distinct(), keys, "left_anti").select(*left.columns)
+    return match_keys(left, right.select(*keys).distinct(), keys, "left_anti", nulls_match=False)
 
 
 def surrogate_lookup(
@@ -134,7 +133,7 @@ def exclude_quarantined(
         .select("_key.*")
         .distinct()
     )
-    return df.join(bad, keys, "left_anti").select(*df.columns)
+    return match_keys(df, bad, keys, "left_anti", nulls_match=False)
 
 
 def propagate_parent_id(
@@ -142,24 +141,26 @@ def propagate_parent_id(
 ) -> DataFrame:
     """Overwrite the child's copy of the parent id with the one found on the
     natural columns; ``on`` lists (child column, parent column)."""
+    own, parents = [c for c, _ in on], [f"_p{i}" for i in range(len(on))]
     keyed = parent.select(
-        *[F.col(p).alias(f"_p{i}") for i, (_, p) in enumerate(on)], F.col(parent_id).alias("_parent_id")
+        *[F.col(p).alias(n) for n, (_, p) in zip(parents, on)], F.col(parent_id).alias("_parent_id")
     ).distinct()
-    condition: Column = F.lit(True)
-    for i, (c, _) in enumerate(on):
-        condition = condition & (child[c] == keyed[f"_p{i}"])
-    joined = child.join(keyed, condition, "left")
-    rest = [c for c in child.columns if c != parent_id]
     order = child.columns if parent_id in child.columns else [*child.columns, parent_id]
-    result = joined.select(*rest, F.col("_parent_id").alias(parent_id)).select(*order)
+    joined = match_keys(child.drop(parent_id), keyed, own, "left", parents, nulls_match=False)
+    result = joined.withColumnRenamed("_parent_id", parent_id).select(*order)
     return result.distinct() if distinct else result
 
 
 def semi_changed(source: DataFrame, target: DataFrame, key: str, hash_column: str) -> DataFrame:
-    """Source rows whose key is stored with a different hash."""
-    stored = target.select(F.col(key).alias("_key"), F.col(hash_column).alias("_hash")).distinct()
-    condition = (source[key] == stored["_key"]) & (source[hash_column] != stored["_hash"])
-    return source.join(stored, condition, "left_semi")
+    """Source rows whose key is stored with a different hash.
+
+    Some stored hash differs exactly when the smallest or the largest does, so
+    one row per key is enough on the stored side.
+    """
+    ends = target.groupBy(F.col(key).alias("_key")).agg(F.min(hash_column).alias("_low"), F.max(hash_column).alias("_high"))
+    own = F.col(f"s.`{hash_column}`")
+    condition = F.col(f"s.`{key}`").eqNullSafe(F.col("e._key")) & ((own != F.col("e._low")) | (own != F.col("e._high")))
+    return source.alias("s").join(ends.dropna(subset=["_key"]).alias("e"), condition, "left_semi")
 
 
 def effective_join(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import names
+from millrace.functions.columns import match_keys, names
 from millrace.scratch import stage
 
 _LISTS = ("added_col", "selected_cols", "dropped_cols", "left_df_cols", "right_df_cols", "key_cols",
@@ -100,32 +100,51 @@ def edges_of(events: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _reachable(edges: DataFrame, start: DataFrame, max_depth: int) -> DataFrame:
+    """Nodes reached from the start nodes, the start included."""
+    steps = edges.withColumnRenamed("target", "node")
+    seen = frontier = stage(start, "lineage-nodes")
+    for _ in range(max_depth):
+        reached = frontier.join(steps, "node").select(F.col("source").alias("node")).distinct()
+        frontier = stage(match_keys(reached, seen, "node", "left_anti"), "lineage-nodes")
+        if frontier.isEmpty():
+            return seen
+        seen = seen.unionByName(frontier)
+    raise RuntimeError(f"lineage deeper than {max_depth}")
+
+
 def root_sources(
     edges: DataFrame, targets: DataFrame | str | Sequence[str] | None = None, max_depth: int = 1000
 ) -> DataFrame:
-    """(target, root) for every dataset reached that has no source of its own.
+    """(target, root) for every dataset without sources of its own that a target
+    is built from; all targets unless some are named.
 
-    Breadth first from the targets; a pair already seen is not followed again,
-    so cycles end.  Every level is staged, which keeps the plan short.
+    Roots are handed upwards from the datasets without sources, one level per
+    step, so only pairs that belong to a result are ever made.  A pair already
+    known is not handed on again, so cycles end.  Every level is staged, which
+    keeps the plan short.
     """
     spark = edges.sparkSession
     edges = stage(edges.select("target", "source").distinct(), "lineage-edges")
-    if targets is None:
-        start = edges.select("target").distinct()
-    elif isinstance(targets, DataFrame):
-        start = targets.select(F.col(targets.columns[0]).alias("target")).distinct()
-    else:
-        start = spark.createDataFrame([(t,) for t in names(targets)], edges.select("target").schema)
-    steps = edges.withColumnRenamed("target", "node")
-    seen = stage(start.select("target", F.col("target").alias("node")), "lineage-level")
-    frontier = seen
+    wanted = None
+    if isinstance(targets, DataFrame):
+        wanted = targets.select(F.col(targets.columns[0]).alias("node")).distinct()
+    elif targets is not None:
+        wanted = spark.createDataFrame([(t,) for t in names(targets)], "node string").distinct()
+    if wanted is not None:
+        nodes = _reachable(edges, wanted, max_depth)
+        edges = stage(match_keys(edges, nodes, "target", "left_semi", "node"), "lineage-edges")
+
+    inner = edges.select(F.col("target").alias("source")).distinct()
+    ends = match_keys(edges, inner, "source", "left_anti")
+    seen = frontier = stage(ends.select("target", F.col("source").alias("root")), "lineage-level")
     for _ in range(max_depth):
-        reached = frontier.join(steps, "node").select("target", F.col("source").alias("node")).distinct()
-        fresh = stage(reached.join(seen, ["target", "node"], "left_anti"), "lineage-level")
-        if fresh.isEmpty():
+        known = frontier.withColumnRenamed("target", "source")
+        reached = edges.join(known, "source").select("target", "root").distinct()
+        frontier = stage(match_keys(reached, seen, ["target", "root"], "left_anti"), "lineage-level")
+        if frontier.isEmpty():
             break
-        seen, frontier = seen.unionByName(fresh), fresh
+        seen = seen.unionByName(frontier)
     else:
         raise RuntimeError(f"lineage deeper than {max_depth}")
-    leaves = seen.join(steps.select("node").distinct(), "node", "left_anti")
-    return leaves.filter(F.col("target") != F.col("node")).select("target", F.col("node").alias("root"))
+    return seen if wanted is None else match_keys(seen, wanted, "target", "left_semi", "node")

@@ -17,7 +17,13 @@ from millrace.functions.hashing import tagged
 
 
 def sort_rows(df: DataFrame, keys: str | Sequence[str], descending: bool = False) -> DataFrame:
-    return df.orderBy(*names(keys), ascending=not descending)
+    """Global sort.  The other columns break ties, so that the rows of a frequent
+    key are spread over several sorted partitions."""
+    keys = names(keys)
+    kinds = dict(df.dtypes)
+    ties = [c for c in df.columns if c not in keys and not kinds[c].startswith("map")]
+    order = [F.desc(k) if descending else F.asc(k) for k in keys]
+    return df.orderBy(*order, *[F.col(f"`{c}`") for c in ties])
 
 
 def sample_keys(df: DataFrame, columns: str | Sequence[str], n: int, seed: int = 0) -> DataFrame:

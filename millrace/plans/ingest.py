@@ -9,13 +9,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import fs
 from millrace.operators import cdc
 from millrace.operators.columns import typed_select
 from millrace.operators.filters import incremental_filter, incremental_predicate
 from millrace.operators.runlog import finished, started
 from millrace.plans.config import Ingestion
-from millrace.sinks.files import append_partition, overwrite_via_temp, write_landing
-from millrace.sinks.tables import register_table
+from millrace.sinks.files import append_partition, finish_overwrite, overwrite_via_temp, write_landing
+from millrace.sinks.tables import register_table, repair_table
 from millrace.sources.files import read_any
 from millrace.sources.jdbc import read_jdbc
 from millrace.sources.targets import read_target
@@ -117,7 +118,7 @@ def run_ingest(
         spec.pipeline_id, f"{spec.pipeline_id}_{as_of:%Y%m%d%H%M%S%f}", as_of, table_name=spec.table,
         load_type=spec.load_type, business_order_from_dttm=since, business_order_to_dttm=as_of,
     )
-    landing, final = layer_path(base, "landing", spec.table), layer_path(base, "final", spec.table)
+    landing, final, temp = (layer_path(base, layer, spec.table) for layer in ("landing", "final", "tmp"))
     if in_blackout(spec.ola, as_of):
         return RunResult(finished(log, as_of, error=f"start time lies in {spec.ola}"), final, False)
 
@@ -131,6 +132,9 @@ def run_ingest(
     keep = [spec.op_column] if spec.op_column else []
     typed = typed_select(spark.read.schema(raw.schema).parquet(landing), spec.columns, keep=keep)
     delta = spec.load_type != "full"
+    if delta and fs.exists(spark, final) and not fs.committed(spark, final):
+        # an earlier run stopped while it copied the result into place
+        finish_overwrite(spark, final, temp)
     target = read_target(spark, final, spec.partition_col) if delta else None
     result = capture(spec, target, typed)
 
@@ -139,14 +143,13 @@ def run_ingest(
     if spec.partition_col:
         append_partition(result, final, spec.partition_col, as_of.date())
     elif target is not None:
-        overwrite_via_temp(result, final)
+        overwrite_via_temp(result, final, temp)
     else:
         result.write.mode("overwrite").parquet(final)
 
     if database:
-        table = register_table(spark, f"{database}.{spec.table}", result, final, spec.partition_col)
+        register_table(spark, f"{database}.{spec.table}", result, final, spec.partition_col)
         if spec.partition_col:
-            spark.catalog.recoverPartitions(f"{database}.{spec.table}")
-        del table
+            repair_table(spark, f"{database}.{spec.table}")
     counts = {"landing_count": landed.get["rows"], "final_count": stored.get["rows"]}
     return RunResult(finished(log, as_of, **counts), final, True)

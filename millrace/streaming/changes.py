@@ -81,7 +81,7 @@ def apply_batch(
         if batch.isEmpty():
             return
         changes = latest_runs(batch, keys, order_by) if order_by else batch
-        changes = with_bucket(changes, keys, buckets)
+        changes = with_bucket(changes, keys, buckets).persist()
         # at most ``buckets`` numbers
         touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
         stored = _stored(spark, path, schema)
@@ -95,6 +95,7 @@ def apply_batch(
         blank = marks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], BUCKET)
         rows = merged.select(*schema.names, BUCKET).withColumn(BLANK, F.lit(False))
         rows.unionByName(blank.withColumn(BLANK, F.lit(True))).write.mode("overwrite").parquet(staged)
+        changes.unpersist()
     _replace_buckets(spark, staged, path)
 
 
