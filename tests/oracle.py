@@ -38,6 +38,20 @@ def rows_of(columns: list[str], rows) -> tuple[list[str], Counter]:
     return [columns[i] for i in order], Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def type_differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """Columns whose declared types differ."""
+    relation = con.sql(sql)
+    wanted = dict(zip(relation.columns, [str(t) for t in relation.types]))
+    found = {n: TYPES.get(t, t.upper()) for n, t in df.dtypes}
+    return [f"{n}: {t} != {wanted.get(n)}" for n, t in sorted(found.items()) if t != wanted.get(n)]
+
+
 def compare(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when equal, else what differs."""
     found_columns, found = rows_of(df.columns, df.collect())
