@@ -26,6 +26,36 @@ def target_type(name: str, length=None, precision=None) -> str:
     return base
 
 
+# fixed values: the texts Spark accepts for a type, apart from surrounding blanks
+_BLANKS = r"[\x00-\x20]*"
+_WHOLE = r"[+-]?\d+"
+_NUMBER = r"[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?"
+_FLOAT = r"[+-]?(((\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?)|0x[0-9a-f.]+p[+-]?\d+[df]?|inf(inity)?|nan)"
+_FLAG = r"(t|true|y|yes|1|f|false|n|no|0)"
+_ACCEPTED = {
+    "tinyint": _WHOLE,
+    "smallint": _WHOLE,
+    "int": _WHOLE,
+    "bigint": _WHOLE,
+    "decimal": _NUMBER,
+    "float": _FLOAT,
+    "double": _FLOAT,
+    "boolean": _FLAG,
+}
+
+
+def safe_cast(value: Column, source: str, target: str) -> Column:
+    """``try_cast`` that tests a text first.
+
+    A failing cast raises and catches an exception for every row, about ten
+    times the cost of the test.
+    """
+    pattern = _ACCEPTED.get(target.split("(")[0].strip().lower()) if source == "string" else None
+    if pattern is None:
+        return value.try_cast(target)
+    return F.when(value.rlike(f"(?i)^{_BLANKS}{pattern}{_BLANKS}$"), value.try_cast(target))
+
+
 def ddl_type(name: Column, length: Column, precision: Column) -> Column:
     """Column type of a CREATE TABLE statement, as a Column over metadata rows.
 

@@ -12,6 +12,7 @@ from millrace.operators.aggregates import PAGE_ROWS, pack_json
 from millrace.operators.columns import map_labels, select_environment, to_json_columns
 from millrace.operators.filters import active_published
 from millrace.operators.windows import first_per_group
+from millrace.scratch import stage
 
 # columns of a catalogue feed, in order
 FEED_COLUMNS = (
@@ -58,7 +59,8 @@ def raw_feed(inventory: DataFrame, columns: DataFrame, classification: DataFrame
     rows = described.join(active, "pipeline_id").drop("pipeline_id")
     # the smallest column id survives when a table lists a column twice
     rows = first_per_group(rows, ["domain_name", "table_name", "target_column_name"], ["column_id"])
-    rows = rows.fillna({"classification_level": "INTERNAL", "target_length": "0"})
+    # both kinds of feed rows are made from these
+    rows = stage(rows.fillna({"classification_level": "INTERNAL", "target_length": "0"}), "feed")
 
     tables = rows.select("domain_name", "table_name", "pipeline_desc", "location").distinct()
     full = F.concat_ws(" > ", "target_column_name", "table_name")

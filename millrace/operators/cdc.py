@@ -33,7 +33,10 @@ def unique_rows(
     first = [c for c in names(order_by) if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in first]
     row = F.struct(*first, *rest)
-    found = df.groupBy(*keys).agg(F.max(row).alias("_row"), F.min(row).alias("_other"))
+    ends = [F.max(row).alias("_row")]
+    if on_duplicate == "fail":
+        ends.append(F.min(row).alias("_other"))
+    found = df.groupBy(*keys).agg(*ends)
     bad_null = F.lit(False)
     for k in keys:
         bad_null = bad_null | F.col(f"`{k}`").isNull()

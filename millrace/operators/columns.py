@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import names
 from millrace.functions.constants import COMMUNITIES, NO_VALUE_TEXTS
-from millrace.functions.types import label_by, present, target_type, type_label
+from millrace.functions.types import label_by, present, safe_cast, target_type, type_label
 from millrace.operators.windows import number_rows
 
 
@@ -100,11 +100,12 @@ def convert(df: DataFrame, columns: str | Iterable[str], conversion: Callable[[C
     if missing:
         raise ValueError(f"unknown columns: {missing}")
 
-    def build(c: str) -> Column:
-        result = conversion(F.col(f"`{c}`"))
-        return result.try_cast(data_type) if data_type else result
-
-    return df.withColumns({c: build(c) for c in chosen})
+    results = {c: conversion(F.col(f"`{c}`")) for c in chosen}
+    if data_type:
+        name = data_type if isinstance(data_type, str) else data_type.simpleString()
+        kinds = df.select(*results.values()).dtypes
+        results = {c: safe_cast(r, kind, name) for (c, r), (_, kind) in zip(results.items(), kinds)}
+    return df.withColumns(results)
 
 
 def convert_when(
@@ -129,11 +130,11 @@ def convert_when(
 
 
 def to_float(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, F.col(column).try_cast("float"))
+    return df.withColumn(column, safe_cast(F.col(column), dict(df.dtypes)[column], "float"))
 
 
 def to_int(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, F.col(column).try_cast("int"))
+    return df.withColumn(column, safe_cast(F.col(column), dict(df.dtypes)[column], "int"))
 
 
 def to_string(df: DataFrame, column: str) -> DataFrame:
@@ -162,14 +163,18 @@ def typed_select(df: DataFrame, columns: Iterable[Mapping], keep: Sequence[str]
     date-time format rewrites the value through ``date_format`` first.
     Character lengths cut the text only when ``truncate`` is set.
     """
-    chosen = []
-    for record in sorted(columns, key=lambda r: int(r["sequence_number"])):
+    records = sorted(columns, key=lambda r: int(r["sequence_number"]))
+    values = []
+    for record in records:
         value = F.col(record["source_column_name"])
-        length = record.get("target_length")
-        kind = target_type(record["target_datatype"], length, record.get("target_precision"))
         if present(record.get("target_datetime_format")):
             value = F.date_format(value, record["target_datetime_format"])
-        value = value.try_cast(kind)
+        values.append(value)
+    chosen = []
+    for record, value, (_, found) in zip(records, values, df.select(*values).dtypes):
+        length = record.get("target_length")
+        kind = target_type(record["target_datatype"], length, record.get("target_precision"))
+        value = safe_cast(value, found, kind)
         if truncate and kind == "string" and present(length):
             value = F.substring(value, 1, int(length))
         chosen.append(value.alias(record["target_column_name"]))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import names
-from millrace.functions.types import type_family
+from millrace.functions.types import safe_cast, type_family
 from millrace.operators.cdc import unique_rows
 from millrace.operators.sets import complement, sample_keys
 
@@ -119,7 +119,7 @@ _CHECKS = {
     "hasMax": _bound(F.max, lambda m, v: m <= v),
     "isContainedIn": _share_rule(lambda r: _value(r.column).isin(list(r.arguments[0]))),
     "hasPattern": _share_rule(lambda r: _value(r.column).cast("string").rlike(r.arguments[0])),
-    "hasDataType": _share_rule(lambda r: _value(r.column).cast("string").try_cast(r.arguments[0]).isNotNull()),
+    "hasDataType": _share_rule(lambda r: safe_cast(_value(r.column).cast("string"), "string", r.arguments[0]).isNotNull()),
     "satisfies": _satisfies,
     "isUnique": None,  # needs a count per value, see _unique_result
 }
@@ -196,7 +196,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, distinct: bool
         measures.append((F.min(value) if number else F.min(F.lit(None))).cast("double").alias(f"lo{i}"))
         measures.append((F.max(value) if number else F.max(F.lit(None))).cast("double").alias(f"hi{i}"))
         for t in _NARROW:
-            hit = F.count(value.try_cast(t)) if text else F.count(F.lit(None))
+            hit = F.count(safe_cast(value, "string", t)) if text else F.count(F.lit(None))
             measures.append(hit.alias(f"{t}{i}"))
         if distinct:
             measures.append(F.approx_count_distinct(value).alias(f"d{i}"))

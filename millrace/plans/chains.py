@@ -51,7 +51,8 @@ def scd2_chain(
         if parent_id:
             if parent_id not in source.columns:
                 source = source.withColumn(parent_id, F.lit(None).cast("bigint"))
-            source = propagate_parent_id(source, done[parent.name], level.on, parent_id)
+            # copies of a row collapse below, by key
+            source = propagate_parent_id(source, done[parent.name], level.on, parent_id, distinct=False)
         target = (targets or {}).get(level.name)
         if target is None:
             clean = unique_rows(source, level.key, level.on_duplicate, level.order_by)

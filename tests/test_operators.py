@@ -352,3 +352,14 @@ def test_log_rows_latest(spark):
     log = runlog.log_rows(spark, [end, start])
     last = runlog.latest_runs(log, ["pipeline_id", "execution_id"], "logged_at").first()
     assert last["job_status"] == "FAILURE" and last["landing_count"] is None and last["error_message"] == "boom"
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "smallint", "decimal(10,2)", "double", "float", "boolean", "date"])
+def test_safe_cast_equals_try_cast(spark, kind):
+    from millrace.functions.types import safe_cast
+
+    texts = ["1", " 7 ", "+3", "-4", "\t5\n", "1.", ".5", "1.5", "1e3", "1E-2", "1d", "2F", "0x1p3", "NaN", "inf", "-Infinity", "x",
+             "", " ", "1-URGENT", "t", "Yes", "no", "0", "TRUE", "99999999999999999999", "1_000", "2024-01-31", "--1", None]
+    df = frame(spark, [(t,) for t in texts], "t string")
+    got = df.select("t", safe_cast(F.col("t"), "string", kind).cast("string").alias("a"), F.col("t").try_cast(kind).cast("string").alias("b"))
+    assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
