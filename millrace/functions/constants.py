@@ -40,7 +40,7 @@ COMMUNITIES = {
     "ratings": "DataLake_Ratings",
 }
 
-# catalogue label of each base type
+# catalogue label of each base type in the feed of raw tables
 TYPE_LABELS = {
     "timestamp": "Date Time",
     "datetime": "Date Time",
@@ -56,3 +56,6 @@ TYPE_LABELS = {
     "bigdecimal": "Decimal Number",
     "double": "Decimal Number",
 }
+
+# the feed of processed tables leaves these names as they are
+UNLABELLED_PROCESSED = ("varchar", "char", "smallint", "double")

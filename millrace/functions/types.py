@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,9 +94,10 @@ def base_type(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"^\s*([A-Za-z_0-9 ]*[A-Za-z_0-9])", 1))
 
 
-def type_label(name: Column) -> Column:
+def type_label(name: Column, unlabelled: Sequence[str] = ()) -> Column:
     """Catalogue label of a type name; unknown names pass through."""
-    return label_by(base_type(name), TYPE_LABELS, name)
+    labels = {k: v for k, v in TYPE_LABELS.items() if k not in unlabelled}
+    return label_by(base_type(name), labels, name)
 
 
 def label_by(key: Column, labels: Mapping[str, str], default: Column) -> Column:

@@ -43,8 +43,11 @@ def pivot_concat(
     """Pivot whose cells hold all values, sorted and joined by commas.
 
     A cell longer than ``page_rows`` values continues in further rows of the
-    same index, numbered in ``part``.
+    same index, numbered in ``part``.  Without named pivot values an empty input
+    comes back unchanged.
     """
+    if pivot_values is None and df.isEmpty():
+        return df
     index = names(index)
     slim = df.select(*dict.fromkeys([*index, column, values, *names(unique_by)]))
     paged = with_pages(slim, [*index, column], names(unique_by), page_rows)
@@ -56,7 +59,12 @@ def pivot_concat(
 def pivot_table(
     df: DataFrame, index: str | Sequence[str], column: str, values: str, function: str, pivot_values: Sequence | None = None
 ) -> DataFrame:
-    """Pivot with a named aggregate; name the pivot values to save a pass."""
+    """Pivot with a named aggregate; name the pivot values to save a pass.
+
+    Without them an empty input comes back unchanged.
+    """
+    if pivot_values is None and df.isEmpty():
+        return df
     grouped = df.groupBy(*names(index)).pivot(column, list(pivot_values) if pivot_values is not None else None)
     return grouped.agg({values: function})
 

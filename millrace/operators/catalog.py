@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.constants import UNLABELLED_PROCESSED
 from millrace.functions.types import type_label
 from millrace.operators.aggregates import PAGE_ROWS, pack_json
 from millrace.operators.columns import map_labels, select_environment, to_json_columns
@@ -110,7 +111,7 @@ def processed_feed(events: DataFrame) -> DataFrame:
         "Name": F.lower("col_name"),
         "Community": F.col("domain_name"),
         # ``decimal(12,2)`` splits inside the type text; the base name decides
-        "Data Type": type_label(F.col("col_type")),
+        "Data Type": type_label(F.col("col_type"), UNLABELLED_PROCESSED),
         "is part of [Table] > Name": F.col("target_tables"),
         "is part of [Table] > Full Name": F.concat_ws(" > ", "col_name", "target_tables"),
         "is part of [Table] > Community": F.col("domain_name"),

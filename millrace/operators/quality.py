@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from millrace.functions.columns import names
 from millrace.functions.types import safe_cast, type_family
 from millrace.operators.cdc import unique_rows
-from millrace.operators.sets import complement, sample_keys
+from millrace.operators.sets import presence, sample_keys
 
 SHARE = "decimal(18,6)"
 
@@ -162,6 +162,13 @@ def verify(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def review(df: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame | None, DataFrame | None]:
+    """(results, suggestions): rules are verified; only a table without any gets
+    suggestions instead."""
+    rules = list(rules)
+    return (verify(df, rules), None) if rules else (None, suggest(df))
+
+
 def verify_tables(tables: Mapping[str, tuple[DataFrame, Iterable[Rule]]]) -> DataFrame:
     """Results of several tables with the table name in front."""
     results = [verify(df, rules).select(F.lit(t).alias("table_name"), "*") for t, (df, rules) in tables.items()]
@@ -300,12 +307,8 @@ def _range_suggestion(df: DataFrame, column: str) -> DataFrame:
 def missing_keys(source: DataFrame, target: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys that only one side has."""
     keys = names(key)
-    left, right = source.select(*keys), target.select(*keys)
-    return (
-        complement(left, right)
-        .withColumn("missing_in", F.lit("target"))
-        .unionByName(complement(right, left).withColumn("missing_in", F.lit("source")))
-    )
+    seen = presence(source.select(*keys), target.select(*keys)).filter(F.col("_in_left") != F.col("_in_right"))
+    return seen.select(*keys, F.when(F.col("_in_left"), F.lit("target")).otherwise(F.lit("source")).alias("missing_in"))
 
 
 def cell_diff(

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import match_keys, names
+from millrace.functions.columns import names
 from millrace.functions.hashing import tagged
 
 
@@ -33,13 +33,26 @@ def sample_keys(df: DataFrame, columns: str | Sequence[str], n: int, seed: int =
     return keys.orderBy(order, *keys.columns).limit(n)
 
 
+def presence(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of both sides with the flags ``_in_left`` and ``_in_right``.
+
+    One aggregate over the union: every task reduces its copies first, a single
+    exchange serves both sides, and rows compare null-safely.
+    """
+    yes, no = F.lit(True), F.lit(False)
+    both = left.withColumns({"_in_left": yes, "_in_right": no}).unionByName(
+        right.select(*left.columns).withColumns({"_in_left": no, "_in_right": yes})
+    )
+    return both.groupBy(*left.columns).agg(F.max("_in_left").alias("_in_left"), F.max("_in_right").alias("_in_right"))
+
+
 def complement(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct left rows that do not occur on the right; columns match by name."""
-    return match_keys(left.distinct(), right.select(*left.columns).distinct(), left.columns, "left_anti")
+    return presence(left, right).filter(F.col("_in_left") & ~F.col("_in_right")).select(*left.columns)
 
 
 def common_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    return match_keys(left.distinct(), right.select(*left.columns).distinct(), left.columns, "left_semi")
+    return presence(left, right).filter(F.col("_in_left") & F.col("_in_right")).select(*left.columns)
 
 
 def union_all(left: DataFrame, right: DataFrame) -> DataFrame:

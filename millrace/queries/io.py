@@ -186,10 +186,11 @@ UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
 def str_cdc_available_now(t: Tables) -> DataFrame:
     base = work_dir(t.spark, "stream")
     target, rows = X.order_target(t), X.order_changes(t)
-    stream.write_bucketed(target, f"{base}/target", "o_orderkey", 8)
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    stream.write_bucketed(target, f"{base}/target", "o_orderkey", buckets)
     rows.write.parquet(f"{base}/in")
     arriving = t.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
-    run = stream.apply_changes(arriving, f"{base}/target", f"{base}/checkpoint", "o_orderkey", target.schema, 8, "op")
+    run = stream.apply_changes(arriving, f"{base}/target", f"{base}/checkpoint", "o_orderkey", target.schema, buckets, "op")
     run.awaitTermination()
     return stream.read_bucketed(t.spark, f"{base}/target", target.schema)
 

@@ -11,6 +11,7 @@ from millrace.functions.constants import COMMUNITIES, TYPE_LABELS
 from millrace.operators import catalog, lineage, quality, runlog
 from millrace.operators import columns as C
 from millrace.operators.joins import left_join
+from millrace.operators.sets import union_many
 from millrace.queries import fixtures as X
 from millrace.queries.registry import Tables, query
 from millrace.sources.files import json_records
@@ -199,7 +200,7 @@ AT = dt.datetime(2024, 1, 1)
 
 @query()
 def lin_events(t: Tables) -> DataFrame:
-    """Event log of three recorded steps, joined to the size of the result."""
+    """Event log of the recorded steps with the size of every dataset they made."""
     log = lineage.LineageLog("orders_report", "finance")
     orders = log.apply(C.rename, {"orders": t.orders}, "orders_renamed", AT, {"o_custkey": "c_custkey"},
                        details={"renamed_cols": {"o_custkey": "c_custkey"}})
@@ -207,8 +208,10 @@ def lin_events(t: Tables) -> DataFrame:
                        details={"key_cols": ["c_custkey"]})
     slim = log.apply(C.cut_out, {"orders_customers": joined}, "orders_report", AT, ["c_acctbal"])
     log.finish(slim, "orders_report", "data/final/orders_report", AT, ["orders_customers"])
-    size = slim.agg(F.count(F.lit(1)).alias("rows")).withColumn("target_tables", F.lit("orders_report"))
-    return log.to_frame(t.spark).join(size, "target_tables", "left")
+    made = {"orders_renamed": orders, "orders_customers": joined, "orders_report": slim}
+    named = [df.select(F.lit(n).alias("target_tables")) for n, df in made.items()]
+    sizes = union_many(named).groupBy("target_tables").agg(F.count(F.lit(1)).alias("rows"))
+    return log.to_frame(t.spark).join(sizes, "target_tables")
 
 
 @query("""

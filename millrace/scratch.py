@@ -16,14 +16,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    root = spark.conf.get(SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"{SETTING} must name a folder that all executors can reach")
-    root = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set(SETTING, root)
-    return root
+    """The cluster's shared folder; a local session without one gets its own."""
+    root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{SETTING} must name a folder that all executors can reach")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -363,3 +363,9 @@ def test_safe_cast_equals_try_cast(spark, kind):
     df = frame(spark, [(t,) for t in texts], "t string")
     got = df.select("t", safe_cast(F.col("t"), "string", kind).cast("string").alias("a"), F.col("t").try_cast(kind).cast("string").alias("b"))
     assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+
+
+def test_pivot_of_nothing_comes_back(spark):
+    df = frame(spark, [], "k int, c string, v int")
+    assert A.pivot_table(df, "k", "c", "v", "sum").columns == ["k", "c", "v"]
+    assert A.pivot_table(df, "k", "c", "v", "sum", ["a"]).columns == ["k", "a"]

@@ -125,7 +125,7 @@ def test_processed_feed_from_recorded_events(spark):
     assert feed.columns == list(catalog.FEED_COLUMNS)
     got = rows(feed.filter("`Asset Type` = 'Column'"), "Name", "Data Type", "Community")
     assert got == [("at", "timestamp_ntz", "DataLake_ESG"), ("d", "Decimal Number", "DataLake_ESG"),
-                   ("id", "Whole Number", "DataLake_ESG"), ("price", "Decimal Number", "DataLake_ESG")]
+                   ("id", "Whole Number", "DataLake_ESG"), ("price", "double", "DataLake_ESG")]
 
 
 def test_column_manifest(spark):
@@ -184,3 +184,9 @@ def test_fee_schedule_keeps_the_first_load(spark):
     one = fees.fee_schedule(df, None, dt.datetime(2024, 1, 1))
     two = fees.fee_schedule(df.unionByName(df.withColumn("regl_fee_prgm", F.lit("c"))), one, dt.datetime(2024, 2, 1))
     assert rows(two, "regl_fee_prgm", "load_dtm") == [("b", "2024-01-01 00:00:00"), ("c", "2024-02-01 00:00:00")]
+
+
+def test_review_suggests_only_without_rules(spark):
+    df = spark.createDataFrame([(1,)], "v int")
+    assert Q.review(df, [Q.Rule("isComplete", "v")])[1] is None
+    assert Q.review(df, [])[0] is None and Q.review(df, [])[1].count() > 0
