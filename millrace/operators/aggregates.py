@@ -20,15 +20,28 @@ def with_pages(df: DataFrame, keys: Sequence[str], unique_by: Sequence[str], pag
 
     Groups up to that size have the single page 0.  Larger ones are spread by a
     hash of the identifying columns, so all of their rows are kept and no task
-    ever holds a whole hot group.
+    ever holds a whole hot group.  Identical rows of a large group are counted
+    first (``_copies``), and each ``page_rows`` copies move on to the next page.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     # stored, so that the join is planned from the measured size of the few hot groups
     hot = stage(sizes.filter(F.col("_rows") > page_rows), "hot-groups")
-    marked = match_keys(df, hot, keys, "left")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    if hot.isEmpty():
+        return df.withColumns({name: zero, "_copies": one})
+    small = match_keys(df, hot, keys, "left_anti").withColumns({name: zero, "_copies": one})
+    large = match_keys(df, hot, keys, "inner").groupBy(*df.columns, "_rows").agg(F.count(F.lit(1)).alias("_n"))
+    chunks = F.sequence(zero, F.floor((F.col("_n") - 1) / page_rows).cast("bigint"))
+    large = large.withColumn("_chunk", F.explode(chunks))
     pages = F.ceil(F.col("_rows") / page_rows).cast("bigint")
-    page = F.when(F.col("_rows").isNull(), F.lit(0).cast("bigint")).otherwise(spread(unique_by, pages))
-    return marked.select(*df.columns, page.alias(name))
+    page = F.pmod(spread(unique_by, pages) + F.col("_chunk"), pages)
+    copies = F.least(F.lit(page_rows).cast("bigint"), F.col("_n") - F.col("_chunk") * page_rows)
+    return small.unionByName(large.select(*df.columns, page.alias(name), copies.alias("_copies")))
+
+
+def _collected(value: Column) -> Column:
+    """All values of a page, copies included, sorted."""
+    return F.sort_array(F.flatten(F.collect_list(F.array_repeat(value, F.col("_copies").cast("int")))))
 
 
 def pivot_concat(
@@ -51,7 +64,7 @@ def pivot_concat(
     index = names(index)
     slim = df.select(*dict.fromkeys([*index, column, values, *names(unique_by)]))
     paged = with_pages(slim, [*index, column], names(unique_by), page_rows)
-    cell = F.array_join(F.transform(F.sort_array(F.collect_list(values)), lambda v: v.cast("string")), ",")
+    cell = F.array_join(F.transform(_collected(F.col(values)), lambda v: v.cast("string")), ",")
     grouped = paged.groupBy(*index, "part")
     return grouped.pivot(column, list(pivot_values) if pivot_values is not None else None).agg(cell)
 
@@ -84,7 +97,7 @@ def pack_json(
     keys = names(keys)
     slim = df.select(*dict.fromkeys([*keys, *fields, *names(unique_by)]))
     paged = with_pages(slim, keys, names(unique_by), page_rows)
-    packed = F.to_json(F.sort_array(F.collect_list(F.struct(*fields))))
+    packed = F.to_json(_collected(F.struct(*fields)))
     return paged.groupBy(*keys, "part").agg(packed.alias(name))
 
 

@@ -20,20 +20,23 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 PAGE = 15
 
 
-def _page(keys: str, total: str, unique: str) -> str:
-    """Page number of the paged operators: 0, or an md5 slot in larger groups."""
-    return f"""CASE WHEN {total} <= {PAGE} THEN 0
-      ELSE CAST('0x' || SUBSTR(md5({unique}), 1, 8) AS BIGINT) % CAST(CEIL({total} / {PAGE}.0) AS BIGINT) END"""
+def tag(column: str) -> str:
+    return f"LENGTH(CAST({column} AS VARCHAR)) || ':' || {column}"
 
 
-def _tag(column: str) -> str:
-    return f"LENGTH(CAST({column} AS VARCHAR)) || ':' || {column}"
+def page_sql(unique_by: list[str], page: int = PAGE) -> str:
+    """Page number of the paged operators, from group size ``n`` and copy number
+    ``rn``: 0, or an md5 slot in larger groups."""
+    text = "concat_ws(',', " + ", ".join(tag(c) for c in unique_by) + ")"
+    slots = f"CAST(CEIL(n / {page}.0) AS BIGINT)"
+    digest = f"CAST('0x' || SUBSTR(md5({text}), 1, 8) AS BIGINT)"
+    return f"CASE WHEN n <= {page} THEN 0 ELSE ({digest} % {slots} + (rn - 1) // {page}) % {slots} END"
 
 
 @query(f"""
 WITH sized AS (SELECT user_id, event_type, event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
-                      COUNT(*) OVER (PARTITION BY user_id, event_type) AS n FROM events),
-paged AS (SELECT *, {_page('user_id, event_type', 'n', _tag('event_id'))} AS part FROM sized)
+                      COUNT(*) OVER (PARTITION BY user_id, event_type) AS n, 1 AS rn FROM events),
+paged AS (SELECT *, {page_sql(['event_id'])} AS part FROM sized)
 SELECT user_id, CAST(part AS BIGINT) AS part,
        {', '.join(f"COALESCE(string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) FILTER (WHERE event_type = '{e}'), '') AS {e}" for e in EVENT_TYPES)}
 FROM paged GROUP BY user_id, part""")
@@ -53,8 +56,9 @@ def agg_pivot_table(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH sized AS (SELECT CAST(l_suppkey AS BIGINT) AS l_suppkey, l_orderkey, l_linenumber, l_partkey, l_returnflag,
-                      COUNT(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem),
-paged AS (SELECT *, {_page('l_suppkey', 'n', "concat_ws(',', " + _tag('l_orderkey') + ", " + _tag('l_linenumber') + ", " + _tag('l_partkey') + ")")} AS part FROM sized)
+                      COUNT(*) OVER (PARTITION BY l_suppkey) AS n,
+                      ROW_NUMBER() OVER (PARTITION BY l_suppkey, l_orderkey, l_linenumber, l_partkey, l_returnflag) AS rn FROM lineitem),
+paged AS (SELECT *, {page_sql(['l_orderkey', 'l_linenumber', 'l_partkey'])} AS part FROM sized)
 SELECT l_suppkey, CAST(part AS BIGINT) AS part,
        '[' || string_agg('{{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey
          || ',"l_returnflag":"' || l_returnflag || '"}}', ',' ORDER BY l_orderkey, l_linenumber, l_partkey, l_returnflag) || ']' AS lines

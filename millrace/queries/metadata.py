@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions.constants import COMMUNITIES, TYPE_LABELS
 from millrace.operators import catalog, lineage, quality, runlog
+from millrace.operators.aggregates import PAGE_ROWS
 from millrace.operators import columns as C
 from millrace.operators.joins import left_join
 from millrace.operators.sets import union_many
 from millrace.queries import fixtures as X
+from millrace.queries.groups import page_sql
 from millrace.queries.registry import Tables, query
 from millrace.sources.files import json_records
 
@@ -299,11 +301,14 @@ _RECORD = ["sequence_number", "source_column_name", "target_column_name", "colum
 
 
 @query(f"""WITH {X.INVENTORY}, {X.COLUMN_RECORDS},
-packed AS (SELECT pipeline_id, version_number,
+sized AS (SELECT *, COUNT(*) OVER (PARTITION BY pipeline_id, version_number) AS n,
+                 ROW_NUMBER() OVER (PARTITION BY pipeline_id, version_number, {', '.join(_RECORD)}) AS rn FROM column_records),
+paged AS (SELECT *, {page_sql(['pipeline_id', 'version_number', *_RECORD], PAGE_ROWS)} AS part FROM sized),
+packed AS (SELECT pipeline_id, version_number, CAST(part AS BIGINT) AS part,
   '[' || string_agg('{{"sequence_number":' || sequence_number || ',"source_column_name":"' || source_column_name || '","target_column_name":"'
     || target_column_name || '","column_id":' || column_id || '}}', ',' ORDER BY sequence_number, column_id) || ']' AS pipeline_columns
-  FROM column_records GROUP BY 1, 2)
-SELECT inventory.*, CAST(0 AS BIGINT) AS part, pipeline_columns FROM inventory JOIN packed USING (pipeline_id, version_number)""")
+  FROM paged GROUP BY 1, 2, 3)
+SELECT inventory.*, part, pipeline_columns FROM inventory JOIN packed USING (pipeline_id, version_number)""")
 def cat_inventory_pack(t: Tables) -> DataFrame:
     return catalog.pack_inventory(X.inventory(t), X.column_records(t), _RECORD)
 

@@ -1,5 +1,7 @@
 """One key holds half of the rows: results stay whole and the work is split."""
 
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -81,6 +83,16 @@ def test_pages_of_a_hot_group_stay_small_and_whole(spark, skewed):
     assert sizes.filter("k <> 7 AND part <> 0").count() == 0
 
 
+def test_pages_split_a_group_of_copies(spark):
+    data = spark.range(5000).select(F.lit(1).alias("k"), F.when(F.col("id") < 4000, -1).otherwise(F.col("id")).alias("v"))
+    paged = A.with_pages(data, ["k"], ["v"], 100)
+    sizes = paged.groupBy("part").agg(F.sum("_copies").alias("n"))
+    assert sizes.agg(F.sum("n")).first()[0] == 5000 and sizes.agg(F.max("n")).first()[0] < 300
+    packed = A.pack_json(data, "k", ["v"], "v", "j", page_rows=100)
+    values = [v["v"] for r in packed.collect() for v in json.loads(r["j"])]
+    assert len(values) == 5000 and values.count(-1) == 4000
+
+
 def test_group_of_copies_collapses_in_unique_rows(spark):
     df = spark.range(50_000).select(F.lit("a").alias("k"), F.lit("same").alias("v"))
     assert rows(cdc.unique_rows(df, "k")) == [("a", "same")]
