@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,13 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import match_keys, names
 from millrace.functions.constants import OPEN_END_FAR, OPEN_TERM_TS
+from millrace.functions.hashing import tagged
 from millrace.operators.windows import first_per_group
+from millrace.scratch import stage
+
+
+# rows of one key above which an outer join treats it apart
+HOT_ROWS = 1_000_000
 
 
 def _free_names(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
@@ -24,9 +31,64 @@ def _free_names(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix:
     return right.withColumnsRenamed({c: c + suffix for c in right.columns if c in taken and c not in keys})
 
 
-def _equi(left: DataFrame, right: DataFrame, keys, how: str, suffix: str) -> DataFrame:
+def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, stored; at most rows / hot_rows of them."""
+    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return stage(counts.filter(F.col("_rows") > hot_rows).select(*keys), "hot-keys")
+
+
+def _salted(many: DataFrame, few: DataFrame, keys: Sequence[str], how: str, slots: int) -> DataFrame:
+    """Equi join that spreads every key of ``many`` over slots and repeats ``few``
+    for each slot.  The slot depends on the row and on the partition it is read
+    from, so copies spread too and a task that runs again gives the same one."""
+    text = F.concat_ws(",", *[tagged(F.col(f"`{c}`").try_cast("string")) for c in many.columns])
+    slot = F.pmod(F.xxhash64(text) + F.spark_partition_id(), F.lit(slots)).cast("int")
+    left = many.withColumn("_slot", slot)
+    right = few.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    return left.join(right, [*keys, "_slot"], how).drop("_slot")
+
+
+def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot_rows: int, slots: int) -> DataFrame:
+    """Left or full outer join whose hot keys are joined apart, salted.
+
+    Adaptive execution splits only the kept side of an outer join.  A key with
+    many rows on the other side (or on any side of a full outer join) is taken
+    out here; a salted key always exists on its many side, so nothing is lost.
+    """
+    order = [*left.columns, *[c for c in right.columns if c not in keys]]
+    outer = how == "full_outer"
+    hot_right = _hot_keys(right, keys, hot_rows)
+    parts, cold_left, cold_right = [], left, right
+
+    def pick(df: DataFrame, hot: DataFrame, kind: str) -> DataFrame:
+        return match_keys(df, hot, keys, kind)
+
+    if not hot_right.isEmpty():
+        many, few = pick(right, hot_right, "left_semi"), pick(left, hot_right, "left_semi")
+        parts.append(_salted(many, few, keys, "left" if outer else "inner", slots).select(*order))
+        cold_left, cold_right = pick(cold_left, hot_right, "left_anti"), pick(cold_right, hot_right, "left_anti")
+    if outer:
+        # rows with a null key match nothing
+        missing = reduce(lambda x, y: x | y, [F.col(f"`{k}`").isNull() for k in keys])
+        parts += [cold_left.filter(missing), cold_right.filter(missing)]
+        cold_left, cold_right = cold_left.filter(~missing), cold_right.filter(~missing)
+        hot_left = _hot_keys(cold_left, keys, hot_rows)
+        if not hot_left.isEmpty():
+            many, few = pick(cold_left, hot_left, "left_semi"), pick(cold_right, hot_left, "left_semi")
+            parts.append(_salted(many, few, keys, "left", slots).select(*order))
+            cold_left, cold_right = pick(cold_left, hot_left, "left_anti"), pick(cold_right, hot_left, "left_anti")
+    parts.append(cold_left.join(cold_right, list(keys), how).select(*order))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).select(*order)
+
+
+def _equi(
+    left: DataFrame, right: DataFrame, keys, how: str, suffix: str, hot_rows: int | None = None, slots: int | None = None
+) -> DataFrame:
     keys = names(keys)
     right = _free_names(left, right, keys, suffix)
+    if hot_rows is not None:
+        slots = slots or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return _hot_join(left, right, keys, how, hot_rows, slots)
     rest = [c for c in right.columns if c not in keys]
     return left.join(right, keys, how).select(*left.columns, *rest)
 
@@ -35,13 +97,20 @@ def inner_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], suf
     return _equi(left, right, keys, "inner", suffix)
 
 
-def left_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], suffix: str = "_right") -> DataFrame:
-    return _equi(left, right, keys, "left", suffix)
+def left_join(
+    left: DataFrame, right: DataFrame, keys: str | Sequence[str], suffix: str = "_right", hot_rows: int | None = None
+) -> DataFrame:
+    """With ``hot_rows``, keys that have more rows than that on the right are
+    counted first and joined apart, spread over many tasks."""
+    return _equi(left, right, keys, "left", suffix, hot_rows)
 
 
-def outer_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], suffix: str = "_right") -> DataFrame:
-    """Full outer join with one set of key columns."""
-    return _equi(left, right, keys, "full_outer", suffix)
+def outer_join(
+    left: DataFrame, right: DataFrame, keys: str | Sequence[str], suffix: str = "_right", hot_rows: int | None = None
+) -> DataFrame:
+    """Full outer join with one set of key columns; ``hot_rows`` as in
+    ``left_join``, for both sides."""
+    return _equi(left, right, keys, "full_outer", suffix, hot_rows)
 
 
 def join(

@@ -36,7 +36,7 @@ SELECT c.c_custkey AS custkey, c.c_name, o.o_orderkey FROM customer c
 LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') o ON o.o_custkey = c.c_custkey""")
 def jn_left(t: Tables) -> DataFrame:
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("custkey"), "o_orderkey")
-    return J.left_join(t.customer.select(F.col("c_custkey").alias("custkey"), "c_name"), urgent, "custkey")
+    return J.left_join(t.customer.select(F.col("c_custkey").alias("custkey"), "c_name"), urgent, "custkey", hot_rows=J.HOT_ROWS)
 
 
 @query("""
@@ -47,7 +47,7 @@ def jn_full_outer(t: Tables) -> DataFrame:
     sold = t.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40))
     sold = sold.groupBy(F.col("l_partkey").alias("partkey")).agg(F.count(F.lit(1)).alias("sold"))
     parts = t.part.filter(F.col("p_type") != "PROMO").select(F.col("p_partkey").alias("partkey"), "p_name")
-    return J.outer_join(sold, parts, "partkey")
+    return J.outer_join(sold, parts, "partkey", hot_rows=J.HOT_ROWS)
 
 
 @query("""

@@ -12,6 +12,7 @@ from millrace.operators import filters as L
 from millrace.operators import joins as J
 from millrace.operators import quality as Q
 from millrace.operators import windows as W
+from millrace.operators.sets import frames_equal
 
 ROWS, HOT = 120_000, 60_000
 
@@ -62,6 +63,26 @@ def test_hot_key_is_split(skewed, name):
     assert "skew=true" in _plan(CASES[name](*skewed))
 
 
+def _sides(spark, left, right):
+    a = spark.createDataFrame(left, "k int, n int, a string")
+    return a, spark.createDataFrame(right, "n int, b string, k int")
+
+
+@pytest.mark.parametrize("how", ["left_join", "outer_join"])
+def test_hot_outer_joins_equal_plain_ones(spark, how):
+    left = [(1, 1, f"a{i}") for i in range(3)] + [(2, 1, f"b{i}") for i in range(50)] + [(3, 1, "c"), (8, 1, "l")]
+    left += [(None, 1, "n")] * 30 + [(1, None, "m")]
+    left += [(9, 1, "only left")] * 40
+    right = [(1, f"x{i}", 1) for i in range(60)] + [(1, "same", 1)] * 30 + [(1, "y", 2), (1, "z", 3), (None, "n", 1)] + [(1, "n", None)] * 30
+    right += [(1, "only right", 7)] * 45 + [(2, "other", 8), (1, "q", 99)]
+    a, b = _sides(spark, left, right)
+    join = getattr(J, how)
+    plain, hot = join(a, b, ["k", "n"]), join(a, b, ["k", "n"], hot_rows=20)
+    assert plain.columns == hot.columns and frames_equal(plain, hot).first()["is_equal"]
+    calm = join(a, b, ["k", "n"], hot_rows=1000)
+    assert frames_equal(plain, calm).first()["is_equal"]
+
+
 def test_min_over_is_whole(skewed):
     facts, _ = skewed
     out = W.min_over(facts, "k", "id", "m")
