@@ -20,6 +20,11 @@ def committed(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Take the mark of a finished write away."""
+    delete(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """True when the folder (or file) holds anything but hidden entries."""
     jpath, files = _open(spark, path)

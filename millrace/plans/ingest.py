@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace import fs
 from millrace.operators import cdc
 from millrace.operators.columns import typed_select
 from millrace.operators.filters import incremental_filter, incremental_predicate
@@ -132,8 +131,8 @@ def run_ingest(
     keep = [spec.op_column] if spec.op_column else []
     typed = typed_select(spark.read.schema(raw.schema).parquet(landing), spec.columns, keep=keep)
     delta = spec.load_type != "full"
-    if delta and fs.exists(spark, final) and not fs.committed(spark, final):
-        # an earlier run stopped while it copied the result into place
+    if delta:
+        # an earlier run may have stopped while it copied its result into place
         finish_overwrite(spark, final, temp)
     target = read_target(spark, final, spec.partition_col) if delta else None
     result = capture(spec, target, typed)
@@ -153,3 +152,22 @@ def run_ingest(
             repair_table(spark, f"{database}.{spec.table}")
     counts = {"landing_count": landed.get["rows"], "final_count": stored.get["rows"]}
     return RunResult(finished(log, as_of, **counts), final, True)
+
+
+def day_windows(start: dt.datetime, end: dt.datetime) -> list[tuple[dt.datetime, dt.datetime]]:
+    """One window per calendar day: from the start or midnight to 23:59:59 or the end."""
+    days = (end.date() - start.date()).days + 1
+    windows = []
+    for i in range(days):
+        midnight = dt.datetime.combine(start.date() + dt.timedelta(days=i), dt.time())
+        since = start if i == 0 else midnight
+        until = end if i == days - 1 else midnight + dt.timedelta(hours=23, minutes=59, seconds=59)
+        windows.append((since, until))
+    return windows
+
+
+def backfill(
+    spark: SparkSession, spec: Ingestion, base: str, start: dt.datetime, end: dt.datetime, **options
+) -> list[RunResult]:
+    """Run one record day by day; each record starts from its own last success."""
+    return [run_ingest(spark, spec, base, until, since=since, **options) for since, until in day_windows(start, end)]

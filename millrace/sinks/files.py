@@ -21,21 +21,22 @@ def overwrite_via_temp(df: DataFrame, path: str, temp: str | None = None) -> str
     """Overwrite a path that the frame itself reads.
 
     The result is stored completely under ``temp`` first; the final folder is
-    then rewritten from there.  After a crash in between, ``finish_overwrite``
-    completes the step from the temporary copy.
+    then rewritten from there.  The temporary copy stays marked as complete only
+    until that is done, so after a crash ``finish_overwrite`` knows what to do.
     """
     spark = df.sparkSession
     temp = temp or work_dir(spark, "overwrite")
     df.write.mode("overwrite").parquet(temp)
-    spark.read.schema(df.schema).parquet(temp).write.mode("overwrite").parquet(path)
+    finish_overwrite(spark, path, temp)
     return temp
 
 
 def finish_overwrite(spark: SparkSession, path: str, temp: str) -> bool:
-    """Repeat the second half when the temporary copy is complete."""
+    """Copy a complete temporary result into place; False when there is none."""
     if not fs.committed(spark, temp):
         return False
     spark.read.parquet(temp).write.mode("overwrite").parquet(path)
+    fs.release(spark, temp)
     return True
 
 

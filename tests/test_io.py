@@ -8,7 +8,7 @@ from conftest import rows
 from millrace import fs
 from millrace.operators.runlog import log_rows
 from millrace.plans.config import Ingestion, as_list, environment_settings
-from millrace.plans.ingest import capture, run_ingest, source_query
+from millrace.plans.ingest import backfill, capture, run_ingest, source_query
 from millrace.sinks import files as sink
 from millrace.sinks import tables
 from millrace.sources import files as src
@@ -90,9 +90,12 @@ def test_overwrite_can_be_finished_after_a_crash(spark, tmp_path):
     assert not sink.finish_overwrite(spark, path, temp)
     sink.overwrite_via_temp(stored.filter("id > 0"), path, temp)
     assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    assert not sink.finish_overwrite(spark, path, temp)
+    # stopped between the two steps: the copy is complete, the target is gone
+    spark.range(5, 7).write.mode("overwrite").parquet(temp)
     fs.delete(spark, path)
     assert sink.finish_overwrite(spark, path, temp)
-    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    assert rows(spark.read.parquet(path)) == [(5,), (6,)]
 
 
 def test_landing_files(spark, tmp_path):
@@ -234,9 +237,21 @@ def test_run_finishes_an_interrupted_copy(spark, tmp_path):
     base = str(tmp_path)
     run_ingest(spark, spec(), base, AT, source=source(spark, [("1", "a")]))
     done = run_ingest(spark, spec(), base, AT, source=source(spark, [("2", "b")]))
-    fs.delete(spark, f"{done.final_path}/_SUCCESS")
+    # the next result was stored, then the copy into place broke off
+    spark.createDataFrame([(1, "a"), (2, "B")], "id bigint, val string").write.mode("overwrite").parquet(f"{base}/data/tmp/t")
+    fs.delete(spark, done.final_path)
     again = run_ingest(spark, spec(), base, AT, source=source(spark, [("3", "c")]))
-    assert rows(spark.read.parquet(again.final_path)) == [(1, "a"), (2, "b"), (3, "c")]
+    assert rows(spark.read.parquet(again.final_path)) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_backfill_runs_day_by_day(spark, tmp_path):
+    write(tmp_path / "in" / "x.csv", "id,v,ts\n1,a,2024-01-01 09:00:00\n2,b,2024-01-01 12:00:00\n3,c,2024-01-03 01:00:00\n4,d,2024-01-03 12:00:00\n")
+    filed = spec(source_type="s3", source_file_path=str(tmp_path / "in"), source_file_name="x.csv", cdc_timestamp_key="['ts']",
+                 target_partition_col="load_dt", primary_key_set="")
+    done = backfill(spark, filed, str(tmp_path / "base"), dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 3, 5))
+    assert [r.written for r in done] == [True, False, True]
+    assert targets.partition_values(spark, done[0].final_path, "load_dt") == ["2024-01-01", "2024-01-03"]
+    assert rows(spark.read.parquet(done[0].final_path), "id") == [(2,), (3,)]
 
 
 def test_run_reads_files_with_change_times(spark, tmp_path):
