@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import json
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -18,7 +19,7 @@ def as_list(value) -> list:
         try:
             value = json.loads(value)
         except json.JSONDecodeError:
-            value = ast.literal_eval(value.replace("null", "None"))
+            value = ast.literal_eval(re.sub(r"\bnull\b", "None", value))
     return list(value)
 
 

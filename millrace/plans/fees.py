@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.hashing import row_hash
 from millrace.operators.cdc import satellite_append, with_hash_keys
 from millrace.operators.joins import crosswalk
+from millrace.operators.sets import sort_rows
 
 # fixed values: content of the fee satellite and its column order
 FEE_ATTRIBUTES = ("EFFT_DT", "FEE_DESC", "FEE_ID", "FEE_ID_TYPE", "REGL_FEE_CLASS", "REGL_FEE_TYPE")
@@ -28,7 +29,7 @@ def fee_satellite(origins: Sequence[DataFrame], legacy_hash: bool = False) -> Da
         with_hash_keys(df.distinct(), "FEE_ID", FEE_ATTRIBUTES, "FEE_HUB_HASH", "DIFF_HASH", legacy_hash).select(*FEE_COLUMNS)
         for df in origins
     ]
-    return reduce(DataFrame.union, hashed).orderBy("FEE_ID")
+    return sort_rows(reduce(DataFrame.union, hashed), "FEE_ID")
 
 
 def fee_schedule(source: DataFrame, target: DataFrame | None, load_dtm: dt.datetime, legacy_hash: bool = False) -> DataFrame:

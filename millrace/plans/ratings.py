@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import match_keys
 from millrace.functions.constants import OPEN_END_FAR, OPEN_END_FAR_TS
 from millrace.operators.joins import effective_join
 from millrace.operators.sets import union_many
@@ -82,7 +83,7 @@ def current_ratings(
     # part of one, so the first rating date can be taken from the facts alone
     live = min_over(live, [key, "RATING_OBJECT_ID", "RATING_CLASS_CD"], "RATING_DTM", "INIT_RATG_DTM")
     live = live.select(*[c for c in live.columns if c not in ("EFFT_DTM", "END_DTM", "DEAL_ID")])
-    rows = live.join(classes, "RATING_CLASS_CD", "left")
+    rows = match_keys(live, classes, "RATING_CLASS_CD", "left", nulls_match=False)
 
     deal = F.lit(None).cast("bigint")
     if source.deals:
