@@ -86,6 +86,10 @@ class LineageLog:
         rows = [[e.get(f.name) for f in EVENT_SCHEMA.fields] for e in self.events]
         return spark.createDataFrame(rows, EVENT_SCHEMA)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Append the events to the stored lineage table."""
+        self.to_frame(spark).coalesce(1).write.mode("append").parquet(path)
+
     def sql(self, spark: SparkSession, query: str, sources: Mapping[str, DataFrame], target: str, at: dt.datetime) -> DataFrame:
         """Run SQL over named frames (written as ``{name}`` in the text) and record it."""
         result = spark.sql(query, **sources)

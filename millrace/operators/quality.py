@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -169,6 +170,16 @@ def review(df: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame | None, Data
     return (verify(df, rules), None) if rules else (None, suggest(df))
 
 
+def with_run(results: DataFrame, pipeline_id: str, at: dt.datetime) -> DataFrame:
+    """Result or suggestion rows as records of one run."""
+    return results.select(
+        F.lit(f"{pipeline_id}_{at:%Y%m%d%H%M%S%f}").alias("execution_id"),
+        F.lit(pipeline_id).alias("pipeline_id"),
+        F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("job_execution_time"),
+        "*",
+    )
+
+
 def verify_tables(tables: Mapping[str, tuple[DataFrame, Iterable[Rule]]]) -> DataFrame:
     """Results of several tables with the table name in front."""
     results = [verify(df, rules).select(F.lit(t).alias("table_name"), "*") for t, (df, rules) in tables.items()]

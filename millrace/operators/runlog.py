@@ -36,6 +36,21 @@ def finished(start: dict, at: dt.datetime, error: str | None = None, **details)
             "execution_end_dttm": at, "logged_at": at, **details}
 
 
+def append_log(spark: SparkSession, rows: Sequence[dict], path: str) -> None:
+    """Add states to the stored log; earlier ones stay as they are."""
+    log_rows(spark, rows).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
+
+
+def fetch_from(log: DataFrame, pipeline_id: str) -> dt.datetime:
+    """Where the next increment of one pipeline begins."""
+    found = last_success(log.filter(F.col("pipeline_id") == pipeline_id), "pipeline_id").first()
+    return found["fetch_from"] if found else NEVER_RAN
+
+
 def latest_runs(log: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """Last logged state of every run."""
     keys = names(keys)

@@ -133,6 +133,11 @@ def read_jdbc(
     return load(query=query, table=table)
 
 
+def lookup_query(schema: str, table: str, natural_keys: list[str], surrogate: str) -> str:
+    """The statement that reads a lookup table for ``surrogate_lookup``."""
+    return f"select {', '.join([*natural_keys, surrogate])} from {schema}.{table}"
+
+
 def write_options(dialect: str, connection: Mapping[str, str], table: str, truncate: bool | None = None) -> dict[str, str]:
     keep = DIALECTS[dialect.lower()].truncate if truncate is None else truncate
     options = {**connection_options(dialect, connection), "dbtable": table}

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 
 from millrace import fs
+from millrace.operators import runlog
 from millrace.operators.runlog import log_rows
 from millrace.plans.config import Ingestion, as_list, environment_settings
 from millrace.plans.ingest import backfill, capture, run_ingest, source_query
@@ -149,6 +150,10 @@ def test_jdbc_query_form_and_partitions():
         jdbc.read_options("oracle", HOST, query="q", partition_col="id")
 
 
+def test_lookup_query():
+    assert jdbc.lookup_query("s", "dim", ["a", "b"], "sk") == "select a, b, sk from s.dim"
+
+
 def test_jdbc_ssl_and_truncate():
     cloud = {**HOST, "host": "x.rds.example.com"}
     assert jdbc.connection_options("postgres", cloud)["sslmode"] == "require"
@@ -214,6 +219,19 @@ def test_run_delta_upsert_and_log(spark, tmp_path):
     assert log_rows(spark, [first.log, second.log]).count() == 2
 
 
+def test_log_is_stored_and_gives_the_next_start(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for minute, data in ((1, [("1", "a")]), (2, [("2", "b")])):
+        done = run_ingest(spark, spec(), str(tmp_path), AT.replace(minute=minute), source=source(spark, data))
+        runlog.append_log(spark, [done.log], path)
+    refused = run_ingest(spark, spec(ola="07:00:00-08:00:00"), str(tmp_path), AT.replace(minute=3), source=source(spark, [("1", "a")]))
+    runlog.append_log(spark, [refused.log], path)
+    log = runlog.read_log(spark, path)
+    assert log.count() == 3
+    assert runlog.fetch_from(log, "p1") == AT.replace(minute=2)
+    assert runlog.fetch_from(log, "never") == dt.datetime(1900, 1, 1)
+
+
 def test_run_empty_source_writes_nothing(spark, tmp_path):
     done = run_ingest(spark, spec(), str(tmp_path), AT, source=source(spark, []))
     assert not done.written and done.log["job_status"] == "SUCCESS" and not fs.exists(spark, done.final_path)

@@ -190,3 +190,14 @@ def test_review_suggests_only_without_rules(spark):
     df = spark.createDataFrame([(1,)], "v int")
     assert Q.review(df, [Q.Rule("isComplete", "v")])[1] is None
     assert Q.review(df, [])[0] is None and Q.review(df, [])[1].count() > 0
+
+
+def test_records_of_a_run(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "v int")
+    out = Q.with_run(Q.verify(df, [Q.Rule("isComplete", "v")]), "p", AT)
+    assert rows(out, "execution_id", "pipeline_id", "constraint_status") == [("p_20240101000000000000", "p", "Success")]
+    log = lineage.LineageLog("job", "esg")
+    log.finish(df, "t", "/t", AT)
+    for _ in range(2):
+        log.save(spark, str(tmp_path / "events"))
+    assert spark.read.schema(lineage.EVENT_SCHEMA).parquet(str(tmp_path / "events")).count() == 2
