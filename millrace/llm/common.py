@@ -54,7 +54,7 @@ class TaskFile:
         self.files, root = open_folder(folder)
         self.files.create_dir(root, recursive=True)
         self.name = f"{uuid.uuid4().hex}{suffix}"
-        self.stream = self.files.open_output_stream(os.path.join(root, self.name))
+        self.stream = self.files.open_output_stream(os.path.join(root, self.name), compression=None)
         self.size = 0
 
     def write(self, data: bytes) -> int:

@@ -86,7 +86,8 @@ def plan_mix(sized: DataFrame, weights: DataFrame, total: float | None, max_epoc
         .groupBy("_source")
         .agg(F.coalesce(F.max("hash"), F.min("_bucket")).alias("limit"))
     )
-    return filled.join(limits, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source", "open")
+    # stored, so that the join to the documents knows its size
+    return stage(filled.join(limits, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source", "open"), "mix-plan")
 
 
 def mix_sources(

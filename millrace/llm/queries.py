@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, sharding, urlrules
+from millrace.llm import fmindex, langid, linefreq, mixing, rans, sharding, simhash, units, urlrules, warc
 from millrace.llm.common import word_count
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,35 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), q AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS original FROM p
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, (i // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31)::BIGINT + 1, 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN original IS NULL OR page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM original THEN original END AS refers_to
+FROM q
+"""
+
+
+@query(WARC_SQL)
+def op2_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records into seekable bundles and read back by the index."""
+    pages = table(spark, folder, "pages")
+    store = warc.archive_folder(pages)
+    index = warc.write_archives(
+        pages, store, page_id=F.col("page_id"), url=F.col("url"), payload=F.col("html"), smallest_revisit=0
+    )
+    return warc.read_archives(index, store, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 RULE_ROWS = ", ".join(f"('{host}', '{path}', '{action}')" for host, path, action in URL_RULES)
 
@@ -105,6 +134,12 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
 
 
+@query()
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents: language, confidence, and whether the document stays."""
+    return langid.identify_documents(table(spark, folder, "documents"), table(spark, folder, "pages"))
+
+
 @query()
 def op5_shuffle_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents shuffled uniformly into eight shards whose counts differ by one at most."""
@@ -115,3 +150,138 @@ def op5_shuffle_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(docs, 8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+LINE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
+  FROM (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d)
+), g AS (
+  SELECT *, CASE WHEN lead(pos, 7) OVER s IS NOT NULL THEN hash([word, lead(word, 1) OVER s, lead(word, 2) OVER s, lead(word, 3) OVER s,
+    lead(word, 4) OVER s, lead(word, 5) OVER s, lead(word, 6) OVER s, lead(word, 7) OVER s]) END AS gram
+  FROM w WINDOW s AS (PARTITION BY rid ORDER BY pos)
+), t AS (
+  SELECT rid, pos, word, CASE WHEN gram IS NOT NULL AND count(*) OVER (PARTITION BY rid, gram) > 1 THEN 1 ELSE 0 END AS twice FROM g
+), r AS (
+  SELECT rid, word, max(twice) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS hit FROM t
+), counts AS (
+  SELECT rid, count(*) AS n_words, sum(length(word)) AS word_chars, sum(hit) AS n_repeat_words FROM r GROUP BY rid
+), l AS (
+  SELECT rid, doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d
+), m AS (
+  SELECT rid, doc_id, source, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         regexp_replace(trim(regexp_replace(lower(line), '\s+', ' ', 'g')), '[0-9]+', '0', 'g') AS normal
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), dups AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM m GROUP BY rid
+), hosts AS (
+  SELECT source, count(DISTINCT doc_id) AS docs FROM d GROUP BY source
+), frequent AS (
+  SELECT m.source, normal FROM m JOIN hosts ON m.source IS NOT DISTINCT FROM hosts.source
+  GROUP BY m.source, normal HAVING count(DISTINCT doc_id) > greatest(20, 0.001 * any_value(docs))
+), lost AS (
+  SELECT rid, sum(words) AS removed FROM m JOIN frequent f ON m.normal = f.normal AND m.source IS NOT DISTINCT FROM f.source GROUP BY rid
+), a AS (
+  SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(removed, 0)::BIGINT AS removed_words
+  FROM d LEFT JOIN counts USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN lost USING (rid)
+), b AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM a
+)
+SELECT *, NOT base_failed AND n_words - removed_words >= 20 AND n_words - removed_words >= 0.3 * n_words AS kept FROM b
+"""
+
+
+@query(LINE_SQL)
+def op6_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents: base rules, and lines that many documents of a source share."""
+    facts = linefreq.document_facts(table(spark, folder, "documents"), F.col("text"), F.col("source"), F.col("doc_id"))
+    judged = linefreq.judge_documents(facts, least_docs=20, host_share=0.001, least_words=20, least_share=0.3)
+    return judged.withColumnRenamed("doc", "doc_id").select("doc_id", *linefreq.OUTPUTS)
+
+
+@query()
+def op7_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their fingerprint and the component that links of two bits at most make."""
+    groups = simhash.group_near_copies(table(spark, folder, "documents"), identity=F.col("doc_id"), text=F.col("text"))
+    return groups.select(F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op8_rans_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token ids in rANS files, read back block by block."""
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents")
+    store = rans.token_folder(docs)
+    manifest = rans.write_tokens(
+        docs, store, identity=F.col("doc_id"), text=F.col("text"), tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return rans.read_tokens(manifest, store, with_ids=False)
+
+
+UNIT_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(text, '[^\n.!?]+[.!?]*\n?|[.!?]+\n?|\n') AS units FROM documents
+), u AS (
+  SELECT rid, doc_id, unnest(units) AS unit, generate_subscripts(units, 1) AS k FROM d
+), o AS (
+  SELECT *, sum(length(unit)) OVER (PARTITION BY rid ORDER BY k)::BIGINT AS ends, length(unit) AS long,
+         regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM u
+), f AS (
+  SELECT *, ends - long AS begins, row_number() OVER w AS nth, first(doc_id) OVER w AS first_doc_id, first(ends - long) OVER w AS first_begins
+  FROM o WHERE len(ws) >= 8 WINDOW w AS (PARTITION BY ws ORDER BY doc_id NULLS LAST, ends - long)
+)
+SELECT doc_id, begins, ends, len(ws)::BIGINT AS n_words, first_doc_id, first_begins FROM f WHERE nth > 1
+"""
+
+
+@query(UNIT_SQL)
+def op9_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sentence of eight words or more that an earlier document, or place, has already."""
+    later = units.repeated_units(
+        table(spark, folder, "documents"), identity=F.col("doc_id"), text=F.col("text"), unit="sentence", least_words=8
+    )
+    return later.select(
+        F.col("id").alias("doc_id"), "begins", "ends", F.col("words").alias("n_words"), F.col("first_id").alias("first_doc_id"), "first_begins"
+    )
+
+
+PHRASE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, list_slice(ws, k, k + 9) AS win FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS k FROM b WHERE len(ws) > 0)
+), lens AS (
+  SELECT DISTINCT len(win) AS m FROM bw
+), dw AS (
+  SELECT rid, m, k, list_slice(ws, k, k + m - 1) AS win FROM (SELECT rid, ws, m, unnest(range(1, len(ws) - m + 2)) AS k FROM d, lens WHERE len(ws) >= m)
+), occ AS (
+  SELECT rid, k, m, item_id FROM dw JOIN bw USING (win)
+), hits AS (
+  SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(k, k + m)) AS pos FROM occ) GROUP BY rid
+), ids AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item_id FROM occ) GROUP BY rid
+)
+SELECT doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN ids USING (rid)
+"""
+
+
+@query(PHRASE_SQL)
+def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents against the ten-word windows of all benchmark items."""
+    found = fmindex.find_contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), identity="doc_id", text="text"
+    )
+    return found.drop("items", "spans")
