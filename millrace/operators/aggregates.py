@@ -4,44 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import match_keys, names
-from millrace.functions.hashing import spread
 from millrace.operators.windows import first_per_group
 from millrace.scratch import stage
 
-PAGE_ROWS = 10_000
+def with_pages(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], page_rows: int, name: str = "part") -> DataFrame:
+    """Number the pages of each group: ``floor((rank - 1) / page_rows)`` by ``order_by``.
 
-
-def with_pages(df: DataFrame, keys: Sequence[str], unique_by: Sequence[str], page_rows: int, name: str = "part") -> DataFrame:
-    """Number the pages of each group so that a page stays near ``page_rows`` rows.
-
-    Groups up to that size have the single page 0.  Larger ones are spread by a
-    hash of the identifying columns, so all of their rows are kept and no task
-    ever holds a whole hot group.  Identical rows of a large group are counted
-    first (``_copies``), and each ``page_rows`` copies move on to the next page.
+    The same at every size: page 0 holds the first ``page_rows`` rows of the
+    sorted group, page 1 the next ones.  The rows are range partitioned by group
+    and order, with a running number so that equal rows of a hot group spread as
+    well; each bucket is ranked on its own and shifted by what the buckets before
+    it hold of the same group, so no group meets in one task.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    # stored, so that the join is planned from the measured size of the few hot groups
-    hot = stage(sizes.filter(F.col("_rows") > page_rows), "hot-groups")
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    if hot.isEmpty():
-        return df.withColumns({name: zero, "_copies": one})
-    small = match_keys(df, hot, keys, "left_anti").withColumns({name: zero, "_copies": one})
-    large = match_keys(df, hot, keys, "inner").groupBy(*df.columns, "_rows").agg(F.count(F.lit(1)).alias("_n"))
-    chunks = F.sequence(zero, F.floor((F.col("_n") - 1) / page_rows).cast("bigint"))
-    large = large.withColumn("_chunk", F.explode(chunks))
-    pages = F.ceil(F.col("_rows") / page_rows).cast("bigint")
-    page = F.pmod(spread(unique_by, pages) + F.col("_chunk"), pages)
-    copies = F.least(F.lit(page_rows).cast("bigint"), F.col("_n") - F.col("_chunk") * page_rows)
-    return small.unionByName(large.select(*df.columns, page.alias(name), copies.alias("_copies")))
-
-
-def _collected(value: Column) -> Column:
-    """All values of a page, copies included, sorted."""
-    return F.sort_array(F.flatten(F.collect_list(F.array_repeat(value, F.col("_copies").cast("int")))))
+    place = F.monotonically_increasing_id().alias("_place")
+    order = [F.col(k).asc_nulls_first() for k in keys] + list(order_by)
+    ranged = df.select("*", place).repartitionByRange(*order, F.col("_place"))
+    ranged = stage(ranged.withColumn("_bucket", F.spark_partition_id()).drop("_place"), "pages")
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_bucket", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    shifts = sizes.withColumn("_shift", F.sum("_n").over(earlier)).where("_shift IS NOT NULL").drop("_n")
+    # a row for each group that a bucket's edge cuts, at most
+    shifts = stage(shifts, "page-shifts")
+    inside = F.row_number().over(Window.partitionBy("_bucket", *keys).orderBy(*order_by))
+    ranked = match_keys(ranged.withColumn("_rank", inside), shifts, ["_bucket", *keys], "left")
+    rank = F.col("_rank") + F.coalesce("_shift", F.lit(0)) - 1
+    return ranked.select(*df.columns, F.floor(rank / page_rows).cast("bigint").alias(name))
 
 
 def pivot_concat(
@@ -49,22 +40,22 @@ def pivot_concat(
     index: str | Sequence[str],
     column: str,
     values: str,
-    unique_by: str | Sequence[str],
     pivot_values: Sequence | None = None,
-    page_rows: int = PAGE_ROWS,
+    *,
+    page_rows: int,
 ) -> DataFrame:
     """Pivot whose cells hold all values, sorted and joined by commas.
 
-    A cell longer than ``page_rows`` values continues in further rows of the
-    same index, numbered in ``part``.  Without named pivot values an empty input
-    comes back unchanged.
+    ``part`` numbers the pieces of ``page_rows`` values of a cell; joining them in
+    order gives the whole cell.  Null values are left out.  Without named pivot
+    values an empty input comes back unchanged.
     """
     if pivot_values is None and df.isEmpty():
         return df
     index = names(index)
-    slim = df.select(*dict.fromkeys([*index, column, values, *names(unique_by)]))
-    paged = with_pages(slim, [*index, column], names(unique_by), page_rows)
-    cell = F.array_join(F.transform(_collected(F.col(values)), lambda v: v.cast("string")), ",")
+    slim = df.select(*dict.fromkeys([*index, column, values]))
+    paged = with_pages(slim, [*index, column], [F.col(values).asc_nulls_last()], page_rows)
+    cell = F.array_join(F.transform(F.sort_array(F.collect_list(values)), lambda v: v.cast("string")), ",")
     grouped = paged.groupBy(*index, "part")
     return grouped.pivot(column, list(pivot_values) if pivot_values is not None else None).agg(cell)
 
@@ -83,21 +74,17 @@ def pivot_table(
 
 
 def pack_json(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    fields: Sequence[str],
-    unique_by: str | Sequence[str],
-    name: str,
-    page_rows: int = PAGE_ROWS,
+    df: DataFrame, keys: str | Sequence[str], fields: Sequence[str], name: str, *, page_rows: int
 ) -> DataFrame:
-    """Child rows of a key as one JSON array text, sorted by ``fields`` in order.
+    """Child rows of a key as JSON array texts, sorted by ``fields`` in order.
 
-    Very large groups continue in further rows numbered in ``part``.
+    ``part`` numbers the pieces of ``page_rows`` rows of a group; their arrays in
+    order make up the whole one.
     """
     keys = names(keys)
-    slim = df.select(*dict.fromkeys([*keys, *fields, *names(unique_by)]))
-    paged = with_pages(slim, keys, names(unique_by), page_rows)
-    packed = F.to_json(_collected(F.struct(*fields)))
+    slim = df.select(*dict.fromkeys([*keys, *fields]))
+    paged = with_pages(slim, keys, [F.col(f).asc_nulls_first() for f in fields], page_rows)
+    packed = F.to_json(F.sort_array(F.collect_list(F.struct(*fields))))
     return paged.groupBy(*keys, "part").agg(packed.alias(name))
 
 

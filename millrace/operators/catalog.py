@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.constants import UNLABELLED_PROCESSED
 from millrace.functions.types import type_label
-from millrace.operators.aggregates import PAGE_ROWS, pack_json
+from millrace.operators.aggregates import pack_json
 from millrace.operators.columns import map_labels, select_environment, to_json_columns
 from millrace.operators.filters import active_published
 from millrace.operators.windows import first_per_group
@@ -127,16 +127,14 @@ def column_manifest(df: DataFrame) -> DataFrame:
     return df.sparkSession.range(1).select(F.to_json(listed).alias("manifest"))
 
 
-def pack_inventory(
-    inventory: DataFrame, columns: DataFrame, fields: Sequence[str], page_rows: int = PAGE_ROWS
-) -> DataFrame:
+def pack_inventory(inventory: DataFrame, columns: DataFrame, fields: Sequence[str], *, page_rows: int) -> DataFrame:
     """Inventory records as text with their columns packed into one JSON array.
 
     ``fields`` are the column-record fields, sorted in that order; one row per
     (pipeline, version, part).
     """
     keys = ["pipeline_id", "version_number"]
-    packed = pack_json(columns, keys, fields, [*keys, *fields], "pipeline_columns", page_rows)
+    packed = pack_json(columns, keys, fields, "pipeline_columns", page_rows=page_rows)
     packed = packed.withColumns({k: F.col(k).cast("string") for k in keys})
     return to_json_columns(inventory).join(packed, keys)
 

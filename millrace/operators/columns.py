@@ -160,7 +160,8 @@ def typed_select(df: DataFrame, columns: Iterable[Mapping], keep: Sequence[str]
 
     Records are ordered by sequence number; each casts one source column to its
     target type (null when the value does not fit) and renames it.  A target
-    date-time format rewrites the value through ``date_format`` first.
+    date-time format rewrites the value through ``date_format`` first; a text that
+    is no date or time gives null.
     Character lengths cut the text only when ``truncate`` is set.
     """
     records = sorted(columns, key=lambda r: int(r["sequence_number"]))
@@ -168,7 +169,8 @@ def typed_select(df: DataFrame, columns: Iterable[Mapping], keep: Sequence[str]
     for record in records:
         value = F.col(record["source_column_name"])
         if present(record.get("target_datetime_format")):
-            value = F.date_format(value, record["target_datetime_format"])
+            # a plain cast would end the job at the first unreadable text
+            value = F.date_format(value.try_cast("timestamp"), record["target_datetime_format"])
         values.append(value)
     chosen = []
     for record, value, (_, found) in zip(records, values, df.select(*values).dtypes):
@@ -227,8 +229,8 @@ def last_value_by_key(df: DataFrame, key: str, value: str, order_by: str | Seque
     return df.groupBy(key).agg(F.max_by(value, F.struct(*names(order_by))).alias(value))
 
 
-def to_dict(df: DataFrame, key: str, value: str, order_by: str | Sequence[str], limit: int = 100_000) -> dict:
-    """Driver-side dictionary, refused above ``limit`` keys."""
+def to_dict(df: DataFrame, key: str, value: str, order_by: str | Sequence[str], *, limit: int) -> dict:
+    """Driver-side dictionary of at most ``limit`` keys, a bound the caller names; more are an error."""
     rows = last_value_by_key(df, key, value, order_by).limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} keys; keep this lookup as a DataFrame")

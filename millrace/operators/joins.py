@@ -191,17 +191,22 @@ def exclude_quarantined(
 ) -> DataFrame:
     """Drop the rows whose primary key stands, as JSON, in the error table.
 
-    The JSON is parsed with the types of the table's own key columns.
+    The JSON is parsed with the types of the table's own key columns.  A key text
+    that does not give every key column stops the job, as the row it means would
+    be loaded otherwise.
     """
     keys = names(keys)
     fields = {f.name: f.dataType for f in df.schema.fields}
     shape = T.StructType([T.StructField(k, fields[k]) for k in keys])
     bad = (
         errors.filter(F.col("table_name") == table)
-        .select(F.from_json(F.col(column), shape).alias("_key"))
-        .select("_key.*")
-        .distinct()
+        .select(F.col(column).alias("_text"), F.from_json(F.col(column), shape).alias("_key"))
     )
+    whole = reduce(lambda a, b: a & b, [F.col("_key").getField(k).isNotNull() for k in keys])
+    unread = F.raise_error(F.concat(F.lit(f"unreadable key of {table}: "), F.col("_text")))
+    # the check is part of every key, so it cannot be pruned away
+    checked = [F.when(whole | F.col("_text").isNull(), F.col("_key").getField(k)).otherwise(unread.cast(fields[k])).alias(k) for k in keys]
+    bad = bad.select(*checked).distinct()
     return match_keys(df, bad, keys, "left_anti", nulls_match=False)
 
 

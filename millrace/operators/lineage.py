@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import match_keys, names
-from millrace.scratch import stage
+from millrace.scratch import stage, work_dir
 
 _LISTS = ("added_col", "selected_cols", "dropped_cols", "left_df_cols", "right_df_cols", "key_cols",
           "left_key_cols", "right_key_cols", "final_df_cols", "source_tables")
@@ -104,29 +104,35 @@ def edges_of(events: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _reachable(edges: DataFrame, start: DataFrame, max_depth: int) -> DataFrame:
-    """Nodes reached from the start nodes, the start included."""
-    steps = edges.withColumnRenamed("target", "node")
-    seen = frontier = stage(start, "lineage-nodes")
-    for _ in range(max_depth):
-        reached = frontier.join(steps, "node").select(F.col("source").alias("node")).distinct()
-        frontier = stage(match_keys(reached, seen, "node", "left_anti"), "lineage-nodes")
+def _closure(spark: SparkSession, start: DataFrame, step, keys: Sequence[str]) -> DataFrame:
+    """All rows that repeated steps reach from ``start``.
+
+    Every level is written below one folder, which is read as one table: the plan
+    stays short, and only rows not yet known go on, so cycles end.
+    """
+    folder, level = work_dir(spark, "lineage-levels"), 0
+    frontier = start
+    while True:
+        frontier.write.parquet(f"{folder}/level-{level}")
+        frontier = spark.read.schema(start.schema).parquet(f"{folder}/level-{level}")
+        seen = spark.read.schema(start.schema).parquet(f"{folder}/*")
         if frontier.isEmpty():
             return seen
-        seen = seen.unionByName(frontier)
-    raise RuntimeError(f"lineage deeper than {max_depth}")
+        frontier, level = match_keys(step(frontier).distinct(), seen, keys, "left_anti"), level + 1
 
 
-def root_sources(
-    edges: DataFrame, targets: DataFrame | str | Sequence[str] | None = None, max_depth: int = 1000
-) -> DataFrame:
+def _reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """Nodes reached from the start nodes, the start included."""
+    steps = edges.withColumnRenamed("target", "node")
+    return _closure(edges.sparkSession, start, lambda f: f.join(steps, "node").select(F.col("source").alias("node")), ["node"])
+
+
+def root_sources(edges: DataFrame, targets: DataFrame | str | Sequence[str] | None = None) -> DataFrame:
     """(target, root) for every dataset without sources of its own that a target
     is built from; all targets unless some are named.
 
     Roots are handed upwards from the datasets without sources, one level per
-    step, so only pairs that belong to a result are ever made.  A pair already
-    known is not handed on again, so cycles end.  Every level is staged, which
-    keeps the plan short.
+    step, so only pairs that belong to a result are ever made.
     """
     spark = edges.sparkSession
     edges = stage(edges.select("target", "source").distinct(), "lineage-edges")
@@ -136,19 +142,14 @@ def root_sources(
     elif targets is not None:
         wanted = spark.createDataFrame([(t,) for t in names(targets)], "node string").distinct()
     if wanted is not None:
-        nodes = _reachable(edges, wanted, max_depth)
+        nodes = _reachable(edges, wanted)
         edges = stage(match_keys(edges, nodes, "target", "left_semi", "node"), "lineage-edges")
 
     inner = edges.select(F.col("target").alias("source")).distinct()
     ends = match_keys(edges, inner, "source", "left_anti")
-    seen = frontier = stage(ends.select("target", F.col("source").alias("root")), "lineage-level")
-    for _ in range(max_depth):
-        known = frontier.withColumnRenamed("target", "source")
-        reached = edges.join(known, "source").select("target", "root").distinct()
-        frontier = stage(match_keys(reached, seen, ["target", "root"], "left_anti"), "lineage-level")
-        if frontier.isEmpty():
-            break
-        seen = seen.unionByName(frontier)
-    else:
-        raise RuntimeError(f"lineage deeper than {max_depth}")
+
+    def up(known: DataFrame) -> DataFrame:
+        return edges.join(known.withColumnRenamed("target", "source"), "source").select("target", "root")
+
+    seen = _closure(spark, ends.select("target", F.col("source").alias("root")), up, ["target", "root"])
     return seen if wanted is None else match_keys(seen, wanted, "target", "left_semi", "node")

@@ -6,6 +6,7 @@ import ast
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,18 +18,12 @@ from millrace.functions.types import safe_cast, type_family
 from millrace.operators.cdc import unique_rows
 from millrace.operators.sets import presence, sample_keys
 
-SHARE = "decimal(18,6)"
+COUNT = "decimal(20,0)"
 
 # share of distinct values above which a complete column is suggested as unique
 UNIQUE_SHARE = 0.92
 # completeness range in which a lower bound is suggested
 COMPLETENESS_FLOOR = 0.2
-# most values of a categorical column
-CATEGORY_LIMIT = 100
-# share of the values that a fractional category list has to cover
-CATEGORY_SHARE = 0.9
-# keys compared cell by cell when more differ
-COMPARED_KEYS = 1000
 
 
 @dataclass(frozen=True)
@@ -46,28 +41,40 @@ class Rule:
         return f".{self.name}({inside})"
 
 
-def parse_rule(text: str, column: str, description: str = "") -> Rule:
+def parse_rule(text: str, column: str, description: str = "", allow_sql: bool = False) -> Rule:
     """``isComplete()`` or ``hasMin(0)`` -> Rule.
 
-    Only literals are read, nothing is evaluated; an argument list that starts
-    with the column's own name may repeat it.
+    Only literals are read; an argument list that starts with the column's own
+    name may repeat it.  ``satisfies`` holds SQL that Spark will run: it is
+    refused unless ``allow_sql`` says that the text is trusted.
     """
     call = ast.parse(text.strip().lstrip("."), mode="eval").body
     if not isinstance(call, ast.Call) or not isinstance(call.func, ast.Name) or call.keywords:
         raise ValueError(f"not a rule: {text!r}")
     if call.func.id not in _CHECKS:
         raise ValueError(f"unknown rule: {call.func.id}")
+    if call.func.id == "satisfies" and not allow_sql:
+        raise ValueError("satisfies runs SQL; pass allow_sql for trusted texts")
     arguments = tuple(ast.literal_eval(a) for a in call.args)
     if arguments and arguments[0] == column:
         arguments = arguments[1:]
     return Rule(call.func.id, column, arguments, description)
 
 
-def _share(hit: Column, base: Column) -> Column:
-    """Share of true among the rows where ``base`` holds; 1 when there are none."""
+def _share(hits: Column, total: Column) -> Column:
+    """``hits / total`` for the message, 1 when there are none; never compared."""
+    return F.coalesce(F.try_divide(hits.cast("double"), total), F.lit(1.0)).cast("decimal(18,6)").cast("string")
+
+
+def _least(hits: Column, total: Column, share: float) -> Column:
+    """At least ``share`` of the total, compared by counts; true when there are none."""
+    return hits.cast(COUNT) >= F.lit(Decimal(str(share))) * total.cast(COUNT)
+
+
+def _rated(hit: Column, base: Column, share: float) -> tuple[Column, Column]:
     total = F.count(F.when(base, F.lit(1)))
     hits = F.count(F.when(base & hit, F.lit(1)))
-    return F.coalesce((F.try_divide(hits.cast("double"), total)).cast(SHARE), F.lit(1).cast(SHARE))
+    return _share(hits, total), _least(hits, total, share)
 
 
 def _value(c: str) -> Column:
@@ -78,17 +85,25 @@ def _present(c: str) -> Column:
     return _value(c).isNotNull()
 
 
-def _complete(rule: Rule) -> tuple[Column, Column]:
-    least = rule.arguments[0] if rule.arguments else 1.0
-    metric = _share(_present(rule.column), F.lit(True))
-    return metric, metric >= F.lit(least).cast(SHARE)
+def _complete(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
+    return _rated(_present(rule.column), F.lit(True), rule.arguments[0] if rule.arguments else 1)
+
 
+def _bound(function, test, signed: bool = False):
+    """Smallest or largest value against a limit, both in the column's own type; texts count as numbers where they are."""
 
-def _bound(function, test):
-    def build(rule: Rule) -> tuple[Column, Column]:
-        metric = function(_value(rule.column)).cast(SHARE)
-        limit = F.lit(rule.arguments[0] if rule.arguments else 0).cast(SHARE)
-        return metric, F.coalesce(test(metric, limit), F.lit(True))
+    def build(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
+        if signed and not isinstance(kind, (*_NUMERIC, T.StringType)):
+            raise ValueError(f"{rule.name} needs numbers: {rule.column}")
+        value = _value(rule.column)
+        metric = function(value.try_cast("double") if isinstance(kind, T.StringType) else value)
+        limit = F.lit(rule.arguments[0] if rule.arguments else 0)
+        if not isinstance(kind, (*_NUMERIC, T.StringType)):
+            limit = limit.cast(kind)
+        text = metric.cast("string")
+        if isinstance(kind, (*_NUMERIC, T.StringType)):
+            text = F.coalesce(metric.try_cast("decimal(18,6)").cast("string"), text)
+        return text, F.coalesce(test(metric, limit), F.lit(True))
 
     return build
 
@@ -96,26 +111,26 @@ def _bound(function, test):
 def _share_rule(hit):
     """Rules of the form: at least this share of the non-null values passes."""
 
-    def build(rule: Rule) -> tuple[Column, Column]:
-        least = rule.arguments[1] if len(rule.arguments) > 1 else 1.0
-        metric = _share(F.coalesce(hit(rule), F.lit(False)), _present(rule.column))
-        return metric, metric >= F.lit(least).cast(SHARE)
+    def build(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
+        least = rule.arguments[1] if len(rule.arguments) > 1 else 1
+        return _rated(F.coalesce(hit(rule), F.lit(False)), _present(rule.column), least)
 
     return build
 
 
-def _satisfies(rule: Rule) -> tuple[Column, Column]:
-    least = rule.arguments[1] if len(rule.arguments) > 1 else 1.0
-    metric = _share(F.coalesce(F.expr(rule.arguments[0]), F.lit(False)), F.lit(True))
-    return metric, metric >= F.lit(least).cast(SHARE)
+def _satisfies(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
+    least = rule.arguments[1] if len(rule.arguments) > 1 else 1
+    return _rated(F.coalesce(F.expr(rule.arguments[0]), F.lit(False)), F.lit(True), least)
 
 
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
 # rules whose metric is one aggregate over the rows: rule -> (metric, passed)
 _CHECKS = {
     "isComplete": _complete,
     "hasCompleteness": _complete,
-    "isNonNegative": _bound(F.min, lambda m, v: m >= 0),
-    "isPositive": _bound(F.min, lambda m, v: m > 0),
+    "isNonNegative": _bound(F.min, lambda m, v: m >= 0, signed=True),
+    "isPositive": _bound(F.min, lambda m, v: m > 0, signed=True),
     "hasMin": _bound(F.min, lambda m, v: m >= v),
     "hasMax": _bound(F.max, lambda m, v: m <= v),
     "isContainedIn": _share_rule(lambda r: _value(r.column).isin(list(r.arguments[0]))),
@@ -133,30 +148,31 @@ def _result(rule: Rule, metric: Column, passed: Column) -> Column:
         F.lit(rule.description).alias("dq_rule_description"),
         F.lit(f"{rule.name}({rule.column})").alias("constraint"),
         F.when(passed, F.lit("Success")).otherwise(F.lit("Failure")).alias("constraint_status"),
-        F.when(passed, F.lit("")).otherwise(F.concat(F.lit("Value: "), metric.cast("string"))).alias("constraint_message"),
+        F.when(passed, F.lit("")).otherwise(F.concat(F.lit("Value: "), metric)).alias("constraint_message"),
     )
 
 
 def _unique_result(df: DataFrame, rule: Rule) -> DataFrame:
     """Copies are counted per value first; a hot value is one row per task."""
     counts = df.filter(_present(rule.column)).groupBy(_value(rule.column)).agg(F.count(F.lit(1)).alias("_n"))
-    once = F.coalesce(F.sum(F.when(F.col("_n") == 1, 1).otherwise(0)), F.lit(0)).cast("double")
-    metric = F.coalesce(F.try_divide(once, F.sum("_n")).cast(SHARE), F.lit(1).cast(SHARE))
-    measured = counts.agg(metric.alias("_metric"))
-    return measured.select(_result(rule, F.col("_metric"), F.col("_metric") >= 1).alias("_r")).select("_r.*")
+    once, total = F.count(F.when(F.col("_n") == 1, 1)), F.coalesce(F.sum("_n"), F.lit(0))
+    measured = counts.agg(_share(once, total).alias("_metric"), (once == total).alias("_passed"))
+    return measured.select(_result(rule, F.col("_metric"), F.col("_passed")).alias("_r")).select("_r.*")
 
 
 def verify(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """One result row per rule.
 
-    All row-wise rules share a single aggregate over the table; each uniqueness
+    Shares are compared as counts, bounds in the column's type: one bad row
+    fails a rule, however large the table.  All row-wise rules share a single aggregate over the table; each uniqueness
     rule adds one aggregate that reads its column only.
     """
     rules = list(rules)
     flat = [r for r in rules if r.name != "isUnique"]
     parts = [_unique_result(df, r) for r in rules if r.name == "isUnique"]
     if flat:
-        checks = [_CHECKS[r.name](r) for r in flat]
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        checks = [_CHECKS[r.name](r, kinds[r.column]) for r in flat]
         measured = df.agg(*[m.alias(f"_m{i}") for i, (m, _) in enumerate(checks)], *[p.alias(f"_p{i}") for i, (_, p) in enumerate(checks)])
         rows = [_result(r, F.col(f"_m{i}"), F.col(f"_p{i}")) for i, r in enumerate(flat)]
         parts.insert(0, measured.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*"))
@@ -193,7 +209,6 @@ def failed_tables(results: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- suggestion
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _NARROW = ("bigint", "double", "date", "boolean")
 
 
@@ -233,10 +248,11 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, distinct: bool
     return df.agg(*measures).select(F.explode(F.array(*rows)).alias("_p")).select("_p.*")
 
 
-def suggest(df: DataFrame, columns: Sequence[str] | None = None, with_ranges: bool = False) -> DataFrame:
+def suggest(df: DataFrame, columns: Sequence[str] | None = None, list_values: int | None = None) -> DataFrame:
     """Rule suggestions from the profile: column, description and rule text.
 
-    Value-list suggestions are left out unless ``with_ranges`` asks for them.
+    With ``list_values``, a text column of at most that many values, counted
+    exactly, also gets the list of them all.
     """
     p = profile(df, columns)
     share = F.try_divide(F.col("non_null").cast("double"), F.col("rows"))
@@ -280,35 +296,23 @@ def suggest(df: DataFrame, columns: Sequence[str] | None = None, with_ranges: bo
     )
     found = p.select("column_name", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("_s"))
     found = found.select(F.col("column_name").alias("source_col_name"), "_s.*")
-    if not with_ranges:
-        return found
-    low = p.filter((F.col("data_type") == "string") & (F.col("approx_distinct") <= CATEGORY_LIMIT))
-    texts = [r["column_name"] for r in low.select("column_name").collect()]
-    return reduce(DataFrame.unionByName, [found, *[_range_suggestion(df, c) for c in texts]])
-
-
-def _range_suggestion(df: DataFrame, column: str) -> DataFrame:
-    """Value list of a column already known to hold few distinct values."""
-    counts = df.filter(_present(column)).groupBy(_value(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "v").limit(CATEGORY_LIMIT)
-    listed = top.agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list("v")), lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", ").alias("vs"),
-        F.sum("n").alias("covered"),
-    )
-    total = counts.agg(F.sum("n").alias("total"))
-    share = F.col("covered").cast("double") / F.col("total")
-    name = f'"{column}"'
-    exact = F.concat(F.lit(f".isContainedIn({name}, ["), F.col("vs"), F.lit("])"))
-    loose = F.concat(F.lit(f".isContainedIn({name}, ["), F.col("vs"), F.lit(f"], {CATEGORY_SHARE})"))
-    return (
-        listed.join(total)  # one row each
-        .filter(share >= CATEGORY_SHARE)
-        .select(
-            F.lit(column).alias("source_col_name"),
-            F.lit("isContainedIn").alias("rule"),
-            F.concat(F.lit(f"'{column}' has value range "), F.col("vs")).alias("dq_suggestion_result"),
-            F.when(share == 1, exact).otherwise(loose).alias("dq_rule"),
-        )
+    return found if list_values is None else found.unionByName(_list_suggestions(df, columns, list_values))
+
+
+def _list_suggestions(df: DataFrame, columns: Sequence[str] | None, most: int) -> DataFrame:
+    """Value lists of the text columns that hold ``most`` values at most; one pass counts all columns."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)]
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), _value(c).alias("v")) for c in texts]).cast("array<struct<name:string,v:string>>")
+    values = df.select(F.explode(cells).alias("_c")).select("_c.*").where("v IS NOT NULL").distinct()
+    few = values.groupBy(F.col("name").alias("_few")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= most)
+    kept = values.join(few, F.col("name") == F.col("_few"), "left_semi")
+    quoted = F.transform(F.sort_array(F.collect_list("v")), lambda v: F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("\\'")), F.lit("'")))
+    listed = kept.groupBy("name").agg(F.array_join(quoted, ", ").alias("vs"))
+    return listed.select(
+        F.col("name").alias("source_col_name"),
+        F.lit("isContainedIn").alias("rule"),
+        F.concat(F.lit("'"), "name", F.lit("' has value range "), "vs").alias("dq_suggestion_result"),
+        F.concat(F.lit('.isContainedIn("'), "name", F.lit('", ['), "vs", F.lit("])")).alias("dq_rule"),
     )
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from millrace.operators import cdc
 from millrace.operators.columns import typed_select
 from millrace.operators.filters import incremental_filter, incremental_predicate
-from millrace.operators.runlog import finished, started
+from millrace.operators.runlog import append_log, finished, started
 from millrace.plans.config import Ingestion
-from millrace.sinks.files import append_partition, finish_overwrite, overwrite_via_temp, write_landing
+from millrace.sinks.files import write_partition, finish_overwrite, overwrite_via_temp, write_landing
 from millrace.sinks.tables import register_table, repair_table
 from millrace.sources.files import read_any
 from millrace.sources.jdbc import read_jdbc
@@ -106,30 +107,67 @@ def run_ingest(
     connection: Mapping | None = None,
     database: str | None = None,
     files: int | None = None,
+    log_path: str | None = None,
+    clock: Callable[[], float] = time.monotonic,
 ) -> RunResult:
     """Run one record.
 
     The source is read once, into the landing layer; everything after works on
-    the landed files.  Counts come from the writes themselves.  An empty
-    increment writes nothing.
+    the landed files.  An increment without rows changes no stored table.
+
+    The log row's end is ``as_of`` plus the time the run took by ``clock``, which
+    also decides on the service level.  With ``log_path`` the states are stored; a
+    run that fails leaves its failure there before the error goes on.
     """
+    begun = clock()
     log = started(
         spec.pipeline_id, f"{spec.pipeline_id}_{as_of:%Y%m%d%H%M%S%f}", as_of, table_name=spec.table,
         load_type=spec.load_type, business_order_from_dttm=since, business_order_to_dttm=as_of,
     )
-    landing, final, temp = (layer_path(base, layer, spec.table) for layer in ("landing", "final", "tmp"))
-    if in_blackout(spec.ola, as_of):
-        return RunResult(finished(log, as_of, error=f"start time lies in {spec.ola}"), final, False)
+    final = layer_path(base, "final", spec.table)
 
-    raw = source if source is not None else read_source(spark, spec, since, as_of, connection)
-    if raw.isEmpty():
-        return RunResult(finished(log, as_of, landing_count=0, final_count=0), final, False)
+    def end(error: str | None = None, **counts: int) -> dict:
+        took = clock() - begun
+        row = finished(log, as_of + dt.timedelta(seconds=took), error=error, sla_met=within_sla(spec.sla, took), **counts)
+        if log_path:
+            append_log(spark, [row], log_path)
+        return row
 
-    landed = Observation()
-    write_landing(raw.observe(landed, F.count(F.lit(1)).alias("rows")), landing, files)
+    if log_path:
+        append_log(spark, [log], log_path)
+    if in_blackout(spec.ola, as_of):
+        return RunResult(end(f"start time lies in {spec.ola}"), final, False)
+    try:
+        counts = _load(spark, spec, base, as_of, since, source, connection, database, files)
+    except Exception as error:
+        end(f"{type(error).__name__}: {error}")
+        raise
+    return RunResult(end(**counts), final, counts["landing_count"] > 0)
+
+
+def within_sla(limit: str, seconds: float) -> str:
+    """true when the run took less than ``hh:mm:ss``; "not applicable" without a limit."""
+    if not limit.strip():
+        return "not applicable"
+    hours, minutes, rest = (int(part) for part in limit.split(":"))
+    return "true" if seconds < hours * 3600 + minutes * 60 + rest else "false"
+
+
+def _load(
+    spark: SparkSession, spec: Ingestion, base: str, as_of: dt.datetime, since: dt.datetime | None, source: DataFrame | None,
+    connection: Mapping | None, database: str | None, files: int | None,
+) -> dict[str, int]:
+    """Land, type, capture, store and register; the counts of landed and stored rows."""
+    landing, final, temp = (layer_path(base, layer, spec.table) for layer in ("landing", "final", "tmp"))
+    raw = source if source is not None else read_source(spark, spec, since, as_of, connection)
+    write_landing(raw, landing, files)
+    stored_raw = spark.read.schema(raw.schema).parquet(landing)
+    landed = stored_raw.count()
+    if not landed:
+        return {"landing_count": 0, "final_count": 0}
 
     keep = [spec.op_column] if spec.op_column else []
-    typed = typed_select(spark.read.schema(raw.schema).parquet(landing), spec.columns, keep=keep)
+    typed = typed_select(stored_raw, spec.columns, keep=keep)
     delta = spec.load_type != "full"
     if delta:
         # an earlier run may have stopped while it copied its result into place
@@ -140,7 +178,7 @@ def run_ingest(
     stored = Observation()
     result = result.observe(stored, F.count(F.lit(1)).alias("rows"))
     if spec.partition_col:
-        append_partition(result, final, spec.partition_col, as_of.date())
+        write_partition(result, final, spec.partition_col, as_of.date())
     elif target is not None:
         overwrite_via_temp(result, final, temp)
     else:
@@ -150,8 +188,7 @@ def run_ingest(
         register_table(spark, f"{database}.{spec.table}", result, final, spec.partition_col)
         if spec.partition_col:
             repair_table(spark, f"{database}.{spec.table}")
-    counts = {"landing_count": landed.get["rows"], "final_count": stored.get["rows"]}
-    return RunResult(finished(log, as_of, **counts), final, True)
+    return {"landing_count": landed, "final_count": stored.get["rows"]}
 
 
 def day_windows(start: dt.datetime, end: dt.datetime) -> list[tuple[dt.datetime, dt.datetime]]:

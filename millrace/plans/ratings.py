@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,14 +48,21 @@ class RatingSource:
     end_from_deal: bool = False
 
 
-# fixed values: the six sources with their own parameters
+# fixed values: the six sources, all in the instrument's form
 SOURCES = {
     "instrument": RatingSource("INSTRUMENT", "INSTRUMENT_ID"),
     "program": RatingSource("PROGRAM", "PROGRAM_ID"),
     "sale": RatingSource("SALE", "SALE_ID", owner="organization"),
-    "organization": RatingSource("ORGANIZATION", "ORGANIZATION_ID", owner="self", open_end="9999-12-31 12:00:00"),
-    "tranche": RatingSource("TRANCHE", "TRANCHE_ID", deals=True, end_from_deal=True),
-    "maturity": RatingSource("MATURITY", "MATURITY_ID", owner="organization", term="EFFT_DTM"),
+    "organization": RatingSource("ORGANIZATION", "ORGANIZATION_ID", owner="self"),
+    "tranche": RatingSource("TRANCHE", "TRANCHE_ID", deals=True),
+    "maturity": RatingSource("MATURITY", "MATURITY_ID", owner="organization"),
+}
+
+# fixed values: forms of their own that three sources may be asked for
+OWN_FORMS = {
+    "organization": replace(SOURCES["organization"], open_end="9999-12-31 12:00:00"),
+    "tranche": replace(SOURCES["tranche"], end_from_deal=True),
+    "maturity": replace(SOURCES["maturity"], term="EFFT_DTM"),
 }
 
 

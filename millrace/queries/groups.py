@@ -16,33 +16,24 @@ from millrace.sources.jdbc import partition_bounds
 
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-# small page for the queries, so that hot cells of the test tables split too
-PAGE = 15
+# values of a piece: small, so that cells of the test tables have several
+CELL_VALUES, LINE_ROWS = 10, 100
 
 
-def tag(column: str) -> str:
-    return f"LENGTH(CAST({column} AS VARCHAR)) || ':' || {column}"
-
-
-def page_sql(unique_by: list[str], page: int = PAGE) -> str:
-    """Page number of the paged operators, from group size ``n`` and copy number
-    ``rn``: 0, or an md5 slot in larger groups."""
-    text = "concat_ws(',', " + ", ".join(tag(c) for c in unique_by) + ")"
-    slots = f"CAST(CEIL(n / {page}.0) AS BIGINT)"
-    digest = f"CAST('0x' || SUBSTR(md5({text}), 1, 8) AS BIGINT)"
-    return f"CASE WHEN n <= {page} THEN 0 ELSE ({digest} % {slots} + (rn - 1) // {page}) % {slots} END"
+def part_sql(keys: str, order: str, rows: int) -> str:
+    """Piece of a sorted group by position."""
+    return f"CAST((ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {order}) - 1) // {rows} AS BIGINT)"
 
 
 @query(f"""
-WITH sized AS (SELECT user_id, event_type, event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
-                      COUNT(*) OVER (PARTITION BY user_id, event_type) AS n, 1 AS rn FROM events),
-paged AS (SELECT *, {page_sql(['event_id'])} AS part FROM sized)
-SELECT user_id, CAST(part AS BIGINT) AS part,
+WITH parsed AS (SELECT user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+paged AS (SELECT *, {part_sql('user_id, event_type', 'k NULLS LAST', CELL_VALUES)} AS part FROM parsed)
+SELECT user_id, part,
        {', '.join(f"COALESCE(string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) FILTER (WHERE event_type = '{e}'), '') AS {e}" for e in EVENT_TYPES)}
 FROM paged GROUP BY user_id, part""")
 def agg_pivot_concat(t: Tables) -> DataFrame:
-    rows = t.events.select("user_id", "event_type", "event_id", F.from_json("props", "k int")["k"].alias("k"))
-    return A.pivot_concat(rows, "user_id", "event_type", "k", "event_id", EVENT_TYPES, page_rows=PAGE)
+    rows = t.events.select("user_id", "event_type", F.from_json("props", "k int")["k"].alias("k"))
+    return A.pivot_concat(rows, "user_id", "event_type", "k", EVENT_TYPES, page_rows=CELL_VALUES)
 
 
 @query("""
@@ -55,17 +46,14 @@ def agg_pivot_table(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH sized AS (SELECT CAST(l_suppkey AS BIGINT) AS l_suppkey, l_orderkey, l_linenumber, l_partkey, l_returnflag,
-                      COUNT(*) OVER (PARTITION BY l_suppkey) AS n,
-                      ROW_NUMBER() OVER (PARTITION BY l_suppkey, l_orderkey, l_linenumber, l_partkey, l_returnflag) AS rn FROM lineitem),
-paged AS (SELECT *, {page_sql(['l_orderkey', 'l_linenumber', 'l_partkey'])} AS part FROM sized)
-SELECT l_suppkey, CAST(part AS BIGINT) AS part,
+WITH paged AS (SELECT *, {part_sql('l_suppkey', 'l_orderkey, l_linenumber, l_partkey, l_returnflag', LINE_ROWS)} AS part FROM lineitem)
+SELECT CAST(l_suppkey AS BIGINT) AS l_suppkey, part,
        '[' || string_agg('{{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey
          || ',"l_returnflag":"' || l_returnflag || '"}}', ',' ORDER BY l_orderkey, l_linenumber, l_partkey, l_returnflag) || ']' AS lines
 FROM paged GROUP BY l_suppkey, part""")
 def agg_pack_json(t: Tables) -> DataFrame:
     fields = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"]
-    return A.pack_json(t.lineitem, "l_suppkey", fields, fields[:3], "lines", page_rows=PAGE)
+    return A.pack_json(t.lineitem, "l_suppkey", fields, "lines", page_rows=LINE_ROWS)
 
 
 @query("SELECT MAX(o_orderkey) AS max_o_orderkey FROM orders")

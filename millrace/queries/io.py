@@ -120,8 +120,8 @@ UNION ALL SELECT o_orderkey, o_orderstatus, '2024-01-02' FROM orders""")
 def snk_partition_append(t: Tables) -> DataFrame:
     path = work_dir(t.spark, "append")
     rows = t.orders.select("o_orderkey", "o_orderstatus")
-    sink.append_partition(rows.filter(F.col("o_orderstatus") == "F"), path, "load_dt", dt.date(2024, 1, 1))
-    sink.append_partition(rows, path, "load_dt", dt.date(2024, 1, 2))
+    sink.write_partition(rows.filter(F.col("o_orderstatus") == "F"), path, "load_dt", dt.date(2024, 1, 1))
+    sink.write_partition(rows, path, "load_dt", dt.date(2024, 1, 2))
     return sink.read_partitioned(t.spark, path, rows, "load_dt")
 
 

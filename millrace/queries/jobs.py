@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from millrace.plans import fees
 from millrace.plans.chains import scd2_chain
 from millrace.plans.config import Ingestion
-from millrace.plans.ingest import run_ingest
-from millrace.plans.ratings import SOURCES, consolidate, current_ratings
+from millrace.plans.ingest import backfill, run_ingest
+from millrace.plans.ratings import OWN_FORMS, SOURCES, RatingSource, consolidate, current_ratings
 from millrace.queries import fixtures as X
 from millrace.queries.changes import _CHAIN_SQL, CHAIN, chain_sources
 from millrace.queries.registry import Tables, query
@@ -60,6 +60,67 @@ def job_ingest_delta(t: Tables) -> DataFrame:
     return t.spark.read.parquet(result.final_path)
 
 
+def _twice(t: Tables, record: dict, first: DataFrame, second: DataFrame, days: int = 1) -> str:
+    """A first load, then an increment that runs a second time; the stored path."""
+    spec, base = Ingestion.from_record({**record, "load_type": "delta"}), work_dir(t.spark, "ingest")
+    run_ingest(t.spark, spec, base, AS_OF, source=first)
+    for _ in range(2):
+        result = run_ingest(t.spark, spec, base, AS_OF + dt.timedelta(days=days), source=second)
+    return result.final_path
+
+
+_INCOMING = "incoming AS (SELECT * FROM changes WHERE op IN ('INS', 'UPD'))"
+
+
+def _incoming(t: Tables) -> DataFrame:
+    return X.order_changes(t).filter(F.col("op").isin("INS", "UPD")).drop("op")
+
+
+@query(f"""{X.WITH_CHANGES}, {_INCOMING}
+{_TYPED} target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM incoming) UNION ALL {_TYPED} incoming""")
+def job_ingest_upsert(t: Tables) -> DataFrame:
+    """Keyed upsert; the repeated run changes nothing."""
+    return t.spark.read.parquet(_twice(t, ORDER_RECORD, X.order_target(t), _incoming(t)))
+
+
+@query(f"""{X.WITH_CHANGES}, {_INCOMING}
+{_TYPED} target UNION ALL {_TYPED} incoming UNION ALL {_TYPED} incoming""")
+def job_ingest_append(t: Tables) -> DataFrame:
+    """Without keys every increment is added, a repeated one again."""
+    return t.spark.read.parquet(_twice(t, {**ORDER_RECORD, "primary_key_set": ""}, X.order_target(t), _incoming(t)))
+
+
+@query(f"""{X.WITH_CHANGES}, {_INCOMING}
+SELECT *, '2025-03-04' AS load_dt FROM ({_TYPED} target) UNION ALL SELECT *, '2025-03-05' FROM ({_TYPED} incoming)""")
+def job_ingest_partition(t: Tables) -> DataFrame:
+    """One dated partition per run; a repeated run replaces its own."""
+    path = _twice(t, {**ORDER_RECORD, "target_partition_col": "load_dt"}, X.order_target(t), _incoming(t))
+    stored = t.spark.read.parquet(path)
+    return stored.withColumn("load_dt", F.col("load_dt").cast("string"))
+
+
+@query("""
+SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS at, strftime(ts, '%Y-%m-%d') AS load_dt FROM events""")
+def job_ingest_backfill(t: Tables) -> DataFrame:
+    """Day by day over the whole time of the events, the last days a second time."""
+    base = work_dir(t.spark, "ingest")
+    ends = t.events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    record = {
+        "pipeline_id": "events", "load_type": "delta", "target_file_name": "events", "target_partition_col": "load_dt",
+        "cdc_timestamp_key": "['ts']", "source_type": "file", "source_file_path": t.path("events"),
+        "pipeline_columns": [
+            {"sequence_number": "1", "source_column_name": "event_id", "target_column_name": "id", "target_datatype": "bigint"},
+            {"sequence_number": "2", "source_column_name": "ts", "target_column_name": "at", "target_datatype": "timestamp_ntz"},
+        ],
+    }
+    spec = Ingestion.from_record(record)
+    backfill(t.spark, spec, base, ends["a"], ends["b"])
+    midnight = dt.datetime.combine(ends["b"].date() - dt.timedelta(days=1), dt.time())
+    done = backfill(t.spark, spec, base, midnight, ends["b"])
+    stored = t.spark.read.parquet(done[-1].final_path)
+    return stored.withColumn("load_dt", F.col("load_dt").cast("string"))
+
+
 # --------------------------------------------------------------------- ratings
 
 _FACTS = """classes AS (
@@ -79,9 +140,8 @@ def _classes(t: Tables) -> DataFrame:
     )
 
 
-def _facts(t: Tables, name: str) -> DataFrame:
+def _facts(t: Tables, source: RatingSource) -> DataFrame:
     """Every event as a rating of the entity that is its user; errors are closed."""
-    source = SOURCES[name]
     closed = F.col("event_type") == "error"
     return t.events.select(
         F.col("user_id").alias(source.fact_id),
@@ -129,8 +189,7 @@ def _deals(t: Tables) -> DataFrame:
     )
 
 
-def _rating(t: Tables, name: str) -> DataFrame:
-    source = SOURCES[name]
+def _rating(t: Tables, source: RatingSource) -> DataFrame:
     extra = {}
     if source.owner == "dimension":
         extra["dimension"] = _dimension(t, source.fact_id)
@@ -138,7 +197,7 @@ def _rating(t: Tables, name: str) -> DataFrame:
         extra["dimension"] = _organizations(t)
     if source.deals:
         extra.update(bridge=_bridge(t), deals=_deals(t))
-    return current_ratings(source, _facts(t, name), _classes(t), AS_OF, **extra)
+    return current_ratings(source, _facts(t, source), _classes(t), AS_OF, **extra)
 
 
 _VALID = """CAST(end_dtm AS DATE) = DATE '9999-12-31' AND TIMESTAMP '2025-01-01 00:00:00' > efft_dtm
@@ -155,7 +214,8 @@ FROM firsts LEFT JOIN classes ON rating_class_cd = cls {origin}"""
 
 _OWNED = f"LEFT JOIN dimension ON entity_id = id AND {_VALID}"
 _SOLD = f"JOIN dimension ON entity_id = id AND c_mktsegment <> 'FURNITURE' AND {_VALID}"
-_DEALS = """LEFT JOIN (SELECT c_custkey, c_nationkey AS deal_id FROM customer WHERE c_acctbal > 0) b ON b.c_custkey = id
+_DEALS = f"LEFT JOIN (SELECT c_custkey, c_nationkey AS deal_id FROM customer WHERE c_acctbal > 0) b ON b.c_custkey = id {_OWNED}"
+_OPEN_DEALS = """LEFT JOIN (SELECT c_custkey, c_nationkey AS deal_id FROM customer WHERE c_acctbal > 0) b ON b.c_custkey = id
 LEFT JOIN (SELECT n_nationkey FROM nation WHERE n_regionkey NOT IN (0, 1)) d ON d.n_nationkey = b.deal_id
 LEFT JOIN dimension ON entity_id = id AND d.n_nationkey IS NOT NULL AND TIMESTAMP '2025-01-01 00:00:00' > efft_dtm
  AND TIMESTAMP '2025-01-01 00:00:00' <= COALESCE(term_dtm, TIMESTAMP '9999-12-31 23:59:59.999')"""
@@ -166,33 +226,51 @@ _SELECTS = {
     "sale": _rating_select("SALE", "issuer_num", _SOLD),
     "organization": _rating_select("ORGANIZATION", "id", ""),
     "tranche": _rating_select("TRANCHE", "issuer_num", _DEALS, "CAST(deal_id AS BIGINT)"),
-    # its dimension rows end where they begin, so none is in force
-    "maturity": _rating_select("MATURITY", "issuer_num", _SOLD + " AND TIMESTAMP '2025-01-01 00:00:00' <= efft_dtm"),
+    "maturity": _rating_select("MATURITY", "issuer_num", _SOLD),
 }
 
 
 @query(f"WITH {X.DIMENSION}, {_FACTS} {_SELECTS['instrument']}")
 def job_rating_instrument(t: Tables) -> DataFrame:
-    return _rating(t, "instrument")
+    return _rating(t, SOURCES["instrument"])
+
+
+@query(f"WITH {X.DIMENSION}, {_FACTS} {_SELECTS['program']}")
+def job_rating_program(t: Tables) -> DataFrame:
+    return _rating(t, SOURCES["program"])
 
 
 @query(f"WITH {X.DIMENSION}, {_FACTS} {_SELECTS['sale']}")
 def job_rating_sale(t: Tables) -> DataFrame:
-    return _rating(t, "sale")
+    return _rating(t, SOURCES["sale"])
+
+
+@query(f"WITH {X.DIMENSION}, {_FACTS} {_SELECTS['organization']}")
+def job_rating_organization(t: Tables) -> DataFrame:
+    return _rating(t, SOURCES["organization"])
 
 
 @query(f"WITH {X.DIMENSION}, {_FACTS} {_SELECTS['tranche']}")
 def job_rating_tranche(t: Tables) -> DataFrame:
-    return _rating(t, "tranche")
+    return _rating(t, SOURCES["tranche"])
+
+
+@query(f"WITH {X.DIMENSION}, {_FACTS} {_rating_select('TRANCHE', 'issuer_num', _OPEN_DEALS, 'CAST(deal_id AS BIGINT)')}")
+def job_rating_tranche_open_deal(t: Tables) -> DataFrame:
+    """The tranche's own form: the dimension counts only where an open deal was found."""
+    return _rating(t, OWN_FORMS["tranche"])
 
 
+@query(f"WITH {X.DIMENSION}, {_FACTS} {_SELECTS['maturity']}")
+def job_rating_maturity(t: Tables) -> DataFrame:
+    return _rating(t, SOURCES["maturity"])
 
 
 @query(f"""WITH {X.DIMENSION}, {_FACTS}
 SELECT *, DATE '2025-03-04' AS load_dt FROM ({' UNION ALL '.join('(' + s + ')' for s in _SELECTS.values())})""")
 def job_rating_union(t: Tables) -> DataFrame:
     wide = lambda df: df.withColumn("ORG_ID", F.col("ORG_ID").cast("bigint"))
-    return consolidate([wide(_rating(t, n)) for n in SOURCES], AS_OF)
+    return consolidate([wide(_rating(t, source)) for source in SOURCES.values()], AS_OF)
 
 
 # ------------------------------------------------------------- invoices, fees
@@ -265,8 +343,10 @@ def _aggregate_origin(t: Tables, status: str) -> DataFrame:
 
 
 def _crosswalk(t: Tables) -> tuple[DataFrame, DataFrame]:
-    lookup = t.part.filter(F.col("p_size") > 10).select(
-        F.col("p_partkey").alias("ratifer_num"), F.concat(F.lit("id-"), "p_partkey").alias("rating_identifier")
+    # sizes up to ten match nothing
+    number = F.when(F.col("p_size") > 10, F.col("p_partkey")).otherwise(-F.col("p_partkey") - 1)
+    lookup = t.part.select(
+        number.alias("ratifer_num"), F.concat(F.lit("id-"), "p_partkey").alias("rating_identifier")
     )
     return fees.rating_crosswalk([_aggregate_origin(t, s) for s in ("O", "F")], lookup)
 

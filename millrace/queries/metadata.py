@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.constants import COMMUNITIES, TYPE_LABELS
 from millrace.operators import catalog, lineage, quality, runlog
-from millrace.operators.aggregates import PAGE_ROWS
 from millrace.operators import columns as C
 from millrace.operators.joins import left_join
 from millrace.operators.sets import union_many
 from millrace.queries import fixtures as X
-from millrace.queries.groups import page_sql
+from millrace.queries.groups import part_sql
 from millrace.queries.registry import Tables, query
 from millrace.sources.files import json_records
 
@@ -37,43 +36,48 @@ RULES = [
 
 
 def _rules() -> list[quality.Rule]:
-    return [quality.parse_rule(text, column, note) for text, column, note in RULES]
+    return [quality.parse_rule(text, column, note, allow_sql=True) for text, column, note in RULES]
 
 
 def _verify_sql() -> str:
-    def share(hit: str, base: str) -> str:
-        return f"COALESCE(CAST(COUNT(*) FILTER (WHERE ({base}) AND ({hit})) / NULLIF(CAST(COUNT(*) FILTER (WHERE {base}) AS DOUBLE), 0) AS DECIMAL(18,6)), 1)"
+    def share(hit: str, base: str, least: str = "1") -> str:
+        hits, total = f"COUNT(*) FILTER (WHERE ({base}) AND ({hit}))", f"COUNT(*) FILTER (WHERE {base})"
+        return f"{hits} AS hits, {total} AS total, hits >= {least} * total AS ok, {cut} AS m FROM nullable"
 
     def once(column: str) -> str:
-        return f"(SELECT CAST(COUNT(*) FILTER (WHERE n = 1) / CAST(SUM(n) AS DOUBLE) AS DECIMAL(18,6)) FROM (SELECT COUNT(*) AS n FROM nullable WHERE {column} IS NOT NULL GROUP BY {column}))"
+        counts = f"SELECT COUNT(*) AS n FROM nullable WHERE {column} IS NOT NULL GROUP BY {column}"
+        return f"COUNT(*) FILTER (WHERE n = 1) AS hits, COALESCE(SUM(n), 0) AS total, hits = total AS ok, {cut} AS m FROM ({counts})"
 
-    dec = "CAST({0} AS DECIMAL(18,6))"
+    def bound(metric: str, test: str) -> str:
+        return f"0 AS hits, 0 AS total, {metric} {test} AS ok, CAST(CAST({metric} AS DECIMAL(18,6)) AS VARCHAR) AS m FROM nullable"
+
+    cut = "CAST(CAST(COALESCE(hits / NULLIF(CAST(total AS DOUBLE), 0), 1) AS DECIMAL(18,6)) AS VARCHAR)"
     metrics = [
-        (share("o_orderkey IS NOT NULL", "TRUE"), ">= 1"),
-        (share("priority IS NOT NULL", "TRUE"), ">= 1"),
-        (share("custkey IS NOT NULL", "TRUE"), ">= 0.5"),
-        (once("o_orderkey"), ">= 1"),
-        (once("custkey"), ">= 1"),
-        (dec.format("MIN(o_orderkey)"), ">= 0"),
-        (dec.format("MIN(o_orderkey)"), "> 0"),
-        (dec.format("MIN(custkey)"), ">= 0"),
-        (dec.format("MAX(custkey)"), "<= 10"),
-        (share("o_orderstatus IN ('F','O','P')", "o_orderstatus IS NOT NULL"), ">= 1"),
-        (share("o_orderstatus IN ('F','O')", "o_orderstatus IS NOT NULL"), ">= 0.9"),
-        (share("regexp_matches(priority, '^[0-9]-')", "priority IS NOT NULL"), ">= 1"),
-        (share("TRY_CAST(priority AS INTEGER) IS NOT NULL", "priority IS NOT NULL"), ">= 1"),
-        (share("COALESCE(custkey >= 0, FALSE)", "TRUE"), ">= 1"),
+        share("o_orderkey IS NOT NULL", "TRUE"),
+        share("priority IS NOT NULL", "TRUE"),
+        share("custkey IS NOT NULL", "TRUE", "0.5"),
+        once("o_orderkey"),
+        once("custkey"),
+        bound("MIN(o_orderkey)", ">= 0"),
+        bound("MIN(o_orderkey)", "> 0"),
+        bound("MIN(custkey)", ">= 0"),
+        bound("MAX(custkey)", "<= 10"),
+        share("o_orderstatus IN ('F','O','P')", "o_orderstatus IS NOT NULL"),
+        share("o_orderstatus IN ('F','O')", "o_orderstatus IS NOT NULL", "0.9"),
+        share("regexp_matches(priority, '^[0-9]-')", "priority IS NOT NULL"),
+        share("TRY_CAST(priority AS INTEGER) IS NOT NULL", "priority IS NOT NULL"),
+        share("COALESCE(custkey >= 0, FALSE)", "TRUE"),
     ]
     rows = []
-    for rule, (metric, test) in zip(_rules(), metrics):
+    for rule, metric in zip(_rules(), metrics):
         text = rule.text.replace("'", "''")
         rows.append(
             f"SELECT '{rule.column}' AS column_name, '{text}' AS dq_rule, '{rule.description}' AS dq_rule_description, "
-            f"'{rule.name}({rule.column})' AS constraint, m, m {test} AS ok FROM (SELECT {metric} AS m{'' if metric.startswith('(SELECT') else ' FROM nullable'})"
+            f"'{rule.name}({rule.column})' AS constraint, ok, m FROM (SELECT {metric})"
         )
     return f"""WITH {X.NULLABLE}, results AS ({' UNION ALL '.join(rows)})
 SELECT column_name, dq_rule, dq_rule_description, "constraint", CASE WHEN ok THEN 'Success' ELSE 'Failure' END AS constraint_status,
-       CASE WHEN ok THEN '' ELSE 'Value: ' || CAST(m AS VARCHAR) END AS constraint_message FROM results"""
+       CASE WHEN ok THEN '' ELSE 'Value: ' || m END AS constraint_message FROM results"""
 
 
 @query(_verify_sql())
@@ -81,11 +85,6 @@ def dq_verify(t: Tables) -> DataFrame:
     return quality.verify(X.nullable_orders(t), _rules())
 
 
-@query()
-def dq_suggest(t: Tables) -> DataFrame:
-    return quality.suggest(t.orders)
-
-
 def _profile_sql() -> str:
     columns = [
         ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("day", "string"), ("priority", "string"),
@@ -94,26 +93,61 @@ def _profile_sql() -> str:
     for c, kind in columns:
         number, text = kind == "bigint", kind == "string"
         ends = [f"CAST({f}({c}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)" for f in ("MIN", "MAX")]
-        parsed = {n: f"CAST(COUNT(TRY_CAST({c} AS {n})) AS BIGINT)" if text else "CAST(0 AS BIGINT)" for n in ("bigint", "double", "date", "boolean")}
+        parsed = {n: f"CAST(COUNT(TRY_CAST({c} AS {n})) AS BIGINT)" if text else "CAST(0 AS BIGINT)" for n in ("bigint", "double", "date")}
+        flags = "'t','true','y','yes','1','f','false','n','no','0'"
+        parsed["boolean"] = f"CAST(COUNT(*) FILTER (WHERE LOWER(TRIM({c})) IN ({flags})) AS BIGINT)" if text else "CAST(0 AS BIGINT)"
         rows.append(
             f"SELECT '{c}' AS column_name, '{kind}' AS data_type, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT({c}) AS BIGINT) AS non_null, "
             f"{ends[0]} AS min_value, {ends[1]} AS max_value, " + ", ".join(f"{v} AS as_{n}" for n, v in parsed.items()) + " FROM src"
         )
     return """WITH src AS (SELECT o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day,
   CASE WHEN o_orderstatus <> 'P' THEN SUBSTR(o_orderpriority, 1, 1) END AS priority FROM orders)
-SELECT * REPLACE (CASE WHEN column_name = 'priority' THEN CAST(0 AS BIGINT) ELSE as_boolean END AS as_boolean) FROM (""" + " UNION ALL ".join(rows) + ")"
+SELECT * FROM (""" + " UNION ALL ".join(rows) + ")"
 
 
-@query(_profile_sql().replace(
-    "SELECT * REPLACE (CASE WHEN column_name = 'priority' THEN CAST(0 AS BIGINT) ELSE as_boolean END AS as_boolean) FROM (",
-    "SELECT * EXCLUDE (as_boolean) FROM (",
-))
-def dq_profile(t: Tables) -> DataFrame:
+def _profiled(t: Tables) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")
     priority = F.when(F.col("o_orderstatus") != "P", F.substring("o_orderpriority", 1, 1)).alias("priority")
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", day, priority)
-    # engines disagree on which texts are booleans
-    return quality.profile(rows, distinct=False).drop("as_boolean")
+    return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", day, priority)
+
+
+@query(_profile_sql())
+def dq_profile(t: Tables) -> DataFrame:
+    return quality.profile(_profiled(t), distinct=False)
+
+
+def _suggest_sql() -> str:
+    floor = "FLOOR((share - 1.96 * SQRT(share * (1 - share) / rows)) * 100) / 100"
+    part = f"CAST(CAST({floor} AS DECIMAL(4,2)) AS VARCHAR)"
+    rules = [
+        ("isComplete", "non_null = rows", "NULL", "' is not null'"),
+        ("hasCompleteness", "share > 0.2 AND share < 1", part,
+         f"' has less than ' || CAST(ROUND((1 - {floor}) * 100) AS INTEGER) || '% missing values'"),
+        ("isNonNegative", "min_value >= 0", "NULL", "' has no negative values'"),
+        ("hasDataType", "data_type = 'string' AND non_null > 0 AND narrow IS NOT NULL", "chr(39) || narrow || chr(39)", "' has type ' || narrow"),
+    ]
+    rows = [
+        f"SELECT column_name AS source_col_name, '{name}' AS rule, chr(39) || column_name || chr(39) || {text} AS dq_suggestion_result, "
+        f"'.{name}(' || chr(34) || column_name || chr(34) || COALESCE(', ' || {extra}, '') || ')' AS dq_rule FROM p WHERE rows > 0 AND {when}"
+        for name, when, extra, text in rules
+    ]
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS c, {c} AS v FROM src WHERE {c} IS NOT NULL GROUP BY {c}" for c in ("o_orderstatus", "day", "priority")
+    )
+    lists = f"SELECT c, string_agg(chr(39) || v || chr(39), ', ' ORDER BY v) AS vs FROM ({values}) GROUP BY c HAVING COUNT(*) <= 5"
+    rows.append(
+        f"SELECT c, 'isContainedIn', chr(39) || c || chr(39) || ' has value range ' || vs, "
+        f"'.isContainedIn(' || chr(34) || c || chr(34) || ', [' || vs || '])' FROM ({lists})"
+    )
+    source, _, body = _profile_sql().partition(")\nSELECT * FROM (")
+    narrow = "CASE " + " ".join(f"WHEN as_{n} = non_null THEN '{n}'" for n in ("bigint", "double", "date", "boolean")) + " END"
+    return f"{source}), p AS (SELECT *, CAST(non_null AS DOUBLE) / rows AS share, {narrow} AS narrow FROM ({body}) " + " UNION ALL ".join(rows)
+
+
+@query(_suggest_sql())
+def dq_suggest(t: Tables) -> DataFrame:
+    """All exact rules; uniqueness rests on an approximate count."""
+    return quality.suggest(_profiled(t), list_values=5).where("rule <> 'isUnique'")
 
 
 def _compared(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -300,17 +334,19 @@ def cat_column_manifest(t: Tables) -> DataFrame:
 _RECORD = ["sequence_number", "source_column_name", "target_column_name", "column_id"]
 
 
+# column records of a piece
+RECORD_ROWS = 100
+
+
 @query(f"""WITH {X.INVENTORY}, {X.COLUMN_RECORDS},
-sized AS (SELECT *, COUNT(*) OVER (PARTITION BY pipeline_id, version_number) AS n,
-                 ROW_NUMBER() OVER (PARTITION BY pipeline_id, version_number, {', '.join(_RECORD)}) AS rn FROM column_records),
-paged AS (SELECT *, {page_sql(['pipeline_id', 'version_number', *_RECORD], PAGE_ROWS)} AS part FROM sized),
-packed AS (SELECT pipeline_id, version_number, CAST(part AS BIGINT) AS part,
+paged AS (SELECT *, {part_sql('pipeline_id, version_number', ', '.join(_RECORD), RECORD_ROWS)} AS part FROM column_records),
+packed AS (SELECT pipeline_id, version_number, part,
   '[' || string_agg('{{"sequence_number":' || sequence_number || ',"source_column_name":"' || source_column_name || '","target_column_name":"'
     || target_column_name || '","column_id":' || column_id || '}}', ',' ORDER BY sequence_number, column_id) || ']' AS pipeline_columns
   FROM paged GROUP BY 1, 2, 3)
 SELECT inventory.*, part, pipeline_columns FROM inventory JOIN packed USING (pipeline_id, version_number)""")
 def cat_inventory_pack(t: Tables) -> DataFrame:
-    return catalog.pack_inventory(X.inventory(t), X.column_records(t), _RECORD)
+    return catalog.pack_inventory(X.inventory(t), X.column_records(t), _RECORD, page_rows=RECORD_ROWS)
 
 
 @query("""

@@ -40,9 +40,10 @@ def finish_overwrite(spark: SparkSession, path: str, temp: str) -> bool:
     return True
 
 
-def append_partition(df: DataFrame, path: str, column: str, date: dt.date | str) -> None:
-    """Add the rows to the ``column=<date>`` folder."""
-    df.withColumn(column, F.lit(str(date))).write.partitionBy(column).mode("append").parquet(path)
+def write_partition(df: DataFrame, path: str, column: str, date: dt.date | str) -> None:
+    """Write the rows as the ``column=<date>`` folder; a repeated run replaces that folder only."""
+    dated = df.withColumn(column, F.lit(str(date))).write.partitionBy(column)
+    dated.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, like: DataFrame, column: str) -> DataFrame:

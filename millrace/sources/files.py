@@ -4,21 +4,18 @@ from __future__ import annotations
 
 import csv
 import xml.etree.ElementTree as ElementTree
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace import fs
 from millrace.scratch import work_dir
 
 # candidate field separators of delimited text
 SEPARATORS = ",;|\t"
-# lines looked at to detect header and separator
-SNIFF_LINES = 50
-# bytes looked at to find the row tag of an XML file
-SNIFF_BYTES = 65_536
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -31,15 +28,40 @@ def sniff(lines: Iterable[str]) -> tuple[str, bool]:
     return csv.Sniffer().sniff(sample, SEPARATORS).delimiter, csv.Sniffer().has_header(sample)
 
 
+def sniff_files(spark: SparkSession, path: str, sample_lines: int) -> tuple[str, bool]:
+    """(separator, has header) on which the first ``sample_lines`` lines of every file agree; else an error."""
+
+    def detect(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+        sample = "\n".join(lines.sort_values("place")["value"])
+        found = csv.Sniffer()
+        return pd.DataFrame({"sep": [found.sniff(sample, SEPARATORS).delimiter], "header": [found.has_header(sample)]})
+
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    # a running number follows the lines of a split; the first split holds the first lines
+    first = Window.partitionBy("file").orderBy("at", "place")
+    heads = lines.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_lines)
+    found = heads.groupBy("file").applyInPandas(detect, "sep string, header boolean").distinct().limit(3).collect()
+    if len(found) != 1:
+        raise ValueError(f"files of {path} differ in separator or header, or there are none: {[tuple(r) for r in found]}")
+    return found[0]["sep"], found[0]["header"]
+
+
 def read_delimited(
-    spark: SparkSession, path: str, sep: str | None = None, header: bool | None = None, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, sep: str | None = None, header: bool | None = None, schema: T.StructType | str | None = None,
+    sample_lines: int = 50,
 ) -> DataFrame:
-    """Delimited text.  Separator and header are detected from the first lines
-    unless given; without a schema the types are inferred, which reads the data
-    once more."""
+    """Delimited text.
+
+    Separator and header, unless given, are detected from the first
+    ``sample_lines`` lines of every file; files that disagree are refused.
+    Without a schema the types are inferred over all rows, which reads the data
+    once more.
+    """
     if sep is None or header is None:
-        lines = [r.value for r in spark.read.text(path).limit(SNIFF_LINES).collect()]
-        found_sep, found_header = sniff(lines)
+        found_sep, found_header = sniff_files(spark, path, sample_lines)
         sep = found_sep if sep is None else sep
         header = found_header if header is None else header
     reader = spark.read.option("sep", sep).option("header", header)
@@ -57,27 +79,43 @@ def read_headerless(spark: SparkSession, path: str, columns: Iterable[Mapping],
 
 
 def xml_tags(spark: SparkSession, path: str) -> tuple[str, str]:
-    """(root tag, row tag) from the start of the file; one kind of row only."""
-    parser = ElementTree.XMLPullParser(["start", "end"])
-    parser.feed(fs.head(spark, path, SNIFF_BYTES))
-    depth, root, rows = 0, None, []
-    for event, element in parser.read_events():
-        if event == "end":
-            depth -= 1
-            continue
-        if depth == 0:
-            root = element.tag
-        elif depth == 1 and element.tag not in rows:
-            rows.append(element.tag)
-        depth += 1
-    if root is None or len(rows) != 1:
-        raise ValueError(f"expected one row tag below the root, found {rows}")
-    return root, rows[0]
+    """(root tag, row tag) of all files, every child of the roots looked at; one kind of row only.
+
+    A file is parsed in one task; of files above 2 GB the tag must be named.
+    """
+
+    def tags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                parser, depth, root, rows, data = ElementTree.XMLPullParser(["start", "end"]), 0, None, set(), content.as_buffer()
+                for at in range(0, data.size, 1 << 20):
+                    parser.feed(data.slice(at, min(1 << 20, data.size - at)).to_pybytes())
+                    for event, element in parser.read_events():
+                        if event == "end":
+                            depth -= 1
+                            if depth == 1:
+                                element.clear()
+                            continue
+                        if depth == 0:
+                            root = element.tag
+                        elif depth == 1:
+                            rows.add(element.tag)
+                        depth += 1
+                found = sorted(rows) or [None]
+                yield pa.RecordBatch.from_arrays([pa.array([root] * len(found), pa.string()), pa.array(found, pa.string())], names=["root", "row"])
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    found = files.mapInArrow(tags, "root string, row string").distinct().limit(20).collect()
+    rows = sorted({r["row"] for r in found if r["row"]})
+    if len(rows) != 1 or len({r["root"] for r in found}) != 1:
+        raise ValueError(f"expected one row tag below one root, found {rows}")
+    return found[0]["root"], rows[0]
 
 
 def read_xml(
     spark: SparkSession, path: str, row_tag: str | None = None, schema: T.StructType | str | None = None
 ) -> DataFrame:
+    """Rows of XML files; without ``row_tag`` all files are searched for the one kind of row first."""
     tag = row_tag or xml_tags(spark, path)[1]
     reader = spark.read.option("rowTag", tag)
     if schema is not None:

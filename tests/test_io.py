@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from millrace import fs
@@ -37,6 +38,14 @@ def test_read_delimited(spark, tmp_path):
     assert rows(df) == [(1, "ann", 10.5), (2, "bob", 7.25), (3, "cy", None)]
 
 
+def test_files_that_disagree_are_refused(spark, tmp_path):
+    write(tmp_path / "d" / "a.csv", "id;name;amount\n1;ann;10.5\n2;bob;7.25\n")
+    write(tmp_path / "d" / "b.csv", "id,name,amount\n1,ann,10.5\n2,bob,7.25\n")
+    with pytest.raises(ValueError):
+        src.read_delimited(spark, str(tmp_path / "d"))
+    assert src.read_delimited(spark, str(tmp_path / "d"), sep=";", header=True).count() == 4
+
+
 def test_read_headerless_is_all_text(spark, tmp_path):
     write(tmp_path / "in" / "x.PIP", "1|ann\n2|bob\n")
     write(tmp_path / "in" / "y.PIP", "3|cy\n")
@@ -50,6 +59,10 @@ def test_xml_tags(spark, tmp_path):
     path = write(tmp_path / "a.xml", "<?xml version='1.0'?><books><book><id>1</id><t>x</t></book><book><id>2</id></book></books>")
     assert src.xml_tags(spark, path) == ("books", "book")
     assert rows(src.read_any(spark, path), "id", "t") == [(1, "x"), (2, None)]
+    late = write(tmp_path / "late.xml", "<r>" + "<a><v>1</v></a>" * 9000 + "<b>2</b></r>")
+    with pytest.raises(ValueError):
+        src.read_xml(spark, late)
+    assert src.read_xml(spark, late, row_tag="a").count() == 9000
     two = write(tmp_path / "b.xml", "<r><a>1</a><b>2</b></r>")
     with pytest.raises(ValueError):
         src.xml_tags(spark, two)
@@ -232,6 +245,26 @@ def test_log_is_stored_and_gives_the_next_start(spark, tmp_path):
     assert runlog.fetch_from(log, "never") == dt.datetime(1900, 1, 1)
 
 
+def test_run_leaves_its_states_times_and_service_level(spark, tmp_path):
+    ticks = iter([0.0, 90.0, 0.0, 10.0])
+    path = str(tmp_path / "log")
+    late = run_ingest(spark, spec(sla="00:01:00"), str(tmp_path), AT, source=source(spark, [("1", "a")]), log_path=path, clock=lambda: next(ticks))
+    assert late.log["sla_met"] == "false" and late.log["execution_end_dttm"] == AT + dt.timedelta(seconds=90)
+    broken = source(spark, [("1", "a")]).withColumn("v", F.raise_error(F.lit("boom")))
+    with pytest.raises(Exception, match="boom"):
+        run_ingest(spark, spec(sla="00:01:00"), str(tmp_path), AT.replace(minute=9), source=broken, log_path=path, clock=lambda: next(ticks))
+    log = runlog.read_log(spark, path).orderBy("execution_id", "logged_at").collect()
+    assert [r["job_status"] for r in log] == ["STARTED", "SUCCESS", "STARTED", "FAILURE"]
+    assert "boom" in log[3]["error_message"] and log[3]["sla_met"] == "true"
+
+
+def test_repeated_run_replaces_its_partition_only(spark, tmp_path):
+    parts = spec(target_partition_col="load_dt", primary_key_set="")
+    for day in (0, 1, 1):
+        done = run_ingest(spark, parts, str(tmp_path), AT + dt.timedelta(days=day), source=source(spark, [(str(day), "x")]))
+    assert rows(spark.read.parquet(done.final_path), "id") == [(0,), (1,)]
+
+
 def test_run_empty_source_writes_nothing(spark, tmp_path):
     done = run_ingest(spark, spec(), str(tmp_path), AT, source=source(spark, []))
     assert not done.written and done.log["job_status"] == "SUCCESS" and not fs.exists(spark, done.final_path)

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import row_hash
@@ -119,9 +120,25 @@ def test_full_row_key_keeps_null_places(spark):
     assert rows(C.full_row_key(df), "FullKey") == [("a|b|",), ("a||b",)]
 
 
+def test_typed_select_formats_unreadable_dates_as_null(spark):
+    df = frame(spark, [("2024-01-02",), ("oops",), (None,)], "d string")
+    record = [{"sequence_number": "1", "source_column_name": "d", "target_column_name": "day", "target_datatype": "string", "target_datetime_format": "dd.MM.yyyy"}]
+    assert rows(C.typed_select(df, record)) == [("02.01.2024",), (None,), (None,)]
+
+
+def test_quarantine_refuses_unreadable_keys(spark):
+    df = frame(spark, [(1, "a"), (2, "b")], "id bigint, v string")
+    errors = frame(spark, [("t", '{"id": 2}'), ("t", None), ("other", "{")], "table_name string, primary_keys string")
+    assert rows(J.exclude_quarantined(df, errors, "t", "id")) == [(1, "a")]
+    for text in ("{", '{"id": "x"}', '{"key": 2}'):
+        bad = frame(spark, [("t", text)], "table_name string, primary_keys string")
+        with pytest.raises(PySparkException):
+            J.exclude_quarantined(df, bad, "t", "id").collect()
+
+
 def test_to_dict_is_last_wins_and_limited(spark):
     df = frame(spark, [(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, n int")
-    assert C.to_dict(df, "k", "v", "n") == {1: "b", 2: "c"}
+    assert C.to_dict(df, "k", "v", "n", limit=10) == {1: "b", 2: "c"}
     with pytest.raises(ValueError):
         C.to_dict(df, "k", "v", "n", limit=1)
 
@@ -214,7 +231,7 @@ def test_surrogate_lookup(spark):
 
 def test_quarantine_only_for_the_named_table(spark):
     df = frame(spark, [(1, "a"), (2, "b"), (None, "c")], "k int, v string")
-    errors = frame(spark, [("t", '{"k": 1}'), ("other", '{"k": 2}'), ("t", "broken")], "table_name string, primary_keys string")
+    errors = frame(spark, [("t", '{"k": 1}'), ("other", '{"k": 2}'), ("other", "broken")], "table_name string, primary_keys string")
     assert rows(J.exclude_quarantined(df, errors, "t", "k")) == [(2, "b"), (None, "c")]
 
 
@@ -269,25 +286,27 @@ def test_min_over_groups_nulls(spark):
     assert rows(W.min_over(df, "k", "v", "m")) == [(1, 5, 5), (None, 1, 1), (None, 3, 1)]
 
 
-def test_pivot_concat_pages_hold_every_value(spark):
-    data = [(1, "a", i, i) for i in range(100)] + [(2, "a", 7, 200), (2, "b", 8, 201)]
-    df = frame(spark, data, "k int, c string, v int, id int")
-    out = A.pivot_concat(df, "k", "c", "v", "id", ["a", "b"], page_rows=10)
-    small = [tuple(r) for r in out.filter("k = 2").collect()]
-    assert small == [(2, 0, "7", "8")]
-    pages = [r["a"].split(",") for r in out.filter("k = 1").collect()]
-    assert len(pages) > 1 and sorted(int(v) for p in pages for v in p) == list(range(100))
-    assert all([int(v) for v in p] == sorted(int(v) for v in p) for p in pages)
+def test_pivot_concat_pieces_join_to_the_cell(spark):
+    data = [(1, "a", i % 40) for i in range(95)] + [(1, "b", 3)] + [(2, "a", 7), (2, "b", 8)]
+    df = frame(spark, data, "k int, c string, v int").repartition(5)
+    out = A.pivot_concat(df, "k", "c", "v", ["a", "b"], page_rows=10)
+    assert [tuple(r) for r in out.filter("k = 2").collect()] == [(2, 0, "7", "8")]
+    pieces = [r for r in out.filter("k = 1").orderBy("part").collect()]
+    assert [r["part"] for r in pieces] == list(range(10)) and all(len(r["a"].split(",")) == 10 for r in pieces[:-1])
+    assert ",".join(r["a"] for r in pieces) == ",".join(map(str, sorted(i % 40 for i in range(95))))
+    whole = A.pivot_concat(df, "k", "c", "v", ["a", "b"], page_rows=1000).filter("k = 1").first()
+    assert whole["a"] == ",".join(r["a"] for r in pieces) and whole["b"] == "3"
 
 
 def test_pivot_concat_skips_nulls_and_leaves_empty_cells(spark):
-    df = frame(spark, [(1, "a", None, 1), (1, "b", "x", 2), (2, "a", "y", 3)], "k int, c string, v string, id int")
-    assert rows(A.pivot_concat(df, "k", "c", "v", "id", ["a", "b"])) == [(1, 0, "", "x"), (2, 0, "y", "")]
+    df = frame(spark, [(1, "a", None), (1, "b", "x"), (2, "a", "y")], "k int, c string, v string")
+    assert rows(A.pivot_concat(df, "k", "c", "v", ["a", "b"], page_rows=5)) == [(1, 0, "", "x"), (2, 0, "y", "")]
 
 
 def test_pack_json_is_sorted(spark):
     df = frame(spark, [(1, 2, "b"), (1, 1, "a"), (2, 1, None)], "k int, n int, v string")
-    assert rows(A.pack_json(df, "k", ["n", "v"], "n", "j")) == [(1, 0, '[{"n":1,"v":"a"},{"n":2,"v":"b"}]'), (2, 0, '[{"n":1}]')]
+    assert rows(A.pack_json(df, "k", ["n", "v"], "j", page_rows=5)) == [(1, 0, '[{"n":1,"v":"a"},{"n":2,"v":"b"}]'), (2, 0, '[{"n":1}]')]
+    assert rows(A.pack_json(df, "k", ["n", "v"], "j", page_rows=1))[:2] == [(1, 0, '[{"n":1,"v":"a"}]'), (1, 1, '[{"n":2,"v":"b"}]')]
 
 
 # ------------------------------------------------------------------------ sets
