@@ -29,18 +29,7 @@ FAILURE = "FAILURE"
 NUMBER_TYPES = ("int", "decimal")
 STRING_TYPES = ("char", "varchar", "varchar2", "string")
 
-# domain names shown in the catalogue
-COMMUNITIES = {
-    "esg": "DataLake_ESG",
-    "oem": "DataLake_OEM",
-    "external": "DataLake_External",
-    "finance": "DataLake_Finance",
-    "cross": "DataLake_Cross",
-    "reference": "DataLake_Reference",
-    "ratings": "DataLake_Ratings",
-}
-
-# catalogue label of each base type in the feed of raw tables
+# fixed values: catalogue label of each base type in the feed of raw tables
 TYPE_LABELS = {
     "timestamp": "Date Time",
     "datetime": "Date Time",
@@ -57,5 +46,5 @@ TYPE_LABELS = {
     "double": "Decimal Number",
 }
 
-# the feed of processed tables leaves these names as they are
+# fixed values: the feed of processed tables leaves these names as they are
 UNLABELLED_PROCESSED = ("varchar", "char", "smallint", "double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +45,16 @@ def _feed(df: DataFrame, asset: str, domain: str, values: dict[str, Column]) ->
     return df.select(*[filled.get(c, F.lit("")).cast("string").alias(c) for c in FEED_COLUMNS])
 
 
-def raw_feed(inventory: DataFrame, columns: DataFrame, classification: DataFrame, environment: str) -> DataFrame:
-    """One *Table* row per published table and one *Column* row per column."""
-    active = map_labels(active_published(inventory), "domain_name")
-    active = select_environment(active, "target_environments", environment)
+def raw_feed(
+    inventory: DataFrame, columns: DataFrame, classification: DataFrame, environment: str, *, labels: Mapping[str, str], prefix: str
+) -> DataFrame:
+    """One *Table* row per published table and one *Column* row per column.
+
+    ``labels`` names the communities of the domains, ``prefix`` the store.  Columns
+    of unpublished tables and repeated ones go before the classification is joined.
+    """
+    active = map_labels(active_published(inventory), "domain_name", labels)
+    active = select_environment(active, "target_environments", environment, prefix=prefix)
     table = F.concat_ws("", "target_file_name", "target_table_name")
     active = active.select(
         "pipeline_id", "domain_name", "pipeline_desc", "location", table.alias("table_name")
@@ -56,10 +62,12 @@ def raw_feed(inventory: DataFrame, columns: DataFrame, classification: DataFrame
     described = columns.select(
         "column_id", "pipeline_id", "target_column_name", F.lower("target_datatype").alias("datatype"),
         "target_length", "target_precision", "target_datetime_format",
-    ).join(classification.select("column_id", "classification_level", "business_description"), "column_id", "left")
+    )
     rows = described.join(active, "pipeline_id").drop("pipeline_id")
     # the smallest column id survives when a table lists a column twice
     rows = first_per_group(rows, ["domain_name", "table_name", "target_column_name"], ["column_id"])
+    known = classification.select("column_id", "classification_level", "business_description")
+    rows = rows.join(first_per_group(known, "column_id", "classification_level"), "column_id", "left")
     # both kinds of feed rows are made from these
     rows = stage(rows.fillna({"classification_level": "INTERNAL", "target_length": "0"}), "feed")
 
@@ -90,9 +98,9 @@ def raw_feed(inventory: DataFrame, columns: DataFrame, classification: DataFrame
     return table_rows.unionByName(column_rows)
 
 
-def processed_feed(events: DataFrame) -> DataFrame:
-    """Feed of the stored tables, from the closing lineage events of all domains."""
-    final = map_labels(events.filter(F.col("transformation_func_nm") == "Final"), "domain_name")
+def processed_feed(events: DataFrame, *, labels: Mapping[str, str]) -> DataFrame:
+    """Feed of the stored tables, from the closing lineage events of all domains; ``labels`` as in ``raw_feed``."""
+    final = map_labels(events.filter(F.col("transformation_func_nm") == "Final"), "domain_name", labels)
     table_rows = _feed(final, "Table", "Processed", {
         "Full Name": F.lower("target_tables"),
         "Name": F.lower("target_tables"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import names
-from millrace.functions.constants import COMMUNITIES, NO_VALUE_TEXTS
+from millrace.functions.constants import NO_VALUE_TEXTS
 from millrace.functions.types import label_by, present, safe_cast, target_type, type_label
 from millrace.operators.windows import number_rows
 
@@ -198,7 +198,7 @@ def evolve_to(target: DataFrame, schema: T.StructType, extra: Sequence[str] = ()
     return target.select(*aligned, *extra)
 
 
-def map_labels(df: DataFrame, column: str, labels: Mapping[str, str] = COMMUNITIES) -> DataFrame:
+def map_labels(df: DataFrame, column: str, labels: Mapping[str, str]) -> DataFrame:
     """Replace known values by their label, keep the others."""
     return df.withColumn(column, label_by(F.col(column), labels, F.col(column)))
 
@@ -246,7 +246,8 @@ def select_environment(
     column: str,
     environment: str,
     name: str = "location",
-    prefix: str = "s3://",
+    *,
+    prefix: str,
     suffix: str = "/data/final",
     bucket_field: str = "target_bucket_name",
 ) -> DataFrame:

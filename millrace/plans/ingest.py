@@ -54,7 +54,8 @@ def source_query(spec: Ingestion, since: dt.datetime | None, until: dt.datetime)
     if not spec.change_times:
         return plain
     dialect = spec.source.get("source_database_type", "")
-    return f"{plain} where {incremental_predicate(spec.change_times, since, until, dialect)}"
+    zone = spec.source.get("source_time_zone") or None
+    return f"{plain} where {incremental_predicate(spec.change_times, since, until, dialect, zone)}"
 
 
 def read_source(

@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.constants import COMMUNITIES, TYPE_LABELS
 from millrace.functions.hashing import row_hash
 from millrace.operators import columns as C
 from millrace.operators import filters
@@ -156,14 +155,11 @@ def prj_schema_evolve(t: Tables) -> DataFrame:
     return C.evolve_to(stored, source.schema, ["start_note"])
 
 
-def _case(mapping: dict, column: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
-    return f"CASE {column} {whens} ELSE {column} END"
-
-
-@query(f"WITH {X.INVENTORY} SELECT pipeline_id, {_case(COMMUNITIES, 'domain_name')} AS domain_name FROM inventory")
+@query(f"""WITH {X.INVENTORY}
+SELECT pipeline_id, CASE domain_name WHEN 'finance' THEN 'Money' WHEN 'ratings' THEN 'Grades' WHEN 'reference' THEN 'Lists' ELSE domain_name END
+  AS domain_name FROM inventory""")
 def prj_label_map(t: Tables) -> DataFrame:
-    return C.map_labels(X.inventory(t).select("pipeline_id", "domain_name"), "domain_name")
+    return C.map_labels(X.inventory(t).select("pipeline_id", "domain_name"), "domain_name", X.LABELS)
 
 
 _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
@@ -173,7 +169,8 @@ _NAMES = dict(zip(_TYPES, ["bigint", "decimal(12,2)", "datetime", "varchar(30)",
 @query(f"""
 WITH r AS (SELECT p_partkey, CASE p_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _NAMES.items())} ELSE 'boolean' END AS kind FROM part),
 b AS (SELECT p_partkey, kind, regexp_replace(kind, '\\(.*$', '') AS base FROM r)
-SELECT p_partkey, CASE base {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPE_LABELS.items())} ELSE kind END AS kind FROM b""")
+SELECT p_partkey, CASE base WHEN 'bigint' THEN 'Whole Number' WHEN 'decimal' THEN 'Decimal Number' WHEN 'datetime' THEN 'Date Time'
+  WHEN 'varchar' THEN 'Text' WHEN 'boolean' THEN 'True/False' ELSE kind END AS kind FROM b""")
 def prj_type_labels(t: Tables) -> DataFrame:
     return C.label_types(t.part.select("p_partkey", X.cases("p_type", _NAMES, "boolean").alias("kind")), "kind")
 
@@ -207,7 +204,7 @@ def prj_distinct_values(t: Tables) -> DataFrame:
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS pipeline_id, 's3://prd-' || o_orderstatus || '/data/final' AS location FROM orders")
 def prj_select_environment(t: Tables) -> DataFrame:
-    rows = C.select_environment(X.inventory(t), "target_environments", "PROD")
+    rows = C.select_environment(X.inventory(t), "target_environments", "PROD", prefix="s3://")
     return rows.select("pipeline_id", "location")
 
 

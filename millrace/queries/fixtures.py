@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from millrace.queries.registry import Tables
 
+# community labels of the domains
+LABELS = {"finance": "Money", "ratings": "Grades", "reference": "Lists"}
+
 
 def cases(column: str, mapping: dict, default=None) -> Column:
     result = None

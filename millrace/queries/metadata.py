@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.constants import COMMUNITIES, TYPE_LABELS
 from millrace.operators import catalog, lineage, quality, runlog
 from millrace.operators import columns as C
 from millrace.operators.joins import left_join
@@ -266,15 +265,16 @@ def lin_spark_sql(t: Tables) -> DataFrame:
 # ------------------------------------------------------------------- catalogue
 
 
-def _label(column: str, mapping: dict) -> str:
-    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + f" ELSE {column} END"
-
-
+_DOMAIN = "CASE domain_name WHEN 'finance' THEN 'Money' WHEN 'ratings' THEN 'Grades' WHEN 'reference' THEN 'Lists' ELSE domain_name END"
+_KIND = """CASE datatype WHEN 'timestamp' THEN 'Date Time' WHEN 'datetime' THEN 'Date Time' WHEN 'date' THEN 'Date' WHEN 'string' THEN 'Text'
+  WHEN 'varchar' THEN 'Text' WHEN 'char' THEN 'Text' WHEN 'int' THEN 'Whole Number' WHEN 'bigint' THEN 'Whole Number'
+  WHEN 'smallint' THEN 'Whole Number' WHEN 'boolean' THEN 'True/False' WHEN 'decimal' THEN 'Decimal Number'
+  WHEN 'bigdecimal' THEN 'Decimal Number' WHEN 'double' THEN 'Decimal Number' ELSE datatype END"""
 _ORDER = "column_id, datatype, target_length NULLS FIRST, target_precision NULLS FIRST, target_datetime_format NULLS FIRST"
 
 
 @query(f"""WITH {X.INVENTORY}, {X.COLUMN_RECORDS},
-inv AS (SELECT pipeline_id, {_label('domain_name', COMMUNITIES)} AS domain_name, pipeline_desc, target_file_name AS table_name,
+inv AS (SELECT pipeline_id, {_DOMAIN} AS domain_name, pipeline_desc, target_file_name AS table_name,
                's3://dev-' || SUBSTR(app_name, 5) || '/data/final' AS location
         FROM inventory WHERE active = 'true' AND status = 'published'),
 cls AS (SELECT p_partkey AS column_id, p_type AS classification_level, p_name AS business_description FROM part WHERE p_type <> 'PROMO'),
@@ -288,18 +288,18 @@ SELECT table_name AS "Full Name", table_name AS "Name", domain_name AS "Communit
        '' AS "is part of [Table] > Domain" FROM (SELECT DISTINCT domain_name, table_name, pipeline_desc, location FROM filled)
 UNION ALL
 SELECT target_column_name || ' > ' || table_name, target_column_name, domain_name, 'Physical Data Dictionary', 'Raw', 'Column',
-       {_label('datatype', TYPE_LABELS)}, target_precision, len, cl, '', target_datetime_format, business_description, table_name,
+       {_KIND}, target_precision, len, cl, '', target_datetime_format, business_description, table_name,
        target_column_name || ' > ' || table_name, domain_name, 'Raw' FROM filled""")
 def cat_raw_feed(t: Tables) -> DataFrame:
     classified = t.part.filter(F.col("p_type") != "PROMO").select(
         F.col("p_partkey").alias("column_id"), F.col("p_type").alias("classification_level"),
         F.col("p_name").alias("business_description"),
     )
-    return catalog.raw_feed(X.inventory(t), X.column_records(t), classified, "dev")
+    return catalog.raw_feed(X.inventory(t), X.column_records(t), classified, "dev", labels=X.LABELS, prefix="s3://")
 
 
 @query("""
-WITH f AS (SELECT 'T' || p_partkey AS tgt, CASE p_type WHEN 'ECONOMY' THEN 'DataLake_Finance' WHEN 'PROMO' THEN 'DataLake_Ratings' ELSE 'lab' END AS dom,
+WITH f AS (SELECT 'T' || p_partkey AS tgt, CASE p_type WHEN 'ECONOMY' THEN 'Money' WHEN 'PROMO' THEN 'Grades' ELSE 'lab' END AS dom,
                   's3://x/' || p_brand AS path FROM part),
 c AS (SELECT tgt, dom, 'Id' AS col, 'Whole Number' AS kind FROM f
       UNION ALL SELECT tgt, dom, 'price', 'Decimal Number' FROM f UNION ALL SELECT tgt, dom, 'seen', 'Date Time' FROM f)
@@ -322,7 +322,7 @@ def cat_processed_feed(t: Tables) -> DataFrame:
     events = done.withColumn("transformation_func_nm", F.lit("Final")).unionByName(
         done.withColumn("transformation_func_nm", F.lit("rename"))
     )
-    return catalog.processed_feed(events)
+    return catalog.processed_feed(events, labels=X.LABELS)
 
 
 @query()

@@ -20,6 +20,7 @@ class Dialect:
     driver: str
     query_as_table: bool = False
     ssl: tuple[tuple[str, str], ...] = ()
+    unverified: tuple[tuple[str, str], ...] = ()
     truncate: bool = False
 
 
@@ -30,21 +31,27 @@ DIALECTS = {
     "postgres": Dialect(
         "jdbc:postgresql://{host}:{port}/{dbname}",
         "org.postgresql.Driver",
-        ssl=(("ssl", "True"), ("sslmode", "require"), ("sslfactory", "org.postgresql.ssl.NonValidatingFactory")),
+        ssl=(("ssl", "true"), ("sslmode", "verify-full")),
+        unverified=(("ssl", "true"), ("sslmode", "require"), ("sslfactory", "org.postgresql.ssl.NonValidatingFactory")),
         truncate=True,
     ),
     "sybase": Dialect("jdbc:sybase:Tds:{host}:{port}/{dbname}?", "com.sybase.jdbc4.jdbc.SybDriver"),
     "sqlserver": Dialect(
         "jdbc:sqlserver://{host}:{port};databaseName={dbname}",
         "com.microsoft.sqlserver.jdbc.SQLServerDriver",
-        ssl=(("encrypt", "true"), ("trustServerCertificate", "true")),
+        ssl=(("encrypt", "true"), ("trustServerCertificate", "false")),
+        unverified=(("encrypt", "true"), ("trustServerCertificate", "true")),
     ),
     "mysql": Dialect("jdbc:mysql://{host}:{port}/{dbname}", "com.mysql.jdbc.Driver"),
 }
 
 
 def connection_options(dialect: str, connection: Mapping[str, str]) -> dict[str, str]:
-    """URL, driver and login; SSL settings where the host asks for them."""
+    """URL, driver and login.
+
+    ``ssl`` in the connection asks for an encrypted and verified one; only
+    ``ssl_unverified`` leaves the server's certificate unchecked.
+    """
     kind = DIALECTS[dialect.lower()]
     options = {
         "url": connection.get("url") or kind.url.format(**connection),
@@ -54,7 +61,9 @@ def connection_options(dialect: str, connection: Mapping[str, str]) -> dict[str,
         options["user"] = connection["username"]
     if "password" in connection:
         options["password"] = connection["password"]
-    if "rds" in connection.get("host", "") or connection.get("ssl"):
+    if connection.get("ssl_unverified"):
+        options.update(kind.unverified)
+    elif connection.get("ssl"):
         options.update(kind.ssl)
     return options
 

@@ -168,9 +168,10 @@ def test_lookup_query():
 
 
 def test_jdbc_ssl_and_truncate():
-    cloud = {**HOST, "host": "x.rds.example.com"}
-    assert jdbc.connection_options("postgres", cloud)["sslmode"] == "require"
-    assert jdbc.connection_options("sqlserver", cloud)["encrypt"] == "true"
+    assert "sslmode" not in jdbc.connection_options("postgres", {**HOST, "host": "x.rds.example.com"})
+    assert jdbc.connection_options("postgres", {**HOST, "ssl": True})["sslmode"] == "verify-full"
+    assert jdbc.connection_options("sqlserver", {**HOST, "ssl": True})["trustServerCertificate"] == "false"
+    assert jdbc.connection_options("sqlserver", {**HOST, "ssl_unverified": True})["trustServerCertificate"] == "true"
     assert jdbc.write_options("postgres", HOST, "t")["truncate"] == "true"
     assert "truncate" not in jdbc.write_options("oracle", HOST, "t")
 
@@ -211,7 +212,7 @@ def test_source_query():
     table = spec(source_table_name="s.t")
     assert source_query(table, since, until) == "select id, v from s.t"
     timed = spec(source_table_name="s.t", cdc_timestamp_key="['ts']")
-    assert source_query(timed, None, until).endswith("where ts between '1900-01-01 00:00:00' and '2024-01-02 00:00:00'")
+    assert source_query(timed, None, until).endswith("where (ts >= '1900-01-01 00:00:00' AND ts <= '2024-01-02 00:00:00')")
     given = spec(source_query="select * from t where x between '{}' and '{}'", source_table_name="s.t")
     assert source_query(given, since, until) == "select * from t where x between '2024-01-01 00:00:00' and '2024-01-02 00:00:00'"
     assert source_query(given, None, until) == "select id, v from s.t"

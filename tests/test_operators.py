@@ -146,7 +146,7 @@ def test_to_dict_is_last_wins_and_limited(spark):
 def test_select_environment_ignores_case_and_takes_the_last(spark):
     text = '[{"environment_name":"Dev","target_bucket_name":"a"},{"environment_name":"DEV","target_bucket_name":"b"}]'
     df = frame(spark, [(text,), ("[]",), (None,)], "envs string")
-    assert rows(C.select_environment(df, "envs", "dev"), "location") == [("s3://b/data/final",), (None,), (None,)]
+    assert rows(C.select_environment(df, "envs", "dev", prefix="s3://"), "location") == [("s3://b/data/final",), (None,), (None,)]
 
 
 def test_type_labels_use_the_base_type(spark):
@@ -178,10 +178,15 @@ def test_incremental_filter_is_inclusive_and_starts_at_1900(spark):
 def test_incremental_predicate_per_dialect():
     a, b = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3, 4, 5)
     assert L.incremental_predicate(["x", "y"], a, b) == (
-        "x between '2024-01-01 00:00:00' and '2024-01-02 03:04:05' or y between '2024-01-01 00:00:00' and '2024-01-02 03:04:05'"
+        "(x >= '2024-01-01 00:00:00' AND x <= '2024-01-02 03:04:05') OR (y >= '2024-01-01 00:00:00' AND y <= '2024-01-02 03:04:05')"
     )
-    assert "at time zone 'America/New_York' between '2024" in L.incremental_predicate(["x"], a, b, "postgres")
-    assert "to_timestamp('1900-01-01 00:00:00','yyyy-MM-dd hh24:mi:ss')" in L.incremental_predicate(["x"], None, b, "oracle")
+    assert L.incremental_predicate(["x"], None, b, "oracle") == (
+        "(x >= TIMESTAMP '1900-01-01 00:00:00' AND x <= TIMESTAMP '2024-01-02 03:04:05')"
+    )
+    zoned = L.incremental_predicate(["x"], a, b, "postgres", "Europe/Paris")
+    assert zoned.startswith("((x AT TIME ZONE 'Europe/Paris') >= TIMESTAMP '2024-01-01 00:00:00' AND")
+    with pytest.raises(ValueError):
+        L.incremental_predicate(["x"], a, b, "sybase", "Europe/Paris")
 
 
 def test_delete_by_key_keeps_null_keys(spark):

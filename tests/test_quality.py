@@ -141,11 +141,11 @@ def test_processed_feed_from_recorded_events(spark):
     df = spark.createDataFrame([(1, 2.5, AT)], "Id int, price double, at timestamp_ntz").withColumn("d", F.lit(1).cast("decimal(9,2)"))
     log = lineage.LineageLog("job", "esg")
     log.finish(df, "Final_T", "/data/t", AT)
-    feed = catalog.processed_feed(log.to_frame(spark))
+    feed = catalog.processed_feed(log.to_frame(spark), labels={"esg": "Climate"})
     assert feed.columns == list(catalog.FEED_COLUMNS)
     got = rows(feed.filter("`Asset Type` = 'Column'"), "Name", "Data Type", "Community")
-    assert got == [("at", "timestamp_ntz", "DataLake_ESG"), ("d", "Decimal Number", "DataLake_ESG"),
-                   ("id", "Whole Number", "DataLake_ESG"), ("price", "double", "DataLake_ESG")]
+    assert got == [("at", "timestamp_ntz", "Climate"), ("d", "Decimal Number", "Climate"),
+                   ("id", "Whole Number", "Climate"), ("price", "double", "Climate")]
 
 
 def test_column_manifest(spark):
