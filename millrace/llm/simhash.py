@@ -179,7 +179,9 @@ def bucket_links(buckets: DataFrame, radius: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    return buckets.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(link, schema)
+    # comparing costs more than the rows' size tells: a number, so that tasks aren't put together by it
+    tasks = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return buckets.repartition(tasks, "mask", "key").sortWithinPartitions("mask", "key").mapInArrow(link, schema)
 
 
 def chain_end(batches: Iterator) -> Iterator:
@@ -201,15 +203,17 @@ def find_links(known: DataFrame, radius: int) -> DataFrame:
     last level a bucket holds a few fingerprints at most.
     """
     spark = known.sparkSession
-    masks, members, links = [0], known.select(F.lit(0).cast("bigint").alias("mask"), "fp"), None
+    masks, members, links = [0], known.select("fp"), None
     while True:
         pairs = [(signed(m), signed(child)) for m in masks for child in agreeing_masks(m, radius)]
         if not pairs:
             return links
-        schema = T.StructType([T.StructField("mask", T.LongType()), T.StructField("child", T.LongType())])
-        children = spark.createDataFrame(pairs, schema)
-        children = children.groupBy("mask").agg(F.collect_list("child").alias("children"))
-        level = members.join(children, "mask").select(F.explode("children").alias("mask"), "fp").distinct()
+        if masks == [0]:
+            level = members.select(F.explode(F.array(*[F.lit(child) for _, child in pairs])).alias("mask"), "fp")
+        else:
+            schema = T.StructType([T.StructField("mask", T.LongType()), T.StructField("child", T.LongType())])
+            children = spark.createDataFrame(pairs, schema).groupBy("mask").agg(F.collect_list("child").alias("children"))
+            level = members.join(children, "mask").select(F.explode("children").alias("mask"), "fp").distinct()
         level = stage(level.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))), "simhash-buckets").select("mask", "key", "fp")
         hot = stage(level.groupBy("mask", "key").count().where(F.col("count") > BUCKET_ROWS).drop("count"), "simhash-hot")
         masks = list({child & FULL for _, child in pairs})

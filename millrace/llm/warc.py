@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import struct
 from collections.abc import Iterator
 
@@ -22,6 +23,9 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEK_MAGIC = 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 
+#: Frames that one task reads, about.
+FRAMES_PER_TASK = 16
+
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -253,7 +257,9 @@ def read_archives(index: DataFrame, folder: str, *, with_payload: bool = True) -
         kinds = {"page_id": pa.int64(), "refers_to": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], kinds.get(n, pa.string())) for n in names], names=names)
 
-    spread = index.repartition("archive", "frame").sortWithinPartitions("archive", "frame_at", "record_at")
+    # the index is small and the frames are large: a number, so that tasks aren't put together by its size
+    tasks = max(1, math.ceil(index.select("archive", "frame").distinct().count() / FRAMES_PER_TASK))
+    spread = index.repartition(tasks, "archive", "frame").sortWithinPartitions("archive", "frame_at", "record_at")
     return spread.mapInArrow(read, schema)
 
 
