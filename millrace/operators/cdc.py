@@ -14,6 +14,7 @@ from millrace.functions.hashing import row_hash
 from millrace.operators.columns import evolve_to
 from millrace.operators.sets import complement
 from millrace.operators.windows import assign_sequence, number_rows
+from millrace.scratch import stage
 
 
 def unique_rows(
@@ -114,9 +115,15 @@ def scd2_initial(
     start: str = "start_dt",
     end: str = "end_dt",
     open_end: dt.date = OPEN_END,
+    one_per_key: bool = False,
 ) -> DataFrame:
-    """First load of a type 2 dimension: numbered rows, all open."""
-    numbered = assign_sequence(source, key, sequence)
+    """First load of a type 2 dimension: numbered rows, all open.
+
+    ``one_per_key`` says that no key repeats: the rows are numbered as they are,
+    without a join back from the distinct keys.
+    """
+    number = number_rows if one_per_key else assign_sequence
+    numbered = number(source.drop(sequence), key, sequence)
     return numbered.withColumns({start: F.lit(as_of), end: F.lit(open_end)})
 
 
@@ -147,6 +154,9 @@ def scd2_merge(
     that day) and opens a new one with the same number and parent id; equal
     rows and history stay.  Open rows whose key left the source are dropped,
     kept or closed as ``on_missing`` says.
+
+    Source and open rows meet once; the pairs are stored, and only the inserts
+    among them are numbered.
     """
     if on_missing not in ("drop", "keep", "close"):
         raise ValueError("on_missing must be 'drop', 'keep' or 'close'")
@@ -162,18 +172,14 @@ def scd2_merge(
         fixed.add(parent_id)
     hashed = [c for c in columns if c not in fixed]
 
-    last = aligned.agg(F.coalesce(F.max(sequence), F.lit(0)).alias("_last")).first()["_last"]
-    fresh_keys = incoming.select(*keys).distinct().join(current.select(*keys), keys, "left_anti")
-    numbers = number_rows(fresh_keys, keys, "_number", start=int(last))
-
     clean = unique_rows(incoming.drop(sequence), keys, on_duplicate, order_by)
     old = _with_hash(current, hashed, "_old_hash", legacy_hash).select(
         *keys, "_old_hash", F.struct(*[F.col(f"`{c}`") for c in aligned.columns]).alias("_old")
     )
-    new = _with_hash(clean.join(numbers, keys, "left"), hashed, "_new_hash", legacy_hash).select(
-        *keys, "_new_hash", "_number", F.struct(*[F.col(f"`{c}`") for c in columns if c != sequence]).alias("_new")
+    new = _with_hash(clean, hashed, "_new_hash", legacy_hash).select(
+        *keys, "_new_hash", F.struct(*[F.col(f"`{c}`") for c in columns if c != sequence]).alias("_new")
     )
-    pairs = old.join(new, keys, "full_outer")
+    pairs = stage(old.join(new, keys, "full_outer"), "scd2-pairs")
 
     def version(number: Column, parent: Column | None) -> Column:
         parts = []
@@ -188,15 +194,17 @@ def scd2_merge(
     closing = F.when(F.col(f"_old.{start}") == F.lit(as_of), F.lit(as_of)).otherwise(F.date_sub(F.lit(as_of), 1))
     closed = F.col("_old").withField(end, closing)
     opened = version(F.col(f"_old.`{sequence}`"), F.col(f"_old.`{parent_id}`") if parent_id else None)
-    inserted = version(F.col("_number"), None)
     gone = {"drop": F.array().cast(pairs.select(F.array(kept)).schema[0].dataType), "keep": F.array(kept), "close": F.array(closed)}
     outcome = (
-        F.when(F.col("_old").isNull(), F.array(inserted))
-        .when(F.col("_new").isNull(), gone[on_missing])
+        F.when(F.col("_new").isNull(), gone[on_missing])
         .when(F.col("_old_hash") == F.col("_new_hash"), F.array(kept))
         .otherwise(F.array(closed, opened))
     )
-    return pairs.select(F.explode(outcome).alias("_row")).select("_row.*").unionByName(history)
+    known = pairs.filter(F.col("_old").isNotNull()).select(F.explode(outcome).alias("_row")).select("_row.*")
+    last = aligned.agg(F.coalesce(F.max(sequence), F.lit(0)).alias("_last")).first()["_last"]
+    fresh = pairs.filter(F.col("_old").isNull()).select(*keys, "_new")
+    fresh = number_rows(fresh, keys, "_number", start=int(last)).select(version(F.col("_number"), None).alias("_row")).select("_row.*")
+    return known.unionByName(fresh).unionByName(history)
 
 
 def classify_changes(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators.cdc import scd2_initial, scd2_merge, unique_rows
 from millrace.operators.joins import exclude_quarantined, propagate_parent_id
-from millrace.scratch import stage
 
 
 @dataclass(frozen=True)
@@ -38,8 +37,8 @@ def scd2_chain(
     """Load the levels in order; each child takes its parent's surrogate.
 
     A level without target is loaded for the first time.  Quarantined keys leave
-    the source first.  Every level is stored once, as the next one and the
-    caller both read it.
+    the source first.  The rows of a level are stored while they are numbered or
+    compared, so the next level and the caller read that and not the source again.
     """
     done: dict[str, DataFrame] = {}
     parent: Level | None = None
@@ -56,12 +55,12 @@ def scd2_chain(
         target = (targets or {}).get(level.name)
         if target is None:
             clean = unique_rows(source, level.key, level.on_duplicate, level.order_by)
-            result = scd2_initial(clean, level.key, level.sequence, as_of)
+            result = scd2_initial(clean, level.key, level.sequence, as_of, one_per_key=True)
         else:
             result = scd2_merge(
                 target, source, level.key, level.sequence, as_of, on_missing, parent_id,
                 on_duplicate=level.on_duplicate, order_by=level.order_by, legacy_hash=legacy_hash,
             )
-        done[level.name] = stage(result, f"scd2-{level.name}")
+        done[level.name] = result
         parent = level
     return done

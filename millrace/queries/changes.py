@@ -120,9 +120,10 @@ CHAIN = (
 )
 
 
-def chain_sources(t: Tables, later: bool) -> dict[str, DataFrame]:
+def chain_sources(t: Tables, later: bool, new_lines: bool = False) -> dict[str, DataFrame]:
     """Day one: the tables as they are.  Later: one segment of the customers and
-    one priority of the orders changed, orders of another priority came twice."""
+    one priority of the orders changed, orders of another priority came twice;
+    with ``new_lines`` every line came again under the copied order's key."""
     raised = F.when(F.col("c_mktsegment") == "BUILDING", "CHANGED").otherwise(F.col("c_mktsegment"))
     customers = t.customer.select("c_name", "c_custkey", (raised if later else F.col("c_mktsegment")).alias("c_mktsegment"))
     orders = t.orders.select(
@@ -138,6 +139,9 @@ def chain_sources(t: Tables, later: bool) -> dict[str, DataFrame]:
     lines = t.lineitem.select(
         F.concat(number, F.lit("-"), "l_linenumber").alias("line_no"), "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"
     )
+    if new_lines:
+        again = lines.withColumns({"line_no": F.concat("line_no", F.lit("-N")), "l_orderkey": -F.col("l_orderkey") - 1})
+        lines = lines.unionByName(again)
     return {"customer": customers, "orders": orders, "lineitem": lines}
 
 

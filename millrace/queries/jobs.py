@@ -342,6 +342,30 @@ def _aggregate_origin(t: Tables, status: str) -> DataFrame:
     )
 
 
+@query(_CHAIN_SQL + """,
+open_copies AS (
+  SELECT o_orderkey, (SELECT MAX(order_sk) FROM ord_numbered) + DENSE_RANK() OVER (ORDER BY order_no) AS order_sk
+  FROM ord_copies WHERE o_orderstatus <> 'P'),
+again AS (
+  SELECT line_no || '-N' AS line_no, -l_orderkey - 1 AS l_orderkey, l_partkey, l_suppkey, l_shipdate,
+         (SELECT MAX(line_sk) FROM line_numbered) + DENSE_RANK() OVER (ORDER BY line_no || '-N') AS line_sk FROM one_line)
+SELECT line_no, l_orderkey, l_partkey, l_suppkey, l_shipdate, CAST(line_sk AS BIGINT) AS line_sk, CAST(order_sk AS BIGINT) AS order_sk,
+       DATE '2024-01-01' AS start_dt, DATE '2999-12-31' AS end_dt
+FROM line_numbered LEFT JOIN (SELECT o_orderkey, order_sk FROM ord_numbered) ON o_orderkey = l_orderkey
+UNION ALL SELECT line_no, l_orderkey, l_partkey, l_suppkey, l_shipdate, CAST(line_sk AS BIGINT), CAST(order_sk AS BIGINT),
+       DATE '2024-02-01', DATE '2999-12-31' FROM again LEFT JOIN open_copies ON o_orderkey = l_orderkey""")
+def job_scd2_chain_second_run(t: Tables) -> DataFrame:
+    """Second run of all three levels: changed and new parents reach the lines, quarantined orders stay out."""
+    first = scd2_chain(CHAIN, chain_sources(t, False), dt.date(2024, 1, 1))
+    number = F.concat(F.lit("O"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.lit("-N"))
+    bad = (F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderstatus") == "P")
+    errors = t.orders.select(
+        F.when(bad, "orders").otherwise("none").alias("table_name"), F.to_json(F.struct(number.alias("order_no"))).alias("primary_keys")
+    )
+    sources = chain_sources(t, True, new_lines=True)
+    return scd2_chain(CHAIN, sources, dt.date(2024, 2, 1), targets=first, errors=errors, on_missing="keep")["lineitem"]
+
+
 def _crosswalk(t: Tables) -> tuple[DataFrame, DataFrame]:
     # sizes up to ten match nothing
     number = F.when(F.col("p_size") > 10, F.col("p_partkey")).otherwise(-F.col("p_partkey") - 1)
