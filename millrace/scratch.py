@@ -9,9 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace import fs
+
+_SCOPE: ContextVar[str] = ContextVar("millrace_scope", default="")
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -28,7 +35,24 @@ def shared_root(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other call returns."""
-    return f"{shared_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    return f"{shared_root(spark)}/millrace/{scope}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove everything staged inside when the block ends.
+
+    Results have to be written before that: frames built inside read the staged
+    tables.  Blocks may be nested; each removes its own.
+    """
+    scope = f"{_SCOPE.get()}scope-{uuid.uuid4().hex}/"
+    token = _SCOPE.set(scope)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        fs.delete(spark, f"{shared_root(spark)}/millrace/{scope}")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

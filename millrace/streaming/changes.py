@@ -72,10 +72,14 @@ def apply_batch(
 
     The merged buckets are stored under the epoch first.  When the same epoch is
     delivered again, a completed copy is reused, so a crash during the final
-    write loses nothing.  A bucket left without rows keeps an empty file.
+    write loses nothing.  A bucket left without rows keeps an empty file.  Copies
+    of earlier epochs go: a new epoch begins only after they were committed.
     """
     spark = batch.sparkSession
     keys = names(keys)
+    for name in fs.children(spark, staging):
+        if name.startswith("epoch=") and int(name[len("epoch="):]) < epoch:
+            fs.delete(spark, f"{staging.rstrip('/')}/{name}")
     staged = f"{staging.rstrip('/')}/epoch={epoch}"
     if not fs.committed(spark, staged):
         if batch.isEmpty():

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from conftest import rows
 
-from millrace import fs
+from millrace import fs, scratch
 from millrace.operators import runlog
 from millrace.operators.runlog import log_rows
 from millrace.plans.config import Ingestion, as_list, environment_settings
@@ -344,6 +344,20 @@ def test_batch_merge_is_repeatable_and_empties_buckets(spark, tmp_path):
     for _ in range(2):  # the same epoch delivered again
         stream.apply_batch(gone, 0, path, staging, "k", target.schema, 4, "op")
     assert rows(stream.read_bucketed(spark, path, target.schema)) == [(99, "n")]
+    stream.apply_batch(target.limit(1).withColumn("op", F.lit("INS")), 1, path, staging, "k", target.schema, 4, "op")
+    assert fs.children(spark, staging) == ["epoch=1"]
+
+
+def test_staged_tables_leave_with_their_scope(spark):
+    with scratch.staging(spark):
+        outer = scratch.stage(spark.range(5), "outer")
+        with scratch.staging(spark):
+            inner = scratch.stage(outer.withColumn("x", F.lit(1)), "inner")
+            kept = inner.collect()
+        paths = [f.inputFiles()[0].rsplit("/", 1)[0] for f in (outer, inner)]
+        assert fs.exists(spark, paths[0]) and not fs.exists(spark, paths[1])
+    assert len(kept) == 5 and not fs.exists(spark, paths[0])
+    assert "scope-" not in scratch.work_dir(spark, "later")
 
 
 def test_batch_without_indicator_keeps_the_latest(spark, tmp_path):
