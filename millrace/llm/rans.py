@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import struct
 import sys
 import types
+import unicodedata
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +31,8 @@ CHECKPOINT = "<QQII"
 END = "<III4s"
 BLOCK_IDS = 1 << 18
 LANES = 1024
+#: Blocks that one task decodes, about.
+BLOCKS_PER_TASK = 16
 
 MANIFEST = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("file", T.StringType()),
@@ -137,38 +142,60 @@ def unpack_block(data: bytes, tables) -> tuple[list[int | None], np.ndarray, np.
 
 
 class WordTokens:
-    """Token ids of texts by a tokenizer that never joins text across white space.
+    """Token ids of texts by a tokenizer that splits at white space, contractions, digits and other signs.
 
-    Every distinct word goes through the tokenizer once and is then kept, up to
-    ``limit`` words; the ids are those of the whole text.
+    Every distinct run of letters (or signs) goes through the tokenizer's model
+    once; runs and words are then kept, up to ``limit`` of each.  Words beyond
+    plain Latin, not in composed form, or with special tokens take the whole
+    tokenizer.  The ids are those of the whole text.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
-        from tokenizers import Tokenizer
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+    def __init__(self, path: str, limit: int = 600_000):
+        import regex
+        from tokenizers import Tokenizer
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words, many at once: one text of them all, cut by the tokens' offsets."""
-        texts = [w.decode() for w in words]
-        found = self.tokenizer.encode("\n".join(texts), add_special_tokens=False)
-        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-        begins = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
-        cuts = [0, *np.searchsorted(begins, ends, side="left").tolist()]
-        ids = np.array(found.ids, "<u4").tobytes()
-        return {w: ids[4 * a: 4 * b] for w, a, b in zip(words, cuts, cuts[1:])}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.model, self.runs = self.tokenizer.model, {}
+        self.cut = regex.compile(self.SPLIT).findall
+        self.plain = regex.compile(r"[!-~¡-¬®-įı-ɏ]+").fullmatch
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # the byte-level alphabet: printable Latin bytes stand for themselves, the others follow from 256 on
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.signs = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in own)}
+        tokens = self
+
+        class Words(dict):
+            def __missing__(self, word: bytes) -> bytes:
+                found = tokens.word_ids(word.decode())
+                if len(self) < tokens.limit:
+                    self[word] = found
+                return found
+
+        self.words = Words()
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def word_ids(self, word: str) -> bytes:
+        composed = word.isascii() or unicodedata.is_normalized("NFC", word)
+        if not composed or not self.plain(word) or any(t in word for t in self.special):
+            return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return b"".join([self.runs.get(run) or self.run_ids(run) for run in self.cut(word.lower())])
+
+    def run_ids(self, run: str) -> bytes:
+        signs = run if run.isascii() else "".join([self.signs[b] for b in run.encode()])
+        found = self.packed([t.id for t in self.model.tokenize(signs)])
+        if len(self.runs) < self.limit:
+            self.runs[run] = found
+        return found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The texts' ids as little-endian 32-bit numbers."""
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words}.difference(self.known))
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = list({w for words in split for w in words})
-        for k in range(0, len(new), 20_000):
-            self.known.update(self.learn(new[k: k + 20_000]))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        """The texts' ids as little-endian numbers of ``kind``."""
+        get = self.words.__getitem__
+        return [b"".join(map(get, t.split())) for t in texts]
 
 
 def worker_tokens(path: str) -> WordTokens:
@@ -179,28 +206,57 @@ def worker_tokens(path: str) -> WordTokens:
     return shelf.tokens
 
 
-def token_batches(batch: pa.RecordBatch, column: int, tokens: WordTokens, end: bytes, size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
-    """(first row, ids with the end id) of pieces of a batch of about ``size`` bytes of text."""
-    texts, held, first, total = batch.column(column).cast(pa.binary()), [], 0, 0
-    for k, text in enumerate(texts):
-        held.append(text.as_py() or b"")
-        total += len(held[-1])
-        if total >= size:
-            yield first, [ids + end for ids in tokens.encode(held)]
-            held, first, total = [], k + 1, 0
-    if held:
-        yield first, [ids + end for ids in tokens.encode(held)]
+def token_blocks(docs: DataFrame, identity: Column, text: Column, tokenizer: str, end_id: int, block_ids: int) -> DataFrame:
+    """Stored (part, block, names, lengths, ids): compressed ids of whole documents in ascending order of the id.
+
+    The texts are exchanged once, by range; every text is encoded once.
+    """
+    kinds = {"part": pa.int32(), "block": pa.int32(), "names": pa.list_(pa.int64()), "lengths": pa.list_(pa.int64()), "ids": pa.binary()}
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, part, packer = worker_tokens(tokenizer), TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3)
+        end, width = np.array([end_id], tokens.kind).tobytes(), np.dtype(tokens.kind).itemsize
+        names, found, size, count = [], [], 0, 0
+
+        def block() -> pa.RecordBatch:
+            row = [part, count, names, [len(f) // width for f in found], packer.compress(b"".join(found))]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds.values())], names=list(kinds))
+
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
+            for name, body in zip(ids, texts):
+                piece = tokens.encode([body.as_py() or b""])[0] + end
+                if size and size + len(piece) // width > block_ids:
+                    yield block()
+                    names, found, size, count = [], [], 0, count + 1
+                names.append(name)
+                found.append(piece)
+                size += len(piece) // width
+        if found:
+            yield block()
+
+    long = T.LongType()
+    schema = T.StructType([
+        T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("names", T.ArrayType(long)),
+        T.StructField("lengths", T.ArrayType(long)), T.StructField("ids", T.BinaryType()),
+    ])
+    chosen = docs.select(identity.cast("bigint").alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("at"))
+    ordered = chosen.repartitionByRange("id", "at").sortWithinPartitions("id", "at").select("id", "text")
+    return stage(ordered.mapInArrow(encode, schema), "token-blocks")
+
+
+def id_width(tokenizer: str) -> str:
+    return WordTokens(tokenizer).kind
 
 
-def count_ids(docs: DataFrame, text: Column, make: Callable[[], WordTokens], end_id: int) -> np.ndarray:
+def count_ids(blocks: DataFrame, kind: str) -> np.ndarray:
     """How often every id occurs in the whole corpus; one sum per task and id is exchanged."""
-    end = struct.pack("<I", end_id)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = make(), np.zeros(0, np.int64)
+        unpacker, counts = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
         for batch in batches:
-            for _, found in token_batches(batch, 0, tokens, end):
-                more = np.bincount(np.frombuffer(b"".join(found), "<u4"))
+            for packed in batch.column(0):
+                more = np.bincount(np.frombuffer(unpacker.decompress(packed.as_py()), kind))
                 if len(more) < len(counts):
                     more, counts = counts, more
                 more[: len(counts)] += counts
@@ -209,8 +265,8 @@ def count_ids(docs: DataFrame, text: Column, make: Callable[[], WordTokens], end
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(counts[used].astype(np.int64))], names=["id", "n"])
 
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType())])
-    sums = docs.select(text.alias("text")).mapInArrow(count, schema).groupBy("id").agg(F.sum("n").alias("n"))
-    found = sums.toArrow()  # one row per id of the vocabulary at most
+    found = blocks.select("ids").mapInArrow(count, schema).groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    # one row per id of the vocabulary at most
     counts = np.zeros(int(max(found["id"].to_pylist(), default=0)) + 1, np.int64)
     counts[found["id"].to_numpy()] = found["n"].to_numpy()
     return counts
@@ -226,52 +282,45 @@ def write_tokens(
 
     Null ids come first, null texts have the end id alone, repeated rows are
     written each.  The frequency table counts the whole corpus and is shared by
-    all files.  A range partition of the documents becomes one file of blocks of
-    whole documents, about ``block_ids`` ids each (a longer document has its own);
-    its footer and the manifest are the checkpoints at which decoding can start.
-    Files that the manifest doesn't name belong to lost attempts.
+    all files.  Blocks hold whole documents, about ``block_ids`` ids (a longer
+    document has its own); a file holds a run of neighbouring blocks.  Its footer
+    and the manifest are the checkpoints at which decoding can start.  Files that
+    the manifest doesn't name belong to lost attempts.
     """
-    freq = scaled_frequencies(count_ids(docs, text, lambda: worker_tokens(tokenizer), end_id))
+    kind = id_width(tokenizer)
+    blocks = token_blocks(docs, identity, text, tokenizer, end_id, block_ids)
+    freq = scaled_frequencies(count_ids(blocks, kind))
     files, root = open_folder(folder)
     files.create_dir(root, recursive=True)
-    with files.open_output_stream(f"{root}/frequencies") as out:
+    with files.open_output_stream(f"{root}/frequencies", compression=None) as out:
         out.write(freq.astype("<u4").tobytes())
-    check, end = zlib.crc32(freq.astype("<u4").tobytes()), struct.pack("<I", end_id)
+    check = zlib.crc32(freq.astype("<u4").tobytes())
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, tables, part = worker_tokens(tokenizer), coder_tables(freq), TaskContext.get().partitionId()
-        out, rows, names, found, size, place = None, [], [], [], 0, 0
-
-        def flush() -> None:
-            nonlocal names, found, size, place
-            ids = np.frombuffer(b"".join(found), "<u4")
-            data = pack_block(names, [len(f) // 4 for f in found], ids, place, tables)
-            rows.append((part, len(rows), out.name, out.write(data), len(data), len(names), len(ids)))
-            place += len(ids)
-            names, found, size = [], [], 0
+    def finish(out: TaskFile, rows: list[tuple]) -> pa.RecordBatch:
+        points = b"".join(struct.pack(CHECKPOINT, r[3], r[4], r[5], r[6]) for r in rows)
+        out.write(points + struct.pack(END, len(rows), BITS, check, END_MAGIC))
+        out.close()
+        kinds = [pa.int32(), pa.int32(), pa.string()] + [pa.int64()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=MANIFEST.names)
 
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, unpacker, out, rows, place = coder_tables(freq), zstandard.ZstdDecompressor(), None, [], 0
         for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            for first, pieces in token_batches(batch, 1, tokens, end):
+            for part, block, names, lengths, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                if out is not None and (part, block) != (rows[-1][0], rows[-1][1] + 1):
+                    yield finish(out, rows)
+                    out = None
                 if out is None:
-                    out = TaskFile(folder, ".rans")
+                    out, rows, place = TaskFile(folder, ".rans"), [], 0
                     out.write(FILE_MAGIC + struct.pack("<II", BITS, check))
-                for k, piece in enumerate(pieces):
-                    if size and size + len(piece) // 4 > block_ids:
-                        flush()
-                    names.append(doc_ids[first + k])
-                    found.append(piece)
-                    size += len(piece) // 4
+                ids = np.frombuffer(unpacker.decompress(packed), kind)
+                data = pack_block(names, lengths, ids, place, tables)
+                rows.append((part, block, out.name, out.write(data), len(data), len(names), len(ids)))
+                place += len(ids)
         if out is not None:
-            flush()
-            out.write(b"".join(struct.pack(CHECKPOINT, r[3], r[4], r[5], r[6]) for r in rows) + struct.pack(END, len(rows), BITS, check, END_MAGIC))
-            out.close()
-            schema = [pa.int32(), pa.int32(), pa.string()] + [pa.int64()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema)], names=MANIFEST.names)
+            yield finish(out, rows)
 
-    chosen = docs.select(identity.cast("bigint").alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("at"))
-    ordered = chosen.repartitionByRange("id", "at").sortWithinPartitions("id", "at").select("id", "text")
-    return stage(ordered.mapInArrow(write, MANIFEST), "rans-manifest")
+    return stage(blocks.mapInArrow(write, MANIFEST), "rans-manifest")
 
 
 def read_checkpoints(stream, size: int) -> list[tuple[int, int, int, int]]:
@@ -326,8 +375,9 @@ def read_tokens(manifest: DataFrame, folder: str, *, with_ids: bool = True) -> D
                     columns.append(pa.array([bytes(p) for p in pieces], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    spread = block_starts(manifest).repartition("file", "block")
-    return spread.mapInArrow(read, schema)
+    # the rows are few and the work is large: a number, so that they aren't put together by their size
+    tasks = max(1, math.ceil(manifest.count() / BLOCKS_PER_TASK))
+    return block_starts(manifest).repartition(tasks, "file", "block").mapInArrow(read, schema)
 
 
 def token_folder(docs: DataFrame) -> str:
