@@ -16,20 +16,23 @@ def number_rows(
 ) -> DataFrame:
     """Global ``row_number`` over ``order_by``, which must identify a row.
 
-    The rows are range partitioned and staged with their bucket number; each
-    bucket is ranked on its own and shifted by the sizes of the buckets before
-    it.  Only the bucket sizes (one row per bucket) meet in a single task.
+    The rows are range partitioned, sorted and staged with their bucket and their
+    place in it, so one exchange numbers them and a sort may spill; each bucket is
+    shifted by the sizes of the buckets before it.  Only those sizes (one row per
+    bucket) meet in a single task.
     """
     keys = names(order_by)
     count = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stage(df.repartitionByRange(count, *keys).withColumn("_bucket", F.spark_partition_id()), "numbered")
+    # the upper bits number the partition, the lower ones its rows in order
+    running = F.monotonically_increasing_id()
+    places = {"_bucket": F.shiftright(running, 33), "_place": running.bitwiseAND(F.lit((1 << 33) - 1))}
+    ranged = stage(df.repartitionByRange(count, *keys).sortWithinPartitions(*keys).withColumns(places), "numbered")
     sizes = ranged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
-    numbered = ranged.withColumn("_rank", inside).join(shifts, "_bucket")
+    numbered = ranged.join(shifts, "_bucket")
     first = F.lit(start) if isinstance(start, int) else start
-    return numbered.select(*df.columns, (F.col("_rank") + F.col("_shift") + first).cast("bigint").alias(name))
+    return numbered.select(*df.columns, (F.col("_place") + 1 + F.col("_shift") + first).cast("bigint").alias(name))
 
 
 def number_keys(df: DataFrame, key: str | Sequence[str], name: str, start: int | Column = 0, buckets=None) -> DataFrame:
