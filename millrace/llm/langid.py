@@ -64,14 +64,19 @@ class TextModel:
 
 
 def fit_text_model(docs: DataFrame, text: Column, label: Column, identity: Column, rows_per_language: int = 500, least_rows: int = 5) -> TextModel:
-    """Trigram counts of a bounded sample of labelled rows: the ``rows_per_language`` with the smallest hash of each label.
+    """Trigram counts of a bounded sample of labelled rows: the ``rows_per_language`` with the smallest id hash of each label.
 
     Labels with fewer than ``least_rows`` rows in the sample are no languages.
     """
     labelled = docs.select(label.cast("string").alias("label"), identity.alias("id"), text.alias("text"))
     labelled = labelled.where("label IS NOT NULL AND id IS NOT NULL AND text <> ''")
-    order = Window.partitionBy("label").orderBy(F.md5(F.concat(F.lit("fit:"), F.col("id").cast("string"))))
-    chosen = labelled.select("label", "id").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows_per_language)
+    hashed = labelled.select("label", "id", F.md5(F.concat(F.lit("fit:"), F.col("id").cast("string"))).alias("hash"))
+    counts = stage(hashed.groupBy(F.col("label").alias("_label")).agg(F.count(F.lit(1)).alias("n")), "language-labels")
+    # about four times the rows wanted, whatever the table's size, are ranked
+    share = F.conv(F.substring("hash", 1, 8), 16, 10).cast("double") / (1 << 32)
+    few = hashed.join(counts, F.col("label") == F.col("_label")).where(share * F.col("n") < 4 * rows_per_language)
+    order = Window.partitionBy("label").orderBy("hash", "id")
+    chosen = few.select("label", "id", "hash").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows_per_language)
     chosen = stage(chosen.select(F.col("label").alias("_label"), F.col("id").alias("_id")), "language-sample")
     sample = labelled.join(chosen, (F.col("label") == F.col("_label")) & (F.col("id") == F.col("_id")))
     sample = sample.groupBy("label", "id").agg(F.min("text").alias("text"))
