@@ -76,9 +76,11 @@ def plan_mix(sized: DataFrame, weights: DataFrame, total: float | None, max_epoc
         .where((F.col("open") > 0) & (F.col("before") < F.col("open")) & (F.col("open") <= F.col("before") + F.col("size")))
         .select("_source", F.col("bucket").alias("_bucket"), "before", "open")
     )
-    rows = sized.groupBy("source", "hash").agg(F.sum("size").alias("size"))
-    inside = rows.join(edge, F.col("source").eqNullSafe(F.col("_source")) & (bucket == F.col("_bucket")))
-    running = Window.partitionBy("source").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    # stored: one row per source, whose size decides how it is joined
+    edge = stage(edge, "mix-edges")
+    inside = sized.join(edge, F.col("source").eqNullSafe(F.col("_source")) & (bucket == F.col("_bucket")))
+    inside = inside.groupBy("_source", "_bucket", "before", "open", "hash").agg(F.sum("size").alias("size"))
+    running = Window.partitionBy("_source").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("before") + F.coalesce(F.sum("size").over(running), F.lit(0)) + F.col("size") / 2
     # the bucket's own digits sort before every hash in it: all rows of earlier buckets, none of this one
     limits = (
