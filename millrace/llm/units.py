@@ -85,7 +85,8 @@ def repeated_units(
     found = stage(units.join(again, known).drop("_high", "_low"), "units-occurrences")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "begins", "at")
     firsts = found.groupBy(F.col("high").alias("_high"), F.col("low").alias("_low")).agg(F.min(rank).alias("first"))
-    later = found.join(firsts, known).where((F.col("at") != F.col("first.at")) | (F.col("begins") != F.col("first.begins")))
+    # stored, so that a hot digest can be split in the join
+    later = found.join(stage(firsts, "units-firsts"), known).where((F.col("at") != F.col("first.at")) | (F.col("begins") != F.col("first.begins")))
     return later.select(
         "id", "at", "begins", "ends", "words", F.col("first.id").alias("first_id"), F.col("first.begins").alias("first_begins")
     )
