@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import open_folder
-from millrace.scratch import work_dir
+from millrace.llm.common import TaskFile, open_folder
+from millrace.scratch import stage, work_dir
 
 #: A-Z to a-z; bytes that are no part of a word to a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -211,30 +210,35 @@ class Phrases:
 def store_phrases(benchmark: DataFrame, identity: Column, text: Column, folder: str) -> list[str]:
     """Write the test items as block files of about ``PHRASE_BYTES`` each; returns their names.
 
-    The items pass through the driver one partition at a time and are never held
-    together; tasks read one block at a time.
+    Tasks write the blocks, and later tasks read them one at a time; the items
+    are never held together.  A file that isn't named belongs to a lost attempt.
     """
-    files, root = open_folder(folder)
-    files.create_dir(root, recursive=True)
-    names, held, size = [], [], 0
-    chosen = benchmark.select(identity.cast("string").alias("id"), text.cast("binary").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    schema = pa.schema([("id", pa.string()), ("text", pa.binary())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def block() -> pa.RecordBatch:
+            out = TaskFile(folder, ".arrow")
+            with pa.ipc.new_stream(out.stream, schema) as writer:
+                writer.write_table(pa.Table.from_batches(held, schema))
+            out.close()
+            return pa.RecordBatch.from_arrays([pa.array([out.name])], names=["name"])
 
-    def flush() -> None:
-        table = pa.table({"id": pa.array([i for i, _ in held], pa.string()), "text": pa.array([t for _, t in held], pa.binary())})
-        name = f"{uuid.uuid4().hex}.arrow"
-        with files.open_output_stream(f"{root}/{name}") as out, pa.ipc.new_stream(out, table.schema) as writer:
-            writer.write_table(table)
-        names.append(name)
-
-    for row in chosen.toLocalIterator():
-        held.append((row["id"], bytes(row["text"])))
-        size += len(held[-1][1])
-        if size >= PHRASE_BYTES:
-            flush()
-            held, size = [], 0
-    if held:
-        flush()
-    return names
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1000):
+                held.append(pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.slice(first, 1000).columns, schema)], schema=schema))
+                size += held[-1].nbytes
+                if size >= PHRASE_BYTES:
+                    yield block()
+                    held, size = [], 0
+        if held:
+            yield block()
+
+    chosen = benchmark.select(identity.cast("string").alias("id"), text.cast("binary").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    # small partitions are put together, so that blocks are few
+    named = stage(chosen.hint("rebalance").mapInArrow(write, "name string"), "phrase-blocks")
+    return [r["name"] for r in named.collect()]
 
 
 def read_phrases(folder: str, name: str, window: int) -> Phrases:
