@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 import struct
 import sys
 import types
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,18 +152,21 @@ class WordTokens:
     tokenizer.  The ids are those of the whole text.
     """
 
-    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    # fixed values: the tokenizer's split, written out for plain Latin text
+    LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+    SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{LETTERS}{DIGITS}]+"
+    PLAIN = "[!-~¡-¬®-įı-ɏ]+"
 
     def __init__(self, path: str, limit: int = 600_000):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.model, self.runs = self.tokenizer.model, {}
-        self.cut = regex.compile(self.SPLIT).findall
-        self.plain = regex.compile(r"[!-~¡-¬®-įı-ɏ]+").fullmatch
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.code = "H" if self.kind == "<u2" else "I"
+        self.cut, self.plain = re.compile(self.SPLIT).findall, re.compile(self.PLAIN).fullmatch
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added) or "(?!)").search
         # the byte-level alphabet: printable Latin bytes stand for themselves, the others follow from 256 on
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.signs = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in own)}
@@ -177,13 +182,19 @@ class WordTokens:
         self.words = Words()
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
 
     def word_ids(self, word: str) -> bytes:
         composed = word.isascii() or unicodedata.is_normalized("NFC", word)
-        if not composed or not self.plain(word) or any(t in word for t in self.special):
+        if not composed or not self.plain(word) or self.special(word):
             return self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        return b"".join([self.runs.get(run) or self.run_ids(run) for run in self.cut(word.lower())])
+        known, lower = self.runs.get, word.lower()
+        if lower.isalpha():
+            return known(lower) or self.run_ids(lower)
+        return b"".join([known(run) or self.run_ids(run) for run in self.cut(lower)])
 
     def run_ids(self, run: str) -> bytes:
         signs = run if run.isascii() else "".join([self.signs[b] for b in run.encode()])
