@@ -12,9 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.common import packed
 from millrace.scratch import stage
 
 SEED = 42
+#: Sets of shingles meet in buckets by BANDS keys of BAND_ROWS minima each: a pair of Jaccard 0.8 misses all with 3 in 100,000.
+BANDS, BAND_ROWS = 20, 4
+#: Bits by which pairs of a bucket may differ before they are compared exactly; at Jaccard 0.8 about 10 do.
+WIDE_RADIUS = 24
 #: Rows compared with one another at once; small buckets share such a block.
 BLOCK_ROWS = 512
 #: Buckets with more fingerprints are cut further by more agreeing bits.
@@ -267,6 +272,167 @@ def group_near_copies(docs: DataFrame, *, identity: Column, text: Column, shingl
     return rows.join(named, F.col("fp") == F.col("_fp")).select("id", "fp", "component_id")
 
 
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """Distinct XXH64 of the runs of ``shingle`` words, sorted; a shorter text is one run, one without words has none."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    last = max(1, len(words) - shingle + 1)
+    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(words[k: k + shingle]), SEED) for k in range(last)], np.uint64))
+
+
+def sketch(shingles: np.ndarray, piece: int = 1 << 13) -> tuple[int, list[int]]:
+    """(SimHash of the set, one key per band of minima); an empty set has no keys."""
+    if not len(shingles):
+        return 0, []
+    factors = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS, 1), dtype=np.uint64)
+    lows, counts = np.full(BANDS * BAND_ROWS, np.uint64(FULL)), np.zeros(64, np.int64)
+    for k in range(0, len(shingles), piece):
+        part = shingles[k: k + piece]
+        lows = np.minimum(lows, ((part ^ factors[0]) * (factors[1] | np.uint64(1))).min(axis=1))
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    fp = sum(1 << int(b) for b in np.flatnonzero(2 * counts > len(shingles)))
+    return signed(fp), [signed(xxhash.xxh64_intdigest(lows[k * BAND_ROWS: (k + 1) * BAND_ROWS].tobytes(), k)) for k in range(BANDS)]
+
+
+def sketches(rows: DataFrame, shingle: int) -> DataFrame:
+    """(number, id, high, low, fp, keys) of rows (number, id, text): the words' 128-bit digest and the sketch of the set."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for t in batch.column(2).cast(pa.binary()):
+                body = t.as_py() or b""
+                digest = xxhash.xxh3_128_intdigest(b" ".join(body.lower().split()))
+                found.append((signed(digest >> 64), signed(digest & FULL), *sketch(shingle_set(body, shingle))))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            added = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *added], names=["number", "id", "high", "low", "fp", "keys"])
+
+    long = T.LongType()
+    added = [T.StructField(n, long) for n in ("high", "low", "fp")] + [T.StructField("keys", T.ArrayType(long))]
+    return rows.mapInArrow(compute, T.StructType(rows.schema.fields[:2] + added))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs (a, b) of numbers whose sets of shingles have a Jaccard similarity of ``least`` or more; ``texts`` is (number, text)."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good, own, mine = [], None, None
+            for a, left, right in zip(batch.column(0).to_pylist(), *(batch.column(k).cast(pa.binary()) for k in (2, 3))):
+                if a != own:
+                    own, mine = a, shingle_set(left.as_py() or b"", shingle)
+                other = shingle_set(right.as_py() or b"", shingle)
+                same = len(np.intersect1d(mine, other, assume_unique=True))
+                good.append(same >= least * (len(mine) + len(other) - same))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    first = texts.select(F.col("number").alias("a"), F.col("text").alias("left"))
+    second = texts.select(F.col("number").alias("b"), F.col("text").alias("right"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "left", "right")
+    return stage(both.mapInArrow(check, T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b")])), "similar-links")
+
+
+def open_pairs(buckets: DataFrame) -> DataFrame:
+    """(a, b): all pairs of a bucket (key, node, fp, root) of different roots and within ``WIDE_RADIUS`` bits.
+
+    The nodes of a bucket's largest component are not compared with one another,
+    so a large group that is linked already costs a pass for each other node only.
+    """
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.zeros(0, np.int64)] * 4
+        for batch in chain_end(batches):
+            new = [np.zeros(0, np.int64)] * 4 if batch is None else [c.to_numpy() for c in batch.columns]
+            key, node, fp, root = (np.concatenate([k, n]) for k, n in zip(kept, new))
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+            end = len(key) if batch is None or not len(starts) else starts[-1]
+            kept = [key[end:], node[end:], fp[end:], root[end:]]
+            bounds = np.append(starts[starts < end], end)
+            for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                n, f, r = node[low:high], fp[low:high].view(np.uint64), root[low:high]
+                values, place, sizes = np.unique(r, return_inverse=True, return_counts=True)
+                bulk = place == sizes.argmax()
+                done = bulk.copy()
+                for k in np.flatnonzero(~bulk).tolist():
+                    # pairs outside the largest component come once, from the later node
+                    near = done & (r != r[k]) & (np.bitwise_count(f ^ f[k]) <= WIDE_RADIUS)
+                    done[k] = True
+                    if near.any():
+                        ends = np.minimum(n[near], n[k]), np.maximum(n[near], n[k])
+                        yield pa.RecordBatch.from_arrays([pa.array(e) for e in ends], names=["a", "b"])
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    tasks = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = buckets.select("key", "node", "fp", "root").repartition(tasks, "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(link, schema).distinct()
+
+
+def similar_links(nodes: DataFrame, texts: DataFrame, shingle: int, least: float, rounds: int = 2) -> DataFrame:
+    """(node, root) of every linked node but the roots, over links of a Jaccard similarity of ``least`` or more.
+
+    First each bucket's nodes meet one pivot, then all pairs that still lie in
+    different components: every pair of a bucket is either compared or linked.
+    """
+    spark = nodes.sparkSession
+    pair = "a bigint, b bigint"
+    links, roots = spark.createDataFrame([], pair), spark.createDataFrame([], "node bigint, root bigint")
+    buckets = nodes.select(F.explode("keys").alias("key"), "node", "fp")
+    shared = buckets.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_key")
+    buckets = stage(buckets.join(shared, F.col("key") == F.col("_key"), "left_semi"), "similar-buckets")
+    tested = links
+    for k in range(rounds + 1):
+        named = buckets.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+        named = named.select("key", "node", "fp", F.coalesce("root", "node").alias("root"))
+        mixed = named.groupBy(F.col("key").alias("_key")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("_key")
+        named = stage(named.join(mixed, F.col("key") == F.col("_key"), "left_semi"), "similar-open")
+        if k < rounds:
+            order = F.struct(F.xxhash64("node", F.lit(k)).alias("hash"), "node", "fp", "root")
+            pivots = stage(named.groupBy(F.col("key").alias("_key")).agg(F.min(order).alias("pivot")), "similar-pivots")
+            near = F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= WIDE_RADIUS
+            found = named.join(pivots, F.col("key") == F.col("_key")).where(near & (F.col("root") != F.col("pivot.root")))
+            found = found.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
+        else:
+            found = open_pairs(named)
+        found = stage(found.join(tested, ["a", "b"], "left_anti"), "similar-pairs")
+        tested = tested.unionByName(found)
+        good = verified(found, texts, shingle, least)
+        links = links.unionByName(good)
+        roots = stars(links)
+    return roots
+
+
+def drop_similar(docs: DataFrame, *, identity: str, text: str, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """One row of every component of texts whose sets of ``shingle`` words have a Jaccard similarity of ``least`` or more.
+
+    Words are those of :func:`group_near_copies`; texts of the same words are
+    copies, also those without any.  The row with the smallest id stays, of equal
+    ids the first, null ids last; the other rows go.  SimHash alone finds such
+    pairs by some 20 bits only, for which agreeing blocks choose nothing: pairs
+    come from buckets of band keys, SimHash leaves out what differs by more than
+    ``WIDE_RADIUS`` bits, and every link is compared exactly.
+    """
+    rows = stage(docs.select(packed(docs), F.monotonically_increasing_id().alias("number")), "similar-rows")
+    own = F.col("row").getField
+    texts = rows.select("number", own(text).alias("text"))
+    known = stage(sketches(rows.select("number", own(identity).alias("id"), own(text).alias("text")), shingle), "similar-sketches")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "number")
+    firsts = stage(known.groupBy("high", "low").agg(F.min(rank).alias("first")).withColumnsRenamed({"high": "_high", "low": "_low"}), "similar-firsts")
+    nodes = known.join(firsts.select(F.col("first.number").alias("node")), F.col("number") == F.col("node")).select("node", "fp", "keys")
+    nodes = stage(nodes, "similar-nodes")
+    roots = similar_links(nodes, texts, shingle, least).withColumnRenamed("node", "_node")
+    rooted = firsts.join(roots, F.col("first.number") == F.col("_node"), "left")
+    rooted = stage(rooted.select("_high", "_low", "first", F.coalesce("root", "first.number").alias("root")), "similar-roots")
+    leads = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("lead"))
+    kept = rooted.join(leads, F.col("root") == F.col("_root")).select("_high", "_low", F.col("lead.number").alias("kept"))
+    kept = stage(kept, "similar-kept")
+    same = (F.col("high") == F.col("_high")) & (F.col("low") == F.col("_low"))
+    gone = known.join(kept, same).where("number != kept").select(F.col("number").alias("_gone"))
+    left = rows.join(gone, F.col("number") == F.col("_gone"), "left_anti")
+    return left.select(*[own(c).alias(c) for c in docs.columns])
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 

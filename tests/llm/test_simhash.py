@@ -118,3 +118,60 @@ def test_long_chain_and_no_rows(spark):
     assert {r["root"] for r in simhash.stars(chain).collect()} == {0}
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash.group_near_copies(docs, identity=F.col("doc_id"), text=F.col("text")).count() == 0
+
+
+def plain_similar(rows, least=0.8):
+    """Numbers of the rows that stay, by all pairs of five-word sets."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({b" ".join(words[k: k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
+    label = list(range(len(rows)))
+
+    def find(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    for i, j in combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both >= least * (len(sets[i]) + len(sets[j]) - both):
+            label[find(i)] = find(j)
+    groups = {}
+    for k in range(len(rows)):
+        groups.setdefault(find(k), []).append(k)
+    return sorted((rows[min(g, key=lambda k: (rows[k][0] is None, rows[k][0] or 0))][0] for g in groups.values()), key=repr)
+
+
+def test_similar_against_all_pairs(spark):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(400)]
+    licence = " ".join(rng.choice(words) for _ in range(30))
+    rows = [(900, None), (901, ""), (902, "one two"), (903, "One  two"), (None, "one two")]
+    for k in range(60):
+        base = [rng.choice(words) for _ in range(rng.randint(8, 250))]
+        rows.append((10 * k, " ".join(base) + " " + licence))
+        for c in range(3):
+            copy = list(base)
+            for _ in range(rng.randint(0, 1 + len(base) // 60)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            rows.append((10 * k + c + 1, " ".join(copy).upper() + "\n" + licence))
+    crowd = [rng.choice(words) for _ in range(200)]
+    for k in range(150):  # a chain of edits: a large component, not all pairs of which are links
+        crowd[rng.randrange(200)] = rng.choice(words)
+        rows.append((2000 + k, " ".join(crowd)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = simhash.drop_similar(docs, identity="doc_id", text="text")
+    assert sorted((r["doc_id"] for r in found.collect()), key=repr) == plain_similar(rows)
+    assert simhash.drop_similar(docs.limit(0), identity="doc_id", text="text").count() == 0
+
+
+def test_near_dedup_stage_over_the_smallest_table(spark):
+    import corpus_pipeline
+    from conftest import DATA
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    found = corpus_pipeline.drop_near_copies(spark, docs, DATA)
+    assert found.columns == docs.columns
+    assert sorted((r["doc_id"] for r in found.select("doc_id").collect()), key=repr) == plain_similar(rows)
