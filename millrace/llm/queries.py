@@ -252,6 +252,17 @@ def op9_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op9_repeated_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The spans of ``op9_repeated_units`` and those of short sentences joined to runs of eight words, each with the place that stays."""
+    later = units.repeated_units(
+        table(spark, folder, "documents"), identity=F.col("doc_id"), text=F.col("text"), unit="sentence", least_words=8, runs=True
+    )
+    return later.select(
+        F.col("id").alias("doc_id"), "begins", "ends", F.col("words").alias("n_words"), F.col("first_id").alias("first_doc_id"), "first_begins"
+    )
+
+
 PHRASE_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(

@@ -54,3 +54,25 @@ def test_texts_are_cut_at_the_spans(spark):
     assert found[2]["text"] == "own of two" and [tuple(s) for s in found[2]["removed"]] == [(0, 36)]
     assert found[3]["text"] == "" and found[4]["text"] is None
     assert units.remove_units(docs.limit(0), identity="doc_id", text="text").count() == 0
+
+
+def test_short_units_are_compared_as_runs(spark):
+    verse = "Roses are red.\nViolets are blue.\nSugar is sweet.\nAnd so are you.\n"
+    rows = [(1, f"This opening sentence belongs to the first text only.\n{verse}"), (2, f"Another beginning.\n{verse}The end of it."), (3, "Roses are red.\nNothing else.")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = {r["doc_id"]: r["text"] for r in units.remove_units(docs, identity="doc_id", text="text", unit="sentence", runs=False).collect()}
+    assert plain[2] == rows[1][1]
+    found = {r["doc_id"]: r for r in units.remove_units(docs, identity="doc_id", text="text", unit="sentence").collect()}
+    assert found[1]["text"] == rows[0][1] and found[3]["text"] == rows[2][1]
+    assert found[2]["text"] == "Another beginning.\nThe end of it."
+    assert [tuple(s) for s in found[2]["removed"]] == [(19, 19 + len(verse))]
+
+
+def test_runs_begin_and_end_at_every_short_unit():
+    text = "a b c. d e. f g h. i j. one two three four five six seven eight. k l."
+    found = {(text[a:b].strip(), words) for a, b, words, *_ in units.text_runs(text, re.compile(units.UNITS["sentence"]), 8)}
+    long = "one two three four five six seven eight."
+    assert found == {
+        ("a b c. d e. f g h.", 8), (f"d e. f g h. i j. {long}", 15), (f"f g h. i j. {long}", 13), (f"i j. {long}", 10),
+        ("a b c. d e. f g h. i j.", 10), (long, 8), (f"{long} k l.", 10),
+    }
