@@ -175,3 +175,12 @@ def test_near_dedup_stage_over_the_smallest_table(spark):
     found = corpus_pipeline.drop_near_copies(spark, docs, DATA)
     assert found.columns == docs.columns
     assert sorted((r["doc_id"] for r in found.select("doc_id").collect()), key=repr) == plain_similar(rows)
+
+
+def test_repeated_and_missing_ids_keep_one_row_of_a_group(spark):
+    first, second, third = (" ".join(f"{c}{k}" for k in range(20)) for c in "abc")
+    rows = [(1, first), (1, second), (1, first), (None, third), (None, third), (None, third.upper()), (2, second), (None, "lonely")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [tuple(r) for r in simhash.drop_similar(docs, identity="doc_id", text="text").collect()]
+    assert sorted(d for d, _ in found if d is not None) == [1, 1]
+    assert sorted(t.lower() for _, t in found) == sorted([first, second, third, "lonely"])
