@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import fmindex, langid, linefreq, mixing, rans, sharding, simhash, units, urlrules, warc
+from millrace.llm import centroids, fmindex, langid, linefreq, mixing, rans, sharding, simhash, units, urlrules, warc
 from millrace.llm.common import word_count
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -296,3 +296,50 @@ def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), identity="doc_id", text="text"
     )
     return found.drop("items", "spans")
+
+
+CLUSTERS, CLUSTER_ROUNDS = 40, 5
+
+
+def cluster_sql() -> str:
+    """The rounds written out one after the other."""
+    steps = [r"""
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""", f"""
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, e) - 1 AS k, e AS c FROM v QUALIFY k < {CLUSTERS}
+)"""]
+    for t in range(CLUSTER_ROUNDS + 1):
+        steps.append(f"""
+a{t} AS MATERIALIZED (
+  SELECT rid, min(list_sum(list_transform(list_zip(e, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::HUGEINT * {CLUSTERS} + k) AS best FROM v, c{t} GROUP BY rid
+)""")
+        if t < CLUSTER_ROUNDS:
+            steps.append(f"""
+m{t} AS (
+  SELECT k, list(((s - ((s % n + n) % n)) // n)::BIGINT ORDER BY d) AS c
+  FROM (SELECT (best % {CLUSTERS}) AS k, d, sum(x) AS s, count(*) AS n
+        FROM (SELECT best, unnest(e) AS x, generate_subscripts(e, 1) AS d FROM a{t} JOIN v USING (rid)) GROUP BY 1, 2) GROUP BY k
+),
+c{t + 1} AS MATERIALIZED (
+  SELECT c{t}.k, coalesce(m{t}.c, c{t}.c) AS c FROM c{t} LEFT JOIN m{t} ON c{t}.k = m{t}.k
+)""")
+    last = CLUSTER_ROUNDS
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, (best % {CLUSTERS})::INT AS cluster, (best // {CLUSTERS})::BIGINT AS distance,
+       (sum(best // {CLUSTERS}) OVER (PARTITION BY best % {CLUSTERS}))::BIGINT AS cluster_inertia,
+       (sum(best // {CLUSTERS}) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{last} JOIN v USING (rid) JOIN c{last} ON c{last}.k = best % {CLUSTERS}
+"""
+
+
+@query(cluster_sql())
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings of 64 finite components in 40 clusters, after five exact rounds."""
+    found = centroids.cluster_vectors(
+        table(spark, folder, "embeddings"), identity=F.col("vec_id"), embedding=F.col("embedding"), k=CLUSTERS, rounds=CLUSTER_ROUNDS,
+        dims=64, scale=256, seed=2,
+    )
+    return found.withColumnRenamed("vec", "vec_id")
