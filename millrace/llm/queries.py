@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import centroids, chat, fmindex, langid, linefreq, mixing, rans, sharding, simhash, units, urlrules, warc
+from millrace.llm import centroids, chat, fmindex, langid, lexical, linefreq, mixing, rans, sharding, simhash, units, urlrules, warc
 from millrace.llm.common import word_count
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -376,3 +376,39 @@ def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         turns.unionByName(quoted), conversation=F.col("conv_id"), turn=F.col("turn"), role=F.col("role"), text=F.col("text")
     )
     return chat.read_back(blocks).withColumnRenamed("conv", "conv_id").drop("rewritten")
+
+
+SEARCH_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT row_number() OVER () AS place, item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), q AS (
+  SELECT place, item_id, term, count(*) AS times FROM (SELECT place, item_id, unnest(ws) AS term FROM b) GROUP BY ALL
+), facts AS (
+  SELECT count(*) FILTER (len(ws) > 0) AS total, sum(len(ws))::BIGINT AS terms FROM d
+), tf AS (
+  SELECT rid, doc_id, n, term, count(*) AS tf
+  FROM (SELECT rid, doc_id, len(ws) AS n, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term
+), s AS (
+  SELECT place, item_id, rid, doc_id, sum(times * floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+         * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * total) // terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term), facts GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY place ORDER BY score DESC, doc_id NULLS LAST, rid))::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query(SEARCH_SQL)
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    found = lexical.search_documents(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), identity=F.col("doc_id"), text=F.col("text"),
+        item=F.col("item_id"), item_text=F.col("text"), best=10,
+    )
+    return found.withColumnsRenamed({"item": "item_id", "doc": "doc_id"})
