@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -18,8 +19,18 @@ from millrace.scratch import stage
 SEED = 42
 #: Sets of shingles meet in buckets by BANDS keys of BAND_ROWS minima each: a pair of Jaccard 0.8 misses all with 3 in 100,000.
 BANDS, BAND_ROWS = 20, 4
-#: Bits by which pairs of a bucket may differ before they are compared exactly; at Jaccard 0.8 about 10 do.
-WIDE_RADIUS = 24
+#: Bits by which a node may differ from its bucket's pivot before the two are compared exactly; at Jaccard 0.8 about 10 do.
+PIVOT_RADIUS = 24
+#: Pivots per group of near-copies and round: buckets deal with that many kinds of keys.
+PIVOTS = 3
+#: Words of 64 bits of the fingerprint by which the nodes that pivots leave are compared.
+WIDE_WORDS = 8
+#: Standard deviations of differing bits beyond the mean at the least similarity: one pair in 100,000 differs by more.
+WIDE_DEVIATIONS = 4.3
+#: Nearest nodes of a bucket that are compared through a join; all that are left after that are compared inside the bucket's task.
+CANDIDATES = 8
+#: Shingles of the nodes of a bucket's part that such a task holds.
+PART_SHINGLES = 1 << 22
 #: Rows compared with one another at once; small buckets share such a block.
 BLOCK_ROWS = 512
 #: Buckets with more fingerprints are cut further by more agreeing bits.
@@ -76,48 +87,73 @@ def agreeing_masks(mask: int, radius: int) -> list[int]:
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
-    """(64, words): bit k of every value, 64 values to a word."""
-    lanes = -len(values) % 64
-    padded = np.concatenate([values, np.zeros(lanes, np.uint64)]) if lanes else values
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    """(bits, words): bit k of every value, 64 values to a word; a value has one column of 64 bits or several."""
+    rows = values.reshape(len(values), -1)
+    lanes = -len(rows) % 64
+    padded = np.concatenate([rows, np.zeros((lanes, rows.shape[1]), np.uint64)]) if lanes else rows
+    bits = np.unpackbits(np.ascontiguousarray(padded).view(np.uint8), axis=1, bitorder="little")
     return np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
 
 
-def close_pairs(values: np.ndarray, radius: int, chunk: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i, j), i < j, of values that differ in at most ``radius`` bits.
+def valid_lanes(count: int) -> np.ndarray:
+    """Words whose bits say which lanes of :func:`bit_planes` hold a value."""
+    valid = np.full(-(-count // 64), np.uint64(FULL))
+    if count % 64:
+        valid[-1] = np.uint64((1 << count % 64) - 1)
+    return valid
+
 
-    Up to ``chunk`` values at a time meet all later ones: each plane's
-    differences are added into bitwise counters by carry-save steps, and words
-    (64 values) are abandoned once all their counts exceed the radius.
+def near_lanes(planes: np.ndarray, valid: np.ndarray, mine: np.ndarray, radius: int, first_word: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j): value i of ``mine`` and lane j differ in at most ``radius`` bits.
+
+    The differences of eight planes at a time are added into bitwise counters by
+    carry-save steps, and words (64 values) are abandoned once all their counts
+    exceed the radius.
     """
-    planes, width = bit_planes(values), max(1, radius.bit_length())
-    valid = np.full(planes.shape[1], np.uint64(FULL))
-    if len(values) % 64:
-        valid[-1] = np.uint64((1 << len(values) % 64) - 1)
+    mine = mine.reshape(len(mine), -1)
+    columns = np.arange(first_word, planes.shape[1])
+    counters = [np.zeros((len(mine), len(columns)), np.uint64) for _ in range(max(4, radius.bit_length()))]
+    over = np.broadcast_to(~valid[columns], counters[0].shape).copy()
+
+    def differing(k: int) -> np.ndarray:
+        query = (np.uint64(0) - (mine[:, k >> 6] >> np.uint64(k & 63) & np.uint64(1)))[:, None]
+        return planes[k, columns][None, :] ^ query
+
+    def add(level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Carry-save step: two more of a counter's weight; what is carried to the next."""
+        half = a ^ b
+        carry = (a & b) | (half & counters[level])
+        counters[level] ^= half
+        return carry
+
+    for first in range(0, len(planes), 8):
+        fours = [
+            add(1, add(0, differing(k), differing(k + 1)), add(0, differing(k + 2), differing(k + 3))) for k in (first, first + 4)
+        ]
+        carry = add(2, *fours)
+        for c in counters[3:]:
+            carry, c[:] = c & carry, c ^ carry
+        over |= carry
+        if first + 8 > radius:
+            alive = (~(over | above(counters, radius))).any(axis=0)
+            if not alive.any():
+                return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if alive.sum() * 2 < len(alive):
+                columns, over, counters = columns[alive], over[:, alive], [c[:, alive] for c in counters]
+    near = ~(over | above(counters, radius))
+    rows, words = np.nonzero(near)
+    lanes = np.unpackbits(near[rows, words].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    which, lane = np.nonzero(lanes)
+    return rows[which], columns[words[which]] * 64 + lane
+
+
+def close_pairs(values: np.ndarray, radius: int, chunk: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j), i < j, of values that differ in at most ``radius`` bits; up to ``chunk`` values at a time meet all later ones."""
+    planes, valid = bit_planes(values), valid_lanes(len(values))
     for first in range(0, len(values), chunk):
-        mine = values[first: first + chunk]
-        columns = np.arange(first // 64, planes.shape[1])
-        counters = [np.zeros((len(mine), len(columns)), np.uint64) for _ in range(width)]
-        over = np.broadcast_to(~valid[columns], counters[0].shape).copy()
-        for k in range(64):
-            query = (np.uint64(0) - (mine >> np.uint64(k) & np.uint64(1)))[:, None]
-            carry = planes[k, columns][None, :] ^ query
-            for c in counters:
-                carry, c[:] = c & carry, c ^ carry
-            over |= carry
-            if k % 8 == 7:
-                alive = (~(over | above(counters, radius))).any(axis=0)
-                if not alive.any():
-                    break
-                if alive.sum() * 2 < len(alive):
-                    columns, over, counters = columns[alive], over[:, alive], [c[:, alive] for c in counters]
-        else:
-            near = ~(over | above(counters, radius))
-            rows, words = np.nonzero(near)
-            lanes = np.unpackbits(near[rows, words].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            which, lane = np.nonzero(lanes)
-            i, j = rows[which] + first, columns[words[which]] * 64 + lane
-            yield i[i < j], j[i < j]
+        i, j = near_lanes(planes, valid, values[first: first + chunk], radius, first // 64)
+        i = i + first
+        yield i[i < j], j[i < j]
 
 
 def above(counters: list[np.ndarray], radius: int) -> np.ndarray:
@@ -334,84 +370,240 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     return stage(both.mapInArrow(check, T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b")])), "similar-links")
 
 
-def open_pairs(buckets: DataFrame) -> DataFrame:
-    """(a, b): all pairs of a bucket (key, node, fp, root) of different roots and within ``WIDE_RADIUS`` bits.
+def wide_bits(shingles: np.ndarray, piece: int = 1 << 12) -> bytes:
+    """SimHash of a set of shingle hashes in ``WIDE_WORDS`` words, each from hashes mixed anew."""
+    counts = np.zeros(64 * WIDE_WORDS, np.int64)
+    factors = np.random.default_rng(SEED + 1).integers(0, 1 << 63, (2, 1, WIDE_WORDS), dtype=np.uint64)
+    for k in range(0, len(shingles), piece):
+        mixed = (shingles[k: k + piece, None] ^ factors[0]) * (factors[1] | np.uint64(1))
+        mixed = (mixed ^ mixed >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        counts += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > len(shingles), bitorder="little").tobytes()
 
-    The nodes of a bucket's largest component are not compared with one another,
-    so a large group that is linked already costs a pass for each other node only.
+
+def wide_radius(least: float) -> int:
+    """Bits by which sets of a Jaccard similarity of ``least`` may differ; sets of unequal sizes differ by fewer."""
+    share, bits = math.acos(2 * least / (1 + least)) / math.pi, 64 * WIDE_WORDS
+    return int(bits * share + WIDE_DEVIATIONS * math.sqrt(bits * share * (1 - share)))
+
+
+def set_facts(texts: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(node, size, held, wide) and (node, shingles) of rows (node, text).
+
+    ``held`` counts the shingles of the set that another node has, too; ``wide``
+    is the wide fingerprint.
     """
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.zeros(0, np.int64)] * 4
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py() or b"", shingle) for t in batch.column(1).cast(pa.binary())]
+            ends = np.cumsum([0, *map(len, sets)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+            wide = pa.array([wide_bits(x) for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), wide, lists], names=["node", "size", "wide", "shingles"])
+
+    facts = stage(texts.mapInArrow(compute, "node bigint, size bigint, wide binary, shingles array<bigint>"), "similar-sets")
+    cells = facts.select("node", F.explode("shingles").alias("shingle"))
+    alone = cells.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("_node")).where("n = 1")
+    alone = alone.groupBy("_node").agg(F.count(F.lit(1)).alias("alone"))
+    held = facts.drop("shingles").join(alone, F.col("node") == F.col("_node"), "left")
+    held = stage(held.select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("held"), "wide"), "similar-facts")
+    return held, facts.select("node", "shingles")
+
+
+def similar_rows(mine: np.ndarray, sets: list[np.ndarray], rows: np.ndarray, least: float) -> np.ndarray:
+    """Which of ``rows`` have sets of a Jaccard similarity of ``least`` or more with ``mine``; sets are sorted."""
+    sizes = np.array([len(sets[r]) for r in rows.tolist()])
+    cells = np.concatenate([sets[r] for r in rows.tolist()])
+    place = np.minimum(np.searchsorted(mine, cells), len(mine) - 1)
+    same = np.add.reduceat(mine[place] == cells, np.cumsum(sizes) - sizes)
+    return same >= least * (len(mine) + sizes - same)
+
+
+def compare_cells(cells: DataFrame, least: float, most: int | None) -> DataFrame:
+    """(key, part, node, other, distance) of rows (key, part, asking, node, root, size, held, last_distance, last_other, wide).
+
+    For every asking node of a cell the ``most`` nearest others; if ``most`` is
+    None and the rows hold ``shingles`` as well, one other of every component to
+    which the node is linked, all nodes behind its cursor being compared exactly.
+    Others are of another component, within the radius, and similar enough by what
+    is known exactly: two sets can't share more than either has in common with any
+    other node, and have to share least / (1 + least) of both sizes.
+    """
+    radius, ratio = wide_radius(least), least / (1 + least) - 1e-12
+    schema = "key bigint, part bigint, node bigint, other bigint, distance bigint"
+
+    def chosen(i: np.ndarray, j: np.ndarray, distance: np.ndarray, node: np.ndarray, root: np.ndarray, sets: list) -> np.ndarray:
+        """Places of the rows to put out, of candidates in order of i."""
+        starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+        ends = np.append(starts[1:], len(i))
+        if most is not None:
+            return np.flatnonzero(np.arange(len(i)) - np.repeat(starts, ends - starts) < most)
+        found = []
+        for low, high in zip(starts.tolist(), ends.tolist()):
+            linked = low + np.flatnonzero(similar_rows(sets[i[low]], sets, j[low:high], least))
+            found.append(linked[np.unique(root[j[linked]], return_index=True)[1]])
+        return np.concatenate(found)
+
+    def compare(rows: list[np.ndarray], sets: list) -> Iterator[pa.RecordBatch]:
+        key, part, ask, node, root, size, held, last, other, wide = rows
+        asks, given = np.flatnonzero(ask), np.flatnonzero(~ask)
+        given = given[held[given] >= ratio * size[given]]
+        asks = asks[held[asks] >= ratio * size[asks]]
+        if not len(asks) or not len(given):
+            return
+        planes, valid = bit_planes(wide[given]), valid_lanes(len(given))
+        for first in range(0, len(asks), 128):
+            mine = asks[first: first + 128]
+            i, j = near_lanes(planes, valid, wide[mine], radius)
+            i, j = mine[i], given[j]
+            fits = (root[i] != root[j]) & (np.minimum(held[i], held[j]) >= ratio * (size[i] + size[j]))
+            i, j = i[fits], j[fits]
+            distance = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64)
+            later = (distance > last[i]) | ((distance == last[i]) & (node[j] > other[i]))
+            i, j, distance = i[later], j[later], distance[later]
+            if not len(i):
+                continue
+            order = np.lexsort((node[j], distance, i))
+            i, j, distance = i[order], j[order], distance[order]
+            kept = chosen(i, j, distance, node, root, sets)
+            if len(kept):
+                columns = [key[i[kept]], part[i[kept]], node[i[kept]], node[j[kept]], distance[kept]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "part", "node", "other", "distance"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, bool)] + [np.zeros(0, np.int64)] * 6 + [np.zeros((0, WIDE_WORDS), np.uint64)]
+        kept, sets = empty, []
         for batch in chain_end(batches):
-            new = [np.zeros(0, np.int64)] * 4 if batch is None else [c.to_numpy() for c in batch.columns]
-            key, node, fp, root = (np.concatenate([k, n]) for k, n in zip(kept, new))
-            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
-            end = len(key) if batch is None or not len(starts) else starts[-1]
-            kept = [key[end:], node[end:], fp[end:], root[end:]]
-            bounds = np.append(starts[starts < end], end)
-            for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                n, f, r = node[low:high], fp[low:high].view(np.uint64), root[low:high]
-                values, place, sizes = np.unique(r, return_inverse=True, return_counts=True)
-                bulk = place == sizes.argmax()
-                done = bulk.copy()
-                for k in np.flatnonzero(~bulk).tolist():
-                    # pairs outside the largest component come once, from the later node
-                    near = done & (r != r[k]) & (np.bitwise_count(f ^ f[k]) <= WIDE_RADIUS)
-                    done[k] = True
-                    if near.any():
-                        ends = np.minimum(n[near], n[k]), np.maximum(n[near], n[k])
-                        yield pa.RecordBatch.from_arrays([pa.array(e) for e in ends], names=["a", "b"])
+            new = empty
+            if batch is not None:
+                wide = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
+                new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(9)] + [wide]
+                if most is None:
+                    column = batch.column(10)
+                    values, ends = column.flatten().to_numpy().view(np.uint64), column.offsets.to_numpy() - column.offsets[0].as_py()
+                    sets = sets + [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            rows = [np.concatenate(pair) for pair in zip(kept, new)]
+            starts = np.flatnonzero(np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])]) if len(rows[0]) else np.zeros(0, np.int64)
+            end = len(rows[0]) if batch is None or not len(starts) else int(starts[-1])
+            bounds = np.append(starts[starts < end], end).tolist()
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                yield from compare([r[low:high] for r in rows], sets[low:high])
+            kept, sets = [r[end:] for r in rows], sets[end:]
+
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    extra = ["shingles"] if most is None else []
+    named = cells.select("key", "part", "asking", "node", "root", "size", "held", "last_distance", "last_other", "wide", *extra)
+    return named.repartition(tasks, "key", "part").sortWithinPartitions("key", "part").mapInArrow(work, schema)
+
+
+def lay_out(named: DataFrame, facts: DataFrame) -> DataFrame:
+    """(key, part, asking, node): which nodes of the buckets (key, node, root) ask which.
+
+    The nodes of a bucket's largest component only answer.  Buckets of more than
+    ``BUCKET_ROWS`` nodes or ``PART_SHINGLES`` shingles are cut into parts, each
+    asked by every asking node, and asking nodes are cut likewise, so that no task
+    holds a bucket.
+    """
+    sized = named.join(facts.select("node", "size"), "node")
+    sizes = sized.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    shape = sizes.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("n", "root", "size")).alias("bulk"), F.sum("n").alias("rows"), F.sum("size").alias("size"))
 
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    tasks = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = buckets.select("key", "node", "fp", "root").repartition(tasks, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(link, schema).distinct()
+    def pieces(rows: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(rows / BUCKET_ROWS), F.ceil(size / PART_SHINGLES))
+
+    shape = shape.select(
+        "_key", F.col("bulk.root").alias("bulk"), pieces(F.col("rows"), F.col("size")).alias("parts"),
+        pieces(F.col("rows") - F.col("bulk.n"), F.col("size") - F.col("bulk.size")).alias("askers"),
+    )
+    rows = named.join(shape, F.col("key") == F.col("_key"))
+
+    def cut(kind: int, many: str) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(kind)), F.col(many))
+
+    def each(many: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(many) - 1))
+
+    part = (F.col("piece") * F.col("askers") + F.col("asker")).alias("part")
+    given = rows.withColumn("piece", cut(1, "parts")).withColumn("asker", each("askers")).select("key", part, F.lit(False).alias("asking"), "node")
+    asks = rows.where("root <> bulk").withColumn("asker", cut(2, "askers")).withColumn("piece", each("parts"))
+    return stage(given.unionByName(asks.select("key", part, F.lit(True).alias("asking"), "node")), "similar-layout")
+
+
+def with_roots(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of ``buckets`` whose bucket holds nodes of several components, with their component's root."""
+    named = buckets.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+    named = named.select("key", "node", "fp", F.coalesce("root", "node").alias("root"))
+    mixed = named.groupBy(F.col("key").alias("_key")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("_key")
+    return stage(named.join(mixed, F.col("key") == F.col("_key"), "left_semi"), "similar-open")
 
 
 def similar_links(nodes: DataFrame, texts: DataFrame, shingle: int, least: float, rounds: int = 2) -> DataFrame:
     """(node, root) of every linked node but the roots, over links of a Jaccard similarity of ``least`` or more.
 
-    First each bucket's nodes meet one pivot, then all pairs that still lie in
-    different components: every pair of a bucket is either compared or linked.
+    First the nodes of each bucket meet a few pivots, which joins most of a group
+    of near-copies at one comparison per node and pivot.  Nodes that still lie in
+    different components of a bucket are then compared bit-sliced by a wider
+    fingerprint, and each meets its ``CANDIDATES`` nearest ones exactly.  Where a
+    node has more than that, the sets themselves go to the bucket's task, which
+    compares all that is left and puts out one link per node and component.
     """
     spark = nodes.sparkSession
-    pair = "a bigint, b bigint"
-    links, roots = spark.createDataFrame([], pair), spark.createDataFrame([], "node bigint, root bigint")
+    links, roots = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "node bigint, root bigint")
     buckets = nodes.select(F.explode("keys").alias("key"), "node", "fp")
     shared = buckets.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_key")
     buckets = stage(buckets.join(shared, F.col("key") == F.col("_key"), "left_semi"), "similar-buckets")
-    tested = links
-    for k in range(rounds + 1):
-        named = buckets.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-        named = named.select("key", "node", "fp", F.coalesce("root", "node").alias("root"))
-        mixed = named.groupBy(F.col("key").alias("_key")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("_key")
-        named = stage(named.join(mixed, F.col("key") == F.col("_key"), "left_semi"), "similar-open")
-        if k < rounds:
-            order = F.struct(F.xxhash64("node", F.lit(k)).alias("hash"), "node", "fp", "root")
-            pivots = stage(named.groupBy(F.col("key").alias("_key")).agg(F.min(order).alias("pivot")), "similar-pivots")
-            near = F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= WIDE_RADIUS
-            found = named.join(pivots, F.col("key") == F.col("_key")).where(near & (F.col("root") != F.col("pivot.root")))
-            found = found.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
-        else:
-            found = open_pairs(named)
+    tested, named = links, buckets.withColumn("root", F.col("node"))
+    for k in range(rounds):
+        order = F.struct(F.xxhash64("node", F.lit(k), F.pmod("key", F.lit(PIVOTS))).alias("hash"), "node", "fp", "root")
+        pivots = stage(named.groupBy(F.col("key").alias("_key")).agg(F.min(order).alias("pivot")), "similar-pivots")
+        near = F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= PIVOT_RADIUS
+        found = named.join(pivots, F.col("key") == F.col("_key")).where(near & (F.col("root") != F.col("pivot.root")))
+        found = found.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
         found = stage(found.join(tested, ["a", "b"], "left_anti"), "similar-pairs")
         tested = tested.unionByName(found)
-        good = verified(found, texts, shingle, least)
-        links = links.unionByName(good)
+        links = links.unionByName(verified(found, texts, shingle, least))
         roots = stars(links)
-    return roots
+        named = with_roots(buckets, roots)
+    if named.isEmpty():
+        return roots
+    left = named.select(F.col("node").alias("_node")).distinct()
+    open_texts = texts.join(left, F.col("number") == F.col("_node"), "left_semi").select(F.col("number").alias("node"), "text")
+    facts, sets = set_facts(open_texts, shingle)
+    layout = lay_out(named, facts)
+    none = {c: F.lit(-1).cast("bigint") for c in ("last_distance", "last_other")}
+    found = stage(compare_cells(layout.withColumns(none).join(with_root(facts, roots), "node"), least, CANDIDATES), "similar-candidates")
+    pairs = found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    pairs = stage(pairs.join(tested, ["a", "b"], "left_anti"), "similar-pairs")
+    links = links.unionByName(verified(pairs, texts, shingle, least))
+    roots = stars(links)
+    last = F.max(F.struct("distance", "other"))
+    more = found.groupBy("key", "part", "node").agg(F.count(F.lit(1)).alias("n"), last.alias("last")).where(F.col("n") == CANDIDATES)
+    more = stage(more.select("key", "part", "node", F.col("last.distance").alias("last_distance"), F.col("last.other").alias("last_other")), "similar-cursors")
+    if more.isEmpty():
+        return roots
+    given = layout.where("NOT asking").join(more.select("key", "part").distinct(), ["key", "part"], "left_semi")
+    cells = given.withColumns(none).unionByName(layout.where("asking").join(more, ["key", "part", "node"]))
+    found = compare_cells(cells.join(with_root(facts, roots), "node").join(sets, "node"), least, None)
+    found = stage(found.select(F.col("node").alias("a"), F.col("other").alias("b")), "similar-links")
+    return stars(links.unionByName(found))
+
+
+def with_root(facts: DataFrame, roots: DataFrame) -> DataFrame:
+    """``facts`` with the root of each node's component."""
+    named = facts.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+    return named.select(*facts.columns, F.coalesce("root", "node").alias("root"))
 
 
 def drop_similar(docs: DataFrame, *, identity: str, text: str, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row of every component of texts whose sets of ``shingle`` words have a Jaccard similarity of ``least`` or more.
 
     Words are those of :func:`group_near_copies`; texts of the same words are
-    copies, also those without any.  The row with the smallest id stays, of equal
-    ids the first, null ids last; the other rows go.  SimHash alone finds such
-    pairs by some 20 bits only, for which agreeing blocks choose nothing: pairs
-    come from buckets of band keys, SimHash leaves out what differs by more than
-    ``WIDE_RADIUS`` bits, and every link is compared exactly.
+    copies, also those without any, however long.  The row with the smallest id
+    stays, of equal ids the first, null ids last; the other rows go.  An empty
+    table gives an empty one.  Sets meet in buckets of MinHash band keys; inside
+    them a wide SimHash is compared bit-sliced, and every link is checked exactly.
     """
     rows = stage(docs.select(packed(docs), F.monotonically_increasing_id().alias("number")), "similar-rows")
     own = F.col("row").getField
@@ -436,17 +628,3 @@ def drop_similar(docs: DataFrame, *, identity: str, text: str, shingle: int = 5,
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
-
-def keep_first(docs: DataFrame, groups: DataFrame, identity: str) -> DataFrame:
-    """One row of every component: that with the component's id.
-
-    The rows to leave out are few, so they are what is joined.  Of rows that
-    repeat an id one stays; rows without an id are all kept, as nothing names them.
-    """
-    own = F.max(F.col("id") == F.col("component_id")).alias("own")
-    facts = groups.where("id IS NOT NULL").groupBy(F.col("id").alias("_id")).agg(own, F.count(F.lit(1)).alias("n"))
-    same = F.col(f"`{identity}`") == F.col("_id")
-    kept = docs.join(facts.where("NOT own").select("_id"), same, "left_anti")
-    again = facts.where("own AND n > 1").select("_id")
-    repeated = kept.join(again, same, "left_semi").dropDuplicates([identity])
-    return kept.join(again, same, "left_anti").unionByName(repeated)

@@ -60,11 +60,6 @@ def test_groups_against_all_pairs(spark):
     found = simhash.group_near_copies(docs, identity=F.col("doc_id"), text=F.col("text"))
     got = sorted((tuple(r) for r in found.select("id", simhash.hex_digits(F.col("fp")), "component_id").collect()), key=repr)
     assert got == sorted(plain_components(rows), key=repr)
-    kept = simhash.keep_first(docs, found, "doc_id")
-    assert kept.columns == docs.columns
-    wanted = {c for _, _, c in plain_components(rows)} - {None}
-    assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(wanted)
-    assert kept.where("doc_id IS NULL").count() == 2
 
 
 @pytest.mark.parametrize("radius", [0, 1, 2, 3])
@@ -184,3 +179,35 @@ def test_repeated_and_missing_ids_keep_one_row_of_a_group(spark):
     found = [tuple(r) for r in simhash.drop_similar(docs, identity="doc_id", text="text").collect()]
     assert sorted(d for d, _ in found if d is not None) == [1, 1]
     assert sorted(t.lower() for _, t in found) == sorted([first, second, third, "lonely"])
+
+
+@pytest.mark.parametrize("words", [1, 8])
+@pytest.mark.parametrize("radius", [0, 5, 9, 40])
+def test_near_lanes_of_wide_values(words, radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, (5, words), dtype=np.uint64)
+    values = np.repeat(base, 30, axis=0)
+    for row in values:
+        for bit in rng.choice(64 * words, rng.integers(0, 25), replace=False).tolist():
+            row[bit >> 6] ^= np.uint64(1 << (bit & 63))
+    i, j = simhash.near_lanes(simhash.bit_planes(values), simhash.valid_lanes(len(values)), values[:70], radius)
+    far = np.bitwise_count(values[:70, None, :] ^ values[None, :, :]).sum(axis=2)
+    assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(far <= radius))))
+
+
+@pytest.mark.parametrize("limits", [{}, {"BUCKET_ROWS": 20}, {"PART_SHINGLES": 3000, "CANDIDATES": 1}, {"CANDIDATES": 2, "PIVOT_RADIUS": 0}])
+def test_a_crowd_of_half_similar_texts(spark, monkeypatch, limits):
+    """Members are 0.5 to 1 similar: most pairs are no links, and buckets are cut."""
+    for name, value in limits.items():
+        monkeypatch.setattr(simhash, name, value)
+    rng = random.Random(21)
+    words = [f"w{k}" for k in range(300)]
+    base, rows = [rng.choice(words) for _ in range(150)], []
+    for k in range(160):
+        copy = list(base)
+        for _ in range(rng.randint(0, 9)):
+            copy[rng.randrange(150)] = rng.choice(words)
+        rows.append((k, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = simhash.drop_similar(docs, identity="doc_id", text="text")
+    assert sorted((r["doc_id"] for r in found.collect()), key=repr) == plain_similar(rows)
