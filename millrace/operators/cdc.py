@@ -273,19 +273,19 @@ def with_hash_keys(
 
 
 def daily_windows(df: DataFrame, start: str, end: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Split ``[start, end]`` of each row into days.
+    """Split ``[start, end]`` of each row into days that leave no gap.
 
-    The first window begins at the given time, later ones at midnight; all but
-    the last end at 23:59:59.
+    The first window begins at the given time, later ones at midnight.  All but
+    the last end at the next midnight, which belongs to the next window; only the
+    last holds its end, as ``till_included`` says.
     """
     first_day, last_day = F.col(start).cast("date"), F.col(end).cast("date")
     days = df.select(*keep, start, end, F.explode(F.sequence(first_day, last_day)).alias("_day"))
-    midnight = F.col("_day").cast("timestamp_ntz")
+    last = F.col("_day") == last_day
     return days.select(
         *keep,
         F.col("_day").alias("window_day"),
-        F.when(F.col("_day") == first_day, F.col(start).cast("timestamp_ntz")).otherwise(midnight).alias("window_from"),
-        F.when(F.col("_day") == last_day, F.col(end).cast("timestamp_ntz"))
-        .otherwise(midnight + F.expr("INTERVAL '23:59:59' HOUR TO SECOND"))
-        .alias("window_till"),
+        F.when(F.col("_day") == first_day, F.col(start).cast("timestamp_ntz")).otherwise(F.col("_day").cast("timestamp_ntz")).alias("window_from"),
+        F.when(last, F.col(end).cast("timestamp_ntz")).otherwise(F.date_add("_day", 1).cast("timestamp_ntz")).alias("window_till"),
+        last.alias("till_included"),
     )

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import match_keys
 from millrace.operators import cdc
 from millrace.operators.columns import typed_select
-from millrace.operators.filters import incremental_filter, incremental_predicate
+from millrace.operators.filters import incremental_filter, incremental_predicate, moment_text
 from millrace.operators.runlog import append_log, finished, started
 from millrace.plans.config import Ingestion
 from millrace.sinks.files import write_partition, finish_overwrite, overwrite_via_temp, write_landing
@@ -49,8 +50,7 @@ def source_query(spec: Ingestion, since: dt.datetime | None, until: dt.datetime)
             return query
         if since is None:
             return plain
-        stamp = "%Y-%m-%d %H:%M:%S"
-        return query.format(since.strftime(stamp), until.strftime(stamp))
+        return query.format(moment_text(since), moment_text(until))
     if not spec.change_times:
         return plain
     dialect = spec.source.get("source_database_type", "")
@@ -159,7 +159,7 @@ def _load(
     connection: Mapping | None, database: str | None, files: int | None,
 ) -> dict[str, int]:
     """Land, type, capture, store and register; the counts of landed and stored rows."""
-    landing, final, temp = (layer_path(base, layer, spec.table) for layer in ("landing", "final", "tmp"))
+    landing = layer_path(base, "landing", spec.table)
     raw = source if source is not None else read_source(spark, spec, since, as_of, connection)
     write_landing(raw, landing, files)
     stored_raw = spark.read.schema(raw.schema).parquet(landing)
@@ -169,6 +169,12 @@ def _load(
 
     keep = [spec.op_column] if spec.op_column else []
     typed = typed_select(stored_raw, spec.columns, keep=keep)
+    return {"landing_count": landed, "final_count": _store(spark, spec, base, typed, as_of.date(), database)}
+
+
+def _store(spark: SparkSession, spec: Ingestion, base: str, typed: DataFrame, day: dt.date, database: str | None) -> int:
+    """Capture the typed rows into the stored table; the number of rows written."""
+    final, temp = (layer_path(base, layer, spec.table) for layer in ("final", "tmp"))
     delta = spec.load_type != "full"
     if delta:
         # an earlier run may have stopped while it copied its result into place
@@ -179,33 +185,139 @@ def _load(
     stored = Observation()
     result = result.observe(stored, F.count(F.lit(1)).alias("rows"))
     if spec.partition_col:
-        write_partition(result, final, spec.partition_col, as_of.date())
+        write_partition(result, final, spec.partition_col, day)
     elif target is not None:
         overwrite_via_temp(result, final, temp)
     else:
         result.write.mode("overwrite").parquet(final)
 
+    _register(spark, spec, database, result, final)
+    return stored.get["rows"]
+
+
+def _register(spark: SparkSession, spec: Ingestion, database: str | None, rows: DataFrame, path: str) -> None:
     if database:
-        register_table(spark, f"{database}.{spec.table}", result, final, spec.partition_col)
+        register_table(spark, f"{database}.{spec.table}", rows, path, spec.partition_col)
         if spec.partition_col:
             repair_table(spark, f"{database}.{spec.table}")
-    return {"landing_count": landed, "final_count": stored.get["rows"]}
 
 
 def day_windows(start: dt.datetime, end: dt.datetime) -> list[tuple[dt.datetime, dt.datetime]]:
-    """One window per calendar day: from the start or midnight to 23:59:59 or the end."""
+    """One window per calendar day, from the start or midnight up to the next midnight, which belongs to the next window.
+
+    The last window ends at ``end`` and holds it.
+    """
     days = (end.date() - start.date()).days + 1
-    windows = []
-    for i in range(days):
-        midnight = dt.datetime.combine(start.date() + dt.timedelta(days=i), dt.time())
-        since = start if i == 0 else midnight
-        until = end if i == days - 1 else midnight + dt.timedelta(hours=23, minutes=59, seconds=59)
-        windows.append((since, until))
-    return windows
+    midnights = [dt.datetime.combine(start.date() + dt.timedelta(days=i), dt.time()) for i in range(1, days)]
+    return list(zip([start, *midnights], [*midnights, end]))
 
 
 def backfill(
-    spark: SparkSession, spec: Ingestion, base: str, start: dt.datetime, end: dt.datetime, **options
+    spark: SparkSession,
+    spec: Ingestion,
+    base: str,
+    start: dt.datetime,
+    end: dt.datetime,
+    source: DataFrame | None = None,
+    connection: Mapping | None = None,
+    database: str | None = None,
+    files: int | None = None,
+    log_path: str | None = None,
+    clock: Callable[[], float] = time.monotonic,
 ) -> list[RunResult]:
-    """Run one record day by day; each record starts from its own last success."""
-    return [run_ingest(spark, spec, base, until, since=since, **options) for since, until in day_windows(start, end)]
+    """Run one record for every day from ``start`` to ``end``; the stored table is that of one run after the other.
+
+    The source is read, landed and typed once for all days.  Dated partitions
+    are written in one job; merges apply the last day's rows of every key, which
+    is what remains of one merge per day.  Each day has its log row; ``final_count``
+    is known for a day's own partition, or after the last merge.
+    """
+    begun = clock()
+    windows = day_windows(start, end)
+    # the moment a day's run stands for: its last one
+    moments = [until if until == end else until - dt.timedelta(microseconds=1) for _, until in windows]
+    open_days = [not in_blackout(spec.ola, at) for at in moments]
+    logs = [
+        started(
+            spec.pipeline_id, f"{spec.pipeline_id}_{at:%Y%m%d%H%M%S%f}", at, table_name=spec.table,
+            load_type=spec.load_type, business_order_from_dttm=since, business_order_to_dttm=until,
+        )
+        for (since, until), at in zip(windows, moments)
+    ]
+    final = layer_path(base, "final", spec.table)
+    if log_path:
+        append_log(spark, logs, log_path)
+    days = [at.date() for at, is_open in zip(moments, open_days) if is_open]
+    try:
+        raw = source if source is not None else read_source(spark, spec, start, end, connection)
+        counts = _load_days(spark, spec, base, raw, start, end, days, database, files) if days else {}
+    except Exception as error:
+        if log_path:
+            took = dt.timedelta(seconds=clock() - begun)
+            append_log(spark, [finished(log, at + took, error=f"{type(error).__name__}: {error}") for log, at in zip(logs, moments)], log_path)
+        raise
+    took = clock() - begun
+    results = []
+    for log, at, is_open in zip(logs, moments, open_days):
+        found = counts.get(at.date(), {"landing_count": 0, "final_count": 0}) if is_open else {}
+        error = None if is_open else f"start time lies in {spec.ola}"
+        row = finished(log, at + dt.timedelta(seconds=took), error=error, sla_met=within_sla(spec.sla, took), **found)
+        results.append(RunResult(row, final, found.get("landing_count", 0) > 0))
+    if log_path:
+        append_log(spark, [r.log for r in results], log_path)
+    return results
+
+
+#: Day of a row in a backfill; no column of a source has this name.
+DAY = "_backfill_day"
+
+
+def with_days(raw: DataFrame, spec: Ingestion, start: dt.datetime, end: dt.datetime, days: list[dt.date]) -> DataFrame:
+    """The rows once for every day on which one of their change times lies; without change times for every day."""
+    wanted = F.array(*[F.lit(d) for d in days])
+    if not spec.change_times:
+        return raw.withColumn(DAY, F.explode(wanted))
+    kinds = dict(raw.dtypes)
+    found = []
+    for c in spec.change_times:
+        kind = kinds[c] if kinds[c].startswith("timestamp") else "timestamp"
+        value = F.col(f"`{c}`").cast(kind)
+        inside = value.between(F.lit(str(start)).cast(kind), F.lit(str(end)).cast(kind))
+        found.append(F.when(inside, value.cast("date")))
+    return raw.withColumn(DAY, F.explode(F.array_intersect(F.array(*found), wanted)))
+
+
+def last_per_key(rows: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """All rows of the last day on which their key occurs."""
+    last = rows.groupBy(*keys).agg(F.max(day).alias("_last"))
+    return match_keys(rows, last, keys, "inner").where(F.col(day) == F.col("_last")).drop("_last")
+
+
+def _load_days(
+    spark: SparkSession, spec: Ingestion, base: str, raw: DataFrame, start: dt.datetime, end: dt.datetime, days: list[dt.date],
+    database: str | None, files: int | None,
+) -> dict[dt.date, dict]:
+    """Land, type and store all days at once; counts of landed and stored rows by day."""
+    landing, final = (layer_path(base, layer, spec.table) for layer in ("landing", "final"))
+    dated = with_days(raw, spec, start, end, days)
+    write_landing(dated, landing, files)
+    stored = spark.read.schema(dated.schema).parquet(landing)
+    landed = {r[DAY]: r["count"] for r in stored.groupBy(DAY).count().collect()}
+    if not landed:
+        return {}
+    typed = typed_select(stored, spec.columns, keep=[*([spec.op_column] if spec.op_column else []), DAY])
+    if spec.partition_col and not spec.op_column and spec.load_type != "full":
+        # an oversized day is split over several tasks, small ones share one
+        rows = typed.withColumn(spec.partition_col, F.col(DAY).cast("string")).drop(DAY).hint("rebalance", spec.partition_col)
+        rows.write.partitionBy(spec.partition_col).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(final)
+        _register(spark, spec, database, rows.drop(spec.partition_col), final)
+        return {day: {"landing_count": n, "final_count": n} for day, n in landed.items()}
+    last = max(landed)
+    if spec.load_type == "full":
+        typed = typed.where(F.col(DAY) == F.lit(last))
+    elif spec.op_column:
+        typed = last_per_key(typed.where(F.col(spec.op_column).isNotNull()), spec.keys, DAY)
+    elif spec.keys:
+        typed = last_per_key(typed, spec.keys, DAY)
+    count = _store(spark, spec, base, typed.drop(DAY), last, database)
+    return {day: {"landing_count": n, "final_count": count if day == last else None} for day, n in landed.items()}

@@ -219,8 +219,8 @@ WITH span AS (SELECT user_id, MIN(ts) AS since, MAX(ts) AS until FROM events GRO
 days AS (SELECT *, CAST(UNNEST(generate_series(CAST(since AS DATE), CAST(until AS DATE), INTERVAL 1 DAY)) AS DATE) AS window_day FROM span)
 SELECT user_id, window_day,
        CASE WHEN window_day = CAST(since AS DATE) THEN since ELSE CAST(window_day AS TIMESTAMP) END AS window_from,
-       CASE WHEN window_day = CAST(until AS DATE) THEN until
-            ELSE CAST(window_day AS TIMESTAMP) + INTERVAL '23 hours 59 minutes 59 seconds' END AS window_till
+       CASE WHEN window_day = CAST(until AS DATE) THEN until ELSE CAST(window_day AS TIMESTAMP) + INTERVAL 1 DAY END AS window_till,
+       window_day = CAST(until AS DATE) AS till_included
 FROM days""")
 def cdc_daily_windows(t: Tables) -> DataFrame:
     span = t.events.groupBy("user_id").agg(F.min("ts").alias("since"), F.max("ts").alias("until"))

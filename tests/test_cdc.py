@@ -186,9 +186,9 @@ def test_hash_keys_do_not_depend_on_the_listed_order(spark):
 def test_daily_windows(spark):
     at = dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 3, 5)
     df = spark.createDataFrame([("p", *at), ("q", at[0], at[0])], "id string, a timestamp_ntz, b timestamp_ntz")
-    assert rows(cdc.daily_windows(df, "a", "b", ["id"]), "id", "window_from", "window_till") == [
-        ("p", dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 23, 59, 59)),
-        ("p", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 23, 59, 59)),
-        ("p", dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 3, 5)),
-        ("q", at[0], at[0]),
+    assert rows(cdc.daily_windows(df, "a", "b", ["id"]), "id", "window_from", "window_till", "till_included") == [
+        ("p", dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 2), False),
+        ("p", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3), False),
+        ("p", dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 3, 5), True),
+        ("q", at[0], at[0], True),
     ]

@@ -306,6 +306,53 @@ def test_backfill_runs_day_by_day(spark, tmp_path):
     assert rows(spark.read.parquet(done[0].final_path), "id") == [(2,), (3,)]
 
 
+LATE = [
+    ("1", "a", "2024-01-01 23:59:59.999999"), ("2", "b", "2024-01-02 00:00:00"), ("1", "c", "2024-01-02 23:59:59.5"),
+    ("3", "d", "2024-01-03 05:00:00"), ("4", "e", "2024-01-03 05:00:00.000001"),
+]
+
+
+def backfilled(spark, tmp_path, **record):
+    given = spark.createDataFrame(LATE, "id string, v string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    filed, log = spec(cdc_timestamp_key="['ts']", **record), str(tmp_path / "log")
+    done = backfill(spark, filed, str(tmp_path / "base"), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3, 5), source=given, log_path=log)
+    return done, spark.read.parquet(done[0].final_path)
+
+
+def test_backfill_keeps_the_last_second_of_a_day(spark, tmp_path):
+    done, stored = backfilled(spark, tmp_path, target_partition_col="load_dt", primary_key_set="")
+    assert [(r.log["landing_count"], r.log["final_count"]) for r in done] == [(1, 1), (2, 2), (1, 1)]
+    assert rows(stored.selectExpr("id", "cast(load_dt as string)")) == [(1, "2024-01-01"), (1, "2024-01-02"), (2, "2024-01-02"), (3, "2024-01-03")]
+
+
+def test_backfill_merges_the_last_row_of_every_key(spark, tmp_path):
+    done, stored = backfilled(spark, tmp_path)
+    assert rows(stored) == [(1, "c"), (2, "b"), (3, "d")]
+    assert [r.log["final_count"] for r in done] == [None, None, 3] and all(r.written for r in done)
+    assert spark.read.parquet(str(tmp_path / "log")).where("execution_end_dttm is not null").count() == 3
+
+
+def test_backfill_of_full_and_appended_tables(spark, tmp_path):
+    assert rows(backfilled(spark, tmp_path / "a", load_type="full")[1]) == [(3, "d")]
+    assert rows(backfilled(spark, tmp_path / "b", primary_key_set="")[1]) == [(1, "a"), (1, "c"), (2, "b"), (3, "d")]
+
+
+def test_backfill_reads_the_source_once(spark, tmp_path):
+    """Rows pass a counter once, whatever the number of days."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    given = spark.createDataFrame([(str(k), "v", dt.datetime(2024, 1, 1 + k % 9, 12)) for k in range(90)], "id string, v string, ts timestamp_ntz")
+    passed = given.mapInArrow(count, given.schema)
+    filed = spec(cdc_timestamp_key="['ts']", target_partition_col="load_dt", primary_key_set="")
+    done = backfill(spark, filed, str(tmp_path), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 9, 23), source=passed)
+    assert len(done) == 9 and seen.value == 90 and spark.read.parquet(done[0].final_path).count() == 90
+
+
 def test_run_reads_files_with_change_times(spark, tmp_path):
     write(tmp_path / "in" / "x.csv", "id,v,ts\n1,a,2024-01-01 00:00:00\n2,b,2024-02-01 00:00:00\n3,c,2024-03-01 00:00:00\n")
     filed = spec(source_type="s3", source_file_path=str(tmp_path / "in"), source_file_name="x.csv", cdc_timestamp_key="['ts']")
