@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -68,3 +69,29 @@ def head(spark: SparkSession, path: str, size: int) -> bytes:
         return bytes(stream.readNBytes(size))
     finally:
         stream.close()
+
+
+def create(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Write a small new file; False when there is one of that name already."""
+    jpath, files = _open(spark, path)
+    try:
+        stream = files.create(jpath, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or files.exists(jpath):
+            return False
+        raise
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
+    return True
+
+
+def read(spark: SparkSession, path: str) -> bytes:
+    """The whole of one small file."""
+    jpath, files = _open(spark, path)
+    stream = files.open(jpath)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()

@@ -11,7 +11,8 @@ from millrace.operators import cdc
 from millrace.plans.chains import Level, scd2_chain
 from millrace.queries import fixtures as X
 from millrace.queries.registry import Tables, query
-from millrace.scratch import stage
+from millrace.scratch import stage, work_dir
+from millrace.sinks import versions
 
 COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
 
@@ -36,6 +37,28 @@ def cdc_upsert_keep_versions(t: Tables) -> DataFrame:
     return cdc.upsert(X.order_target(t), X.order_increment(t), "o_orderkey", mode="keep_versions")
 
 
+@query(f"""{X.WITH_CHANGES}
+SELECT {COLUMNS} FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM changes WHERE op IS NOT NULL)
+UNION ALL SELECT {COLUMNS} FROM changes WHERE op IN ('INS', 'UPD')""")
+def cdc_versioned_merge(t: Tables) -> DataFrame:
+    """Indicator merge into a stored table; only files with a changed key are written anew."""
+    path = work_dir(t.spark, "versions")
+    versions.write_version(X.order_target(t), path, "o_orderkey")
+    versions.merge_version(t.spark, path, X.order_changes(t), "op")
+    return versions.read_version(t.spark, path)
+
+
+@query(f"""{X.WITH_CHANGES}, incoming AS (SELECT {COLUMNS} FROM changes WHERE op IN ('INS', 'UPD'))
+SELECT {COLUMNS} FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM incoming) UNION ALL SELECT * FROM incoming""")
+def cdc_versioned_upsert(t: Tables) -> DataFrame:
+    """Keyed upsert into a stored table, twice: the repeated one changes nothing."""
+    path = work_dir(t.spark, "versions")
+    versions.write_version(X.order_target(t), path, "o_orderkey")
+    for _ in range(2):
+        versions.upsert_version(t.spark, path, X.order_increment(t))
+    return versions.read_version(t.spark, path)
+
+
 @query(f"""{X.WITH_CHANGES}
 SELECT {COLUMNS} FROM changes WHERE op IN ('INS', 'UPD') UNION ALL SELECT {COLUMNS} FROM target""")
 def cdc_append(t: Tables) -> DataFrame:
