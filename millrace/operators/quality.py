@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import ast
 import datetime as dt
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,7 @@ from millrace.functions.columns import names
 from millrace.functions.types import safe_cast, type_family
 from millrace.operators.cdc import unique_rows
 from millrace.operators.sets import presence, sample_keys
+from millrace.scratch import stage
 
 COUNT = "decimal(20,0)"
 
@@ -85,18 +87,16 @@ def _present(c: str) -> Column:
     return _value(c).isNotNull()
 
 
-def _complete(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
-    return _rated(_present(rule.column), F.lit(True), rule.arguments[0] if rule.arguments else 1)
-
-
 def _bound(function, test, signed: bool = False):
     """Smallest or largest value against a limit, both in the column's own type; texts count as numbers where they are."""
 
     def build(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
+        value = _value(rule.column)
+        return judge(rule, kind, function(value.try_cast("double") if isinstance(kind, T.StringType) else value))
+
+    def judge(rule: Rule, kind: T.DataType, metric: Column) -> tuple[Column, Column]:
         if signed and not isinstance(kind, (*_NUMERIC, T.StringType)):
             raise ValueError(f"{rule.name} needs numbers: {rule.column}")
-        value = _value(rule.column)
-        metric = function(value.try_cast("double") if isinstance(kind, T.StringType) else value)
         limit = F.lit(rule.arguments[0] if rule.arguments else 0)
         if not isinstance(kind, (*_NUMERIC, T.StringType)):
             limit = limit.cast(kind)
@@ -105,38 +105,61 @@ def _bound(function, test, signed: bool = False):
             text = F.coalesce(metric.try_cast("decimal(18,6)").cast("string"), text)
         return text, F.coalesce(test(metric, limit), F.lit(True))
 
+    build.judge = judge
     return build
 
 
-def _share_rule(hit):
-    """Rules of the form: at least this share of the non-null values passes."""
+# rules of the form: at least this share of the non-null values passes
+_HITS = {
+    "isContainedIn": lambda r: _value(r.column).isin(list(r.arguments[0])),
+    "hasPattern": lambda r: _value(r.column).cast("string").rlike(r.arguments[0]),
+    "hasDataType": lambda r: safe_cast(_value(r.column).cast("string"), "string", r.arguments[0]).isNotNull(),
+}
 
-    def build(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
-        least = rule.arguments[1] if len(rule.arguments) > 1 else 1
-        return _rated(F.coalesce(hit(rule), F.lit(False)), _present(rule.column), least)
 
-    return build
+def share_of(rule: Rule) -> tuple[Column, Column, float]:
+    """(hit, base, least share) of a rule on a share of the rows."""
+    if rule.name in ("isComplete", "hasCompleteness"):
+        return _present(rule.column), F.lit(True), rule.arguments[0] if rule.arguments else 1
+    least = rule.arguments[1] if len(rule.arguments) > 1 else 1
+    if rule.name == "satisfies":
+        return F.coalesce(F.expr(rule.arguments[0]), F.lit(False)), F.lit(True), least
+    return F.coalesce(_HITS[rule.name](rule), F.lit(False)), _present(rule.column), least
 
 
-def _satisfies(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
-    least = rule.arguments[1] if len(rule.arguments) > 1 else 1
-    return _rated(F.coalesce(F.expr(rule.arguments[0]), F.lit(False)), F.lit(True), least)
+def judge_bound(rule: Rule, kind: T.DataType, metric: Column) -> tuple[Column, Column]:
+    """(metric as text, passed) of a rule on a smallest or largest value."""
+    return _CHECKS[rule.name].judge(rule, kind, metric)
+
+
+def _shared(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
+    return _rated(*share_of(rule))
+
+
+def _approximate(rule: Rule, kind: T.DataType) -> tuple[Column, Column]:
+    """Sketches of one pass, read like stored ones."""
+    from millrace.operators import states
+
+    part = states.parts_of(rule, kind)[0]
+    return states.outcome(rule, kind, lambda _: part.measure)
 
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 # rules whose metric is one aggregate over the rows: rule -> (metric, passed)
 _CHECKS = {
-    "isComplete": _complete,
-    "hasCompleteness": _complete,
+    "isComplete": _shared,
+    "hasCompleteness": _shared,
     "isNonNegative": _bound(F.min, lambda m, v: m >= 0, signed=True),
     "isPositive": _bound(F.min, lambda m, v: m > 0, signed=True),
     "hasMin": _bound(F.min, lambda m, v: m >= v),
     "hasMax": _bound(F.max, lambda m, v: m <= v),
-    "isContainedIn": _share_rule(lambda r: _value(r.column).isin(list(r.arguments[0]))),
-    "hasPattern": _share_rule(lambda r: _value(r.column).cast("string").rlike(r.arguments[0])),
-    "hasDataType": _share_rule(lambda r: safe_cast(_value(r.column).cast("string"), "string", r.arguments[0]).isNotNull()),
-    "satisfies": _satisfies,
+    "isContainedIn": _shared,
+    "hasPattern": _shared,
+    "hasDataType": _shared,
+    "satisfies": _shared,
+    "hasApproxCountDistinct": _approximate,  # lowest and highest estimate, by HyperLogLog
+    "hasApproxQuantile": _approximate,  # share, lowest and highest value, by KLL
     "isUnique": None,  # needs a count per value, see _unique_result
 }
 
@@ -212,10 +235,15 @@ def failed_tables(results: DataFrame) -> DataFrame:
 _NARROW = ("bigint", "double", "date", "boolean")
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, distinct: bool = True) -> DataFrame:
+def profile(
+    df: DataFrame, columns: Sequence[str] | None = None, distinct: bool = True, frequent: float | None = None
+) -> DataFrame:
     """One row per column: counts, numeric range, share of texts that parse as a
     narrower type, approximate number of distinct values.
 
+    With ``frequent`` also the candidates for values that make up at least that
+    share of a text column: a sketch of frequent items keeps every such value,
+    and some that are less frequent.
     One aggregate over the table, whatever the number of columns.
     """
     chosen = list(columns) if columns is not None else df.columns
@@ -233,6 +261,12 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, distinct: bool
             measures.append(hit.alias(f"{t}{i}"))
         if distinct:
             measures.append(F.approx_count_distinct(value).alias(f"d{i}"))
+        if frequent is not None:
+            # counts are off by at most 3.5 / tracked of the rows, and items are returned from twice that on
+            most, tracked = math.ceil(1 / frequent), math.ceil(8 / frequent)
+            name = c.replace("`", "``")
+            items = F.expr(f"transform(approx_top_k(`{name}`, {most}, {tracked}) FILTER (WHERE `{name}` IS NOT NULL), x -> x.item)")
+            measures.append((items if text else F.lit(None).cast("array<string>")).alias(f"f{i}"))
         rows.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -243,18 +277,26 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, distinct: bool
                 F.col(f"hi{i}").alias("max_value"),
                 *[F.col(f"{t}{i}").alias(f"as_{t}") for t in _NARROW],
                 *([F.col(f"d{i}").alias("approx_distinct")] if distinct else []),
+                *([F.col(f"f{i}").alias("frequent")] if frequent is not None else []),
             )
         )
     return df.agg(*measures).select(F.explode(F.array(*rows)).alias("_p")).select("_p.*")
 
 
-def suggest(df: DataFrame, columns: Sequence[str] | None = None, list_values: int | None = None) -> DataFrame:
+def suggest(
+    df: DataFrame, columns: Sequence[str] | None = None, list_values: int | None = None, list_share: float | None = None,
+    least_share: float = 0.005,
+) -> DataFrame:
     """Rule suggestions from the profile: column, description and rule text.
 
     With ``list_values``, a text column of at most that many values, counted
-    exactly, also gets the list of them all.
+    exactly, also gets the list of them all.  With ``list_share``, a text column of
+    which fewer values make up that share, though not all, gets the list of these;
+    only values of at least ``least_share`` count as frequent.
     """
-    p = profile(df, columns)
+    p = profile(df, columns, frequent=least_share if list_share is not None else None)
+    if list_share is not None:
+        p = stage(p, "profile")  # it is read for the candidates as well
     share = F.try_divide(F.col("non_null").cast("double"), F.col("rows"))
     # lower end of the 95 % interval around the observed share
     spread = F.sqrt(share * (1 - share) / F.col("rows")) * 1.96
@@ -296,9 +338,51 @@ def suggest(df: DataFrame, columns: Sequence[str] | None = None, list_values: in
     )
     found = p.select("column_name", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("_s"))
     found = found.select(F.col("column_name").alias("source_col_name"), "_s.*")
+    if list_share is not None:
+        found = found.unionByName(_frequent_suggestions(df, p, list_share, least_share))
     return found if list_values is None else found.unionByName(_list_suggestions(df, columns, list_values))
 
 
+def _frequent_suggestions(df: DataFrame, p: DataFrame, share: float, least: float) -> DataFrame:
+    """Lists of the values that together make up ``share`` of a text column, most frequent first.
+
+    Only the candidates of the profile are counted, exactly; the other values of
+    the column are neither made distinct nor exchanged.  A column whose frequent
+    values do not reach the share gets no list, one that has no others neither.
+    """
+    candidates = p.where("data_type = 'string'").select(
+        F.col("column_name").alias("_name"), F.explode("frequent").alias("_v"), F.col("non_null").alias("_total")
+    )
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), _value(c).alias("v")) for c in texts]).cast("array<struct<name:string,v:string>>")
+    rows = df.select(F.explode(cells).alias("_c")).select("_c.*")
+    counted = rows.join(candidates, (F.col("name") == F.col("_name")) & (F.col("v") == F.col("_v")))
+    counted = counted.groupBy("name", "v", "_total").agg(F.count(F.lit(1)).alias("n"))
+    # a column has at most 1 / least such values
+    counted = counted.where(F.col("n").cast(COUNT) >= F.lit(Decimal(str(least))) * F.col("_total").cast(COUNT))
+    order = Window.partitionBy("name").orderBy(F.desc("n"), "v").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(order), F.lit(0))
+    wanted = F.lit(Decimal(str(share))) * F.col("_total").cast(COUNT)
+    chosen = counted.withColumn("before", before).where(F.col("before").cast(COUNT) < wanted)
+    listed = chosen.groupBy("name", "_total").agg(
+        F.sum("n").alias("covered"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "v"))).alias("vs")
+    ).where((F.col("covered").cast(COUNT) >= wanted) & (F.col("covered") < F.col("_total")))
+    part = F.col("covered").cast("double") / F.col("_total")
+    floor = F.floor((part - F.sqrt(part * (1 - part) / F.col("_total")) * 1.96) * 100) / 100
+    quoted = F.array_join(F.transform("vs", lambda x: _quoted(x["v"])), ", ")
+    text = floor.cast("decimal(4,2)").cast("string")
+    return listed.select(
+        F.col("name").alias("source_col_name"),
+        F.lit("isContainedIn").alias("rule"),
+        F.concat(F.lit("'"), "name", F.lit("' has value range "), quoted, F.lit(" for at least "), (floor * 100).cast("int").cast("string"), F.lit("% of values")).alias("dq_suggestion_result"),
+        F.concat(F.lit('.isContainedIn("'), "name", F.lit('", ['), quoted, F.lit("], "), text, F.lit(")")).alias("dq_rule"),
+    )
+
+
+def _quoted(value: Column) -> Column:
+    return F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("\\'")), F.lit("'"))
+
+
 def _list_suggestions(df: DataFrame, columns: Sequence[str] | None, most: int) -> DataFrame:
     """Value lists of the text columns that hold ``most`` values at most; one pass counts all columns."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)]
@@ -306,7 +390,7 @@ def _list_suggestions(df: DataFrame, columns: Sequence[str] | None, most: int) -
     values = df.select(F.explode(cells).alias("_c")).select("_c.*").where("v IS NOT NULL").distinct()
     few = values.groupBy(F.col("name").alias("_few")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= most)
     kept = values.join(few, F.col("name") == F.col("_few"), "left_semi")
-    quoted = F.transform(F.sort_array(F.collect_list("v")), lambda v: F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("\\'")), F.lit("'")))
+    quoted = F.transform(F.sort_array(F.collect_list("v")), _quoted)
     listed = kept.groupBy("name").agg(F.array_join(quoted, ", ").alias("vs"))
     return listed.select(
         F.col("name").alias("source_col_name"),

@@ -7,13 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import catalog, lineage, quality, runlog
+from millrace.operators import catalog, digests, lineage, quality, runlog, states
 from millrace.operators import columns as C
 from millrace.operators.joins import left_join
 from millrace.operators.sets import union_many
 from millrace.queries import fixtures as X
 from millrace.queries.groups import part_sql
-from millrace.queries.registry import Tables, query
+from millrace.queries.registry import ORACLE, Tables, query
+from millrace.scratch import stage, work_dir
 from millrace.sources.files import json_records
 
 RULES = [
@@ -34,11 +35,22 @@ RULES = [
 ]
 
 
-def _rules() -> list[quality.Rule]:
-    return [quality.parse_rule(text, column, note, allow_sql=True) for text, column, note in RULES]
+# rules that are read from sketches; their bounds hold at every scale
+SKETCH_RULES = [
+    ("hasApproxCountDistinct(2, 4)", "o_orderstatus", "few states"),
+    ("hasApproxQuantile(0.5, 0, 1000000000000)", "o_orderkey", "middle key"),
+]
+
+
+def _rules(listed: list[tuple] = RULES) -> list[quality.Rule]:
+    return [quality.parse_rule(text, column, note, allow_sql=True) for text, column, note in listed]
+
+
+# all but uniqueness, for which states of parts do not suffice
+STATE_RULES = [r for r in RULES if not r[0].startswith("isUnique")] + SKETCH_RULES
 
 
-def _verify_sql() -> str:
+def _verify_sql(stored: bool = False) -> str:
     def share(hit: str, base: str, least: str = "1") -> str:
         hits, total = f"COUNT(*) FILTER (WHERE ({base}) AND ({hit}))", f"COUNT(*) FILTER (WHERE {base})"
         return f"{hits} AS hits, {total} AS total, hits >= {least} * total AS ok, {cut} AS m FROM nullable"
@@ -67,8 +79,12 @@ def _verify_sql() -> str:
         share("TRY_CAST(priority AS INTEGER) IS NOT NULL", "priority IS NOT NULL"),
         share("COALESCE(custkey >= 0, FALSE)", "TRUE"),
     ]
+    if stored:
+        metrics = [m for m, r in zip(metrics, RULES) if not r[0].startswith("isUnique")]
+        metrics.append("0 AS hits, 0 AS total, COUNT(DISTINCT o_orderstatus) BETWEEN 2 AND 4 AS ok, '' AS m FROM nullable")
+        metrics.append("0 AS hits, 0 AS total, MEDIAN(o_orderkey) BETWEEN 0 AND 1000000000000 AS ok, '' AS m FROM nullable")
     rows = []
-    for rule, metric in zip(_rules(), metrics):
+    for rule, metric in zip(_rules(STATE_RULES if stored else RULES), metrics):
         text = rule.text.replace("'", "''")
         rows.append(
             f"SELECT '{rule.column}' AS column_name, '{text}' AS dq_rule, '{rule.description}' AS dq_rule_description, "
@@ -84,6 +100,16 @@ def dq_verify(t: Tables) -> DataFrame:
     return quality.verify(X.nullable_orders(t), _rules())
 
 
+@query(_verify_sql(stored=True))
+def dq_verify_states(t: Tables) -> DataFrame:
+    """The same rules from states that are stored for every order status, sketches included."""
+    orders, rules, path = X.nullable_orders(t), _rules(STATE_RULES), work_dir(t.spark, "states")
+    known = stage(states.measure(orders, rules, by="o_orderstatus"), "states")
+    for status in ("F", "O", "P"):
+        states.store_states(known.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), path, status)
+    return states.verify_states(states.read_states(t.spark, path), rules, orders.schema)
+
+
 def _profile_sql() -> str:
     columns = [
         ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("day", "string"), ("priority", "string"),
@@ -149,6 +175,29 @@ def dq_suggest(t: Tables) -> DataFrame:
     return quality.suggest(_profiled(t), list_values=5).where("rule <> 'isUnique'")
 
 
+@query("""
+WITH src AS (
+  SELECT CASE WHEN l_linenumber = 7 THEN 'odd ' || l_orderkey ELSE l_returnflag || l_linestatus END AS state,
+         l_orderkey || '-' || l_linenumber AS line FROM lineitem),
+c AS (SELECT 'state' AS name, state AS v, COUNT(*) AS n FROM src GROUP BY state UNION ALL SELECT 'line', line, COUNT(*) FROM src GROUP BY line),
+f AS (SELECT *, (SELECT COUNT(*) FROM src) AS total FROM c),
+b AS (SELECT *, COALESCE(SUM(n) OVER (PARTITION BY name ORDER BY n DESC, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM f WHERE n >= 0.005 * total),
+l AS (SELECT name, total, SUM(n) AS covered, string_agg(chr(39) || v || chr(39), ', ' ORDER BY n DESC, v) AS vs
+      FROM b WHERE before < 0.9 * total GROUP BY name, total HAVING SUM(n) >= 0.9 * total AND SUM(n) < total),
+s AS (SELECT *, CAST(covered AS DOUBLE) / total AS part FROM l),
+r AS (SELECT *, FLOOR((part - SQRT(part * (1 - part) / total) * 1.96) * 100) / 100 AS least FROM s)
+SELECT name AS source_col_name, 'isContainedIn' AS rule,
+       chr(39) || name || chr(39) || ' has value range ' || vs || ' for at least ' || CAST(least * 100 AS INTEGER) || '% of values' AS dq_suggestion_result,
+       '.isContainedIn(' || chr(34) || name || chr(34) || ', [' || vs || '], ' || CAST(CAST(least AS DECIMAL(4,2)) AS VARCHAR) || ')' AS dq_rule
+FROM r""")
+def dq_suggest_frequent(t: Tables) -> DataFrame:
+    """Values that make up nine tenths of a column with many others; a column of keys has none."""
+    state = F.when(F.col("l_linenumber") == 7, F.concat(F.lit("odd "), "l_orderkey")).otherwise(F.concat("l_returnflag", "l_linestatus"))
+    lines = t.lineitem.select(state.alias("state"), F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("line"))
+    return quality.suggest(lines, list_share=0.9).where("rule = 'isContainedIn'")
+
+
 def _compared(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Orders against a copy with changed prices, statuses and a null-against-value case."""
     source = X.orders_typed(t)
@@ -175,6 +224,19 @@ def dq_cell_diff(t: Tables) -> DataFrame:
     return diff.withColumn("column_names", F.array_join("column_names", ","))
 
 
+@query(ORACLE["dq_cell_diff"])
+def dq_tree_diff(t: Tables) -> DataFrame:
+    """The same by a tree of digests."""
+    return digests.tree_diff(*_compared(t), "o_orderkey").withColumn("column_names", F.array_join("column_names", ","))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 'target' ELSE 'source' END AS missing_in
+FROM orders WHERE o_orderpriority IN ('5-LOW', '3-MEDIUM')""")
+def dq_tree_missing(t: Tables) -> DataFrame:
+    return digests.tree_missing(*_compared(t), "o_orderkey")
+
+
 @query("""
 SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 'target' ELSE 'source' END AS missing_in
 FROM orders WHERE o_orderpriority IN ('5-LOW', '3-MEDIUM')""")
