@@ -192,15 +192,15 @@ class FMIndex:
 
 
 class Phrases:
-    """A block of test windows: word hashes, lengths and the items that have each window."""
+    """A block of test windows: word hashes, lengths and the items that have each window; items without an id add windows only."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         owners: dict[tuple, set] = {}
         for item, text in items:
             words = tuple(word_hashes(text_words(text)).tolist())
             for k in range(max(1, len(words) - window + 1) if words else 0):
                 owners.setdefault(words[k: k + window], set()).add(item)
-        self.items = [sorted(s) for s in owners.values()]
+        self.items = [sorted(s - {None}) for s in owners.values()]
         self.lengths = np.array([len(w) for w in owners], np.int64)
         self.words = np.zeros((len(owners), window), np.int64)
         for k, w in enumerate(owners):
@@ -235,7 +235,7 @@ def store_phrases(benchmark: DataFrame, identity: Column, text: Column, folder:
         if held:
             yield block()
 
-    chosen = benchmark.select(identity.cast("string").alias("id"), text.cast("binary").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    chosen = benchmark.select(identity.cast("string").alias("id"), text.cast("binary").alias("text")).where("text IS NOT NULL")
     # small partitions are put together, so that blocks are few
     named = stage(chosen.hint("rebalance").mapInArrow(write, "name string"), "phrase-blocks")
     return [r["name"] for r in named.collect()]
@@ -309,14 +309,16 @@ def cut_words(text: bytes, places: np.ndarray) -> bytes:
 
 
 def scan(docs: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str, window: int, carried: list[str], added, make) -> DataFrame:
-    """``carried`` columns and those that ``make(text, words, places, items)`` adds, one row per document.
+    """``own``, a struct of the ``carried`` columns, and what ``make(text, words, places, items)`` adds, one row per document.
 
     A task gathers documents up to ``SHARD_WORDS`` words, builds their index and
     searches every block of phrases in it; nothing is exchanged.
     """
     folder = work_dir(docs.sparkSession, "phrases")
     names = store_phrases(benchmark, F.col(f"`{item}`"), F.col(f"`{item_text}`"), folder)
-    chosen = docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("binary").alias("_text"))
+    # carried columns travel as one, so that no name of theirs can clash; a row without any carries a mark
+    own = F.struct(*[F.col(f"`{c}`") for c in carried] or [F.lit(0).alias("none")])
+    chosen = docs.select(own.alias("own"), F.col(f"`{text}`").cast("binary").alias("text"))
     schema = T.StructType(chosen.schema.fields[:-1] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,8 +359,9 @@ def find_contamination(
     lower-cased.  Windows are ``window`` consecutive words of an item, or the
     whole of a shorter one; ``spans`` are the merged runs of words inside any
     occurrence.  Null or wordless texts have no words and no hits.  Items
-    without id, text or words have no windows; rows that repeat an item add
-    windows to it.  Without items nothing is hit; items_sha256 is then that of
+    without text or words have no windows; the windows of an item without an id
+    hit like any other, but it is not among the items.  Rows that repeat an item
+    add windows to it.  Without items nothing is hit; items_sha256 is then that of
     the empty text.  Every row is judged, also repeated ones.
     """
     pair = T.StructType([T.StructField("begins", T.LongType()), T.StructField("ends", T.LongType())])
@@ -372,7 +375,8 @@ def find_contamination(
         spans = [{"begins": a, "ends": b} for a, b in word_spans(places)]
         return n_words, len(places), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), len(places) > 0, items, spans
 
-    return scan(docs, text, benchmark, item, item_text, window, [identity], added, make)
+    found = scan(docs, text, benchmark, item, item_text, window, [identity], added, make)
+    return found.select(F.col("own").getField(identity).alias(identity), *added.names)
 
 
 def decontaminate(
@@ -382,12 +386,12 @@ def decontaminate(
 
     Rows without a hit stay as they are, also wordless ones.
     """
-    added = T.StructType([T.StructField("_cut", T.BinaryType()), T.StructField("_gone", T.BooleanType())])
+    added = T.StructType([T.StructField("cut", T.BinaryType()), T.StructField("gone", T.BooleanType())])
 
     def make(original, n_words, places, _):
         body = original.as_py()
         return (cut_words(body, places) if len(places) else body), len(places) == n_words > 0
 
     carried = [c for c in docs.columns if c != text]
-    found = scan(docs, text, benchmark, item, item_text, window, carried, added, make).where("NOT _gone")
-    return found.select(*[F.col("_cut").cast("string").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    found = scan(docs, text, benchmark, item, item_text, window, carried, added, make).where("NOT gone")
+    return found.select(*[F.col("cut").cast("string").alias(c) if c == text else F.col("own").getField(c).alias(c) for c in docs.columns])

@@ -281,7 +281,7 @@ WITH d AS (
 ), hits AS (
   SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(k, k + m)) AS pos FROM occ) GROUP BY rid
 ), ids AS (
-  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item_id FROM occ) GROUP BY rid
+  SELECT rid, count(item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item_id FROM occ) GROUP BY rid
 )
 SELECT doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -7,6 +7,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from millrace.llm import fmindex
 
 
@@ -18,14 +20,15 @@ def plain_hits(text, items):
     words, hit, found = plain_words(text), set(), set()
     for item, item_text in items:
         phrase = plain_words(item_text)
-        if item is None or not phrase:
+        if not phrase:
             continue
         size = min(10, len(phrase))
         for k in range(len(phrase) - size + 1):
             for at in range(len(words) - size + 1):
                 if words[at: at + size] == phrase[k: k + size]:
                     hit.update(range(at, at + size))
-                    found.add(str(item))
+                    if item is not None:
+                        found.add(str(item))
     return words, hit, sorted(found)
 
 
@@ -61,7 +64,7 @@ def test_against_plain_scan(spark, monkeypatch):
 def test_small_shards_and_phrase_blocks_agree(monkeypatch):
     rows, items = corpus()
     texts = [fmindex.text_words((t or "").encode()) for _, t in rows]
-    known = [(str(i), (t or "").encode()) for i, t in items if i is not None]
+    known = [(None if i is None else str(i), (t or "").encode()) for i, t in items]
     monkeypatch.setattr(fmindex, "SHARD_WORDS", 37)
     blocks = [fmindex.Phrases(known[k: k + 4], 10) for k in range(0, len(known), 4)]
     for (_, text), (n, places, ids) in zip(rows, fmindex.search_documents(texts, lambda: iter(blocks), 10)):
@@ -92,9 +95,17 @@ def test_index_ranks_and_places(seed):
 def test_spans_are_cut_out(spark):
     item = "one two three four five six seven eight nine ten eleven"
     rows = [(1, f"Before, {item.upper()}. After é", 5, "x"), (2, item, 5, "x"), (3, "clean  text.", 5, "x"), (4, None, 5, "x"), (5, "", 5, "x"), (6, item.replace("six", "6"), 5, "x")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int, _cut string").drop("_cut")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int, _cut string")
+    for name in ("_text", "_gone", "own", "cut", "gone", "row"):
+        docs = docs.withColumn(name, F.lit(name))
     benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
-    found = {r["doc_id"]: r["text"] for r in fmindex.decontaminate(docs, benchmark, text="text").collect()}
+    left = fmindex.decontaminate(docs, benchmark, text="text")
+    assert left.columns == docs.columns and {(r["_cut"], r["_text"], r["gone"]) for r in left.collect()} == {("x", "_text", "gone")}
+    found = {r["doc_id"]: r["text"] for r in left.collect()}
     assert found == {1: "Before, . After é", 3: "clean  text.", 4: None, 5: "", 6: rows[5][1]}
+    assert {r[0] for r in fmindex.decontaminate(docs.select("text"), benchmark, text="text").collect()} == set(found.values())
+    unnamed = spark.createDataFrame([(None, item)], benchmark.schema)
+    hits = fmindex.find_contamination(docs, unnamed, identity="doc_id", text="text").where("contaminated").collect()
+    assert sorted((r["doc_id"], r["n_hit"], r["n_items"]) for r in hits) == [(1, 11, 0), (2, 11, 0)]
     assert fmindex.decontaminate(docs.limit(0), benchmark, text="text").count() == 0
     assert fmindex.decontaminate(docs, benchmark.limit(0), text="text").count() == len(rows)
