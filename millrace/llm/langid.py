@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +18,6 @@ OUTPUTS = ("language", "confidence", "kept")
 #: Hashed byte trigrams per language.
 CELLS = 1 << 15
 UNDETERMINED = "und"
-#: More languages than this are a fault of the labels.
-LABEL_LIMIT = 256
 #: Trigrams that count as independent when a text is judged alone.
 SURE_TRIGRAMS = 200
 
@@ -63,10 +62,11 @@ class TextModel:
         return count, sums / max(count, 1)
 
 
-def fit_text_model(docs: DataFrame, text: Column, label: Column, identity: Column, rows_per_language: int = 500, least_rows: int = 5) -> TextModel:
+def fit_text_model(docs: DataFrame, text: Column, label: Column, identity: Column, rows_per_language: int = 500) -> TextModel:
     """Trigram counts of a bounded sample of labelled rows: the ``rows_per_language`` with the smallest id hash of each label.
 
-    Labels with fewer than ``least_rows`` rows in the sample are no languages.
+    Every label is a language, however few its rows.  The model holds 256 KB of
+    each.
     """
     labelled = docs.select(label.cast("string").alias("label"), identity.alias("id"), text.alias("text"))
     labelled = labelled.where("label IS NOT NULL AND id IS NOT NULL AND text <> ''")
@@ -94,14 +94,13 @@ def fit_text_model(docs: DataFrame, text: Column, label: Column, identity: Colum
 
     schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("cell", T.LongType()), T.StructField("n", T.LongType())])
     sums = stage(sample.select("label", "text").mapInArrow(count, schema).groupBy("label", "cell").agg(F.sum("n").alias("n")), "language-cells")
-    enough = sums.where((F.col("cell") == -1) & (F.col("n") >= least_rows)).select("label")
-    languages = sorted(r["label"] for r in enough.limit(LABEL_LIMIT + 1).collect())
-    if len(languages) > LABEL_LIMIT:
-        raise ValueError(f"more than {LABEL_LIMIT} languages; the label column doesn't name languages")
+    found = sums.toArrow()
+    languages = sorted(set(found["label"].to_pylist()))
     counts = np.zeros((len(languages), CELLS))
     for k, language in enumerate(languages):
-        found = sums.where((F.col("label") == language) & (F.col("cell") >= 0)).toArrow()
-        counts[k, found["cell"].to_numpy()] = found["n"].to_numpy()
+        own = found.filter(pc.equal(found["label"], language))
+        cells = own["cell"].to_numpy()
+        counts[k, cells[cells >= 0]] = own["n"].to_numpy()[cells >= 0]
     return TextModel(languages, counts)
 
 
@@ -157,11 +156,13 @@ def fuse(
     A text that every language explains worse than even use of all trigrams, and
     one without letters (null, empty), is ``und``.  Not kept are ``und`` and
     confidences below ``least_confidence``.  Null evidence says nothing.  Repeated
-    rows are counted each.  Without languages every row is ``und``.
+    rows are counted each.  Of languages with the same posterior the first by name
+    wins.  Without languages nothing can be told: every row is ``und``, and those
+    with letters stay.
     """
     size, names = len(model.languages), [*model.languages, UNDETERMINED]
     if not size:
-        return facts.select(*carried, F.lit(UNDETERMINED).alias("language"), F.lit(1.0).alias("confidence"), F.lit(False).alias("kept"))
+        return facts.select(*carried, F.lit(UNDETERMINED).alias("language"), F.lit(1.0).alias("confidence"), (F.col("trigrams") > 0).alias("kept"))
     totals = facts.where("sure IS NOT NULL").agg(F.array(*[F.sum((F.col("sure") == k).cast("bigint")) for k in range(size)]), F.count_distinct("declared"), F.count_distinct("suffix")).first()
     sums, kinds = [n or 0 for n in totals[0]], {"declared": totals[1], "suffix": totals[2]}
     shares = [(n + 1) / (sum(sums) + size) for n in sums]

@@ -1,5 +1,6 @@
 """Operator 4: held-out accuracy, evidence and defined results."""
 
+import math
 import random
 
 import numpy as np
@@ -58,7 +59,56 @@ def test_undetermined_rows_go(spark):
     assert by_id[403]["kept"] and [r["language"] for r in found if r["doc_id"] is None] == ["en", "en"]
     assert langid.identify_documents(docs.limit(0), None).count() == 0
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
-    assert {r["language"] for r in langid.identify_documents(unlabelled, None).collect()} == {"und"}
+    blank = unlabelled.withColumn("text", F.when(F.col("doc_id") > 5, F.col("text")))
+    found = langid.identify_documents(blank, None).collect()
+    assert {r["language"] for r in found} == {"und"} and {r["doc_id"] for r in found if not r["kept"]} == set(range(6))
+    few = langid.identify_documents(docs.where("doc_id < 4"), None).collect()
+    assert [r["language"] for r in sorted(few)] == ["en", "de", "fr", "en"] and all(r["kept"] for r in few)
+
+
+def plain_fusion(facts, languages, text_weight=200, host_strength=10.0, domain_strength=50.0, least=0.5):
+    """The posterior of every row in plain Python: [(language, confidence, kept)]."""
+    size, sure = len(languages), [f for f in facts if f["sure"] is not None]
+    sums = [sum(f["sure"] == k for f in sure) for k in range(size)]
+
+    def counts(key, value):
+        return [sum(f["sure"] == k and f[key] == value for f in sure) if value is not None else 0 for k in range(size)]
+
+    found = []
+    for f in facts:
+        prior = [(n + 1) / (len(sure) + size) for n in sums]
+        for key, strength in (("domain", domain_strength), ("host", host_strength)):
+            n = counts(key, f[key])
+            prior = [(c + strength * p) / (sum(n) + strength) for c, p in zip(n, prior)]
+        value = [math.log(p) + min(f["trigrams"], text_weight) * s for p, s in zip(prior, f["scores"])]
+        for key in ("declared", "suffix"):
+            if f[key] is not None:
+                kinds = len({g[key] for g in sure if g[key] is not None})
+                value = [v + math.log((c + 0.5) / (n + 0.5 * (kinds + 1))) for v, c, n in zip(value, counts(key, f[key]), sums)]
+        if not f["trigrams"] or max(f["scores"]) < -math.log(langid.CELLS):
+            found.append(("und", 1.0, False))
+            continue
+        share = 1 / sum(math.exp(v - max(value)) for v in value)
+        found.append((languages[value.index(max(value))], share, share >= least))
+    return found
+
+
+def test_fusion_against_plain_python(spark):
+    rng, languages = random.Random(13), ["aa", "bb", "cc"]
+    facts = []
+    for k in range(300):
+        scores = [-rng.uniform(4, 6) for _ in languages] if rng.random() < 0.9 else [-11.0] * 3
+        facts.append({
+            "id": k, "trigrams": rng.choice([0, 1, 3, 30, 900]), "scores": scores, "sure": rng.choice([None, 0, 0, 1, 2]),
+            "declared": rng.choice([None, "aa", "bb", "xx"]), "suffix": rng.choice([None, "de", "fr"]), "host": rng.choice([None, "h1", "h2", "h3"]), "domain": rng.choice([None, "d1", "d2"]),
+        })
+    facts += [{**facts[0], "id": 900, "scores": [-5.0] * 3, "trigrams": 2, "declared": None, "suffix": None, "host": None, "domain": None, "sure": None}] * 2
+    schema = "id bigint, trigrams bigint, scores array<double>, sure int, declared string, suffix string, host string, domain string"
+    df = spark.createDataFrame([tuple(f.values()) for f in facts], schema).repartition(5)
+    got = langid.fuse(df, langid.TextModel(languages, np.ones((3, langid.CELLS))), ["id"])
+    wanted = sorted((f["id"], *p) for f, p in zip(facts, plain_fusion(facts, languages)))
+    for (i, language, confidence, kept), r in zip(wanted, sorted(tuple(r) for r in got.collect())):
+        assert (i, language, kept) == (r[0], r[1], r[3]) and abs(confidence - r[2]) < 1e-9
 
 
 def test_page_evidence(spark):
