@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import struct
@@ -150,8 +151,21 @@ class WordTokens:
     once; runs and words are then kept, up to ``limit`` of each.  Words beyond
     plain Latin, not in composed form, or with special tokens take the whole
     tokenizer.  The ids are those of the whole text.
+
+    A file with other rules than ``RULES`` encodes every text as a whole.
     """
 
+    # fixed values: the rules of the file under which words may be encoded one by one
+    RULES = {
+        "normalizer": {"type": "Sequence", "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+        ]},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]},
+    }
+
     # fixed values: the tokenizer's split, written out for plain Latin text
     LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
     SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{LETTERS}{DIGITS}]+"
@@ -161,6 +175,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_word = all(rules.get(k) == v for k, v in self.RULES.items()) and rules["model"]["type"] == "BPE"
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.model, self.runs = self.tokenizer.model, {}
         self.code = "H" if self.kind == "<u2" else "I"
@@ -205,6 +221,8 @@ class WordTokens:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The texts' ids as little-endian numbers of ``kind``."""
+        if not self.by_word:
+            return [self.packed(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids) for t in texts]
         get = self.words.__getitem__
         return [b"".join(map(get, t.split())) for t in texts]
 

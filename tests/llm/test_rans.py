@@ -72,6 +72,16 @@ def test_word_cache_gives_the_ids_of_whole_texts():
         assert got == wanted, repr(text)
 
 
+def test_another_tokenizer_gets_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, tokens = Tokenizer.from_file(path), rans.WordTokens(path)
+    assert rans.WordTokens(PATH).by_word and not tokens.by_word
+    for text in ("Hello, World!  It's 12 o'clock.", "é à ñ\n\nUPPER lower", "", "<|endoftext|> x"):
+        assert np.frombuffer(tokens.encode([text.encode()])[0], tokens.kind).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_files_round_trip(spark, tmp_path):
     rows = [(k * 7 % 50, t, "s", 1) for k, t in enumerate(TEXTS * 3)] + [(None, "no id", "s", 1)] * 2 + [(5, "again", "s", 1)] * 3
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, start string, ids int").repartition(3)
