@@ -40,7 +40,9 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
         return pafs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
+    scheme, _, rest = uri.partition("://")
+    # Hadoop's names of a store that Arrow knows under another one
+    return pafs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme) }://{rest}")
 
 
 class TaskFile:

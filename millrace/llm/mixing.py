@@ -143,6 +143,11 @@ def turn_weights(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Data
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
-    """The mix itself: every row as often as it is taken, without the operator's columns."""
-    again = mixed.where(F.col("repeats") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("repeats"))))
-    return again.drop("_copy", *OUTPUTS)
+    """The mix itself: every row as often as it is taken, without the operator's columns.
+
+    Columns of the input that are named like those were replaced by ``mix_sources``;
+    pack them into one before, where they must come back.
+    """
+    columns = [F.col(f"`{c}`") for c in mixed.columns if c not in OUTPUTS]
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("repeats")))
+    return mixed.where(F.col("repeats") > 0).select(F.struct(*columns).alias("row"), copies.alias("copy")).select("row.*")
