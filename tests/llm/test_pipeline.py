@@ -1,8 +1,10 @@
 """The stages over the smallest tables, each against what its operator promises."""
 
 from collections import Counter
+from functools import reduce
 
 from conftest import DATA
+from pyspark.sql import functions as F
 from test_fmindex import plain_hits
 from test_simhash import plain_similar
 
@@ -40,3 +42,18 @@ def test_stages_over_the_smallest_tables(spark, tmp_path):
 def test_run_repeats(spark):
     first, second = (sorted(r["doc_id"] for r in pipeline.run(spark, DATA).collect()) for _ in range(2))
     assert first == second and first
+
+
+def test_extra_columns_come_through_every_stage(spark, tmp_path):
+    names = ["_check", "_gone", "_gone_id", "_text", "_cut", "size", "source_size", "target", "repeats", "_copy", "row", "number", "language", "kept"]
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")))
+    for k, (_, stage) in enumerate(pipeline.STAGES):
+        columns = docs.columns
+        stage(spark, docs, DATA).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        if k < 4:
+            assert docs.columns == columns
+        wrong = [F.col(n) != F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names]
+        assert docs.where(reduce(lambda a, b: a | b, wrong)).count() == 0
