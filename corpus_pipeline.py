@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import fmindex, langid, mixing, sharding, simhash
-from millrace.llm.common import word_count
+from millrace.llm.common import packed, word_count
 
 #: SQL cannot say language models, XXH64 fingerprints or the seeded shuffle; tests compare with plain versions.
 ORACLE_SQL = None
@@ -21,13 +21,22 @@ def row_check(docs: DataFrame):
     return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer where the table has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; those rejected go.  Few are, so they are what is joined."""
-    marked = docs.withColumn("_check", row_check(docs))
-    found = langid.identify_documents(marked, table(spark, sf_dir, "pages"), carried=("_check",))
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("_check").alias("_gone")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_check") == F.col("_gone"))
-    return marked.join(gone, same, "left_anti").drop("_check")
+    check, gone_id, gone_check = (free_name(docs, n) for n in ("_check", "_gone_id", "_gone_check"))
+    marked = docs.withColumn(check, row_check(docs))
+    found = langid.identify_documents(marked, table(spark, sf_dir, "pages"), carried=(check,))
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(gone_id), F.col(check).alias(gone_check)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(check) == F.col(gone_check))
+    return marked.join(gone, same, "left_anti").drop(check)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +52,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources mixed to their targets; documents are repeated or left out as the mix says."""
-    mixed = mixing.mix_sources(docs, None, size=word_count(F.col("text")), identity=F.col("doc_id"), source=F.col("source"))
-    return mixing.repeat_rows(mixed)
+    rows = docs.select(packed(docs))
+    own = F.col("row").getField
+    mixed = mixing.mix_sources(rows, None, size=word_count(own("text")), identity=own("doc_id"), source=own("source"))
+    return mixing.repeat_rows(mixed).select(*[own(c).alias(c) for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
