@@ -61,6 +61,19 @@ def first_file(spark: SparkSession, path: str) -> str:
     raise FileNotFoundError(path)
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """All visible files of a path, folder or glob."""
+    jpath, store = _open(spark, path)
+    found, todo = [], list(store.globStatus(jpath) or [])
+    while todo:
+        status = todo.pop()
+        if status.isDirectory():
+            todo += [s for s in store.listStatus(status.getPath()) if not s.getPath().getName().startswith(("_", "."))]
+        else:
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
 def head(spark: SparkSession, path: str, size: int) -> bytes:
     """First ``size`` bytes of one file."""
     jpath, files = _open(spark, first_file(spark, path))

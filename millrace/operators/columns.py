@@ -155,15 +155,8 @@ def first_value(df: DataFrame, name: str, *columns: str, no_value: Sequence[str]
     return df.withColumn(name, F.coalesce(*[usable(c) for c in columns]))
 
 
-def typed_select(df: DataFrame, columns: Iterable[Mapping], keep: Sequence[str] = (), truncate: bool = False) -> DataFrame:
-    """Project a raw table through its column records.
-
-    Records are ordered by sequence number; each casts one source column to its
-    target type (null when the value does not fit) and renames it.  A target
-    date-time format rewrites the value through ``date_format`` first; a text that
-    is no date or time gives null.
-    Character lengths cut the text only when ``truncate`` is set.
-    """
+def _typed_values(df: DataFrame, columns: Iterable[Mapping], truncate: bool) -> list[tuple[Mapping, Column]]:
+    """Column records in sequence order, each with its typed value."""
     records = sorted(columns, key=lambda r: int(r["sequence_number"]))
     values = []
     for record in records:
@@ -172,14 +165,66 @@ def typed_select(df: DataFrame, columns: Iterable[Mapping], keep: Sequence[str]
             # a plain cast would end the job at the first unreadable text
             value = F.date_format(value.try_cast("timestamp"), record["target_datetime_format"])
         values.append(value)
-    chosen = []
-    for record, value, (_, found) in zip(records, values, df.select(*values).dtypes):
+    found = []
+    for record, value, (_, kind) in zip(records, values, df.select(*values).dtypes):
         length = record.get("target_length")
-        kind = target_type(record["target_datatype"], length, record.get("target_precision"))
-        value = safe_cast(value, found, kind)
-        if truncate and kind == "string" and present(length):
+        wanted = target_type(record["target_datatype"], length, record.get("target_precision"))
+        value = safe_cast(value, kind, wanted)
+        if truncate and wanted == "string" and present(length):
             value = F.substring(value, 1, int(length))
-        chosen.append(value.alias(record["target_column_name"]))
+        found.append((record, value))
+    return found
+
+
+#: Map of source column and text that a typed row could not take.
+RESCUED = "_rescued"
+
+
+def typed_rescue(df: DataFrame, columns: Iterable[Mapping], keep: Sequence[str] = (), truncate: bool = False, rescued: str = RESCUED) -> DataFrame:
+    """``typed_select`` with one column more: the source values that did not fit, as a map of source column and text.
+
+    The map is empty for a good row.  Nulls and blank texts are absent values, not
+    bad ones.  ``split_rescued`` parts good rows from bad ones.
+    """
+    typed = _typed_values(df, columns, truncate)
+    cells = []
+    for record, value in typed:
+        raw = F.col(record["source_column_name"])
+        bad = raw.isNotNull() & (F.trim(raw.cast("string")) != "") & value.isNull()
+        cells.append(F.struct(F.lit(record["source_column_name"]).alias("key"), raw.cast("string").alias("value"), bad.alias("bad")))
+    bad_cells = F.transform(F.filter(F.array(*cells), lambda c: c["bad"]), lambda c: F.struct(c["key"].alias("key"), c["value"].alias("value")))
+    chosen = [value.alias(record["target_column_name"]) for record, value in typed]
+    return df.select(*chosen, *[F.col(c) for c in keep if c in df.columns], F.map_from_entries(F.array_distinct(bad_cells)).alias(rescued))
+
+
+def split_rescued(typed: DataFrame, rescued: str = RESCUED) -> tuple[DataFrame, DataFrame]:
+    """(good rows without the map, bad rows with it)."""
+    return typed.where(F.size(rescued) == 0).drop(rescued), typed.where(F.size(rescued) > 0)
+
+
+def error_records(bad: DataFrame, table: str, keys: Sequence[str], rescued: str = RESCUED) -> DataFrame:
+    """Bad rows as records of the error table: table_name, primary_keys and bad_values as JSON.
+
+    A row whose own key did not fit has null primary_keys: no stored row can be
+    the one it means.
+    """
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(f"`{k}`").isNotNull()
+    key = F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])) if keys else F.lit(None).cast("string")
+    return bad.select(F.lit(table).alias("table_name"), F.when(whole, key).alias("primary_keys"), F.to_json(rescued).alias("bad_values"))
+
+
+def typed_select(df: DataFrame, columns: Iterable[Mapping], keep: Sequence[str] = (), truncate: bool = False) -> DataFrame:
+    """Project a raw table through its column records.
+
+    Records are ordered by sequence number; each casts one source column to its
+    target type (null when the value does not fit) and renames it.  A target
+    date-time format rewrites the value through ``date_format`` first; a text that
+    is no date or time gives null.
+    Character lengths cut the text only when ``truncate`` is set.
+    """
+    chosen = [value.alias(record["target_column_name"]) for record, value in _typed_values(df, columns, truncate)]
     chosen += [F.col(c) for c in keep if c in df.columns]
     return df.select(*chosen)
 

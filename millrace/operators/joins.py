@@ -193,7 +193,8 @@ def exclude_quarantined(
 
     The JSON is parsed with the types of the table's own key columns.  A key text
     that does not give every key column stops the job, as the row it means would
-    be loaded otherwise.
+    be loaded otherwise.  A record without a key text names no row (its own key was
+    unreadable, or a whole file was) and holds nothing back.
     """
     keys = names(keys)
     fields = {f.name: f.dataType for f in df.schema.fields}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import match_keys, names
-from millrace.scratch import stage, work_dir
+from millrace.scratch import stage
 
 _LISTS = ("added_col", "selected_cols", "dropped_cols", "left_df_cols", "right_df_cols", "key_cols",
           "left_key_cols", "right_key_cols", "final_df_cols", "source_tables")
@@ -104,52 +104,35 @@ def edges_of(events: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _closure(spark: SparkSession, start: DataFrame, step, keys: Sequence[str]) -> DataFrame:
-    """All rows that repeated steps reach from ``start``.
-
-    Every level is written below one folder, which is read as one table: the plan
-    stays short, and only rows not yet known go on, so cycles end.
-    """
-    folder, level = work_dir(spark, "lineage-levels"), 0
-    frontier = start
-    while True:
-        frontier.write.parquet(f"{folder}/level-{level}")
-        frontier = spark.read.schema(start.schema).parquet(f"{folder}/level-{level}")
-        seen = spark.read.schema(start.schema).parquet(f"{folder}/*")
-        if frontier.isEmpty():
-            return seen
-        frontier, level = match_keys(step(frontier).distinct(), seen, keys, "left_anti"), level + 1
-
-
-def _reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """Nodes reached from the start nodes, the start included."""
-    steps = edges.withColumnRenamed("target", "node")
-    return _closure(edges.sparkSession, start, lambda f: f.join(steps, "node").select(F.col("source").alias("node")), ["node"])
-
-
 def root_sources(edges: DataFrame, targets: DataFrame | str | Sequence[str] | None = None) -> DataFrame:
     """(target, root) for every dataset without sources of its own that a target
     is built from; all targets unless some are named.
 
-    Roots are handed upwards from the datasets without sources, one level per
-    step, so only pairs that belong to a result are ever made.
+    Steps double: a round knows the roots within 2^k steps, and which datasets
+    lie exactly 2^k steps above; put together they give twice as many.  A chain of
+    n steps takes log2(n) + 1 rounds.  Ways along a cycle never end, but none
+    without repetition is longer than the number of datasets, which bounds the
+    rounds.
     """
     spark = edges.sparkSession
     edges = stage(edges.select("target", "source").distinct(), "lineage-edges")
-    wanted = None
+    inner = edges.select(F.col("target").alias("source")).distinct()
+    longest = edges.select("target").distinct().count()
+    ends = match_keys(edges, inner, "source", "left_anti", nulls_match=False)
+    found = stage(ends.select("target", F.col("source").alias("root")), "lineage-roots")
+    # a null source is none that could be built from others
+    jumps = stage(match_keys(edges, inner, "source", "left_semi", nulls_match=False).select("target", F.col("source").alias("mid")), "lineage-jumps")
+    steps = 1
+    while steps < longest and not jumps.isEmpty():
+        known = found.select(F.col("target").alias("mid"), "root")
+        found = stage(found.unionByName(jumps.join(known, "mid").select("target", "root")).distinct(), "lineage-roots")
+        onward = jumps.select(F.col("target").alias("mid"), F.col("mid").alias("_next"))
+        jumps = stage(jumps.join(onward, "mid").select("target", F.col("_next").alias("mid")).distinct(), "lineage-jumps")
+        steps *= 2
+    if targets is None:
+        return found
     if isinstance(targets, DataFrame):
         wanted = targets.select(F.col(targets.columns[0]).alias("node")).distinct()
-    elif targets is not None:
+    else:
         wanted = spark.createDataFrame([(t,) for t in names(targets)], "node string").distinct()
-    if wanted is not None:
-        nodes = _reachable(edges, wanted)
-        edges = stage(match_keys(edges, nodes, "target", "left_semi", "node"), "lineage-edges")
-
-    inner = edges.select(F.col("target").alias("source")).distinct()
-    ends = match_keys(edges, inner, "source", "left_anti")
-
-    def up(known: DataFrame) -> DataFrame:
-        return edges.join(known.withColumnRenamed("target", "source"), "source").select("target", "root")
-
-    seen = _closure(spark, ends.select("target", F.col("source").alias("root")), up, ["target", "root"])
-    return seen if wanted is None else match_keys(seen, wanted, "target", "left_semi", "node")
+    return match_keys(found, wanted, "target", "left_semi", "node")

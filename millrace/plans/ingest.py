@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import match_keys
 from millrace.operators import cdc
-from millrace.operators.columns import typed_select
+from millrace.operators.columns import error_records, split_rescued, typed_rescue, typed_select
 from millrace.operators.filters import incremental_filter, incremental_predicate, moment_text
 from millrace.operators.runlog import append_log, finished, started
 from millrace.plans.config import Ingestion
@@ -110,9 +110,15 @@ def run_ingest(
     files: int | None = None,
     log_path: str | None = None,
     clock: Callable[[], float] = time.monotonic,
+    errors: str | None = None,
 ) -> RunResult:
     """Run one record.
 
+    With ``errors``, rows with a value that does not fit its type are not stored
+    with a null in its place: they go to the partition of ``as_of`` in the error
+    table there, which ``read_latest_partition`` and ``exclude_quarantined`` read.
+    Rows stored and rows in error together are the rows landed, or the run fails.
+
     The source is read once, into the landing layer; everything after works on
     the landed files.  An increment without rows changes no stored table.
 
@@ -139,7 +145,7 @@ def run_ingest(
     if in_blackout(spec.ola, as_of):
         return RunResult(end(f"start time lies in {spec.ola}"), final, False)
     try:
-        counts = _load(spark, spec, base, as_of, since, source, connection, database, files)
+        counts = _load(spark, spec, base, as_of, since, source, connection, database, files, errors)
     except Exception as error:
         end(f"{type(error).__name__}: {error}")
         raise
@@ -156,7 +162,7 @@ def within_sla(limit: str, seconds: float) -> str:
 
 def _load(
     spark: SparkSession, spec: Ingestion, base: str, as_of: dt.datetime, since: dt.datetime | None, source: DataFrame | None,
-    connection: Mapping | None, database: str | None, files: int | None,
+    connection: Mapping | None, database: str | None, files: int | None, errors: str | None = None,
 ) -> dict[str, int]:
     """Land, type, capture, store and register; the counts of landed and stored rows."""
     landing = layer_path(base, "landing", spec.table)
@@ -168,8 +174,18 @@ def _load(
         return {"landing_count": 0, "final_count": 0}
 
     keep = [spec.op_column] if spec.op_column else []
-    typed = typed_select(stored_raw, spec.columns, keep=keep)
-    return {"landing_count": landed, "final_count": _store(spark, spec, base, typed, as_of.date(), database)}
+    if not errors:
+        typed = typed_select(stored_raw, spec.columns, keep=keep)
+        return {"landing_count": landed, "final_count": _store(spark, spec, base, typed, as_of.date(), database)}
+    good, bad = split_rescued(typed_rescue(stored_raw, spec.columns, keep=keep))
+    wrong = Observation()
+    records = error_records(bad, spec.table, spec.keys).observe(wrong, F.count(F.lit(1)).alias("rows"))
+    write_partition(records, errors, "load_dt", as_of.date())
+    processed = landed - wrong.get["rows"]
+    if good.count() != processed:
+        raise RuntimeError(f"{spec.table}: {landed} rows landed, but good and bad ones are not as many")
+    stored = _store(spark, spec, base, good, as_of.date(), database)
+    return {"landing_count": landed, "processed_count": processed, "final_count": stored}
 
 
 def _store(spark: SparkSession, spec: Ingestion, base: str, typed: DataFrame, day: dt.date, database: str | None) -> int:

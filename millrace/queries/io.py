@@ -17,7 +17,7 @@ from millrace.scratch import work_dir
 from millrace.sinks import files as sink
 from millrace.sinks import tables
 from millrace.sources import files as src
-from millrace.sources import kafka, targets
+from millrace.sources import jdbc, kafka, targets
 from millrace.streaming import changes as stream
 
 
@@ -95,6 +95,18 @@ def src_latest_partition(t: Tables) -> DataFrame:
     return targets.read_latest_partition(t.spark, path, "run_dt")
 
 
+@query("""
+SELECT 'cube' AS partition_column, 17 AS reads, COUNT(*) AS covered, TRUE AS balanced, COUNT(*) FILTER (WHERE l_linenumber = 7) AS null_rows,
+       CAST(0 AS BIGINT) AS astray FROM lineitem""")
+def src_jdbc_equi_depth(t: Tables) -> DataFrame:
+    """Reads of a very uneven column: no range holds over twice the mean, every row is in one."""
+    cube = F.when(F.col("l_linenumber") != 7, F.pow("l_extendedprice", F.lit(3)))
+    rows = t.lineitem.select(cube.alias("cube"))
+    found = jdbc.partition_depths(rows, "cube", jdbc.depth_predicates("cube", jdbc.depth_points(rows, "cube", 16)))
+    mean = F.col("covered") / F.col("reads")
+    return found.select("partition_column", "reads", "covered", (F.col("largest") <= 2 * mean).alias("balanced"), "null_rows", "astray")
+
+
 # ----------------------------------------------------------------------- sinks
 
 

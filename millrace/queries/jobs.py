@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import exclude_quarantined
 from millrace.plans import fees
 from millrace.plans.chains import scd2_chain
 from millrace.plans.config import Ingestion
@@ -16,6 +17,7 @@ from millrace.queries import fixtures as X
 from millrace.queries.changes import _CHAIN_SQL, CHAIN, chain_sources
 from millrace.queries.registry import Tables, query
 from millrace.scratch import work_dir
+from millrace.sources.targets import read_latest_partition
 
 AS_OF = dt.datetime(2025, 3, 4, 5, 6, 7)
 
@@ -121,6 +123,39 @@ def job_ingest_backfill(t: Tables) -> DataFrame:
     return stored.withColumn("load_dt", F.col("load_dt").cast("string"))
 
 
+def _with_bad_prices(t: Tables) -> DataFrame:
+    """The orders as texts; urgent ones have no readable price."""
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    return t.orders.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_custkey").cast("string").alias("o_custkey"), price.alias("o_totalprice"),
+        F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"),
+    )
+
+
+@query("""
+SELECT o_orderkey AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_totalprice AS DECIMAL(15,2)) AS price,
+       CAST(o_orderdate AS DATE) AS ordered_at, CAST(NULL AS VARCHAR) AS bad_values FROM orders WHERE o_orderpriority <> '1-URGENT'
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, '{"o_totalprice":"n/a"}' FROM orders WHERE o_orderpriority = '1-URGENT'""")
+def job_ingest_errors(t: Tables) -> DataFrame:
+    """Good rows as stored, bad ones as the error partition has them: together all orders."""
+    base = work_dir(t.spark, "ingest")
+    done = run_ingest(t.spark, Ingestion.from_record(ORDER_RECORD), base, AS_OF, source=_with_bad_prices(t), errors=f"{base}/errors")
+    wrong = read_latest_partition(t.spark, f"{base}/errors", "load_dt")
+    wrong = wrong.select(F.get_json_object("primary_keys", "$.order_id").cast("bigint").alias("order_id"), "bad_values")
+    stored = t.spark.read.parquet(done.final_path).withColumn("bad_values", F.lit(None).cast("string"))
+    return stored.unionByName(wrong, allowMissingColumns=True)
+
+
+@query("""
+SELECT l_orderkey AS order_id, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority <> '1-URGENT'""")
+def job_quarantine_from_errors(t: Tables) -> DataFrame:
+    """Lines of orders that the ingestion has set aside are held back."""
+    base = work_dir(t.spark, "ingest")
+    run_ingest(t.spark, Ingestion.from_record(ORDER_RECORD), base, AS_OF, source=_with_bad_prices(t), errors=f"{base}/errors")
+    lines = t.lineitem.select(F.col("l_orderkey").alias("order_id"), "l_linenumber")
+    return exclude_quarantined(lines, read_latest_partition(t.spark, f"{base}/errors", "load_dt"), "orders", "order_id")
+
+
 # --------------------------------------------------------------------- ratings
 
 _FACTS = """classes AS (

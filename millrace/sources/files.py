@@ -5,13 +5,14 @@ from __future__ import annotations
 import csv
 import xml.etree.ElementTree as ElementTree
 from collections.abc import Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace import fs
 from millrace.scratch import work_dir
 
 # candidate field separators of delimited text
@@ -28,35 +29,38 @@ def sniff(lines: Iterable[str]) -> tuple[str, bool]:
     return csv.Sniffer().sniff(sample, SEPARATORS).delimiter, csv.Sniffer().has_header(sample)
 
 
-def sniff_files(spark: SparkSession, path: str, sample_lines: int) -> tuple[str, bool]:
-    """(separator, has header) on which the first ``sample_lines`` lines of every file agree; else an error."""
+def sniff_files(spark: SparkSession, path: str, sample_lines: int, head_bytes: int = 1 << 16) -> tuple[str, bool]:
+    """(separator, has header) on which the first ``sample_lines`` lines of every file agree; else an error.
 
-    def detect(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
-        sample = "\n".join(lines.sort_values("place")["value"])
-        found = csv.Sniffer()
-        return pd.DataFrame({"sep": [found.sniff(sample, SEPARATORS).delimiter], "header": [found.has_header(sample)]})
+    Only the first ``head_bytes`` of each file are read, whatever its size; a last
+    line that is cut there does not count, unless it is the only one.
+    """
 
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    # a running number follows the lines of a split; the first split holds the first lines
-    first = Window.partitionBy("file").orderBy("at", "place")
-    heads = lines.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_lines)
-    found = heads.groupBy("file").applyInPandas(detect, "sep string, header boolean").distinct().limit(3).collect()
+    def detect(file: str) -> tuple[str, bool] | None:
+        text = fs.head(spark, file, head_bytes + 1)
+        lines = text[:head_bytes].decode("utf-8", "replace").splitlines()
+        if len(text) > head_bytes and len(lines) > 1:
+            lines.pop()
+        return sniff(lines[:sample_lines]) if lines else None
+
+    files = fs.files(spark, path)
+    with ThreadPoolExecutor(16) as pool:
+        found = {f for f in pool.map(detect, files) if f is not None}
     if len(found) != 1:
-        raise ValueError(f"files of {path} differ in separator or header, or there are none: {[tuple(r) for r in found]}")
-    return found[0]["sep"], found[0]["header"]
+        raise ValueError(f"files of {path} differ in separator or header, or there are none: {sorted(found)}")
+    return found.pop()
 
 
 def read_delimited(
     spark: SparkSession, path: str, sep: str | None = None, header: bool | None = None, schema: T.StructType | str | None = None,
-    sample_lines: int = 50,
+    sample_lines: int = 50, corrupt: str | None = None,
 ) -> DataFrame:
     """Delimited text.
 
     Separator and header, unless given, are detected from the first
     ``sample_lines`` lines of every file; files that disagree are refused.
+    ``corrupt`` names a text column for whole lines that do not fit the schema,
+    which has to be given then; their values stay null where they do not fit.
     Without a schema the types are inferred over all rows, which reads the data
     once more.
     """
@@ -65,6 +69,12 @@ def read_delimited(
         sep = found_sep if sep is None else sep
         header = found_header if header is None else header
     reader = spark.read.option("sep", sep).option("header", header)
+    if corrupt:
+        if schema is None:
+            raise ValueError("corrupt lines need a schema to be told by")
+        known = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        schema = T.StructType([*known.fields, T.StructField(corrupt, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.filters import moment_text
+
 FETCH_SIZE = 200_000
 READ_PARTITIONS = 100
 
@@ -114,6 +117,61 @@ def partition_bounds(df: DataFrame, partition_col: str, num_partitions: int = RE
     )
 
 
+def literal(value) -> str:
+    """A value as SQL text that every dialect here reads."""
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{moment_text(value)}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def depth_query(partition_col: str, parts: int, query: str | None = None, table: str | None = None) -> str:
+    """The statement that finds the first value of each of ``parts`` equally filled parts; the database keeps its rows."""
+    origin = table if table is not None else f"({query}) t"
+    tiles = f"select {partition_col} as v, ntile({parts}) over (order by {partition_col}) as part from {origin} where {partition_col} is not null"
+    return f"select part, min(v) as low from ({tiles}) p group by part order by part"
+
+
+def depth_points(df: DataFrame, partition_col: str, parts: int) -> list:
+    """The same values of a frame's column, by a quantile sketch: one pass, no exchange of rows."""
+    shares = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+    return df.agg(F.percentile_approx(f"`{partition_col}`", shares, F.lit(100 * parts))).first()[0] or []
+
+
+def depth_predicates(partition_col: str, points: Iterable) -> list[str]:
+    """Disjoint predicates, one per read, that together hold every row.
+
+    ``points`` are where a part begins, in order; a value that begins several
+    parts fills them alone and gets a read of its own.  Nulls do, too.
+    """
+    points = [p for p in points if p is not None]
+    c, made, low = partition_col, [], None
+    for value in sorted(set(points)):
+        heavy = points.count(value) > 1
+        bound = literal(value)
+        made.append(f"{low[0]} AND {c} < {bound}" if low else f"{c} < {bound}")
+        if heavy:
+            made.append(f"{c} = {bound}")
+        low = (f"{c} > {bound}" if heavy else f"{c} >= {bound}",)
+    made.append(low[0] if low else f"{c} IS NOT NULL")
+    return [*made, f"{c} IS NULL"]
+
+
+def partition_depths(df: DataFrame, partition_col: str, predicates: Sequence[str]) -> DataFrame:
+    """One row: reads, rows they hold together, rows of the largest, rows that not exactly one read holds, in one pass over ``df``."""
+    hits = [F.coalesce(F.expr(p), F.lit(False)) for p in predicates]
+    together = sum((h.cast("int") for h in hits[1:]), hits[0].cast("int"))
+    one = df.agg(*[F.count_if(h).alias(f"n{k}") for k, h in enumerate(hits)], F.count_if(together != 1).alias("astray"))
+    counts = [F.col(f"n{k}") for k in range(len(hits))]
+    return one.select(
+        F.lit(partition_col).alias("partition_column"), F.lit(len(hits)).alias("reads"), sum(counts[1:], counts[0]).alias("covered"),
+        F.greatest(*counts[:-1]).alias("largest"), counts[-1].alias("null_rows"), "astray",
+    )
+
+
 def read_jdbc(
     spark: SparkSession,
     dialect: str,
@@ -122,16 +180,24 @@ def read_jdbc(
     table: str | None = None,
     partition_col: str | None = None,
     num_partitions: int = READ_PARTITIONS,
+    balanced: bool = False,
 ) -> DataFrame:
     """Read by query or table, in parallel ranges when a partition column is named.
 
-    An empty source (null bounds) falls back to a plain read.
+    Ranges are of equal width; ``balanced`` ones hold about as many rows each,
+    however the column is distributed.  An empty source (null bounds) falls back to
+    a plain read.
     """
 
     def load(**chosen) -> DataFrame:
         reader: DataFrameReader = spark.read.format("jdbc")
         return reader.options(**read_options(dialect, connection, **chosen)).load()
 
+    if partition_col and balanced:
+        points = [r[1] for r in load(query=depth_query(partition_col, num_partitions, query, table)).collect()]
+        options = read_options(dialect, connection, table=table if table is not None else f"({query}) t")
+        url, origin = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(url, origin, predicates=depth_predicates(partition_col, points[1:]), properties=options)
     if partition_col:
         ends = load(query=bounds_query(partition_col, query, table)).first()
         if ends[0] is not None:
