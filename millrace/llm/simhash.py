@@ -21,7 +21,7 @@ SEED = 42
 BANDS, BAND_ROWS = 20, 4
 #: Bits by which a node may differ from its bucket's pivot before the two are compared exactly; at Jaccard 0.8 about 10 do.
 PIVOT_RADIUS = 24
-#: Pivots per group of near-copies and round: buckets deal with that many kinds of keys.
+#: Kinds of keys by which the pivots of a bucket are chosen.
 PIVOTS = 3
 #: Words of 64 bits of the fingerprint by which the nodes that pivots leave are compared.
 WIDE_WORDS = 8
@@ -539,33 +539,29 @@ def with_roots(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return stage(named.join(mixed, F.col("key") == F.col("_key"), "left_semi"), "similar-open")
 
 
-def similar_links(nodes: DataFrame, texts: DataFrame, shingle: int, least: float, rounds: int = 2) -> DataFrame:
+def similar_links(nodes: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
     """(node, root) of every linked node but the roots, over links of a Jaccard similarity of ``least`` or more.
 
-    First the nodes of each bucket meet a few pivots, which joins most of a group
-    of near-copies at one comparison per node and pivot.  Nodes that still lie in
+    First the nodes of each bucket meet two pivots, which joins most of a group of
+    near-copies at one comparison per node and pivot.  Nodes that still lie in
     different components of a bucket are then compared bit-sliced by a wider
     fingerprint, and each meets its ``CANDIDATES`` nearest ones exactly.  Where a
     node has more than that, the sets themselves go to the bucket's task, which
     compares all that is left and puts out one link per node and component.
     """
-    spark = nodes.sparkSession
-    links, roots = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "node bigint, root bigint")
     buckets = nodes.select(F.explode("keys").alias("key"), "node", "fp")
     shared = buckets.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_key")
     buckets = stage(buckets.join(shared, F.col("key") == F.col("_key"), "left_semi"), "similar-buckets")
-    tested, named = links, buckets.withColumn("root", F.col("node"))
-    for k in range(rounds):
-        order = F.struct(F.xxhash64("node", F.lit(k), F.pmod("key", F.lit(PIVOTS))).alias("hash"), "node", "fp", "root")
-        pivots = stage(named.groupBy(F.col("key").alias("_key")).agg(F.min(order).alias("pivot")), "similar-pivots")
-        near = F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= PIVOT_RADIUS
-        found = named.join(pivots, F.col("key") == F.col("_key")).where(near & (F.col("root") != F.col("pivot.root")))
-        found = found.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
-        found = stage(found.join(tested, ["a", "b"], "left_anti"), "similar-pairs")
-        tested = tested.unionByName(found)
-        links = links.unionByName(verified(found, texts, shingle, least))
-        roots = stars(links)
-        named = with_roots(buckets, roots)
+    # a bucket's pivots are its nodes of the smallest and the largest hash; few kinds of keys hash anew, so most buckets of a group share theirs
+    order = F.struct(F.xxhash64("node", F.pmod("key", F.lit(PIVOTS))).alias("hash"), "node", "fp")
+    ends = buckets.groupBy(F.col("key").alias("_key")).agg(F.array(F.min(order), F.max(order)).alias("pivots"))
+    pivots = stage(ends.select("_key", F.explode("pivots").alias("pivot")), "similar-pivots")
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot.fp"))) <= PIVOT_RADIUS
+    found = buckets.join(pivots, F.col("key") == F.col("_key")).where(near & (F.col("node") != F.col("pivot.node")))
+    tested = stage(found.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct(), "similar-pairs")
+    links = verified(tested, texts, shingle, least)
+    roots = stars(links)
+    named = with_roots(buckets, roots)
     if named.isEmpty():
         return roots
     left = named.select(F.col("node").alias("_node")).distinct()
