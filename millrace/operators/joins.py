@@ -31,24 +31,48 @@ def _free_names(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix:
     return right.withColumnsRenamed({c: c + suffix for c in right.columns if c in taken and c not in keys})
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, stored; at most rows / hot_rows of them."""
+SLOTS = "_slots"
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, slots: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, stored with the slots to spread them over; at most rows / hot_rows of them."""
     counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return stage(counts.filter(F.col("_rows") > hot_rows).select(*keys), "hot-keys")
+    return stage(counts.filter(F.col("_rows") > hot_rows).select(*keys, F.lit(slots).cast("bigint").alias(SLOTS)), "hot-keys")
 
 
-def _salted(many: DataFrame, few: DataFrame, keys: Sequence[str], how: str, slots: int) -> DataFrame:
-    """Equi join that spreads every key of ``many`` over slots and repeats ``few``
+def measured_keys(sides: Sequence[DataFrame], keys: Sequence[str], tasks: int) -> list[DataFrame]:
+    """Per side: the keys that have more rows than an even task would, with the slots that bring them down to that.
+
+    One pass over the sides' keys keeps a sketch of frequent items per task, and
+    only sketches are exchanged.  A sketch holds every key of more than a third of
+    an even task's rows; the candidates, a few per task, are then counted exactly.
+    """
+    digest = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    seen = [df.dropna(subset=list(keys)).select(digest.alias("h"), F.lit(n).alias("side")) for n, df in enumerate(sides)]
+    measures = [F.expr(m) for n in range(len(sides)) for m in (f"count_if(side = {n})", f"approx_top_k(h, {2 * tasks}, {16 * tasks}) FILTER (WHERE side = {n})")]
+    found = reduce(DataFrame.unionByName, seen).agg(*measures).first()
+    hot = []
+    for n, df in enumerate(sides):
+        even = max(1, found[2 * n] // tasks)
+        likely = [i["item"] for i in found[2 * n + 1] or [] if i["item"] is not None]
+        rows = df.dropna(subset=list(keys)).where(digest.isin(likely)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        slots = F.least(F.ceil(F.col("_rows") / F.lit(even)), F.lit(tasks)).cast("bigint")
+        hot.append(stage(rows.where(F.col("_rows") > even).select(*keys, slots.alias(SLOTS)), "hot-keys"))
+    return hot
+
+
+def _salted(many: DataFrame, few: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi join that spreads every key of ``many`` over its slots and repeats ``few``
     for each slot.  The slot depends on the row and on the partition it is read
     from, so copies spread too and a task that runs again gives the same one."""
     text = F.concat_ws(",", *[tagged(F.col(f"`{c}`").try_cast("string")) for c in many.columns])
-    slot = F.pmod(F.xxhash64(text) + F.spark_partition_id(), F.lit(slots)).cast("int")
-    left = many.withColumn("_slot", slot)
-    right = few.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    slot = F.pmod(F.xxhash64(text) + F.spark_partition_id(), F.col(SLOTS)).cast("bigint")
+    left = match_keys(many, hot, keys, "inner").withColumn("_slot", slot).drop(SLOTS)
+    right = match_keys(few, hot, keys, "inner").withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(SLOTS) - 1))).drop(SLOTS)
     return left.join(right, [*keys, "_slot"], how).drop("_slot")
 
 
-def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot_rows: int, slots: int) -> DataFrame:
+def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot_right: DataFrame, hot_left: DataFrame | None) -> DataFrame:
     """Left or full outer join whose hot keys are joined apart, salted.
 
     Adaptive execution splits only the kept side of an outer join.  A key with
@@ -57,38 +81,49 @@ def _hot_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
     """
     order = [*left.columns, *[c for c in right.columns if c not in keys]]
     outer = how == "full_outer"
-    hot_right = _hot_keys(right, keys, hot_rows)
     parts, cold_left, cold_right = [], left, right
 
     def pick(df: DataFrame, hot: DataFrame, kind: str) -> DataFrame:
         return match_keys(df, hot, keys, kind)
 
     if not hot_right.isEmpty():
-        many, few = pick(right, hot_right, "left_semi"), pick(left, hot_right, "left_semi")
-        parts.append(_salted(many, few, keys, "left" if outer else "inner", slots).select(*order))
+        parts.append(_salted(right, left, hot_right, keys, "left" if outer else "inner").select(*order))
         cold_left, cold_right = pick(cold_left, hot_right, "left_anti"), pick(cold_right, hot_right, "left_anti")
     if outer:
         # rows with a null key match nothing
         missing = reduce(lambda x, y: x | y, [F.col(f"`{k}`").isNull() for k in keys])
         parts += [cold_left.filter(missing), cold_right.filter(missing)]
         cold_left, cold_right = cold_left.filter(~missing), cold_right.filter(~missing)
-        hot_left = _hot_keys(cold_left, keys, hot_rows)
+        # a key that is hot on both sides is done already
+        hot_left = match_keys(hot_left, hot_right, keys, "left_anti")
         if not hot_left.isEmpty():
-            many, few = pick(cold_left, hot_left, "left_semi"), pick(cold_right, hot_left, "left_semi")
-            parts.append(_salted(many, few, keys, "left", slots).select(*order))
+            parts.append(_salted(cold_left, cold_right, hot_left, keys, "left").select(*order))
             cold_left, cold_right = pick(cold_left, hot_left, "left_anti"), pick(cold_right, hot_left, "left_anti")
     parts.append(cold_left.join(cold_right, list(keys), how).select(*order))
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).select(*order)
 
 
-def _equi(
-    left: DataFrame, right: DataFrame, keys, how: str, suffix: str, hot_rows: int | None = None, slots: int | None = None
-) -> DataFrame:
+def _may_skew(df: DataFrame) -> bool:
+    """Whether the side is as large as a partition has to be for the session to call it skewed."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB")
+    limit = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > limit
+
+
+def _equi(left: DataFrame, right: DataFrame, keys, how: str, suffix: str, hot_rows: int | None = None) -> DataFrame:
     keys = names(keys)
     right = _free_names(left, right, keys, suffix)
-    if hot_rows is not None:
-        slots = slots or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return _hot_join(left, right, keys, how, hot_rows, slots)
+    outer = how == "full_outer"
+    if how != "inner":
+        tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if hot_rows is not None:
+            hot = [_hot_keys(df, keys, hot_rows, tasks) for df in ([right, left] if outer else [right])]
+            return _hot_join(left, right, keys, how, hot[0], hot[1] if outer else None)
+        sides = [df for df in ([right, left] if outer else [right]) if _may_skew(df)]
+        if sides:
+            found = measured_keys([right, left] if outer else [right], keys, tasks)
+            if not all(f.isEmpty() for f in found):
+                return _hot_join(left, right, keys, how, found[0], found[1] if outer else None)
     rest = [c for c in right.columns if c not in keys]
     return left.join(right, keys, how).select(*left.columns, *rest)
 
@@ -100,8 +135,11 @@ def inner_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], suf
 def left_join(
     left: DataFrame, right: DataFrame, keys: str | Sequence[str], suffix: str = "_right", hot_rows: int | None = None
 ) -> DataFrame:
-    """With ``hot_rows``, keys that have more rows than that on the right are
-    counted first and joined apart, spread over many tasks."""
+    """Keys with so many rows on the right that one task would get far more than
+    the others are joined apart, spread over tasks by their weight: adaptive
+    execution cannot split that side.  A side below the session's size of a skewed
+    partition is not measured.  With ``hot_rows``, keys of more rows than that are
+    counted and spread instead."""
     return _equi(left, right, keys, "left", suffix, hot_rows)
 
 

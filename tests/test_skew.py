@@ -83,6 +83,23 @@ def test_hot_outer_joins_equal_plain_ones(spark, how):
     assert frames_equal(plain, calm).first()["is_equal"]
 
 
+@pytest.mark.parametrize("how", ["left_join", "outer_join"])
+def test_outer_joins_find_their_hot_keys(spark, conf, how):
+    """Half of the rows have one key on either side; nothing is named."""
+    conf(spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1KB", spark__sql__shuffle__partitions="6")
+    k = lambda hot: F.when(F.col("id") % 2 == 0, F.lit(hot)).when(F.col("id") % 11 == 3, F.lit(None)).otherwise(F.col("id"))
+    left = spark.range(9_000).select(k(5).alias("k"), F.col("id").alias("a"))
+    right = spark.range(7_000).select(k(7).alias("k"), F.col("id").alias("b"))
+    found = [{r["k"]: r[J.SLOTS] for r in f.collect()} for f in J.measured_keys([left, right], ["k"], 6)]
+    assert found == [{5: 4}, {7: 4}] or found == [{5: 3}, {7: 3}]
+    out = getattr(J, how)(left, right, "k")
+    assert "_slot" in out._jdf.queryExecution().toString()
+    conf(spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1GB")
+    plain = getattr(J, how)(left, right, "k")
+    assert "_slot" not in plain._jdf.queryExecution().toString()
+    assert frames_equal(plain, out).first()["is_equal"]
+
+
 def test_min_over_is_whole(skewed):
     facts, _ = skewed
     out = W.min_over(facts, "k", "id", "m")
