@@ -222,3 +222,36 @@ def str_dedup(t: Tables) -> DataFrame:
     )
     run.awaitTermination()
     return t.spark.read.schema(rows.schema).parquet(f"{base}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def replay_twice(rows: DataFrame, base: str, time: str, key: str, delay: str, parts: int) -> DataFrame:
+    """Every part of ``rows``, in order of time, delivered twice as batches of their own; each key comes out once.
+
+    A part's second delivery finds its last rows in the state and the others
+    behind the watermark, so keys older than the delay need not be kept.
+    """
+    spark = rows.sparkSession
+    ends = rows.agg(F.min(time).alias("a"), F.max(time).alias("b")).first()
+    step = (ends["b"] - ends["a"]) / parts
+    for k in range(parts):
+        inside = F.col(time) >= F.lit(ends["a"] + k * step)
+        if k < parts - 1:
+            inside = inside & (F.col(time) < F.lit(ends["a"] + (k + 1) * step))
+        for delivery in ("first", "second"):
+            rows.where(inside).coalesce(1).write.parquet(f"{base}/in/part={k}/{delivery}")
+    reader = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1)
+    once = stream.drop_repeats(reader.parquet(f"{base}/in"), time, key, delay)
+    run = (
+        once.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).format("parquet")
+        .start(f"{base}/out")
+    )
+    run.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/out")
+
+
+@query("SELECT event_id, ts, user_id, event_type FROM events")
+def str_dedup_expiring(t: Tables) -> DataFrame:
+    """Parts of the events delivered twice; state is kept for a day only."""
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    found = replay_twice(rows, work_dir(t.spark, "replay"), "ts", "event_id", "1 day", 3)
+    return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 import xml.etree.ElementTree as ElementTree
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import fs
-from millrace.scratch import work_dir
 
 # candidate field separators of delimited text
 SEPARATORS = ",;|\t"
@@ -137,18 +137,42 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     return spark.read.schema(schema).json(path) if schema is not None else spark.read.json(path)
 
 
-def json_records(df: DataFrame, column: str, schema: T.StructType | str | None = None) -> DataFrame:
+#: Words of a variant's schema that a column cannot have as they are.
+_VARIANT_WORDS = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+
+
+def variant_columns(schema: str) -> str | None:
+    """The schema of a JSON object as column types; None for anything but an object.
+
+    Whole numbers stay, other numbers are doubles; what is null throughout or has
+    several types is text.  Names in back quotes are left as they are.
+    """
+    pieces = re.split(r"(`(?:[^`]|``)*`)", schema)
+    for k in range(0, len(pieces), 2):
+        # a type follows ": " or "<", a name ends with ":"
+        typed = re.sub(r"\b(OBJECT|VARIANT|VOID)\b(?!:)", lambda m: _VARIANT_WORDS[m[1]], pieces[k])
+        pieces[k] = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", typed)
+    found = "".join(pieces)
+    return found if found.startswith("STRUCT<") and found != "STRUCT<>" else None
+
+
+def json_records(df: DataFrame, column: str, schema: T.StructType | str | None = None, corrupt: str | None = None) -> DataFrame:
     """Columns of a JSON text column.
 
-    Without a schema the texts are stored once and the reader infers one over
-    all of them, so that no field goes unseen.
+    Without a schema one pass over the texts finds it: each is parsed once and the
+    types are put together by an aggregate, so that no field goes unseen and
+    nothing is written.  Fields of conflicting types become text.  ``corrupt`` names
+    a column for texts that are no JSON; without it they give nulls.
     """
     if schema is None:
-        path = work_dir(df.sparkSession, "json")
-        df.select(F.regexp_replace(column, r"[\r\n]+", " ").alias("value")).write.text(path)
-        schema = df.sparkSession.read.json(path).schema
-    parsed = df.withColumn("_json", F.from_json(column, schema))
-    return parsed.select(*[c for c in df.columns if c != column], "_json.*")
+        parsed = F.try_parse_json(F.col(f"`{column}`"))
+        schema = variant_columns(df.agg(F.schema_of_variant_agg(parsed)).first()[0])
+    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    text = F.col(f"`{column}`")
+    bad = [F.when(text.isNotNull() & F.try_parse_json(text).isNull(), text).alias(corrupt)] if corrupt else []
+    if schema is None:
+        return df.select(*rest, *bad)
+    return df.select(*rest, F.from_json(text, schema).alias("_json"), *bad).select(*rest, "_json.*", *([corrupt] if corrupt else []))
 
 
 def read_excel(spark: SparkSession, path: str, sheet: str) -> DataFrame:

@@ -142,3 +142,33 @@ def test_cycles_end_and_every_root_is_found(spark):
         found = {(r["target"], r["root"]) for r in lineage.root_sources(df).where("root IS NOT NULL").collect()}
         assert found == wanted
     assert rows(lineage.root_sources(df, "a0").select("target").distinct()) == [("a0",)]
+
+
+def test_json_schema_of_nested_and_conflicting_types(spark):
+    texts = ['{"a":1,"b c":{"x":[1,2.5,"s"],"VARIANT":null},"d":true}', '{"a":"t","b c":{"x":[]},"f":1.5,"g":[{"h":1}]}', "{bad", None, '{"f":3,"i":1e300,"OBJECT":7}']
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, v string")
+    found = src.json_records(df, "v", corrupt="wrong")
+    kinds = dict(found.dtypes)
+    assert kinds["b c"] == "struct<VARIANT:string,x:array<string>>" and kinds["g"] == "array<struct<h:bigint>>"
+    assert (kinds["a"], kinds["d"], kinds["f"], kinds["i"], kinds["OBJECT"]) == ("string", "boolean", "double", "double", "bigint")
+    by_key = {r["k"]: r.asDict(True) for r in found.collect()}
+    assert [by_key[k]["a"] for k in range(5)] == ["1", "t", None, None, None] and by_key[4]["f"] == 3.0
+    assert [by_key[k]["wrong"] for k in range(5)] == [None, None, "{bad", None, None]
+    assert by_key[0]["b c"]["x"] == ["1", "2.5", "s"] and by_key[1]["g"] == [{"h": 1}]
+
+
+def test_json_without_objects(spark):
+    df = spark.createDataFrame([(1, "[1]"), (2, None)], "k int, v string")
+    assert src.json_records(df, "v").columns == ["k"] and src.json_records(df.limit(0), "v").count() == 0
+
+
+def test_dedup_state_leaves(spark, tmp_path):
+    """Two deliveries of each part of the data, parts in order of time, with a delay far shorter than the data."""
+    from millrace.queries import io
+
+    base = str(tmp_path)
+    events = spark.range(2_000).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60).alias("ts"))
+    out = io.replay_twice(events, base, "ts", "event_id", "10 minutes", 4)
+    assert rows(out) == rows(events)
+    state = spark.read.format("statestore").load(f"{base}/checkpoint")
+    assert 0 < state.count() <= 20
