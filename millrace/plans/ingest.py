@@ -16,6 +16,7 @@ from millrace.operators.columns import error_records, split_rescued, typed_rescu
 from millrace.operators.filters import incremental_filter, incremental_predicate, moment_text
 from millrace.operators.runlog import append_log, finished, started
 from millrace.plans.config import Ingestion
+from millrace.sinks import versions
 from millrace.sinks.files import write_partition, finish_overwrite, overwrite_via_temp, write_landing
 from millrace.sinks.tables import register_table, repair_table
 from millrace.sources.files import read_any
@@ -111,9 +112,14 @@ def run_ingest(
     log_path: str | None = None,
     clock: Callable[[], float] = time.monotonic,
     errors: str | None = None,
+    versioned: bool = False,
 ) -> RunResult:
     """Run one record.
 
+    A ``versioned`` final table is one of ``sinks.versions``: an increment writes
+    only the files anew that hold one of its keys, and readers see the old version
+    until the new one is complete.  It needs keys and no partition column.
+
     With ``errors``, rows with a value that does not fit its type are not stored
     with a null in its place: they go to the partition of ``as_of`` in the error
     table there, which ``read_latest_partition`` and ``exclude_quarantined`` read.
@@ -145,7 +151,7 @@ def run_ingest(
     if in_blackout(spec.ola, as_of):
         return RunResult(end(f"start time lies in {spec.ola}"), final, False)
     try:
-        counts = _load(spark, spec, base, as_of, since, source, connection, database, files, errors)
+        counts = _load(spark, spec, base, as_of, since, source, connection, database, files, errors, versioned)
     except Exception as error:
         end(f"{type(error).__name__}: {error}")
         raise
@@ -163,6 +169,7 @@ def within_sla(limit: str, seconds: float) -> str:
 def _load(
     spark: SparkSession, spec: Ingestion, base: str, as_of: dt.datetime, since: dt.datetime | None, source: DataFrame | None,
     connection: Mapping | None, database: str | None, files: int | None, errors: str | None = None,
+    versioned: bool = False,
 ) -> dict[str, int]:
     """Land, type, capture, store and register; the counts of landed and stored rows."""
     landing = layer_path(base, "landing", spec.table)
@@ -176,7 +183,7 @@ def _load(
     keep = [spec.op_column] if spec.op_column else []
     if not errors:
         typed = typed_select(stored_raw, spec.columns, keep=keep)
-        return {"landing_count": landed, "final_count": _store(spark, spec, base, typed, as_of.date(), database)}
+        return {"landing_count": landed, "final_count": _store(spark, spec, base, typed, as_of.date(), database, versioned)}
     good, bad = split_rescued(typed_rescue(stored_raw, spec.columns, keep=keep))
     wrong = Observation()
     records = error_records(bad, spec.table, spec.keys).observe(wrong, F.count(F.lit(1)).alias("rows"))
@@ -184,12 +191,14 @@ def _load(
     processed = landed - wrong.get["rows"]
     if good.count() != processed:
         raise RuntimeError(f"{spec.table}: {landed} rows landed, but good and bad ones are not as many")
-    stored = _store(spark, spec, base, good, as_of.date(), database)
+    stored = _store(spark, spec, base, good, as_of.date(), database, versioned)
     return {"landing_count": landed, "processed_count": processed, "final_count": stored}
 
 
-def _store(spark: SparkSession, spec: Ingestion, base: str, typed: DataFrame, day: dt.date, database: str | None) -> int:
+def _store(spark: SparkSession, spec: Ingestion, base: str, typed: DataFrame, day: dt.date, database: str | None, versioned: bool = False) -> int:
     """Capture the typed rows into the stored table; the number of rows written."""
+    if versioned:
+        return _store_version(spark, spec, layer_path(base, "final", spec.table), typed)
     final, temp = (layer_path(base, layer, spec.table) for layer in ("final", "tmp"))
     delta = spec.load_type != "full"
     if delta:
@@ -211,6 +220,19 @@ def _store(spark: SparkSession, spec: Ingestion, base: str, typed: DataFrame, da
     return stored.get["rows"]
 
 
+def _store_version(spark: SparkSession, spec: Ingestion, path: str, typed: DataFrame) -> int:
+    """Capture the typed rows as a new version; the number of rows it holds."""
+    if not spec.keys or spec.partition_col:
+        raise ValueError(f"{spec.table}: a versioned table needs keys and no partition column")
+    if spec.load_type == "full" or versions.find_version(spark, path) is None:
+        version = versions.write_version(capture(spec, None, typed), path, spec.keys)
+    elif spec.op_column:
+        version = versions.merge_version(spark, path, typed, spec.op_column)
+    else:
+        version = versions.upsert_version(spark, path, typed)
+    return version.files(spark).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
 def _register(spark: SparkSession, spec: Ingestion, database: str | None, rows: DataFrame, path: str) -> None:
     if database:
         register_table(spark, f"{database}.{spec.table}", rows, path, spec.partition_col)

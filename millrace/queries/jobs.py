@@ -15,8 +15,9 @@ from millrace.plans.ingest import backfill, run_ingest
 from millrace.plans.ratings import OWN_FORMS, SOURCES, RatingSource, consolidate, current_ratings
 from millrace.queries import fixtures as X
 from millrace.queries.changes import _CHAIN_SQL, CHAIN, chain_sources
-from millrace.queries.registry import Tables, query
+from millrace.queries.registry import ORACLE, Tables, query
 from millrace.scratch import work_dir
+from millrace.sinks.versions import read_version
 from millrace.sources.targets import read_latest_partition
 
 AS_OF = dt.datetime(2025, 3, 4, 5, 6, 7)
@@ -62,6 +63,17 @@ def job_ingest_delta(t: Tables) -> DataFrame:
     return t.spark.read.parquet(result.final_path)
 
 
+@query(ORACLE["job_ingest_delta"])
+def job_ingest_versioned(t: Tables) -> DataFrame:
+    """The same into a versioned table; the increment rewrites only files that hold its keys."""
+    base = work_dir(t.spark, "ingest")
+    record = {**ORDER_RECORD, "load_type": "delta"}
+    run_ingest(t.spark, Ingestion.from_record(record), base, AS_OF, source=X.order_target(t), versioned=True)
+    marked = Ingestion.from_record({**record, "log_chng_indicator_key": "['op']"})
+    result = run_ingest(t.spark, marked, base, AS_OF + dt.timedelta(days=1), source=X.order_changes(t), versioned=True)
+    return read_version(t.spark, result.final_path)
+
+
 def _twice(t: Tables, record: dict, first: DataFrame, second: DataFrame, days: int = 1) -> str:
     """A first load, then an increment that runs a second time; the stored path."""
     spec, base = Ingestion.from_record({**record, "load_type": "delta"}), work_dir(t.spark, "ingest")

@@ -7,6 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace import fs
+from millrace.plans.config import Ingestion
+from millrace.plans.ingest import run_ingest
 from millrace.sinks import versions as V
 
 
@@ -97,3 +99,23 @@ def test_null_text_and_several_keys(spark, tmp_path):
     assert V.read_version(spark, str(tmp_path / "e")).count() == 0
     V.upsert_version(spark, str(tmp_path / "e"), new)
     assert V.read_version(spark, str(tmp_path / "e")).count() == 3
+
+
+def test_ingestion_into_a_versioned_table(spark, tmp_path):
+    columns = [
+        {"sequence_number": "1", "source_column_name": "k", "target_column_name": "id", "target_datatype": "int"},
+        {"sequence_number": "2", "source_column_name": "v", "target_column_name": "val", "target_datatype": "string"},
+    ]
+    record = {"pipeline_id": "p", "load_type": "delta", "target_file_name": "t", "primary_key_set": "['id']", "pipeline_columns": columns}
+    load = lambda day, data, **more: run_ingest(
+        spark, Ingestion.from_record({**record, **more}), str(tmp_path), dt.datetime(2024, 1, day), source=spark.createDataFrame(data, "k string, v string"), versioned=True
+    )
+    load(1, [(str(k), "a") for k in range(100)])
+    done = load(2, [("5", "b"), ("200", "c")])
+    assert done.log["final_count"] == 101
+    assert set(rows(V.read_version(spark, done.final_path).where("val <> 'a'"))) == {(5, "b"), (200, "c")}
+    assert load(3, []).written is False and V.find_version(spark, done.final_path).number == 2
+    load(4, [("1", "z")], load_type="full")
+    assert rows(V.read_version(spark, done.final_path)) == [(1, "z")] and V.read_version(spark, done.final_path, 2).count() == 101
+    with pytest.raises(ValueError, match="needs keys"):
+        load(5, [("1", "z")], primary_key_set="")
