@@ -241,6 +241,9 @@ SELECT doc_id, begins, ends, len(ws)::BIGINT AS n_words, first_doc_id, first_beg
 """
 
 
+LINE_UNIT_SQL = UNIT_SQL.replace(r"'[^\n.!?]+[.!?]*\n?|[.!?]+\n?|\n'", r"'[^\n]+\n?|\n'")
+
+
 @query(UNIT_SQL)
 def op9_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
     """Every sentence of eight words or more that an earlier document, or place, has already."""
@@ -252,6 +255,17 @@ def op9_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(LINE_UNIT_SQL)
+def op9_repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of eight words or more that an earlier document, or place, has already."""
+    later = units.repeated_units(
+        table(spark, folder, "documents"), identity=F.col("doc_id"), text=F.col("text"), unit="line", least_words=8
+    )
+    return later.select(
+        F.col("id").alias("doc_id"), "begins", "ends", F.col("words").alias("n_words"), F.col("first_id").alias("first_doc_id"), "first_begins"
+    )
+
+
 @query()
 def op9_repeated_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The spans of ``op9_repeated_units`` and those of short sentences joined to runs of eight words, each with the place that stays."""

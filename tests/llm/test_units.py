@@ -76,3 +76,40 @@ def test_runs_begin_and_end_at_every_short_unit():
         ("a b c. d e. f g h.", 8), (f"d e. f g h. i j. {long}", 15), (f"f g h. i j. {long}", 13), (f"i j. {long}", 10),
         ("a b c. d e. f g h. i j.", 10), (long, 8), (f"{long} k l.", 10),
     }
+
+
+def plain_run_removals(rows, pattern, least):
+    """Every run of short units, by hand: from each unit rightwards and leftwards until it has enough words."""
+    found = set()
+    for at, (d, text) in enumerate(rows):
+        pieces = []
+        for m in re.finditer(pattern, text or ""):
+            words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in m.group()))
+            if words:
+                pieces.append((m.start(), m.end(), words))
+        for k in range(len(pieces)):
+            for ends in (range(k, len(pieces)), range(k, -1, -1)):
+                for last in ends:
+                    run = pieces[min(k, last): max(k, last) + 1]
+                    words = [w for p in run for w in p[2]]
+                    if len(words) >= least:
+                        found.add(((d is None, d or 0, run[0][0], at), d, run[0][0], run[-1][1], tuple(words)))
+                        break
+    removed, first = [], {}
+    for key, d, a, b, words in sorted(found, key=lambda f: (f[0], f[3])):
+        first.setdefault(words, (key, d, a))
+    for key, d, a, b, words in found:
+        if (key[3], a) != (first[words][0][3], first[words][2]):
+            removed.append((d, a, b, len(words), first[words][1], first[words][2]))
+    return sorted(removed, key=repr)
+
+
+def test_runs_against_a_plain_pass(spark):
+    rng = random.Random(8)
+    sentences = [" ".join(rng.choice(["Ab", "é", "c", "d1", "e"]) for _ in range(rng.randint(1, 5))) + rng.choice([".", "!", "\n"]) for _ in range(15)]
+    rows = [(k, "".join(rng.choice(sentences) + " " for _ in range(rng.randint(0, 9)))) for k in range(50)]
+    rows += [(None, rows[3][1]), (70, None), (71, ""), (72, "a. b. c. " * 100)] + [rows[5]] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    found = units.repeated_units(docs, identity=F.col("doc_id"), text=F.col("text"), unit="sentence", least_words=6, runs=True)
+    got = [tuple(r) for r in found.select("id", "begins", "ends", "words", "first_id", "first_begins").collect()]
+    assert sorted(got, key=repr) == plain_run_removals(rows, units.UNITS["sentence"], 6)
