@@ -11,6 +11,12 @@ def _open(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the store that Spark resolves it against: readers outside Spark then find the same place."""
+    jpath, files = _open(spark, path)
+    return files.makeQualified(jpath).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jpath, files = _open(spark, path)
     return files.exists(jpath)

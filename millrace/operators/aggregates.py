@@ -48,7 +48,8 @@ def pivot_concat(
 
     ``part`` numbers the pieces of ``page_rows`` values of a cell; joining them in
     order gives the whole cell.  Null values are left out.  Without named pivot
-    values an empty input comes back unchanged.
+    values an empty input comes back unchanged, and more distinct values than
+    ``spark.sql.pivotMaxValues`` (10,000) stop the job, as each is a column.
     """
     if pivot_values is None and df.isEmpty():
         return df
@@ -65,7 +66,8 @@ def pivot_table(
 ) -> DataFrame:
     """Pivot with a named aggregate; name the pivot values to save a pass.
 
-    Without them an empty input comes back unchanged.
+    Without them an empty input comes back unchanged, and more distinct values
+    than ``spark.sql.pivotMaxValues`` (10,000) stop the job, as each is a column.
     """
     if pivot_values is None and df.isEmpty():
         return df

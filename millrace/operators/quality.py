@@ -24,6 +24,8 @@ COUNT = "decimal(20,0)"
 
 # share of distinct values above which a complete column is suggested as unique
 UNIQUE_SHARE = 0.92
+# relative standard error of the distinct counts of a profile
+DISTINCT_ERROR = 0.01
 # completeness range in which a lower bound is suggested
 COMPLETENESS_FLOOR = 0.2
 
@@ -260,7 +262,7 @@ def profile(
             hit = F.count(safe_cast(value, "string", t)) if text else F.count(F.lit(None))
             measures.append(hit.alias(f"{t}{i}"))
         if distinct:
-            measures.append(F.approx_count_distinct(value).alias(f"d{i}"))
+            measures.append(F.approx_count_distinct(value, DISTINCT_ERROR).alias(f"d{i}"))
         if frequent is not None:
             # counts are off by at most 3.5 / tracked of the rows, and items are returned from twice that on
             most, tracked = math.ceil(1 / frequent), math.ceil(8 / frequent)

@@ -110,7 +110,7 @@ def dq_verify_states(t: Tables) -> DataFrame:
     return states.verify_states(states.read_states(t.spark, path), rules, orders.schema)
 
 
-def _profile_sql() -> str:
+def _profile_sql(distinct: bool = False) -> str:
     columns = [
         ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("day", "string"), ("priority", "string"),
     ]
@@ -123,7 +123,8 @@ def _profile_sql() -> str:
         parsed["boolean"] = f"CAST(COUNT(*) FILTER (WHERE LOWER(TRIM({c})) IN ({flags})) AS BIGINT)" if text else "CAST(0 AS BIGINT)"
         rows.append(
             f"SELECT '{c}' AS column_name, '{kind}' AS data_type, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT({c}) AS BIGINT) AS non_null, "
-            f"{ends[0]} AS min_value, {ends[1]} AS max_value, " + ", ".join(f"{v} AS as_{n}" for n, v in parsed.items()) + " FROM src"
+            f"{ends[0]} AS min_value, {ends[1]} AS max_value, " + ", ".join(f"{v} AS as_{n}" for n, v in parsed.items())
+            + (f", COUNT(DISTINCT {c}) AS dist" if distinct else "") + " FROM src"
         )
     return """WITH src AS (SELECT o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day,
   CASE WHEN o_orderstatus <> 'P' THEN SUBSTR(o_orderpriority, 1, 1) END AS priority FROM orders)
@@ -150,6 +151,7 @@ def _suggest_sql() -> str:
          f"' has less than ' || CAST(ROUND((1 - {floor}) * 100) AS INTEGER) || '% missing values'"),
         ("isNonNegative", "min_value >= 0", "NULL", "' has no negative values'"),
         ("hasDataType", "data_type = 'string' AND non_null > 0 AND narrow IS NOT NULL", "chr(39) || narrow || chr(39)", "' has type ' || narrow"),
+        ("isUnique", "non_null = rows AND dist >= 0.92 * rows", "NULL", "' is unique'"),
     ]
     rows = [
         f"SELECT column_name AS source_col_name, '{name}' AS rule, chr(39) || column_name || chr(39) || {text} AS dq_suggestion_result, "
@@ -164,15 +166,26 @@ def _suggest_sql() -> str:
         f"SELECT c, 'isContainedIn', chr(39) || c || chr(39) || ' has value range ' || vs, "
         f"'.isContainedIn(' || chr(34) || c || chr(34) || ', [' || vs || '])' FROM ({lists})"
     )
-    source, _, body = _profile_sql().partition(")\nSELECT * FROM (")
+    source, _, body = _profile_sql(distinct=True).partition(")\nSELECT * FROM (")
     narrow = "CASE " + " ".join(f"WHEN as_{n} = non_null THEN '{n}'" for n in ("bigint", "double", "date", "boolean")) + " END"
     return f"{source}), p AS (SELECT *, CAST(non_null AS DOUBLE) / rows AS share, {narrow} AS narrow FROM ({body}) " + " UNION ALL ".join(rows)
 
 
 @query(_suggest_sql())
 def dq_suggest(t: Tables) -> DataFrame:
-    """All exact rules; uniqueness rests on an approximate count."""
-    return quality.suggest(_profiled(t), list_values=5).where("rule <> 'isUnique'")
+    """All rules; uniqueness rests on an approximate count, off by one per cent."""
+    return quality.suggest(_profiled(t), list_values=5)
+
+
+@query("WITH src AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS exact, TRUE AS near FROM src" for c in ("o_orderkey", "o_custkey", "day")))
+def dq_distinct_bounds(t: Tables) -> DataFrame:
+    """Approximate distinct counts of a profile lie within five per cent of the exact ones."""
+    rows, columns = _profiled(t), ["o_orderkey", "o_custkey", "day"]
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    counts = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in columns])).alias("e")).select("e.*")
+    both = quality.profile(rows, columns).select("column_name", "approx_distinct").join(counts, "column_name")
+    return both.select("column_name", "exact", (F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("near"))
 
 
 @query("""

@@ -23,14 +23,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local session without one gets its own."""
+    """The cluster's shared folder, named with its file system; a local session without one gets its own."""
     root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{SETTING} must name a folder that all executors can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
         root = spark.sparkContext.getCheckpointDir()
-    return root.rstrip("/")
+    return fs.qualified(spark, root).rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
