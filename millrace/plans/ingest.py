@@ -14,6 +14,7 @@ from millrace.functions.columns import match_keys
 from millrace.operators import cdc
 from millrace.operators.columns import error_records, split_rescued, typed_rescue, typed_select
 from millrace.operators.filters import incremental_filter, incremental_predicate, moment_text
+from millrace.operators.lineage import LineageLog, column_pairs
 from millrace.operators.runlog import append_log, finished, started
 from millrace.plans.config import Ingestion
 from millrace.sinks import versions
@@ -113,9 +114,13 @@ def run_ingest(
     clock: Callable[[], float] = time.monotonic,
     errors: str | None = None,
     versioned: bool = False,
+    lineage: LineageLog | None = None,
 ) -> RunResult:
     """Run one record.
 
+    ``lineage`` gets an event for typing, one for the change capture and the
+    closing one of the stored table; a run that fails or stores nothing adds none.
+
     A ``versioned`` final table is one of ``sinks.versions``: an increment writes
     only the files anew that hold one of its keys, and readers see the old version
     until the new one is complete.  It needs keys and no partition column.
@@ -151,7 +156,7 @@ def run_ingest(
     if in_blackout(spec.ola, as_of):
         return RunResult(end(f"start time lies in {spec.ola}"), final, False)
     try:
-        counts = _load(spark, spec, base, as_of, since, source, connection, database, files, errors, versioned)
+        counts = _load(spark, spec, base, as_of, since, source, connection, database, files, errors, versioned, lineage)
     except Exception as error:
         end(f"{type(error).__name__}: {error}")
         raise
@@ -169,7 +174,7 @@ def within_sla(limit: str, seconds: float) -> str:
 def _load(
     spark: SparkSession, spec: Ingestion, base: str, as_of: dt.datetime, since: dt.datetime | None, source: DataFrame | None,
     connection: Mapping | None, database: str | None, files: int | None, errors: str | None = None,
-    versioned: bool = False,
+    versioned: bool = False, lineage: LineageLog | None = None,
 ) -> dict[str, int]:
     """Land, type, capture, store and register; the counts of landed and stored rows."""
     landing = layer_path(base, "landing", spec.table)
@@ -183,7 +188,9 @@ def _load(
     keep = [spec.op_column] if spec.op_column else []
     if not errors:
         typed = typed_select(stored_raw, spec.columns, keep=keep)
-        return {"landing_count": landed, "final_count": _store(spark, spec, base, typed, as_of.date(), database, versioned)}
+        stored = _store(spark, spec, base, typed, as_of.date(), database, versioned)
+        _record(lineage, spec, base, as_of, raw, typed)
+        return {"landing_count": landed, "final_count": stored}
     good, bad = split_rescued(typed_rescue(stored_raw, spec.columns, keep=keep))
     wrong = Observation()
     records = error_records(bad, spec.table, spec.keys).observe(wrong, F.count(F.lit(1)).alias("rows"))
@@ -192,9 +199,29 @@ def _load(
     if good.count() != processed:
         raise RuntimeError(f"{spec.table}: {landed} rows landed, but good and bad ones are not as many")
     stored = _store(spark, spec, base, good, as_of.date(), database, versioned)
+    _record(lineage, spec, base, as_of, raw, good)
     return {"landing_count": landed, "processed_count": processed, "final_count": stored}
 
 
+def _record(lineage: LineageLog | None, spec: Ingestion, base: str, at: dt.datetime, raw: DataFrame, typed: DataFrame) -> None:
+    """The events of a run that stored its rows."""
+    if lineage is None:
+        return
+    source = spec.source.get("source_table_name") or spec.source.get("source_file_path") or f"{spec.table}_source"
+    typed_name, final = f"{spec.table}_typed", layer_path(base, "final", spec.table)
+    named = {c["source_column_name"]: c["target_column_name"] for c in spec.columns if c["source_column_name"] != c["target_column_name"]}
+    lineage.record(
+        "typed_select", typed_name, at, source_tables=[source], selected_cols=raw.columns, final_df_cols=column_pairs(typed), renamed_cols=named,
+        dropped_cols=sorted(set(raw.columns) - {c["source_column_name"] for c in spec.columns} - {spec.op_column}),
+    )
+    style = "merge_by_indicator" if spec.op_column else "partition_snapshot" if spec.partition_col else "upsert" if spec.keys else "append"
+    lineage.record(
+        "overwrite" if spec.load_type == "full" else style, spec.table, at, source_tables=[typed_name], key_cols=list(spec.keys),
+        final_df_cols=column_pairs(typed.drop(*([spec.op_column] if spec.op_column else []))),
+    )
+    lineage.finish(typed, spec.table, final, at, sources=[source])
+
+
 def _store(spark: SparkSession, spec: Ingestion, base: str, typed: DataFrame, day: dt.date, database: str | None, versioned: bool = False) -> int:
     """Capture the typed rows into the stored table; the number of rows written."""
     if versioned:

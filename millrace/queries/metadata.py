@@ -424,6 +424,28 @@ def cat_inventory_pack(t: Tables) -> DataFrame:
     return catalog.pack_inventory(X.inventory(t), X.column_records(t), _RECORD, page_rows=RECORD_ROWS)
 
 
+@query(ORACLE["cat_inventory_pack"])
+def cat_written_inventory(t: Tables) -> DataFrame:
+    """The packed records as JSON files, one folder per application, and read back."""
+    packed = catalog.pack_inventory(X.inventory(t), X.column_records(t), _RECORD, page_rows=RECORD_ROWS)
+    path = work_dir(t.spark, "inventory")
+    catalog.write_inventory(packed, path)
+    return t.spark.read.schema(packed.schema).json(path).select(*packed.columns)
+
+
+@query("""
+WITH latest AS (SELECT l_orderkey AS pipeline_id, MAX(l_linenumber) AS latest FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),
+w AS (SELECT o_orderkey AS pipeline_id, CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 END AS asked FROM orders),
+f AS (SELECT w.pipeline_id, latest, latest IS NOT NULL AND (asked IS NULL OR asked = latest) AS found FROM w LEFT JOIN latest USING (pipeline_id))
+SELECT pipeline_id, CASE WHEN found THEN latest END AS version_number, found FROM f""")
+def cat_choose_pipelines(t: Tables) -> DataFrame:
+    """Every order asks for a pipeline, some for a version of it; lines are the versions."""
+    active = F.when(F.col("l_returnflag") != "R", "true").otherwise("false").alias("active")
+    inventory = t.lineitem.select(F.col("l_orderkey").alias("pipeline_id"), F.col("l_linenumber").alias("version_number"), active)
+    asked = F.when(F.col("o_orderpriority") == "1-URGENT", 1).when(F.col("o_orderpriority") == "2-HIGH", 2)
+    return catalog.choose_pipelines(inventory, t.orders.select(F.col("o_orderkey").alias("pipeline_id"), asked.alias("version_number")))
+
+
 @query("""
 SELECT l_orderkey AS pipeline_id, MAX(l_linenumber) AS version_number FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1""")
 def cat_latest_versions(t: Tables) -> DataFrame:

@@ -172,3 +172,18 @@ def test_dedup_state_leaves(spark, tmp_path):
     assert rows(out) == rows(events)
     state = spark.read.format("statestore").load(f"{base}/checkpoint")
     assert 0 < state.count() <= 20
+
+
+def test_a_run_records_its_lineage(spark, tmp_path):
+    spec = Ingestion.from_record({
+        "pipeline_id": "p", "load_type": "delta", "target_file_name": "t", "primary_key_set": "['id']", "pipeline_columns": RECORDS, "source_table_name": "shop.orders",
+    })
+    log = lineage.LineageLog("load", "sales")
+    given = spark.createDataFrame([("1", "2.5", "2024-01-01", "extra")], "k string, v string, d string, w string")
+    run_ingest(spark, spec, str(tmp_path), dt.datetime(2024, 1, 1), source=given, lineage=log)
+    run_ingest(spark, spec, str(tmp_path), dt.datetime(2024, 1, 2), source=given.limit(0), lineage=log)  # nothing to store
+    assert [(e["transformation_func_nm"], e["target_tables"]) for e in log.events] == [("typed_select", "t_typed"), ("upsert", "t"), ("Final", "t")]
+    assert log.events[0]["dropped_cols"] == ["w"] and log.events[1]["key_cols"] == ["id"]
+    log.save(spark, str(tmp_path / "lineage"))
+    edges = lineage.edges_of(spark.read.parquet(str(tmp_path / "lineage")))
+    assert set(rows(lineage.root_sources(edges))) == {("t_typed", "shop.orders"), ("t", "shop.orders")}
