@@ -14,7 +14,6 @@ from millrace.functions.hashing import row_hash
 from millrace.operators.columns import evolve_to
 from millrace.operators.sets import complement
 from millrace.operators.windows import assign_sequence, number_rows
-from millrace.scratch import stage
 
 
 def unique_rows(
@@ -155,8 +154,8 @@ def scd2_merge(
     rows and history stay.  Open rows whose key left the source are dropped,
     kept or closed as ``on_missing`` says.
 
-    Source and open rows meet once; the pairs are stored, and only the inserts
-    among them are numbered.
+    Only the inserts, found by the keys of the open rows, are stored, as they are
+    numbered; all other rows come straight from the join of open rows and source.
     """
     if on_missing not in ("drop", "keep", "close"):
         raise ValueError("on_missing must be 'drop', 'keep' or 'close'")
@@ -179,7 +178,7 @@ def scd2_merge(
     new = _with_hash(clean, hashed, "_new_hash", legacy_hash).select(
         *keys, "_new_hash", F.struct(*[F.col(f"`{c}`") for c in columns if c != sequence]).alias("_new")
     )
-    pairs = stage(old.join(new, keys, "full_outer"), "scd2-pairs")
+    pairs = old.join(new, keys, "left")
 
     def version(number: Column, parent: Column | None) -> Column:
         parts = []
@@ -200,9 +199,9 @@ def scd2_merge(
         .when(F.col("_old_hash") == F.col("_new_hash"), F.array(kept))
         .otherwise(F.array(closed, opened))
     )
-    known = pairs.filter(F.col("_old").isNotNull()).select(F.explode(outcome).alias("_row")).select("_row.*")
+    known = pairs.select(F.explode(outcome).alias("_row")).select("_row.*")
     last = aligned.agg(F.coalesce(F.max(sequence), F.lit(0)).alias("_last")).first()["_last"]
-    fresh = pairs.filter(F.col("_old").isNull()).select(*keys, "_new")
+    fresh = new.join(current.select(*keys), keys, "left_anti").select(*keys, "_new")
     fresh = number_rows(fresh, keys, "_number", start=int(last)).select(version(F.col("_number"), None).alias("_row")).select("_row.*")
     return known.unionByName(fresh).unionByName(history)
 
