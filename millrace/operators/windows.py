@@ -19,14 +19,15 @@ def number_rows(
     The rows are range partitioned, sorted and staged with their bucket and their
     place in it, so one exchange numbers them and a sort may spill; each bucket is
     shifted by the sizes of the buckets before it.  Only those sizes (one row per
-    bucket) meet in a single task.
+    bucket) meet in a single task.  Without ``buckets`` adaptive execution puts
+    small ones together by their measured size.
     """
     keys = names(order_by)
-    count = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
     # the upper bits number the partition, the lower ones its rows in order
     running = F.monotonically_increasing_id()
     places = {"_bucket": F.shiftright(running, 33), "_place": running.bitwiseAND(F.lit((1 << 33) - 1))}
-    ranged = stage(df.repartitionByRange(count, *keys).sortWithinPartitions(*keys).withColumns(places), "numbered")
+    ranged = stage(ranged.sortWithinPartitions(*keys).withColumns(places), "numbered")
     sizes = ranged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
