@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import match_keys, names
@@ -13,7 +14,7 @@ from millrace.functions.constants import INSERTS, OPEN_END, UPDATES
 from millrace.functions.hashing import row_hash
 from millrace.operators.columns import evolve_to
 from millrace.operators.sets import complement
-from millrace.operators.windows import assign_sequence, number_rows
+from millrace.operators.windows import assign_sequence, number_rows, placed, shifted
 
 
 def unique_rows(
@@ -115,14 +116,16 @@ def scd2_initial(
     end: str = "end_dt",
     open_end: dt.date = OPEN_END,
     one_per_key: bool = False,
+    ranged: bool = False,
 ) -> DataFrame:
     """First load of a type 2 dimension: numbered rows, all open.
 
     ``one_per_key`` says that no key repeats: the rows are numbered as they are,
-    without a join back from the distinct keys.
+    without a join back from the distinct keys; ``ranged`` that they also come
+    range partitioned by key.
     """
-    number = number_rows if one_per_key else assign_sequence
-    numbered = number(source.drop(sequence), key, sequence)
+    rows = source.drop(sequence)
+    numbered = number_rows(rows, key, sequence, ranged=ranged) if one_per_key else assign_sequence(rows, key, sequence)
     return numbered.withColumns({start: F.lit(as_of), end: F.lit(open_end)})
 
 
@@ -145,6 +148,7 @@ def scd2_merge(
     end: str = "end_dt",
     open_end: dt.date = OPEN_END,
     legacy_hash: bool = False,
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One run of a type 2 dimension against a full source snapshot.
 
@@ -154,11 +158,15 @@ def scd2_merge(
     rows and history stay.  Open rows whose key left the source are dropped,
     kept or closed as ``on_missing`` says.
 
-    Only the inserts, found by the keys of the open rows, are stored, as they are
-    numbered; all other rows come straight from the join of open rows and source.
+    Open rows and source meet in one exchange, by ranges of the key, and their
+    outcome is stored once: the rows of new keys stand first in each range, in the
+    order of their numbers.  ``resolve`` may fill columns of those rows, as the
+    parent id, which no other row takes from the source.
     """
     if on_missing not in ("drop", "keep", "close"):
         raise ValueError("on_missing must be 'drop', 'keep' or 'close'")
+    if on_duplicate not in ("fail", "latest"):
+        raise ValueError("on_duplicate must be 'fail' or 'latest'")
     keys = names(key)
     incoming = source if sequence in source.columns else source.withColumn(sequence, F.lit(None).cast("bigint"))
     columns = incoming.columns
@@ -171,38 +179,59 @@ def scd2_merge(
         fixed.add(parent_id)
     hashed = [c for c in columns if c not in fixed]
 
-    clean = unique_rows(incoming.drop(sequence), keys, on_duplicate, order_by)
-    old = _with_hash(current, hashed, "_old_hash", legacy_hash).select(
-        *keys, "_old_hash", F.struct(*[F.col(f"`{c}`") for c in aligned.columns]).alias("_old")
-    )
-    new = _with_hash(clean, hashed, "_new_hash", legacy_hash).select(
-        *keys, "_new_hash", F.struct(*[F.col(f"`{c}`") for c in columns if c != sequence]).alias("_new")
+    first = [c for c in names(order_by) if c not in keys]
+    rest = [c for c in columns if c not in keys and c not in first and c != sequence]
+    row = F.struct(*[F.col(f"`{c}`") for c in [*first, *rest]] or [F.lit(1).alias("_given")])
+    new = incoming.select(*keys, F.lit(1).alias("_side"), row.alias("_new"))
+    old = current.select(
+        *keys, F.lit(0).alias("_side"), F.lit(None).cast(new.schema["_new"].dataType).alias("_new"),
+        F.struct(*[F.col(f"`{c}`") for c in aligned.columns if c not in keys]).alias("_old"),
     )
-    pairs = old.join(new, keys, "left")
+    new = new.withColumn("_old", F.lit(None).cast(old.schema["_old"].dataType))
+    sides = Window.partitionBy(*keys).orderBy("_side")
+    whole = sides.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = {"_given": F.max("_side").over(whole) == 1, "_last": F.max("_new").over(whole), "_n": F.row_number().over(sides)}
+    if on_duplicate == "fail":
+        found["_other"] = F.min("_new").over(whole)
+    both = old.unionByName(new).repartitionByRange(*keys).withColumns(found)
+    # every open row, and one row of a key that has none
+    pairs = both.where((F.col("_side") == 0) | (F.col("_n") == 1))
+    bad_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    chosen = F.when(F.col("_given") & bad_null, F.raise_error(F.lit(f"null in key {keys}")))
+    if on_duplicate == "fail":
+        differs = F.col("_given") & ~F.col("_last").eqNullSafe(F.col("_other"))
+        chosen = chosen.when(differs, F.raise_error(F.lit(f"key {keys} has different rows")))
+    pairs = pairs.select(*keys, "_side", "_given", "_old", chosen.otherwise(F.col("_last")).alias("_new"))
 
     def version(number: Column, parent: Column | None) -> Column:
         parts = []
         for f in incoming.schema.fields:
-            value = F.col(f"_new.`{f.name}`") if f.name != sequence else number
+            value = F.col(f"`{f.name}`") if f.name in keys else F.col(f"_new.`{f.name}`") if f.name != sequence else number
             if parent is not None and f.name == parent_id:
                 value = parent
             parts.append(value.cast(f.dataType).alias(f.name))
         return F.struct(*parts, F.lit(as_of).alias(start), F.lit(open_end).alias(end))
 
-    kept = F.col("_old")
-    closing = F.when(F.col(f"_old.{start}") == F.lit(as_of), F.lit(as_of)).otherwise(F.date_sub(F.lit(as_of), 1))
-    closed = F.col("_old").withField(end, closing)
+    content = {side: row_hash([F.col(f"{side}.`{c}`") for c in hashed], legacy=legacy_hash) for side in ("_old", "_new")}
+    kept = F.struct(*[F.col(f"`{c}`" if c in keys else f"_old.`{c}`").alias(c) for c in aligned.columns])
+    closing = F.when(F.col(f"_old.`{start}`") == F.lit(as_of), F.lit(as_of)).otherwise(F.date_sub(F.lit(as_of), 1))
+    closed = kept.withField(end, closing)
     opened = version(F.col(f"_old.`{sequence}`"), F.col(f"_old.`{parent_id}`") if parent_id else None)
     gone = {"drop": F.array().cast(pairs.select(F.array(kept)).schema[0].dataType), "keep": F.array(kept), "close": F.array(closed)}
     outcome = (
-        F.when(F.col("_new").isNull(), gone[on_missing])
-        .when(F.col("_old_hash") == F.col("_new_hash"), F.array(kept))
+        F.when(F.col("_side") == 1, F.array(version(F.lit(None), None)))
+        .when(~F.col("_given"), gone[on_missing])
+        .when(content["_old"] == content["_new"], F.array(kept))
         .otherwise(F.array(closed, opened))
     )
-    known = pairs.select(F.explode(outcome).alias("_row")).select("_row.*")
-    last = aligned.agg(F.coalesce(F.max(sequence), F.lit(0)).alias("_last")).first()["_last"]
-    fresh = new.join(current.select(*keys), keys, "left_anti").select(*keys, "_new")
-    fresh = number_rows(fresh, keys, "_number", start=int(last)).select(version(F.col("_number"), None).alias("_row")).select("_row.*")
+    rows = pairs.select((F.col("_side") == 1).alias("_fresh"), F.explode(outcome).alias("_row")).select("_fresh", "_row.*")
+    merged = shifted(placed(rows, [F.col("_fresh").desc(), *keys], "merged"), F.col("_fresh"))
+    last = int(aligned.agg(F.coalesce(F.max(sequence), F.lit(0)).alias("_last")).first()["_last"])
+    number = (F.col("_place") + 1 + F.col("_shift") + last).cast(dict(aligned.dtypes)[sequence])
+    known = merged.where(~F.col("_fresh")).select(*aligned.columns)
+    fresh = merged.where("_fresh").withColumn(sequence, number).select(*aligned.columns)
+    if resolve is not None:
+        fresh = resolve(fresh).select(*aligned.columns)
     return known.unionByName(fresh).unionByName(history)
 
 

@@ -11,8 +11,28 @@ from millrace.functions.columns import match_keys, names
 from millrace.scratch import stage
 
 
+def placed(df: DataFrame, order_by: Sequence[str | Column], label: str) -> DataFrame:
+    """The range partitioned rows, sorted and staged with their bucket and their place in it."""
+    # the upper bits number the partition, the lower ones its rows in order
+    running = F.monotonically_increasing_id()
+    places = {"_bucket": F.shiftright(running, 33), "_place": running.bitwiseAND(F.lit((1 << 33) - 1))}
+    return stage(df.sortWithinPartitions(*order_by).withColumns(places), label, compression="zstd")
+
+
+def shifted(rows: DataFrame, counted: Column | None = None) -> DataFrame:
+    """``placed`` rows with ``_shift``, the number of rows (``counted`` ones, if given) in the buckets before theirs.
+
+    The shifts, one row per bucket, are stored: their size is known before the
+    join, which so needs no exchange of the rows.
+    """
+    sizes = rows.groupBy("_bucket").agg(F.count_if(F.lit(True) if counted is None else counted).alias("_size"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = stage(sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift")), "shifts")
+    return rows.join(shifts, "_bucket")
+
+
 def number_rows(
-    df: DataFrame, order_by: str | Sequence[str], name: str, start: int | Column = 0, buckets: int | None = None
+    df: DataFrame, order_by: str | Sequence[str], name: str, start: int | Column = 0, buckets: int | None = None, ranged: bool = False
 ) -> DataFrame:
     """Global ``row_number`` over ``order_by``, which must identify a row.
 
@@ -20,18 +40,13 @@ def number_rows(
     place in it, so one exchange numbers them and a sort may spill; each bucket is
     shifted by the sizes of the buckets before it.  Only those sizes (one row per
     bucket) meet in a single task.  Without ``buckets`` adaptive execution puts
-    small ones together by their measured size.
+    small ones together by their measured size.  ``ranged`` says that the rows
+    come range partitioned by ``order_by``.
     """
     keys = names(order_by)
-    ranged = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
-    # the upper bits number the partition, the lower ones its rows in order
-    running = F.monotonically_increasing_id()
-    places = {"_bucket": F.shiftright(running, 33), "_place": running.bitwiseAND(F.lit((1 << 33) - 1))}
-    ranged = stage(ranged.sortWithinPartitions(*keys).withColumns(places), "numbered")
-    sizes = ranged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
-    numbered = ranged.join(shifts, "_bucket")
+    if not ranged:
+        df = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
+    numbered = shifted(placed(df, keys, "numbered"))
     first = F.lit(start) if isinstance(start, int) else start
     return numbered.select(*df.columns, (F.col("_place") + 1 + F.col("_shift") + first).cast("bigint").alias(name))
 

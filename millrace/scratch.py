@@ -55,9 +55,9 @@ def staging(spark: SparkSession) -> Iterator[None]:
         fs.delete(spark, f"{shared_root(spark)}/millrace/{scope}")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder once and return the stored table."""
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and return the stored table; ``options`` are the writer's."""
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

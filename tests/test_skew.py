@@ -1,9 +1,11 @@
 """One key holds half of the rows: results stay whole and the work is split."""
 
+import datetime as dt
 import json
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as A
@@ -136,6 +138,37 @@ def test_group_of_copies_collapses_in_unique_rows(spark):
     assert rows(cdc.unique_rows(df, "k")) == [("a", "same")]
 
 
+def test_type_2_run_exchanges_its_rows_once(spark, conf):
+    """What a run returns is read as stored: neither exchanged nor joined again, also where nothing is small enough to broadcast by plan."""
+    conf(spark__sql__autoBroadcastJoinThreshold="100k")
+    day = lambda m: dt.date(2024, m, 1)
+    source = spark.range(50_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    stored = cdc.scd2_initial(source, "k", "sk", day(1), one_per_key=True)
+    assert "hashpartitioning(_bucket" not in _plan(stored)
+    more = source.withColumn("v", F.when(F.col("v") < 100, -1).otherwise(F.col("v"))).unionByName(source.withColumn("k", F.concat("k", F.lit("-N"))))
+    out = cdc.scd2_merge(stored, more, "k", "sk", day(2))
+    assert "hashpartitioning" not in _plan(out)
+    counts = out.agg(F.count("*"), F.countDistinct("sk"), F.max("sk"), F.count_if(F.col("end_dt") < day(2))).first()
+    assert tuple(counts) == (100_100, 100_000, 100_000, 100)
+    order = out.where("sk > 50000").select((F.col("sk") - 50_000).alias("n"), F.row_number().over(Window.orderBy("k")).alias("m"))
+    assert order.where("n = m").count() == 50_000
+
+
+def test_later_run_gives_new_children_the_last_parent(spark):
+    from millrace.plans.chains import Level, scd2_chain
+
+    levels = (Level("p", "pk", "p_sk"), Level("c", "ck", "c_sk", on=[("ref", "nat")], on_duplicate="latest", order_by=["v"]))
+    parents = spark.createDataFrame([("p1", 1), ("p2", 1), ("p3", 2)], "pk string, nat int")
+    one = {"p": parents, "c": spark.createDataFrame([("c1", 1, 0), ("c1", 2, 1), ("c2", 9, 0)], "ck string, ref int, v int")}
+    two = {"p": parents, "c": spark.createDataFrame([("c1", 1, 5), ("c2", 9, 0), ("c3", 1, 0), ("c3", 1, 0), ("c4", None, 0)], "ck string, ref int, v int")}
+    first = scd2_chain(levels, one, dt.date(2024, 1, 1))
+    second = scd2_chain(levels, two, dt.date(2024, 2, 1), targets=first)["c"]
+    assert rows(first["c"], "ck", "ref", "p_sk", "c_sk") == [("c1", 2, 3, 1), ("c2", 9, None, 2)]
+    assert rows(second, "ck", "ref", "v", "p_sk", "c_sk") == [
+        ("c1", 1, 5, 3, 1), ("c1", 2, 1, 3, 1), ("c2", 9, 0, None, 2), ("c3", 1, 0, 2, 3), ("c4", None, 0, None, 4)
+    ]
+
+
 def test_uniqueness_with_a_hot_value(skewed):
     facts, _ = skewed
     result = Q.verify(facts, [Q.Rule("isUnique", "k"), Q.Rule("isUnique", "id")]).collect()
