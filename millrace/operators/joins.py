@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from millrace.functions.columns import match_keys, names
 from millrace.functions.constants import OPEN_END_FAR, OPEN_TERM_TS
 from millrace.functions.hashing import tagged
+from millrace.operators.sets import distinct_rows
 from millrace.operators.windows import first_per_group
 from millrace.scratch import stage
 
@@ -302,7 +303,13 @@ def effective_join(
 
 
 def crosswalk(df: DataFrame, lookup: DataFrame, column: str, lookup_column: str, take: str) -> DataFrame:
-    """Distinct rows left-joined to the distinct pairs of a reference table."""
+    """Distinct rows left-joined to the distinct pairs of a reference table.
+
+    Distinct rows and pairs make distinct links; only where the two columns differ
+    in type, so that several references may equal one value, copies are sought again.
+    """
     pairs = lookup.select(F.col(lookup_column).alias("_ref"), F.col(take)).distinct()
-    base = df.distinct()
-    return base.join(pairs, base[column] == pairs["_ref"], "left").drop("_ref").distinct()
+    base = distinct_rows(df)
+    linked = base.join(pairs, base[column] == pairs["_ref"], "left").drop("_ref")
+    alike = base.select(column).schema[0].dataType == pairs.schema["_ref"].dataType
+    return linked if alike else linked.distinct()

@@ -16,6 +16,29 @@ from millrace.functions.columns import names
 from millrace.functions.hashing import tagged
 
 
+# rows that a task holds at most while it looks for copies
+TASK_ROWS = 500_000
+
+
+def distinct_rows(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df.distinct()`` whose tasks hold about ``task_rows`` rows at every size.
+
+    A pass before counts the rows and keeps a sketch of frequent ones.  Tables of
+    more than ``task_rows`` rows are dealt to as many tasks as their rows ask for;
+    rows with so many copies that these alone would fill a task go apart, where
+    every task reduces its own copies first.
+    """
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows, likely = df.select(digest.alias("h")).agg(F.count(F.lit(1)), F.expr("approx_top_k(h, 1000, 16000)")).first()
+    if rows <= task_rows:
+        return df.distinct()
+    tasks = max(-(-rows // task_rows), df.sparkSession.sparkContext.defaultParallelism)
+    hot = [i["item"] for i in likely if i["item"] is not None and i["count"] > rows // tasks]
+    spread = df.where(~digest.isin(hot)) if hot else df
+    spread = spread.repartition(tasks, *[F.col(f"`{c}`") for c in df.columns]).distinct()
+    return spread.unionByName(df.where(digest.isin(hot)).distinct()) if hot else spread
+
+
 def sort_rows(df: DataFrame, keys: str | Sequence[str], descending: bool = False) -> DataFrame:
     """Global sort.  The other columns break ties, so that the rows of a frequent
     key are spread over several sorted partitions."""

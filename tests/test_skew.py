@@ -138,6 +138,26 @@ def test_group_of_copies_collapses_in_unique_rows(spark):
     assert rows(cdc.unique_rows(df, "k")) == [("a", "same")]
 
 
+def test_crosswalk_tasks_stay_small_and_whole(spark, monkeypatch):
+    """As many tasks as the rows ask for, one look for copies, and copies of a row stay apart from the others."""
+    from millrace.operators import sets as S
+
+    monkeypatch.setattr(S.distinct_rows, "__defaults__", (1000,))
+    once = spark.range(20_000).select(F.when(F.col("id") % 9 > 0, F.col("id") % 5000).alias("n"), "id")
+    many = spark.range(30_000).select(F.lit(1).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("id"))
+    lookup = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, None), (3, "c"), (None, "d")], "ref bigint, name string")
+    facts = once.unionByName(many)
+    out = J.crosswalk(facts, lookup, "n", "ref", "name")
+    plan = _plan(out)
+    assert "REPARTITION_BY_NUM" in plan and plan.count("HashAggregate") <= 12
+    wanted = facts.distinct().join(lookup.distinct(), F.col("n") == F.col("ref"), "left").select("n", "id", "name").distinct()
+    assert frames_equal(out, wanted).first()["is_equal"]
+    whole = S.distinct_rows(facts)
+    assert whole.count() == 20_001 and whole.rdd.glom().map(len).max() < 2000
+    texts = spark.createDataFrame([("1", "a"), ("01", "a")], "ref string, name string")
+    assert J.crosswalk(facts, texts, "n", "ref", "name").where("name = 'a'").groupBy("n", "id").count().where("count > 1").isEmpty()
+
+
 def test_type_2_run_exchanges_its_rows_once(spark, conf):
     """What a run returns is read as stored: neither exchanged nor joined again, also where nothing is small enough to broadcast by plan."""
     conf(spark__sql__autoBroadcastJoinThreshold="100k")
